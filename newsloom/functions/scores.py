@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,12 +22,26 @@ def argmax(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
+def with_value(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once per row.
+
+    A lambda evaluates what it mentions for every element; what should be
+    computed once is bound first, as the element of a one-element array.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def softmax(scores: Column) -> Column:
     """Scores to probabilities over the array; a NULL score gets 0."""
-    top = F.array_max(scores)
-    weights = F.transform(scores, lambda s: F.coalesce(F.exp((s - top).cast("double")), F.lit(0.0)))
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w)
-    return F.transform(weights, lambda w: w / total)
+
+    def weights(top: Column) -> Column:
+        return F.transform(scores, lambda s: F.coalesce(F.exp((s - top).cast("double")), F.lit(0.0)))
+
+    def shares(parts: Column) -> Column:
+        total = F.aggregate(parts, F.lit(0.0), lambda acc, w: acc + w)
+        return with_value(total, lambda whole: F.transform(parts, lambda w: w / whole))
+
+    return with_value(with_value(F.array_max(scores), weights), shares)
 
 
 def confidence(probabilities: Column) -> Column:
@@ -47,11 +61,14 @@ def name_of(index: Column, names: Sequence[str], missing: str = "Unknown") -> Co
 def probability_map(probabilities: Column, names: Sequence[str]) -> Column:
     """`{category: probability}`; a place without a name is called `L_<place>`."""
     named = name_array(names)
-    keys = F.transform(
-        probabilities,
-        lambda _, i: F.coalesce(F.get(named, i), F.concat(F.lit("L_"), i.cast("string"))),
-    )
-    return F.map_from_arrays(keys, probabilities)
+
+    def keyed(values: Column) -> Column:
+        def name(_: Column, place: Column) -> Column:
+            return F.coalesce(F.get(named, place), F.concat(F.lit("L_"), place.cast("string")))
+
+        return F.map_from_arrays(F.transform(values, name), values)
+
+    return with_value(probabilities, keyed)
 
 
 def confidence_flag(value: Column, threshold: float = 0.75) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions.scores import argmax, confidence, name_of, probability_map, softmax
+from newsloom.functions.scores import argmax, confidence, name_of, probability_map, softmax, with_value
 from newsloom.functions.text import clean_text, is_blank
 from newsloom.operators import naive_bayes
 from newsloom.operators.naive_bayes import UNIT, BayesModel
@@ -23,7 +23,10 @@ def predict(articles: DataFrame, model: BayesModel) -> DataFrame:
 
 def probabilities(scores: DataFrame) -> DataFrame:
     """`(id, probabilities)` from summed integer scores."""
-    return scores.select("id", softmax(_as_logs("scores")).alias("probabilities"))
+    logs = with_value(
+        F.array_max("scores"), lambda top: F.transform("scores", lambda s: (s - top) / F.lit(float(UNIT)))
+    )
+    return scores.select("id", softmax(logs).alias("probabilities"))
 
 
 def evaluate_rows(validation: DataFrame, model: BayesModel) -> DataFrame:
@@ -85,7 +88,3 @@ def probability_rows(results: DataFrame) -> DataFrame:
     """A row per article and category, least probable first within an article."""
     rows = results.select("id", F.explode("raw_probabilities").alias("category", "probability"))
     return rows.sortWithinPartitions("id", "probability", "category")
-
-
-def _as_logs(column: str) -> Column:
-    return F.transform(column, lambda s: s / F.lit(float(UNIT)))

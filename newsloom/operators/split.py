@@ -21,17 +21,30 @@ def split_key(id_col: Column, seed: int = 42) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), id_col.cast("string")))
 
 
+def label_profile(df: DataFrame, seed: int = 42) -> DataFrame:
+    """`(category, prefix, n, first_id)`: rows per label and hash prefix.
+
+    One pass over ids and categories; the staged result, at most 65,536 rows
+    per label, gives the label map, the label sizes and the cuts.
+    """
+    keyed = _keyed(df, seed)
+    return stage(
+        keyed.groupBy("category", "prefix").agg(F.count("*").alias("n"), F.min("id").alias("first_id")),
+        "label-profile",
+    )
+
+
 def quotas(counts: DataFrame, numerator: int = 1, denominator: int = 10) -> DataFrame:
-    """Validation rows per label from `(label, rows)`; windows over k rows.
+    """Validation rows per label from `(category, rows)`; windows over k rows.
 
     In all, ceil(N * ratio) rows. Each label gets its share rounded down, the
-    rest goes one each to the largest remainders (ties by label), and a label
+    rest goes one each to the largest remainders (ties by name), and a label
     never gives up its last row.
     """
     everything = Window.partitionBy()
-    by_rest = Window.orderBy(F.col("rest").desc(), F.col("label"))
+    by_rest = Window.orderBy(F.col("rest").desc(), F.col("category"))
     shares = counts.select(
-        "label",
+        "category",
         "rows",
         F.expr(f"rows * {numerator} div {denominator}").alias("base"),
         F.expr(f"rows * {numerator} % {denominator}").alias("rest"),
@@ -40,70 +53,61 @@ def quotas(counts: DataFrame, numerator: int = 1, denominator: int = 10) -> Data
     spare = shares.withColumn("spare", total - F.sum("base").over(everything))
     extra = F.when(F.row_number().over(by_rest) <= F.col("spare"), 1).otherwise(0)
     return spare.select(
-        "label", "rows", F.least(F.col("base") + extra, F.col("rows") - 1).cast("long").alias("quota")
+        "category", "rows", F.least(F.col("base") + extra, F.col("rows") - 1).cast("long").alias("quota")
     )
 
 
 def cut_points(
     df: DataFrame,
-    label: str = "label_idx",
-    id_col: str = "id",
+    profile: DataFrame | None = None,
     numerator: int = 1,
     denominator: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """`(label, cut_key, cut_id)`: the last validation row of each label."""
-    keyed = (
-        df.filter(F.col(label).isNotNull())
-        .select(F.col(label).alias("label"), F.col(id_col).alias("row_id"))
-        .withColumn("key", split_key(F.col("row_id"), seed))
-        .withColumn("prefix", F.substring("key", 1, PREFIX_DIGITS))
-    )
-    histogram = stage(keyed.groupBy("label", "prefix").agg(F.count("*").alias("n")), "split-histogram")
-    quota = quotas(histogram.groupBy("label").agg(F.sum("n").alias("rows")), numerator, denominator)
-    upto = F.sum("n").over(Window.partitionBy("label").orderBy("prefix"))
+    """`(category, cut_key, cut_id)`: the last validation row of each label."""
+    profile = label_profile(df, seed) if profile is None else profile
+    quota = quotas(profile.groupBy("category").agg(F.sum("n").alias("rows")), numerator, denominator)
+    upto = F.sum("n").over(Window.partitionBy("category").orderBy("prefix"))
     edges = (
-        histogram.withColumn("upto", upto)
-        .join(quota, "label")
+        profile.withColumn("upto", upto)
+        .join(quota, "category")
         .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-        .select("label", "prefix", (F.col("quota") - F.col("upto") + F.col("n")).alias("needed"))
+        .select("category", "prefix", (F.col("quota") - F.col("upto") + F.col("n")).alias("needed"))
     )
     edges = stage(edges, "split-edges")
-    place = F.row_number().over(Window.partitionBy("label").orderBy("key", "row_id"))
+    place = F.row_number().over(Window.partitionBy("category").orderBy("key", "id"))
     cuts = (
-        keyed.join(edges, ["label", "prefix"])
+        _keyed(df, seed)
+        .join(edges, ["category", "prefix"])
         .withColumn("place", place)
         .filter(F.col("place") == F.col("needed"))
-        .select("label", F.col("key").alias("cut_key"), F.col("row_id").alias("cut_id"))
+        .select("category", F.col("key").alias("cut_key"), F.col("id").alias("cut_id"))
     )
     return stage(cuts, "split-cuts")
 
 
-def mark_validation(
-    df: DataFrame, cuts: DataFrame, label: str = "label_idx", id_col: str = "id", seed: int = 42
-) -> DataFrame:
+def _keyed(df: DataFrame, seed: int) -> DataFrame:
+    key = split_key(F.col("id"), seed)
+    return df.filter(F.col("category").isNotNull()).select(
+        "category", "id", key.alias("key"), F.substring(key, 1, PREFIX_DIGITS).alias("prefix")
+    )
+
+
+def mark_validation(df: DataFrame, cuts: DataFrame, seed: int = 42) -> DataFrame:
     """Add `is_val` by comparing each row with its label's cut."""
-    side = cuts.withColumnRenamed("label", "_label")
-    key = split_key(F.col(id_col), seed)
-    chosen = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (F.col(id_col) <= F.col("cut_id")))
+    side = cuts.withColumnRenamed("category", "_category")
+    key = split_key(F.col("id"), seed)
+    chosen = (key < F.col("cut_key")) | ((key == F.col("cut_key")) & (F.col("id") <= F.col("cut_id")))
     return (
-        df.join(side, df[label] == F.col("_label"), "left")
+        df.join(side, df["category"] == F.col("_category"), "left")
         .withColumn("is_val", F.coalesce(chosen, F.lit(False)))
-        .drop("_label", "cut_key", "cut_id")
+        .drop("_category", "cut_key", "cut_id")
     )
 
 
-def stratified_split(
-    df: DataFrame,
-    label: str = "label_idx",
-    id_col: str = "id",
-    numerator: int = 1,
-    denominator: int = 10,
-    seed: int = 42,
-) -> DataFrame:
-    """`df` with `is_val`."""
-    cuts = cut_points(df, label, id_col, numerator, denominator, seed)
-    return mark_validation(df, cuts, label, id_col, seed)
+def stratified_split(df: DataFrame, numerator: int = 1, denominator: int = 10, seed: int = 42) -> DataFrame:
+    """`df` with `is_val`, by `category` and `id`."""
+    return mark_validation(df, cut_points(df, None, numerator, denominator, seed), seed)
 
 
 def split_sizes(split: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from newsloom.operators.cleaning import clean_articles, observe_quality
 from newsloom.operators.labels import encode, label_map, label_names
 from newsloom.operators.pipeline import Candidate
 from newsloom.operators.scoring import above_threshold, classify, evaluate_rows
-from newsloom.operators.split import cut_points, mark_validation, split_sizes
+from newsloom.operators.split import cut_points, label_profile, mark_validation, split_sizes
 from newsloom.operators.vocabulary import VOCABULARY_SIZE
 from newsloom.sources import files
 from newsloom.sources.articles import raw_records
@@ -75,9 +75,9 @@ def prepare_split(
     spark: SparkSession, cleaned_path: str, labels: DataFrame, numerator: int = 1, denominator: int = 10, seed: int = 42
 ) -> DataFrame:
     """Encoded model input with `is_val`; the same rows for the same seed."""
-    rows = encode(files.read_model_input(spark, cleaned_path), labels)
-    cuts = cut_points(rows, "label_idx", "id", numerator, denominator, seed)
-    return mark_validation(rows, cuts, "label_idx", "id", seed)
+    rows = files.read_model_input(spark, cleaned_path)
+    cuts = cut_points(rows, None, numerator, denominator, seed)
+    return mark_validation(encode(rows, labels), cuts, seed)
 
 
 def train(
@@ -96,9 +96,12 @@ def train(
     Fits Naive Bayes under `<model_dir>/bayes`; with candidates, also the best
     regression pipeline among them under `<model_dir>/pipeline`.
     """
-    files.write_label_map(label_map(files.read_model_input(spark, cleaned_path)), label_map_path)
+    rows = files.read_model_input(spark, cleaned_path)
+    profile = label_profile(rows, seed)
+    files.write_label_map(label_map(profile, id_col="first_id"), label_map_path)
     labels = files.read_label_map(spark, label_map_path)
-    rows = prepare_split(spark, cleaned_path, labels, numerator, denominator, seed)
+    cuts = cut_points(rows, profile, numerator, denominator, seed)
+    rows = mark_validation(encode(rows, labels), cuts, seed)
     sizes = {r.is_val: r.rows for r in split_sizes(rows).collect()}
     model = naive_bayes.fit(rows.filter(~F.col("is_val")), labels, f"{model_dir}/bayes", vocabulary_size)
     scored = evaluate_rows(rows.filter("is_val"), model)
@@ -195,9 +198,9 @@ def train_on_articles(
 def split_articles(articles: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Label map, and the articles with `label_idx` and `is_val`."""
     articles = articles.filter(F.col("category").isNotNull())
-    labels = stage(label_map(articles), "label-map")
-    rows = encode(articles, labels)
-    return labels, mark_validation(rows, cut_points(rows))
+    profile = label_profile(articles)
+    labels = stage(label_map(profile, id_col="first_id"), "label-map")
+    return labels, mark_validation(encode(articles, labels), cut_points(articles, profile))
 
 
 __all__ = [
