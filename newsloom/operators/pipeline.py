@@ -11,8 +11,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -21,6 +20,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.scores import MAX_TOKENS
 from newsloom.functions.text import clean_text
 from newsloom.operators.scoring import as_results
+from newsloom.staging import new_path
 
 HASH_FEATURES = 1 << 15
 
@@ -62,6 +62,17 @@ def regression(candidate: Candidate) -> LogisticRegression:
     )
 
 
+def _trained(candidate: Candidate, vectors: DataFrame) -> LogisticRegressionModel:
+    """A fitted regression as read back from the shared folder.
+
+    A model fresh from training carries its training summary, and with it the
+    session, into every task that scores with it; a loaded one does not.
+    """
+    path = new_path(vectors.sparkSession, "regression")
+    regression(candidate).fit(vectors).write().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def _usable(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label_idx").isNotNull() & (F.col("cleaned_text") != ""))
 
@@ -70,7 +81,7 @@ def fit(train: DataFrame, candidate: Candidate = Candidate(), features: int = HA
     """Fit features and regression on `(label_idx, cleaned_text)`."""
     rows = _usable(train)
     prepared = feature_pipeline(features).fit(rows)
-    classifier = regression(candidate).fit(prepared.transform(rows).select("label_idx", "features"))
+    classifier = _trained(candidate, prepared.transform(rows).select("label_idx", "features"))
     return PipelineModel(stages=[*prepared.stages, classifier])
 
 
@@ -90,12 +101,10 @@ def select_best(
         .select("label_idx", "features")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    judge = MulticlassClassificationEvaluator(
-        labelCol="label_idx", predictionCol="prediction", metricName="accuracy"
-    )
+    right = F.coalesce(F.avg((F.col("prediction") == F.col("label_idx")).cast("double")), F.lit(0.0))
     try:
-        fitted = [regression(c).fit(vectors) for c in candidates]
-        accuracies = [judge.evaluate(m.transform(held_out)) for m in fitted]
+        fitted = [_trained(c, vectors) for c in candidates]
+        accuracies = [m.transform(held_out).agg(right.alias("accuracy")).first().accuracy for m in fitted]
     finally:
         vectors.unpersist()
         held_out.unpersist()
