@@ -55,12 +55,11 @@ def fit(
 ) -> BayesModel:
     """Fit on `(label_idx, cleaned_text)` rows with add-one smoothing.
 
-    Rows without text or label say nothing and are left out.
+    Rows without text or label say nothing and are left out: no text, no tokens.
     """
     spark = train.sparkSession
     path = path or new_path(spark, "bayes")
-    usable = train.filter(F.col("label_idx").isNotNull() & (F.col("cleaned_text") != ""))
-    counts = stage(label_word_counts(usable), "label-word-counts")
+    counts = stage(label_word_counts(train.filter(F.col("label_idx").isNotNull())), "label-word-counts")
 
     totals = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-totals")
     vocabulary = top_words(totals, vocabulary_size)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.staging import stage
 
 SMALL_LIMIT = 10_000
-BUCKET_BITS = 16
+BUCKET_BITS = 12
 
 
 def positions(df: DataFrame, key: str = "id") -> DataFrame:
@@ -63,8 +63,9 @@ def nth_smallest(df: DataFrame, key: str, n: int) -> int | None:
     """The n-th smallest value of a long column, None for no rows.
 
     Each pass counts rows per power-of-two range of the key and keeps the
-    range that holds the n-th; at most 65,537 counts come back, and 64 bits
-    take five passes at most, reading one column.
+    range that holds the n-th. There are at most 4,097 ranges, so partial
+    aggregation shrinks every task's rows to them; 64 bits take six passes at
+    most, each reading one column.
     """
     bounds = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(key).alias("rows")).first()
     if not bounds.rows:

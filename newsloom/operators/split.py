@@ -1,10 +1,12 @@
 """Exact, repeatable stratified split without gathering a label in one task.
 
 Rows of a label are ordered by `md5("<seed>:<id>")`; the first `quota` of them
-are validation rows. The hash is uniform, so a count per (label, first 16 bits)
-finds the narrow range in which the quota ends, and only the rows of that range,
-1/65536 of a label, are ranked. What comes out is one cut value per label, and
-the split itself is a comparison on each row.
+are validation rows. The hash is uniform, so counts per (label, hash prefix) find
+the narrow range in which the quota ends. A first pass counts 256 prefixes, few
+enough for partial aggregation to shrink every task's rows to them; should the
+range still hold many rows, it is counted again by longer prefixes. Only what is
+left is ranked. One cut value per label comes out, and the split itself is a
+comparison on each row.
 """
 
 from __future__ import annotations
@@ -14,7 +16,9 @@ from pyspark.sql import functions as F
 
 from newsloom.staging import stage
 
-PREFIX_DIGITS = 4
+PREFIX_DIGITS = 2
+MORE_DIGITS = 4
+RANKED_ROWS = 500_000
 
 
 def split_key(id_col: Column, seed: int = 42) -> Column:
@@ -24,12 +28,11 @@ def split_key(id_col: Column, seed: int = 42) -> Column:
 def label_profile(df: DataFrame, seed: int = 42) -> DataFrame:
     """`(category, prefix, n, first_id)`: rows per label and hash prefix.
 
-    One pass over ids and categories; the staged result, at most 65,536 rows
-    per label, gives the label map, the label sizes and the cuts.
+    One pass over ids and categories; the staged result, at most 256 rows per
+    label, gives the label map, the label sizes and the first cuts.
     """
-    keyed = _keyed(df, seed)
     return stage(
-        keyed.groupBy("category", "prefix").agg(F.count("*").alias("n"), F.min("id").alias("first_id")),
+        _keyed(df, seed, PREFIX_DIGITS).groupBy("category", "prefix").agg(F.count("*").alias("n"), F.min("id").alias("first_id")),
         "label-profile",
     )
 
@@ -67,18 +70,17 @@ def cut_points(
     """`(category, cut_key, cut_id)`: the last validation row of each label."""
     profile = label_profile(df, seed) if profile is None else profile
     quota = quotas(profile.groupBy("category").agg(F.sum("n").alias("rows")), numerator, denominator)
-    upto = F.sum("n").over(Window.partitionBy("category").orderBy("prefix"))
-    edges = (
-        profile.withColumn("upto", upto)
-        .join(quota, "category")
-        .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
-        .select("category", "prefix", (F.col("quota") - F.col("upto") + F.col("n")).alias("needed"))
-    )
-    edges = stage(edges, "split-edges")
+    digits = PREFIX_DIGITS
+    edges = _edges(profile, quota)
+    while (edges.agg(F.max("n").alias("n")).first().n or 0) > RANKED_ROWS and digits < 32:
+        inside = _inside(df, seed, edges, digits)
+        digits += MORE_DIGITS
+        longer = F.substring("key", 1, digits).alias("prefix")
+        counts = stage(inside.groupBy("category", longer).agg(F.count("*").alias("n")), "split-counts")
+        edges = _edges(counts, edges.select("category", F.col("needed").alias("quota")))
     place = F.row_number().over(Window.partitionBy("category").orderBy("key", "id"))
     cuts = (
-        _keyed(df, seed)
-        .join(edges, ["category", "prefix"])
+        _inside(df, seed, edges, digits)
         .withColumn("place", place)
         .filter(F.col("place") == F.col("needed"))
         .select("category", F.col("key").alias("cut_key"), F.col("id").alias("cut_id"))
@@ -86,13 +88,31 @@ def cut_points(
     return stage(cuts, "split-cuts")
 
 
-def _keyed(df: DataFrame, seed: int) -> DataFrame:
+def _edges(counts: DataFrame, quota: DataFrame) -> DataFrame:
+    """`(category, prefix, n, needed)`: where each quota ends, and how far in."""
+    upto = F.sum("n").over(Window.partitionBy("category").orderBy("prefix"))
+    edges = (
+        counts.withColumn("upto", upto)
+        .join(quota, "category")
+        .filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("n") < F.col("quota")))
+        .select("category", "prefix", "n", (F.col("quota") - F.col("upto") + F.col("n")).alias("needed"))
+    )
+    return stage(edges, "split-edges")
+
+
+def _keyed(df: DataFrame, seed: int, digits: int) -> DataFrame:
+    """Rows that can be ranked; one without an id or a label stays in training."""
     key = split_key(F.col("id"), seed)
-    return df.filter(F.col("category").isNotNull()).select(
-        "category", "id", key.alias("key"), F.substring(key, 1, PREFIX_DIGITS).alias("prefix")
+    return df.filter(F.col("category").isNotNull() & F.col("id").isNotNull()).select(
+        "category", "id", key.alias("key"), F.substring(key, 1, digits).alias("prefix")
     )
 
 
+def _inside(df: DataFrame, seed: int, edges: DataFrame, digits: int) -> DataFrame:
+    """The rows in the edge range of their label."""
+    return _keyed(df, seed, digits).join(edges.drop("n"), ["category", "prefix"])
+
+
 def mark_validation(df: DataFrame, cuts: DataFrame, seed: int = 42) -> DataFrame:
     """Add `is_val` by comparing each row with its label's cut."""
     side = cuts.withColumnRenamed("category", "_category")

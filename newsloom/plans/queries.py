@@ -651,26 +651,32 @@ def results_export(spark, folder):
 # --- regression pipeline ----------------------------------------------------
 
 
+def _split_news(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """Training and validation rows, cleaned once for the passes of a fit."""
+    _, rows = jobs.split_articles(news(spark, folder))
+    cleaned = rows.select("id", "label_idx", "is_val", tx.clean_text("text").alias("cleaned_text"))
+    cleaned = stage(cleaned, "cleaned")
+    return cleaned.filter("not is_val").drop("is_val"), cleaned.filter("is_val").drop("is_val")
+
+
 @query()
 def ml_predictions(spark, folder):
-    _, rows = jobs.split_articles(news(spark, folder))
-    rows = rows.withColumn("cleaned_text", tx.clean_text("text"))
-    model = pipeline.fit(rows.filter("not is_val"))
-    held_out = rows.filter("is_val").select("id", "cleaned_text", "label_idx")
-    return pipeline.predict(held_out, model).select(
-        "id", F.col("label_idx").alias("true_label_idx"), "predicted_label_idx", sc.confidence(F.col("probabilities")).alias("confidence")
+    train, held_out = _split_news(spark, folder)
+    predicted = pipeline.predict(held_out, pipeline.fit(train))
+    return predicted.select(
+        "id",
+        F.col("label_idx").alias("true_label_idx"),
+        "predicted_label_idx",
+        sc.confidence(F.col("probabilities")).alias("confidence"),
     )
 
 
 @query()
 def model_selection(spark, folder):
-    _, rows = jobs.split_articles(news(spark, folder))
-    rows = rows.withColumn("cleaned_text", tx.clean_text("text"))
-    choices = [pipeline.Candidate(1), pipeline.Candidate(2), pipeline.Candidate(3)]
-    choice = pipeline.select_best(rows.filter("not is_val"), rows.filter("is_val"), choices)
-    scored = pipeline.predict(rows.filter("is_val").select("id", "cleaned_text", "label_idx"), choice.model)
-    marked = scored.withColumnRenamed("label_idx", "true_label_idx")
-    return metrics.accuracy(marked).withColumn("max_iter", F.lit(choice.candidate.max_iter))
+    train, held_out = _split_news(spark, folder)
+    choice = pipeline.select_best(train, held_out, [pipeline.Candidate(n) for n in (1, 2, 3)])
+    scored = pipeline.predict(held_out, choice.model).withColumnRenamed("label_idx", "true_label_idx")
+    return metrics.accuracy(scored).withColumn("max_iter", F.lit(choice.candidate.max_iter))
 
 
 # --- streams ----------------------------------------------------------------

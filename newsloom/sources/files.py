@@ -97,18 +97,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     )
 
 
-def _csv_reader(spark: SparkSession):
-    return (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("inferSchema", False)
-    )
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Any CSV table with a header, every column as text.
 
-
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Any CSV table with a header, every column as text."""
-    return _need(_csv_reader(spark).csv, path, "check the path")
+    Fields may hold line breaks unless `multi_line` is off; only then can Spark
+    read one file by many tasks.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    return _need(reader.csv, path, "check the path")
 
 
 def drop_missing(df: DataFrame, column: str = "text") -> DataFrame:
@@ -116,9 +112,9 @@ def drop_missing(df: DataFrame, column: str = "text") -> DataFrame:
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(MISSING))
 
 
-def read_csv_articles(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """`(id, text)` from a CSV table, numbered in file order."""
-    table = read_csv(spark, path)
+    table = read_csv(spark, path, multi_line)
     if "text" not in table.columns:
         raise ValueError("a CSV of articles must contain a 'text' column")
     return _numbered(drop_missing(table))

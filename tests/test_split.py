@@ -40,8 +40,10 @@ def expected(rows, num, den, seed):
     return chosen
 
 
-@pytest.mark.parametrize("ratio, seed", [((1, 10), 42), ((1, 3), 7)])
-def test_split_is_exact_and_stable(spark, ratio, seed):
+@pytest.mark.parametrize("ratio, seed, ranked", [((1, 10), 42, 500_000), ((1, 3), 7, 500_000), ((1, 10), 42, 1)])
+def test_split_is_exact_and_stable(spark, monkeypatch, ratio, seed, ranked):
+    """A low bound on ranked rows makes the prefixes grow."""
+    monkeypatch.setattr("newsloom.operators.split.RANKED_ROWS", ranked)
     rows = [(i, "big" if i % 3 else ("mid" if i % 2 else "tiny" if i % 500 == 0 else "low")) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, category string")
     first = stratified_split(df, *ratio, seed)
