@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.staging import stage
@@ -12,26 +14,31 @@ BUCKET_BITS = 12
 
 
 def positions(df: DataFrame, key: str = "id") -> DataFrame:
-    """`(key, position)`: 0-based place of each row in key order.
+    """`(key, position)`: 0-based place of each row in key order."""
+    return number_by(df.select(key), [F.col(key)])
+
+
+def number_by(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Add `position`, the 0-based place of each row in `order`, which must be total.
 
-    A range-partitioned sort of the key alone is written once with its slot
-    (partition number and place in it); the sizes of the partitions before
-    turn slots into positions. There are never more offset rows than sort
-    partitions, which bounds the broadcast.
+    A range-partitioned sort is written once with each row's slot (partition
+    number and place in it); the sizes of the partitions before turn slots
+    into positions. There are never more offset rows than sort partitions,
+    which bounds the broadcast.
     """
-    slots = stage(df.select(key).orderBy(key).withColumn("slot", F.monotonically_increasing_id()), "positions")
-    part = F.shiftright("slot", 33)
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    slots = stage(df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id()), "positions")
+    part = F.shiftright("_slot", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        slots.groupBy(part.alias("part"))
-        .agg(F.count("*").alias("n"))
-        .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+        slots.groupBy(part.alias("_part"))
+        .agg(F.count("*").alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    place = F.col("offset") + F.col("slot").bitwiseAND(F.lit((1 << 33) - 1))
+    place = F.col("_offset") + F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        slots.withColumn("part", part)
-        .join(F.broadcast(offsets), "part")
-        .select(key, place.cast("long").alias("position"))
+        slots.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
+        .select(*df.columns, place.cast("long").alias("position"))
     )
 
 

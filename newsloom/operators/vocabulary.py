@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import MAX_TOKENS, word_tokens
+from newsloom.operators.positions import number_by
 
 # Fixed value: the vocabulary size of the published model.
 VOCABULARY_SIZE = 30_522
 
+SORTED_WORDS = 1_000_000
+
 
 def label_word_counts(
     df: DataFrame, label: str = "label_idx", cleaned: str = "cleaned_text", most: int = MAX_TOKENS
@@ -38,8 +41,8 @@ def top_words(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFram
     `counts` is read twice, so pass a staged table. Words are first thinned by
     the bit length of their count: lengths are tallied from the top until
     `size` words are covered, and shorter counts cannot be among the top. The
-    final sort then sees little more than `size` rows from the whole cluster
-    rather than `size` rows from every partition.
+    tally tells how many rows are left: few go through a sort with a limit,
+    many (a large `size`, or a long tie) through a distributed numbering.
     """
     if size is None:
         return counts
@@ -53,4 +56,8 @@ def top_words(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFram
         covered, least = covered + row.words, row.bits
         if covered >= size:
             break
-    return counts.filter(F.col("n") >= F.lit(1 << (least - 1))).orderBy(F.col("n").desc(), "word").limit(size)
+    left = counts.filter(F.col("n") >= F.lit(1 << (least - 1)))
+    order = [F.col("n").desc(), F.col("word")]
+    if covered <= SORTED_WORDS:
+        return left.orderBy(*order).limit(size)
+    return number_by(left, order).filter(F.col("position") < size).drop("position")

@@ -14,7 +14,11 @@ SMALL = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from pyspark.conf import SparkConf
 
-    extra = {"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"}
+    extra = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.ui.enabled": "false",
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
     if not SparkConf().contains("spark.checkpoint.dir"):
         extra["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("checkpoints"))
     session = create_spark_session("tests", "local[4]", driver_memory="4g", extra=extra)

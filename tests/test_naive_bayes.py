@@ -94,8 +94,10 @@ def test_save_and_load(spark, tmp_path):
     assert sorted(nb.score(items, loaded).collect()) == sorted(nb.score(items, saved).collect())
 
 
+@pytest.mark.parametrize("sorted_words", [1_000_000, 0])
 @pytest.mark.parametrize("size", [1, 2, 5, 37, 80, 500])
-def test_top_words(spark, size):
+def test_top_words(spark, monkeypatch, size, sorted_words):
+    monkeypatch.setattr("newsloom.operators.vocabulary.SORTED_WORDS", sorted_words)
     counts = [(f"w{i:03d}", 1 + (200 // (i + 1)) if i < 60 else 1) for i in range(120)]
     df = spark.createDataFrame(counts, "word string, n long").repartition(5)
     got = sorted((-r.n, r.word) for r in top_words(df, size).collect())

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.text import clean_text
 from newsloom.operators import naive_bayes
 from newsloom.operators.cleaning import clean_articles
+from newsloom.operators.scoring import classify
 from newsloom.plans import jobs
 from newsloom.plans.queries import documents
 from newsloom.sources import files
@@ -51,3 +52,20 @@ def test_hot_folder_is_split(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "p" / "source=hot").glob("*.parquet"))) > 2
+
+
+def test_bucketed_articles_are_classified_without_a_shuffle(spark, small, tmp_path):
+    _, _, model = jobs.train_on_articles(documents(spark, small))
+    rows = documents(spark, small).select("id", "text")
+    table = files.save_bucketed(rows, "bucketed_articles", str(tmp_path / "b"), 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        results = classify(table, model)
+        text = plan(results)
+        got = results.select("id", "predicted_category", "confidence").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning" not in text
+    wanted = classify(rows, model).select("id", "predicted_category", "confidence").collect()
+    assert sorted(got) == sorted(wanted) and len(got) == 200
+    spark.sql("DROP TABLE bucketed_articles")
