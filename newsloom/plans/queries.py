@@ -481,7 +481,7 @@ def confusion_long(spark, folder):
     return metrics.confusion_matrix(*_predicted(spark, folder))
 
 
-CELLS = ", ".join(f"count_if(predicted_label_idx = {i}) AS predicted_{i}" for i in range(4))
+CELLS = ", ".join(f"count(*) FILTER (WHERE predicted_label_idx = {i}) AS predicted_{i}" for i in range(4))
 
 
 @query(f"""WITH {sql.predictions(sql.NEWS)} SELECT label_idx AS true_label_idx, {CELLS}
