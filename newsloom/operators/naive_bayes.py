@@ -34,6 +34,7 @@ class BayesModel:
 
     `labels`: category, label_idx, articles, tokens, prior (one row per class).
     `weights`: word, n, weight array<bigint> in label order (one row per word).
+    `hot` and `cold`: the weights that can be broadcast, and the others if any.
     """
 
     path: str
@@ -41,6 +42,8 @@ class BayesModel:
     priors: list[int]
     labels: DataFrame
     weights: DataFrame
+    hot: DataFrame
+    cold: DataFrame | None
 
 
 def _log_units(ratio: Column) -> Column:
@@ -115,7 +118,8 @@ def load(spark: SparkSession, path: str) -> BayesModel:
 
 
 def _model(path: str, labels: DataFrame, rows: list, weights: DataFrame) -> BayesModel:
-    return BayesModel(path, [r.category for r in rows], [r.prior for r in rows], labels, weights)
+    hot, cold = _hot_and_cold(weights, len(rows))
+    return BayesModel(path, [r.category for r in rows], [r.prior for r in rows], labels, weights, hot, cold)
 
 
 def _label_rows(labels: DataFrame) -> list:
@@ -131,10 +135,10 @@ def score(articles: DataFrame, model: BayesModel, id_col: str = "id", cleaned: s
     """
     places = range(len(model.categories))
     tokens = articles.select(F.col(id_col).alias("id"), F.explode_outer(word_tokens(cleaned)).alias("word"))
-    hot, cold = _hot_and_cold(model)
-    found = tokens.join(hot.select("word", "weight"), "word", "left").select("id", "weight")
-    if cold is not None:
-        found = found.unionByName(_cold_tokens(tokens, cold))
+    hot = F.broadcast(model.hot.select("word", "weight"))
+    found = tokens.join(hot, "word", "left").select("id", "weight")
+    if model.cold is not None:
+        found = found.unionByName(_cold_tokens(tokens, model.cold))
     sums = found.groupBy("id").agg(*[F.sum(F.get("weight", F.lit(i))).alias(f"s{i}") for i in places])
     scores = F.array(
         *[F.lit(model.priors[i]).cast("long") + F.coalesce(F.col(f"s{i}"), F.lit(0)) for i in places]
@@ -142,23 +146,22 @@ def score(articles: DataFrame, model: BayesModel, id_col: str = "id", cleaned: s
     return sums.select("id", scores.alias("scores"))
 
 
-def _hot_and_cold(model: BayesModel) -> tuple[DataFrame, DataFrame | None]:
+def _hot_and_cold(weights: DataFrame, classes: int) -> tuple[DataFrame, DataFrame | None]:
     """Split the weight table into a part small enough to broadcast and the rest.
 
     The whole table counts as hot when its measured size allows; otherwise the
     most frequent words of ordinary length do, which bounds rows and bytes.
     """
-    row_bytes = 48 + 8 * len(model.categories)
-    size = model.weights.agg(
+    row_bytes = 48 + 8 * classes
+    size = weights.agg(
         F.count("*").alias("words"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")
     ).first()
     if size.bytes + size.words * row_bytes <= BROADCAST_BYTES:
-        return F.broadcast(model.weights), None
+        return weights, None
     room = max(1, min(HOT_WORDS, BROADCAST_BYTES // (row_bytes + HOT_WORD_BYTES)))
-    short = model.weights.filter(F.octet_length("word") <= HOT_WORD_BYTES)
+    short = weights.filter(F.octet_length("word") <= HOT_WORD_BYTES)
     hot = stage(top_words(short, room), "hot-weights")
-    cold = model.weights.join(F.broadcast(hot.select("word")), "word", "left_anti")
-    return F.broadcast(hot), cold
+    return hot, weights.join(F.broadcast(hot.select("word")), "word", "left_anti")
 
 
 def _cold_tokens(tokens: DataFrame, cold: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def ingest(
     spark: SparkSession, articles_path: str, dataset: str, out: str, count: int | None = None, **columns: str
 ) -> str:
     """A Parquet table of texts and codes to JSON Lines of raw records."""
-    articles = files._need(spark.read.parquet, articles_path, "check the path")
+    articles = files.need(spark.read.parquet, articles_path, "check the path")
     files.write_jsonl(raw_records(articles, dataset, count, **columns), out)
     return out
 
@@ -118,7 +118,7 @@ def train(
 
 
 def load_model(spark: SparkSession, model_dir: str) -> naive_bayes.BayesModel:
-    return files._need(lambda path: naive_bayes.load(spark, path), f"{model_dir}/bayes", "run the train job first")
+    return files.need(lambda path: naive_bayes.load(spark, path), f"{model_dir}/bayes", "run the train job first")
 
 
 def evaluate(

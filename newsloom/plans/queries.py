@@ -212,9 +212,10 @@ def ingest_without_fields(spark, folder):
     return raw_records(ids, "newswire").drop("timestamp")
 
 
-@query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 12000")
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
+  FROM orders ORDER BY o_orderkey LIMIT 12000""")
 def first_n_rows(spark, folder):
-    return first_n(table(spark, folder, "orders"), 12_000, "o_orderkey")
+    return first_n(table(spark, folder, "orders").drop("o_orderdate"), 12_000, "o_orderkey")
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders")
@@ -238,7 +239,8 @@ def null_timestamp_filter(spark, folder):
     return cleaning.null_timestamps(_timed(spark, folder)).select("event_id")
 
 
-@query("""SELECT count(*) AS records, count_if(event_id % 8 > 2) AS null_timestamps, count_if(event_id % 3 = 0) AS null_ids
+@query("""SELECT count(*) AS records, count(*) FILTER (WHERE event_id % 8 > 2) AS null_timestamps,
+  count(*) FILTER (WHERE event_id % 3 = 0) AS null_ids
   FROM events""")
 def quality_counts(spark, folder):
     rows = _timed(spark, folder).withColumn("id", F.when(F.col("event_id") % 3 != 0, F.col("event_id")))
@@ -434,8 +436,8 @@ def probability_map_rows(spark, folder):
 
 
 @query(f"""WITH {sql.predictions(sql.NEWS)} SELECT count(*) AS rows,
-  count_if(true_label_idx = predicted_label_idx) AS correct,
-  {sql.fixed("count_if(true_label_idx = predicted_label_idx) / CAST(count(*) AS DOUBLE)")} AS accuracy FROM preds""")
+  count(*) FILTER (WHERE true_label_idx = predicted_label_idx) AS correct,
+  {sql.fixed("avg(CASE WHEN true_label_idx = predicted_label_idx THEN 1.0 ELSE 0 END)")} AS accuracy FROM preds""")
 def accuracy(spark, folder):
     return metrics.accuracy(_predicted(spark, folder)[0]).withColumn("accuracy", fixed(F.col("accuracy")))
 
@@ -445,7 +447,8 @@ def misclassified_rows(spark, folder):
     return metrics.misclassified(_predicted(spark, folder)[0])
 
 
-@query(f"WITH {sql.predictions(sql.NEWS)} SELECT count_if(true_label_idx <> predicted_label_idx) AS errors FROM preds")
+@query(f"""WITH {sql.predictions(sql.NEWS)} SELECT
+  count(*) FILTER (WHERE true_label_idx <> predicted_label_idx) AS errors FROM preds""")
 def error_count(spark, folder):
     return metrics.error_count(_predicted(spark, folder)[0])
 

@@ -24,7 +24,7 @@ class MissingInput(Exception):
     """An input path is absent or holds no data."""
 
 
-def _need(df_of_path, path: str, hint: str) -> DataFrame:
+def need(df_of_path, path: str, hint: str) -> DataFrame:
     try:
         return df_of_path(path)
     except AnalysisException as error:
@@ -40,7 +40,7 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """Raw records. A malformed line gives a row of NULLs, a bad field a NULL."""
-    return _need(spark.read.schema(RAW).json, path, "run the ingest job first")
+    return need(spark.read.schema(RAW).json, path, "run the ingest job first")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
@@ -78,7 +78,7 @@ def folder_values(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 
 def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
     """Cleaned articles in schema order; folder values stay strings."""
-    df = _need(spark.read.schema(CLEANED).parquet, path, "run the process job first")
+    df = need(spark.read.schema(CLEANED).parquet, path, "run the process job first")
     return df.select(*CLEANED.fieldNames())
 
 
@@ -92,7 +92,7 @@ def write_label_map(labels: DataFrame, path: str) -> None:
 
 
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
-    return _need(spark.read.schema(LABEL_MAP).parquet, path, "run the train job first")
+    return need(spark.read.schema(LABEL_MAP).parquet, path, "run the train job first")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -114,7 +114,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     read one file by many tasks.
     """
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    return _need(reader.csv, path, "check the path")
+    return need(reader.csv, path, "check the path")
 
 
 def drop_missing(df: DataFrame, column: str = "text") -> DataFrame:
@@ -132,7 +132,7 @@ def read_csv_articles(spark: SparkSession, path: str, multi_line: bool = True) -
 
 def read_txt_articles(spark: SparkSession, path: str) -> DataFrame:
     """`(id, text)`, one article per line, numbered in file order."""
-    lines = _need(spark.read.text, path, "check the path").withColumnRenamed("value", "text")
+    lines = need(spark.read.text, path, "check the path").withColumnRenamed("value", "text")
     return _numbered(lines.filter(has_ascii_content("text")), strip)
 
 

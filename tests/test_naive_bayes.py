@@ -64,9 +64,9 @@ def test_long_tail_by_salted_join_gives_the_same(spark, monkeypatch):
     model = nb.fit(train, labels, vocabulary_size=None)
     whole = {r.id: r.scores for r in nb.score(items, model).collect()}
     monkeypatch.setattr(nb, "BROADCAST_BYTES", 3 * (48 + 8 * 3 + nb.HOT_WORD_BYTES))
-    hot, cold = nb._hot_and_cold(model)
-    assert hot.count() == 3 and cold.count() == model.weights.count() - 3
-    parts = nb.score(items, model)
+    split = nb.load(spark, model.path)
+    assert split.hot.count() == 3 and split.cold.count() == model.weights.count() - 3
+    parts = nb.score(items, split)
     assert "salt" in parts._jdf.queryExecution().optimizedPlan().toString()
     assert {r.id: r.scores for r in parts.collect()} == whole
 
