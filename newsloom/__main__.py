@@ -5,6 +5,9 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import functions as F
+
+from newsloom.functions.scores import fixed4
 from newsloom.operators.pipeline import Candidate
 from newsloom.operators.scoring import classify_texts
 from newsloom.plans import jobs
@@ -51,6 +54,7 @@ def parser() -> argparse.ArgumentParser:
     texts = todo.add_parser("texts", help="articles given on the command line")
     texts.add_argument("model")
     texts.add_argument("text", nargs="+")
+    texts.add_argument("--least", type=int, default=0, help="refuse texts with fewer characters")
     return top
 
 
@@ -85,8 +89,9 @@ def run(spark, args) -> None:
         found = jobs.classify_file(spark, args.file, args.model, args.threshold, args.most, args.results)
         found.distribution.show(200, truncate=False)
     else:
-        results = classify_texts(spark, args.text, jobs.load_model(spark, args.model))
-        results.drop("id").show(len(args.text), truncate=False)
+        results = classify_texts(spark, args.text, jobs.load_model(spark, args.model), args.least)
+        shown = results.select("text", "predicted_category", fixed4(F.col("confidence")).alias("confidence"))
+        shown.show(len(args.text), truncate=False)
 
 
 if __name__ == "__main__":

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import argmax, confidence, name_of, probability_map, softmax, with_value
-from newsloom.functions.text import clean_text, is_blank
+from newsloom.functions.text import clean_text, is_blank, is_long_enough
 from newsloom.operators import naive_bayes
 from newsloom.operators.naive_bayes import UNIT, BayesModel
 
@@ -48,7 +48,7 @@ def evaluate_rows(validation: DataFrame, model: BayesModel) -> DataFrame:
     )
 
 
-def classify(articles: DataFrame, model: BayesModel) -> DataFrame:
+def classify(articles: DataFrame, model: BayesModel, missing: str = "Unknown") -> DataFrame:
     """Results for raw `(id, text)` rows.
 
     Blank text keeps its row as `Invalid/Empty` with confidence 0 and an empty
@@ -56,22 +56,30 @@ def classify(articles: DataFrame, model: BayesModel) -> DataFrame:
     """
     usable = articles.filter(~is_blank("text")).select("id", clean_text("text").alias("cleaned_text"))
     scored = probabilities(naive_bayes.score(usable, model))
-    return as_results(articles.join(scored, "id", "left"), F.col("probabilities"), model.categories)
+    joined = articles.join(scored, "id", "left")
+    return as_results(joined, F.col("probabilities"), model.categories, missing)
 
 
-def classify_texts(spark: SparkSession, texts: Sequence[str | None], model: BayesModel) -> DataFrame:
-    """Results for texts typed in by hand, in the order given."""
+def classify_texts(
+    spark: SparkSession, texts: Sequence[str | None], model: BayesModel, least: int = 0
+) -> DataFrame:
+    """Results for texts typed in by hand, in the order given.
+
+    Texts of fewer than `least` characters are refused and give no row.
+    """
     rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    return classify(rows, model).orderBy("id")
+    if least:
+        rows = rows.filter(is_long_enough("text", least))
+    return classify(rows, model, "Unknown Category").orderBy("id")
 
 
-def as_results(df: DataFrame, probs: Column, names: Sequence[str]) -> DataFrame:
+def as_results(df: DataFrame, probs: Column, names: Sequence[str], missing: str = "Unknown") -> DataFrame:
     """`(id, text, predicted_category, confidence, raw_probabilities)`."""
     blank = is_blank("text")
     return df.select(
         "id",
         "text",
-        F.when(blank, INVALID).otherwise(name_of(argmax(probs), names)).alias("predicted_category"),
+        F.when(blank, INVALID).otherwise(name_of(argmax(probs), names, missing)).alias("predicted_category"),
         F.when(blank, 0.0).otherwise(confidence(probs)).alias("confidence"),
         F.when(blank, F.create_map().cast(NO_PROBABILITIES))
         .otherwise(probability_map(probs, names))

@@ -84,6 +84,11 @@ def test_classify(spark, model):
     assert set(got[4].raw_probabilities) == {"Sports", "Business"}
 
 
+def test_short_texts_can_be_refused(spark, model):
+    got = scoring.classify_texts(spark, ["goal", None, "  goal goal  "], model, least=9).collect()
+    assert [r.text for r in got] == ["  goal goal  "]
+
+
 def test_classify_nothing_keeps_the_schema(spark, model):
     got = scoring.classify_texts(spark, [], model)
     assert got.count() == 0
