@@ -66,16 +66,14 @@ def fit(
 
     totals = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-totals")
     vocabulary = top_words(totals, vocabulary_size)
-    kept = counts
+    marked = counts.withColumn("known", F.lit(True))
     if vocabulary is not totals:
         vocabulary = stage(vocabulary, "vocabulary")
-        kept = counts.join(vocabulary.select("word"), "word", "left_semi")
+        marked = counts.join(vocabulary.select("word", F.lit(True).alias("known")), "word", "left")
     size = vocabulary.count()
-
-    per_label = (
-        counts.groupBy("label_idx")
-        .agg(F.sum("first_words").alias("articles"))
-        .join(kept.groupBy("label_idx").agg(F.sum("n").alias("tokens")), "label_idx", "left")
+    kept = marked.filter("known")
+    per_label = marked.groupBy("label_idx").agg(
+        F.sum("first_words").alias("articles"), F.sum(F.when(F.col("known"), F.col("n"))).alias("tokens")
     )
     everything = F.sum("articles").over(Window.partitionBy())
     label_table = (

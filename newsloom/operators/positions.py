@@ -108,6 +108,6 @@ def first_n(df: DataFrame, n: int | None, key: str = "id") -> DataFrame:
     if not n:
         return df
     if n <= SMALL_LIMIT:
-        return df.orderBy(key).limit(n)
+        return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
     last = nth_smallest(df, key, n)
     return df if last is None else df.filter(F.col(key) <= F.lit(last))
