@@ -3,12 +3,14 @@
 import pytest
 from check import differences
 
-from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, STATEMENTS = queries(), oracle_sql()
+import __spark_entry__
+from newsloom.plans.queries import ORACLES as STATEMENTS
+from newsloom.plans.queries import QUERIES
 
 
 def test_names_agree():
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert set(STATEMENTS) <= set(QUERIES)
     assert set(QUERIES) - set(STATEMENTS) == {"ml_predictions", "model_selection"}
 
@@ -24,4 +26,4 @@ def test_rows(spark, small, name):
 
 
 def test_entry(spark):
-    assert entry(spark).count() > 0
+    assert __spark_entry__.entry(spark).count() > 0
