@@ -1,10 +1,11 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A text is cut into segments of a fixed number of words. A segment's vector is
-the average of the embeddings of its character n-grams, and a linear softmax
-turns it into a logit; the text takes its most toxic segment, so a long text is
-judged by its worst passage and not by its length. Misspellings that were never
-seen share most n-grams with the word they come from.
+A text is cut into segments of a few words. A segment's vector is the average of
+the embeddings of its character n-grams (and of a few zeros, so that very short
+segments weigh less), and a linear softmax turns it into a logit; the text takes
+its most toxic segment, so a long text is judged by its worst passage and not by
+its length. Misspellings that were never seen share most n-grams with the word
+they come from.
 """
 
 from __future__ import annotations
@@ -23,9 +24,13 @@ from newsloom.llm.ngrams import SPACE, grams, letter_codes
 BITS = 17
 SIZES = (3, 4, 5)
 DIMENSIONS = 8
-SEGMENT_WORDS = 16
+SEGMENT_WORDS = 2
+#: Zero vectors that every average includes.
+ZEROS = 10
+#: N-grams of fewer sampled texts than this are not learned.
+LEAST_TEXTS = 3
 #: Labelled rows per class that train the model; the only bound on what is learned from.
-SAMPLE_PER_CLASS = 1500
+SAMPLE_PER_CLASS = 2500
 EPOCHS = 6
 RATE = 0.5
 THRESHOLD = 0.3
@@ -56,7 +61,7 @@ def bag(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
 
 def segment_logits(ids: np.ndarray, starts: np.ndarray, parts: np.ndarray, bias: float) -> np.ndarray:
     sizes = np.diff(np.append(starts, len(ids)))
-    return np.add.reduceat(parts[ids], starts) / sizes + bias
+    return np.add.reduceat(parts[ids], starts) / (sizes + ZEROS) + bias
 
 
 def text_logit(text: str | None, model: ToxicityModel) -> float:
@@ -73,41 +78,47 @@ def sigmoid(x: float | np.ndarray) -> float | np.ndarray:
 def train(texts: list[str], labels: np.ndarray, bits: int = BITS, epochs: int = EPOCHS) -> ToxicityModel:
     """Embeddings and output weights by stochastic steps with per-coordinate rates.
 
-    Each step takes one text: at first all its segments, later the most toxic one.
+    Each step takes one text: in the first round a segment at random, then the most toxic one.
     """
-    bags = [bag(t, bits) for t in texts]
     rng = np.random.default_rng(3)
     size = 1 << bits
-    vectors = rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32)
+    bags = []
+    texts_with = np.zeros(size, dtype=np.int64)
+    for text in texts:
+        ids, starts = bag(text, bits)
+        texts_with[np.unique(ids)] += 1
+        bags.append((ids.astype(np.int32), starts, np.diff(np.append(starts, len(ids)))))
+    known = texts_with >= LEAST_TEXTS
+    vectors = rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32) * known[:, None]
     out = rng.normal(0, 0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
-    seen_v, seen_o = np.full((size, DIMENSIONS), 1e-3, dtype=np.float32), np.full((DIMENSIONS, 2), 1e-3, dtype=np.float32)
-    seen_b = np.full(2, 1e-3, dtype=np.float32)
+    seen_v, seen_o, seen_b = (np.full_like(x, 1e-3) for x in (vectors, out, bias))
     for epoch in range(epochs):
         for i in rng.permutation(len(bags)):
-            ids, starts = bags[i]
+            ids, starts, sizes = bags[i]
             if not len(ids):
                 continue
             if epoch:
-                sizes = np.diff(np.append(starts, len(ids)))
-                means = np.add.reduceat(vectors[ids] @ (out[:, 1] - out[:, 0]), starts) / sizes
-                worst = int(means.argmax())
-                ids = ids[starts[worst] : starts[worst] + sizes[worst]]
-            middle = vectors[ids].mean(axis=0)
+                totals = np.add.reduceat(vectors[ids] @ (out[:, 1] - out[:, 0]), starts)
+                worst = int((totals / (sizes + ZEROS)).argmax())
+            else:
+                worst = int(rng.integers(len(starts)))
+            part = ids[starts[worst] : starts[worst] + sizes[worst]]
+            terms = len(part) + ZEROS
+            part, times = np.unique(part[known[part]], return_counts=True)
+            middle = times @ vectors[part] / terms
             logits = middle @ out + bias
             error = np.exp(logits - logits.max())
             error /= error.sum()
             error[labels[i]] -= 1.0
             slope_o = np.outer(middle, error)
-            slope_v = (out @ error) / len(ids)
+            slope_v = times[:, None] * (out @ error)[None, :] / terms
             seen_o += slope_o**2
             out -= 0.1 * RATE * slope_o / np.sqrt(seen_o)
             seen_b += error**2
             bias -= 0.1 * RATE * error / np.sqrt(seen_b)
-            places, times = np.unique(ids, return_counts=True)
-            step = times[:, None] * slope_v[None, :]
-            seen_v[places] += step**2
-            vectors[places] -= RATE * step / np.sqrt(seen_v[places])
+            seen_v[part] += slope_v**2
+            vectors[part] -= RATE * slope_v / np.sqrt(seen_v[part])
     return ToxicityModel(vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]))
 
 
