@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import chat, language, minhash, packing, toxicity, warc
+from newsloom.llm import chat, decontamination, fingerprints, language, minhash, packing, pii, pseudo_likelihood, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,6 +33,13 @@ def share(key: str, parts: int):
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts))
 
 
+@query()
+def op1_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.flag(docs, table(spark, folder, "benchmark"))
+    return found.select("doc_id", "contaminated", "leaked_items", "coverage")
+
+
 OWN = "</s>[INST] ok [/INST]"
 
 CHAT_SQL = r"""
@@ -65,6 +72,22 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns)).drop("valid")
 
 
+@query()
+def op3_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
+
+
+@query()
+def op4_pii_sanitise(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.annotate(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    counts = [pii.count(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans")
+    )
+
+
 @query()
 def op5_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = minhash.near_duplicates(
@@ -73,6 +96,11 @@ def op5_minhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+@query()
+def op6_bottom_k_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
 WARC_SQL = """
 WITH sized AS (
   SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
