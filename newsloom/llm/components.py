@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,32 +15,21 @@ MOST_ROUNDS = 60
 def components(links: DataFrame) -> DataFrame:
     """`(node, component)` for every node of undirected `(a, b)` links; the component is its smallest node.
 
-    Each round gives every node the smallest of itself and its neighbours,
-    follows these pointers twice, and contracts the links to what they point to, so a
-    component shrinks by a factor each round and a star of any size in one. A
-    node with very many links only ever meets them in a minimum, which partial
-    aggregation takes before the shuffle. Each round is written to the shared
-    folder. Self-links and repeated links change nothing.
+    Each round points every node to the smallest of itself and its neighbours and
+    contracts the links to what they point to, so a star of any size is one node
+    after a round, and a component shrinks by a factor each time. A node with very
+    many links only meets them in a minimum, which partial aggregation takes before the
+    shuffle. Links and pointers of a round are written to the shared folder; at
+    the end pointers are followed through all rounds. Self-links and repeated
+    links change nothing.
     """
     edges = stage(_both_ways(links), "component-edges")
-    nodes = stage(edges.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")), "component-nodes")
+    first, steps = edges.select(F.col("a").alias("node")).distinct(), []
     for _ in range(MOST_ROUNDS):
         if edges.isEmpty():
-            return nodes
-        nearest = stage(
-            edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")), "component-roots"
-        )
-        onward = nearest.select(F.col("a").alias("root"), F.col("root").alias("further"))
-        roots = stage(
-            nearest.join(onward, "root", "left").select("a", F.coalesce("further", "root").alias("root")),
-            "component-roots",
-        )
-        nodes = stage(
-            nodes.join(roots.withColumnRenamed("a", "component"), "component", "left").select(
-                "node", F.coalesce("root", "component").alias("component")
-            ),
-            "component-nodes",
-        )
+            return reduce(_follow, steps, first.withColumn("component", F.col("node")))
+        roots = stage(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")), "component-roots")
+        steps.append(roots)
         moved = (
             edges.filter("a < b")
             .join(roots, "a")
@@ -50,6 +41,31 @@ def components(links: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _follow(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    moved = nodes.join(roots.withColumnRenamed("a", "component"), "component", "left")
+    return moved.select("node", F.coalesce("root", "component").alias("component"))
+
+
 def _both_ways(links: DataFrame) -> DataFrame:
     once = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    return once.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
+    ways = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return once.select(F.explode(ways).alias("way")).select("way.*")
+
+
+def joined(groups: DataFrame | None, links: DataFrame) -> DataFrame:
+    """`groups`, a `(node, component)` table or None, with components that new links connect made one."""
+    if groups is None:
+        return stage(components(links), "component-groups")
+    ends = F.array(F.struct(F.col("a").alias("node")), F.struct(F.col("b").alias("node")))
+    known = groups.unionByName(
+        links.select(F.explode(ends).alias("end")).select("end.node").distinct()
+        .join(groups, "node", "left_anti").withColumn("component", F.col("node"))
+    )
+    known = stage(known, "component-known")
+    between = (
+        links.join(known.toDF("a", "left"), "a").join(known.toDF("b", "right"), "b")
+        .select(F.col("left").alias("a"), F.col("right").alias("b"))
+    )
+    higher = components(between).toDF("component", "root")
+    merged = known.join(higher, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return stage(merged, "component-groups")

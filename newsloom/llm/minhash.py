@@ -10,10 +10,11 @@ them, and the long lists of common passages are skipped. Collisions of the
 pairs that meet are counted on whole signatures, and links are confirmed on the
 full shingle sets.
 
-No list is ever expanded as long as a link could still be implied: in every
-list, each text is first paired with one member only, another one in each list,
-and rounds of "best pair between two components" merge what can be merged.
-Only pairs across components that are left after that are made out in full.
+No list is expanded as long as a link could still be implied: in every list,
+each text is first paired with one member only, another one in each list, and
+rounds of "best pair between two components" merge what can be merged. Only
+pairs across components that are left after that, and whose shingles shared
+with anyone allow a link, are made out in full.
 """
 
 from __future__ import annotations
@@ -27,16 +28,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.components import components
+from newsloom.llm.components import joined
 from newsloom.staging import stage
 
 COORDINATES = 40
 MATCHES = 20
 SEED = 11
 #: Rounds of best pairs before all open pairs are tested; a number of rounds, not a bound on pairs.
-ROUNDS = 6
+ROUNDS = 1
 
-SIGNATURES = "id long, n_shingles long, set_key string, signature array<int>"
+SIGNATURES = "id long, text_hash long, n_shingles long, set_key string, signature array<int>"
 
 
 @dataclass(frozen=True)
@@ -85,14 +86,15 @@ def signature(hashes: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
 def _signature_rows(size: int, coordinates: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            ids, counts, keys, signs = batch.column(0), [], [], []
-            for text in batch.column(1).to_pylist():
+            counts, keys, signs = [], [], []
+            for text in batch.column(2).to_pylist():
                 found = shingles(text, size)
                 counts.append(len(found))
                 keys.append(xxhash.xxh3_128_hexdigest(found.tobytes()) if len(found) else None)
                 signs.append(signature(found, coordinates).tolist() if len(found) else None)
-            arrays = [ids, pa.array(counts, pa.int64()), pa.array(keys, pa.string()), pa.array(signs, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_shingles", "set_key", "signature"])
+            made = [pa.array(counts, pa.int64()), pa.array(keys, pa.string()), pa.array(signs, pa.list_(pa.int32()))]
+            names = ["id", "text_hash", "n_shingles", "set_key", "signature"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=names)
 
     return run
 
@@ -100,24 +102,27 @@ def _signature_rows(size: int, coordinates: int):
 def _set_rows(size: int):
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            sets = [shingles(text, size).view(np.int64) for text in batch.column(1).to_pylist()]
+            sets = [shingles(text, size).view(np.int64) for text in batch.column(0).to_pylist()]
             keys = [xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets]
-            arrays = [batch.column(0), pa.array(keys, pa.string()), pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "set_key", "shingles"])
+            arrays = [pa.array(keys, pa.string()), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["set_key", "shingles"])
 
     return run
 
 
 def _prefixes(texts: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """`(coordinate, value, node)`: the postings of every text's prefix that other texts can meet."""
+    """`(coordinate, value, node, shared)`: the postings of every text's prefix that other texts can meet.
+
+    `shared` tells how many of the text's coordinates are shared with any other text.
+    """
     postings = texts.select("node", F.posexplode("signature").alias("coordinate", "value"))
     lengths = postings.groupBy("coordinate", "value").agg(F.count("*").alias("n")).filter("n > 1")
     shared = postings.join(lengths, ["coordinate", "value"])
     # Values of one text alone come first in the order, so they take up places of the prefix.
     own = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "coordinate", "value"))).alias("lists"))
     room = F.greatest(F.lit(0), F.lit(coordinates - matches + 1) - (F.lit(coordinates) - F.size("lists")))
-    kept = own.select("node", F.explode(F.slice("lists", F.lit(1), room)).alias("list"))
-    return kept.select("list.coordinate", "list.value", "node")
+    kept = own.select("node", F.size("lists").alias("shared"), F.explode(F.slice("lists", F.lit(1), room)).alias("list"))
+    return kept.select("list.coordinate", "list.value", "node", "shared")
 
 
 def _agreements(a: Column, b: Column) -> Column:
@@ -135,12 +140,20 @@ def _possible(pairs: DataFrame, texts: DataFrame, matches: int, percent: int) ->
     return counted.filter(F.col("agreements") >= matches)
 
 
+def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """`(a, b, common, size_a, size_b)`: what the full shingle sets of pairs have in common."""
+    both = pairs.select("a", "b").join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    sizes = [F.size(f"set_{side}").cast("long").alias(f"size_{side}") for side in "ab"]
+    return both.select("a", "b", F.size(F.array_intersect("set_a", "set_b")).cast("long").alias("common"), *sizes)
+
+
+def _alike(percent: int) -> Column:
+    return F.col("common") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("common")) * percent
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are alike enough."""
-    both = pairs.select("a", "b").join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    counted = both.select("a", "b", common.alias("common"), (F.size("set_a") + F.size("set_b") - common).alias("union"))
-    return counted.filter(F.col("common") * 100 >= F.col("union") * percent).select("a", "b")
+    return _common(pairs, sets).filter(_alike(percent)).select("a", "b")
 
 
 def _across(pairs: DataFrame, groups: DataFrame | None) -> DataFrame:
@@ -162,29 +175,32 @@ def near_duplicates(
     coordinates: int = COORDINATES,
     matches: int = MATCHES,
 ) -> DataFrame:
-    """`(id, n_shingles, set_key, component_id, kept)`, one row per row of `docs`.
+    """`(id, text_hash, n_shingles, set_key, component_id, kept)`, one row per row of `docs`.
 
     Rows are linked when their shingle sets have at least `likeness.percent` of
     their union in common; components are taken over all links. `component_id` is
     the smallest id that can be reached, `kept` marks the row with that id. NULL
-    and empty texts are linked with nothing. Rows with equal sets are one node
-    from the start, so copies are never paired. Rows that repeat an id are equal
-    members of their groups. A NULL id is never the smallest unless all are NULL;
-    then, and for a NULL id without links, the row is kept. Only the two named
-    columns are read.
+    and empty texts are linked with nothing and kept. Rows with equal sets are one
+    node from the start, so copies are never paired. NULL ids come after all others;
+    of rows that share the smallest id, those with the smallest text hash are
+    kept. Rows equal in both columns are marked alike. Only the two named columns are read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
     signed = stage(rows.mapInArrow(_signature_rows(likeness.size, coordinates), SIGNATURES), "minhash-signatures")
     # One node per distinct set, numbered as it is written: ids may be NULL or repeated.
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
     found = signed.filter("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
+        F.min(first).alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")
     )
     texts = stage(found.withColumn("node", F.monotonically_increasing_id()), "minhash-texts")
     lists = stage(_prefixes(texts, coordinates, matches), "minhash-lists")
 
     key = ["coordinate", "value"]
     heads = lists.groupBy(*key).agg(
-        F.min_by("node", F.xxhash64("node", "coordinate")).alias("head"), F.count("*").alias("n")
+        # The texts that share most lie in the middle of a group: most others are linked with one of them.
+        F.min_by("node", F.struct(-F.floor(F.col("shared") / 4), F.xxhash64("node", "coordinate"))).alias("head"),
+        F.count("*").alias("n"),
     )
     stars = (
         lists.join(heads.filter("n > 1").drop("n"), key)
@@ -196,9 +212,8 @@ def near_duplicates(
 
     sets = stage(_sets(rows, texts.join(_ends(open_pairs), "node", "left_semi"), likeness.size), "minhash-sets")
 
-    links: DataFrame | None = None
     groups: DataFrame | None = None
-    tested: DataFrame | None = None
+    tested = open_pairs.select("a", "b").limit(0)
     for _ in range(ROUNDS):
         crossing = _across(open_pairs, groups)
         between = [F.least("group_a", "group_b"), F.greatest("group_a", "group_b")]
@@ -216,57 +231,124 @@ def near_duplicates(
         tried = stage(best.select("pair.*").distinct(), "minhash-tried")
         if tried.isEmpty():
             break
-        tested = tried if tested is None else tested.unionByName(tried)
+        tested = tested.unionByName(tried)
         new = stage(_confirmed(tried, sets, likeness.percent), "minhash-links")
         open_pairs = stage(open_pairs.join(tried, ["a", "b"], "left_anti"), "minhash-open")
-        links = new if links is None else links.unionByName(new)
-        groups = components(links)
-
-    # What is left: pairs of one list in different components that were not tested yet.
-    placed = lists.join(heads.filter("n > 1").select(*key), key, "left_semi")
-    if groups is not None:
-        placed = placed.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    else:
-        placed = placed.withColumn("component", F.col("node"))
-    mixed = placed.groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.filter("low <> high").select(*key)
-    rest = stage(
-        placed.join(mixed, key, "left_semi").join(texts.select("node", "n_shingles"), "node"), "minhash-rest"
-    )
+        if not new.isEmpty():
+            groups = joined(groups, new)
+
+    # What is left: pairs of one list in different components that were not tested yet. Texts that
+    # share most of their shingles are the middle of a group; pairs with them come before all others.
+    lists = stage(lists.join(heads.filter("n > 1").select(*key), key, "left_semi").drop("shared"), "minhash-lists")
+    open_lists = _several(lists, groups)
+    sets = _with_sets(sets, rows, texts, open_lists.select("node").distinct(), likeness.size)
+    linkable = stage(_linkable(open_lists, sets, likeness.percent), "minhash-linkable")
+    lists = stage(lists.join(linkable, "node"), "minhash-lists")
+    rest = _several(lists, groups)
+    most = F.max_by("node", F.struct(F.col("shared") / F.col("n_shingles"), F.xxhash64("node")))
+    middles = stage(rest.groupBy(*key).agg(most.alias("middle")), "minhash-middles")
+    pairs = rest.join(middles, key).select(F.col("node").alias("a"), F.col("middle").alias("b")).distinct()
+    common = stage(_common(pairs, sets), "minhash-common")
+    new = stage(common.filter("a <> b").filter(_alike(likeness.percent)).select("a", "b"), "minhash-links")
+    if not new.isEmpty():
+        groups = joined(groups, new)
+        rest = _several(lists, groups)
+
+    # Two texts have no more in common than, of the middle's shingles, the smaller share, and of their
+    # other shared ones the smaller number.
+    with_middle = common.select(F.col("a").alias("node"), F.col("b").alias("middle"), F.col("common").alias("inner"))
+    rest = rest.join(middles, key).join(with_middle, ["node", "middle"]).withColumn("outer", F.col("shared") - F.col("inner"))
+    rest = stage(rest, "minhash-rest")
     one, two = rest.alias("one"), rest.alias("two")
-    sizes = F.least("one.n_shingles", "two.n_shingles") * 100 >= F.greatest(
-        "one.n_shingles", "two.n_shingles"
-    ) * likeness.percent
+    most = F.least("one.inner", "two.inner") + F.least("one.outer", "two.outer")
+    bound = most * 100 >= (F.col("one.n_shingles") + F.col("two.n_shingles") - most) * likeness.percent
     crossing = (
         one.join(two, key)
-        .filter((F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component")) & sizes)
+        .filter((F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component")) & bound)
         .select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
         .distinct()
     )
-    crossing = stage(_possible(crossing, texts, matches, likeness.percent), "minhash-crossing")
-    crossing = crossing.join(tested, ["a", "b"], "left_anti") if tested is not None else crossing
-    crossing = stage(crossing, "minhash-crossing")
+    crossing = _possible(crossing, texts, matches, likeness.percent)
+    crossing = stage(crossing.join(tested, ["a", "b"], "left_anti"), "minhash-crossing")
     if not crossing.isEmpty():
-        more = texts.join(_ends(crossing).join(sets, "node", "left_anti"), "node", "left_semi")
-        sets = sets.unionByName(stage(_sets(rows, more, likeness.size), "minhash-sets"))
-        last = stage(_confirmed(crossing, sets, likeness.percent), "minhash-links")
-        links = last if links is None else links.unionByName(last)
-        groups = components(links)
+        new = stage(_confirmed(crossing, sets, likeness.percent), "minhash-links")
+        groups = groups if new.isEmpty() else joined(groups, new)
     if groups is None:
         groups = texts.select("node", F.col("node").alias("component"))
 
     named = texts.join(groups, "node", "left").select(
         "set_key", "least", F.coalesce("component", "node").alias("component")
     )
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_set = stage(named.join(smallest, "component").select("set_key", "component_id"), "minhash-groups")
-    return signed.select("id", "n_shingles", "set_key").join(by_set, "set_key", "left").select(
+    smallest = named.groupBy("component").agg(F.min("least").alias("best"))
+    by_set = stage(named.join(smallest, "component").select("set_key", "best"), "minhash-groups")
+    own = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    return signed.drop("signature").join(by_set, "set_key", "left").select(
         "id",
+        "text_hash",
         "n_shingles",
         "set_key",
-        F.coalesce("component_id", "id").alias("component_id"),
-        F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.col("component_id").isNull()).alias("kept"),
+        F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("component_id"),
+        (F.col("best").isNull() | F.col("best").eqNullSafe(own)).alias("kept"),
+    )
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", likeness: Likeness = Likeness()) -> DataFrame:
+    """One row of each group of near-duplicates, with all columns.
+
+    Rows without words are all kept. Rows equal in id and text are one document: one of them stays.
+    """
+    marked = stage(near_duplicates(docs, id_col, text_col, likeness), "minhash-marked")
+    names = ["_id", "_hash"]
+    dropped = marked.filter("NOT kept").select("id", "text_hash").distinct().toDF(*names)
+    repeated = marked.filter("kept AND set_key IS NOT NULL").groupBy("id", "text_hash").agg(F.count("*").alias("n"))
+    repeated = repeated.filter("n > 1").select("id", "text_hash").toDF(*names)
+    match = F.col("_id").eqNullSafe(F.col(id_col).cast("long")) & (
+        F.col("_hash") == F.xxhash64(F.col(text_col).cast("string"))
     )
+    left = docs.join(stage(dropped, "minhash-dropped"), match, "left_anti")
+    repeated = stage(repeated, "minhash-repeated")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, match, "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(repeated, match, "left_anti").unionByName(once)
+
+
+def _several(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """The written postings of lists that hold more than one component, with each one's component."""
+    key = ["coordinate", "value"]
+    if groups is None:
+        placed = lists.withColumn("component", F.col("node"))
+    else:
+        placed = lists.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = placed.groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return stage(placed.join(several.filter("low <> high").select(*key), key, "left_semi"), "minhash-mixed")
+
+
+def _with_sets(sets: DataFrame, rows: DataFrame, texts: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """`sets` and those of further nodes."""
+    more = texts.join(nodes.join(sets, "node", "left_anti"), "node", "left_semi")
+    return sets.unionByName(stage(_sets(rows, more, size), "minhash-sets"))
+
+
+def _linkable(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """`(node, n_shingles, shared)` of the nodes that may have a link to another one.
+
+    A shingle that no other node has counts against every link: no two nodes have
+    more in common than the smaller of their `shared` counts, and with too many
+    shingles of its own a node is alike to none.
+    """
+    known = sets.join(nodes.select("node").distinct(), "node", "left_semi")
+    alone = (
+        known.select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.count("*").alias("n"), F.min("node").alias("node"))
+        .filter("n = 1")
+        .groupBy("node")
+        .agg(F.count("*").alias("alone"))
+    )
+    counted = known.select("node", F.size("shingles").cast("long").alias("n_shingles")).join(alone, "node", "left")
+    shared = (F.col("n_shingles") - F.coalesce("alone", F.lit(0))).alias("shared")
+    return counted.select("node", "n_shingles", shared).filter(F.col("shared") * 100 >= F.col("n_shingles") * percent)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -275,12 +357,8 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """`(node, shingles)` of the wanted sets, computed again from one text each."""
-    texts = rows.join(wanted.select(F.col("least").alias("id")).distinct(), "id", "left_semi")
-    if not wanted.filter("least IS NULL").isEmpty():
-        texts = texts.unionByName(rows.filter("id IS NULL"))
-    found = texts.mapInArrow(_set_rows(size), "id long, set_key string, shingles array<long>")
-    return (
-        found.join(wanted.select("set_key", "node"), "set_key")
-        .groupBy("node")
-        .agg(F.first("shingles").alias("shingles"))
-    )
+    one = wanted.select("set_key", "node", F.col("least.id").alias("_id"), F.col("least.text_hash").alias("_hash"))
+    match = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash"))
+    texts = rows.join(one, match, "left_semi").select("text")
+    found = texts.mapInArrow(_set_rows(size), "set_key string, shingles array<long>")
+    return found.join(one, "set_key").groupBy("node").agg(F.first("shingles").alias("shingles"))
