@@ -7,13 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the words that the truncating form keeps.
 MAX_TOKENS = 128
 
 
-def word_tokens(cleaned: Column | str, most: int = MAX_TOKENS) -> Column:
-    """The first `most` words of cleaned text (words are parted by one blank)."""
+def word_tokens(cleaned: Column | str, most: int | None = None) -> Column:
+    """The words of cleaned text, which are parted by one blank; the first `most` only when given."""
     cleaned = F.col(cleaned) if isinstance(cleaned, str) else cleaned
-    words = F.slice(F.split(cleaned, " ", most + 1), 1, most)
+    words = F.split(cleaned, " ") if most is None else F.slice(F.split(cleaned, " ", most + 1), 1, most)
     return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(words)
 
 
@@ -76,11 +77,33 @@ def confidence_flag(value: Column, threshold: float = 0.75) -> Column:
     return F.when(value >= F.lit(threshold), "ok").otherwise("below_threshold")
 
 
+def _rounded(value: Column, decimals: int) -> Column:
+    """The binary value itself to so many decimals, an exact tie to the even digit.
+
+    Scaling rounds, so what it loses is computed as well (a product split into
+    halves); only then is it known on which side of a half the value lies.
+    """
+    scale, half_bits = 10.0**decimals, float((1 << 27) + 1)
+
+    def split(x: Column) -> tuple[Column, Column]:
+        high = x * half_bits - (x * half_bits - x)
+        return high, x - high
+
+    size = F.abs(value.cast("double"))
+    product = size * scale
+    (a, b), (c, d) = split(size), split(F.lit(scale))
+    lost = ((a * c - product) + a * d + b * c) + b * d
+    whole = F.floor(product).cast("double")
+    side = (product - (whole + 0.5)) + lost
+    up = (side > 0) | ((side == 0) & (whole % 2 == 1))
+    return F.signum(value.cast("double")) * (whole + F.when(up, 1.0).otherwise(0.0)) / scale
+
+
 def fixed4(value: Column) -> Column:
     """Four decimals, as in a confidence line."""
-    return F.format_string("%.4f", value)
+    return F.format_string("%.4f", _rounded(value, 4))
 
 
 def percent(value: Column, decimals: int = 2) -> Column:
     """A share as a percentage with the given number of decimals."""
-    return F.format_string(f"%.{decimals}f%%", value * 100)
+    return F.format_string(f"%.{decimals}f%%", _rounded(value * 100, decimals))

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.staging import bounded_rows
-
 # The category of each label code, and the name of any other.
 CATEGORIES = {0: "World", 1: "Sports", 2: "Business", 3: "Sci/Tech"}
 NO_CATEGORY = "unknown"
 
-MAX_CLASSES = 10_000
-
 
 def code_to_category(code: Column) -> Column:
-    """Integer code to category name; other codes and NULL become `unknown`."""
-    pairs = [F.lit(v) for item in CATEGORIES.items() for v in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), code.cast("int")), F.lit(NO_CATEGORY))
+    """Whole-number code to category name; any other value and NULL become `unknown`.
+
+    A code counts only if it is a whole number as given: wide, fractional and
+    unreadable ones are no codes.
+    """
+    pairs = [F.lit(v) for k, name in CATEGORIES.items() for v in (float(k), name)]
+    number = code.cast("string").try_cast("double")
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), number), F.lit(NO_CATEGORY))
 
 
 def distinct_categories(df: DataFrame, category: str = "category", id_col: str = "id") -> DataFrame:
@@ -57,5 +58,5 @@ def decode(
 
 def label_names(labels: DataFrame) -> list[str]:
     """Category names in index order; a model holds one score column for each."""
-    rows = bounded_rows(labels.select("label_idx", "category"), MAX_CLASSES)
+    rows = labels.select("label_idx", "category").collect()  # one row per class
     return [r.category for r in sorted(rows, key=lambda r: r.label_idx)]

@@ -24,12 +24,12 @@ def accuracy(predictions: DataFrame) -> DataFrame:
 
 
 def misclassified(predictions: DataFrame) -> DataFrame:
-    """Rows whose prediction is wrong."""
-    return predictions.filter(F.col(TRUE) != F.col(PREDICTED))
+    """Rows whose prediction is wrong; a truth outside the label map always is."""
+    return predictions.filter(~F.col(TRUE).eqNullSafe(F.col(PREDICTED)))
 
 
 def error_count(predictions: DataFrame) -> DataFrame:
-    return predictions.agg(F.count_if(F.col(TRUE) != F.col(PREDICTED)).alias("errors"))
+    return predictions.agg(F.count_if(~F.col(TRUE).eqNullSafe(F.col(PREDICTED))).alias("errors"))
 
 
 def pair_counts(predictions: DataFrame) -> DataFrame:

@@ -1,172 +1,255 @@
-"""Multinomial Naive Bayes as Spark aggregations and joins.
+"""Multinomial Naive Bayes: counts by Spark aggregation, scores beside the row.
 
 Fitting reads the training text once: a count per (label, word), from which
 everything else follows. Weights are log-probabilities in units of 1e-9, kept
 as 64-bit integers, so sums of them are exact in any order and on any engine.
 
-Scoring looks up each token's weight row and sums by article. Frequent words
-sit in a table of proven size that Spark can broadcast; the long tail of rare
-words, when the vocabulary has one, is joined by a salted shuffle.
+Scoring adds a column to the rows it is given: no id is needed and no text is
+shuffled. Frequent words sit in a table of proven size that every worker gets;
+when the vocabulary is larger, only the words that are not in it go through a join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.functions.scores import word_tokens
-from newsloom.operators.labels import MAX_CLASSES
-from newsloom.operators.vocabulary import VOCABULARY_SIZE, label_word_counts, top_words
-from newsloom.staging import bounded_rows, new_path, stage
+from newsloom.operators.vocabulary import label_word_counts, top_words
+from newsloom.staging import new_path, stage
 
 UNIT = 1_000_000_000
-HOT_WORDS = VOCABULARY_SIZE
 HOT_WORD_BYTES = 64
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """Settings of a fit: added count, words kept (None: all), words read per text (None: all)."""
+
+    smoothing: float = 1.0
+    vocabulary_size: int | None = None
+    most: int | None = None
 
 
 @dataclass(frozen=True)
 class BayesModel:
-    """A fitted model: two tables under `path`, with the small one also at hand.
+    """A fitted model: three tables under `path`.
 
     `labels`: category, label_idx, articles, tokens, prior (one row per class).
-    `weights`: word, n, weight array<bigint> in label order (one row per word).
-    `hot` and `cold`: the weights that can be broadcast, and the others if any.
+    `words`: word, n, by_label map<label_idx, n> (one row per word). `weights` is
+    `words` with log-probabilities in label order. `settings`: one row, the candidate.
     """
 
     path: str
     categories: list[str]
-    priors: list[int]
+    priors: list[int | None]
     labels: DataFrame
+    words: DataFrame
     weights: DataFrame
-    hot: DataFrame
-    cold: DataFrame | None
+    settings: Candidate
+
+
+@dataclass(frozen=True)
+class Choice:
+    model: BayesModel
+    candidate: Candidate
+    accuracies: list[float]
 
 
 def _log_units(ratio: Column) -> Column:
     return F.round(F.ln(ratio) * UNIT).cast("long")
 
 
+def counted(train: DataFrame, most: int | None = None) -> DataFrame:
+    """Written counts per label and word of `(label_idx, cleaned_text)` rows.
+
+    Rows without text or label say nothing and are left out: no text, no tokens.
+    """
+    return stage(label_word_counts(train.filter(F.col("label_idx").isNotNull()), most=most), "label-word-counts")
+
+
 def fit(
     train: DataFrame,
     labels: DataFrame,
     path: str | None = None,
-    vocabulary_size: int | None = VOCABULARY_SIZE,
+    vocabulary_size: int | None = None,
+    most: int | None = None,
+    smoothing: float = 1.0,
 ) -> BayesModel:
-    """Fit on `(label_idx, cleaned_text)` rows with add-one smoothing.
+    """Fit on whole texts and all words, unless told to cut them."""
+    return fit_counts(counted(train, most), labels, Candidate(smoothing, vocabulary_size, most), path)
 
-    Rows without text or label say nothing and are left out: no text, no tokens.
-    """
-    spark = train.sparkSession
+
+def fit_counts(counts: DataFrame, labels: DataFrame, settings: Candidate, path: str | None = None) -> BayesModel:
+    """Fit on counts; several candidates can share them."""
+    spark = counts.sparkSession
     path = path or new_path(spark, "bayes")
-    counts = stage(label_word_counts(train.filter(F.col("label_idx").isNotNull())), "label-word-counts")
-
-    totals = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-totals")
-    vocabulary = top_words(totals, vocabulary_size)
-    marked = counts.withColumn("known", F.lit(True))
-    if vocabulary is not totals:
-        vocabulary = stage(vocabulary, "vocabulary")
-        marked = counts.join(vocabulary.select("word", F.lit(True).alias("known")), "word", "left")
-    size = vocabulary.count()
-    kept = marked.filter("known")
-    per_label = marked.groupBy("label_idx").agg(
-        F.sum("first_words").alias("articles"), F.sum(F.when(F.col("known"), F.col("n"))).alias("tokens")
+    entries = F.map_from_entries(F.collect_list(F.struct("label_idx", "n")))  # one entry per label at most
+    words = counts.groupBy("word").agg(F.sum("n").alias("n"), entries.alias("by_label"))
+    if settings.vocabulary_size is not None:
+        words = top_words(stage(words, "words"), settings.vocabulary_size)
+    words.write.mode("overwrite").parquet(f"{path}/words")
+    words = spark.read.schema(words.schema).parquet(f"{path}/words")
+
+    tokens = (
+        words.select(F.explode("by_label").alias("label_idx", "n")).groupBy("label_idx").agg(F.sum("n").alias("tokens"))
     )
-    everything = F.sum("articles").over(Window.partitionBy())
+    articles = counts.groupBy("label_idx").agg(F.sum("first_words").alias("articles"))
+    everything = articles.agg(F.sum("articles")).first()[0] or 0
     label_table = (
-        labels.join(per_label, "label_idx", "left")
+        labels.join(articles, "label_idx", "left")
+        .join(tokens, "label_idx", "left")
         .fillna(0, ["articles", "tokens"])
-        .withColumn("total", everything)
         .select(
             "category",
             "label_idx",
             "articles",
             "tokens",
-            F.when(F.col("articles") > 0, _log_units(F.col("articles") / F.col("total"))).alias("prior"),
+            F.when(F.col("articles") > 0, _log_units(F.col("articles") / F.lit(everything))).alias("prior"),
         )
     )
     label_table.write.mode("overwrite").parquet(f"{path}/labels")
-    label_table = spark.read.schema(label_table.schema).parquet(f"{path}/labels")
-    rows = _label_rows(label_table)
-
-    weight = F.array(
-        *[
-            _log_units((F.coalesce(F.col(str(r.label_idx)), F.lit(0)) + 1) / F.lit(r.tokens + size))
-            for r in rows
-        ]
-    )
-    weights = (
-        kept.groupBy("word")
-        .pivot("label_idx", [r.label_idx for r in rows])
-        .agg(F.sum("n"))
-        .join(vocabulary, "word")
-        .select("word", "n", weight.alias("weight"))
-    )
-    weights.write.mode("overwrite").parquet(f"{path}/weights")
-    return _model(path, label_table, rows, spark.read.schema(weights.schema).parquet(f"{path}/weights"))
+    kept = (settings.smoothing, settings.vocabulary_size, settings.most)
+    spark.createDataFrame([kept], "smoothing double, vocabulary_size long, most int").coalesce(1).write.mode(
+        "overwrite"
+    ).parquet(f"{path}/settings")
+    return load(spark, path)
 
 
 def load(spark: SparkSession, path: str) -> BayesModel:
     """Read a fitted model back."""
-    labels = spark.read.parquet(f"{path}/labels")
-    return _model(path, labels, _label_rows(labels), spark.read.parquet(f"{path}/weights"))
+    labels, words = spark.read.parquet(f"{path}/labels"), spark.read.parquet(f"{path}/words")
+    settings = Candidate(*spark.read.parquet(f"{path}/settings").select("smoothing", "vocabulary_size", "most").first())
+    rows = sorted(labels.collect(), key=lambda r: r.label_idx)  # one row per class
+    size, added = words.count(), settings.smoothing
+    totals = F.lit([float(r.tokens + added * size) for r in rows])
+    weight = F.transform(
+        totals,
+        lambda total, i: _log_units((F.coalesce(F.try_element_at("by_label", i), F.lit(0)) + F.lit(added)) / total),
+    )
+    return BayesModel(
+        path,
+        [r.category for r in rows],
+        [r.prior for r in rows],
+        labels,
+        words,
+        words.select("word", "n", weight.alias("weight")),
+        settings,
+    )
 
 
-def _model(path: str, labels: DataFrame, rows: list, weights: DataFrame) -> BayesModel:
-    hot, cold = _hot_and_cold(weights, len(rows))
-    return BayesModel(path, [r.category for r in rows], [r.prior for r in rows], labels, weights, hot, cold)
+def select_best(
+    train: DataFrame, validation: DataFrame, labels: DataFrame, candidates: Sequence[Candidate]
+) -> Choice:
+    """Fit every candidate and keep the most accurate one, the earlier among equals.
 
+    Candidates that read the same number of words share one pass over the text.
+    """
+    from newsloom.functions.scores import argmax
 
-def _label_rows(labels: DataFrame) -> list:
-    return sorted(bounded_rows(labels, MAX_CLASSES), key=lambda r: r.label_idx)
+    counts: dict[int | None, DataFrame] = {}
+    fitted, accuracies = [], []
+    for candidate in candidates:
+        if candidate.most not in counts:
+            counts[candidate.most] = counted(train, candidate.most)
+        model = fit_counts(counts[candidate.most], labels, candidate)
+        right = (argmax(F.col("scores")) == F.col("label_idx")).cast("double")
+        found = score(validation, model).agg(F.coalesce(F.avg(F.coalesce(right, F.lit(0.0))), F.lit(0.0)))
+        fitted.append(model)
+        accuracies.append(found.first()[0])
+    best = max(range(len(candidates)), key=lambda i: (accuracies[i], -i))
+    return Choice(fitted[best], candidates[best], accuracies)
 
 
-def score(articles: DataFrame, model: BayesModel, id_col: str = "id", cleaned: str = "cleaned_text") -> DataFrame:
-    """`(id, scores)` with one score per label, for every article.
+def save(model: BayesModel, path: str) -> BayesModel:
+    """Write a model's tables to another place."""
+    spark = model.labels.sparkSession
+    for name in ("labels", "words", "settings"):
+        spark.read.parquet(f"{model.path}/{name}").write.mode("overwrite").parquet(f"{path}/{name}")
+    return load(spark, path)
+
+
+def score(articles: DataFrame, model: BayesModel, cleaned: str = "cleaned_text") -> DataFrame:
+    """`articles` with `scores`, an integer per label in label order.
 
     Unknown words add nothing; an article without a known word scores the
-    priors. The only shuffle is of `(id, k sums)`, already summed per article
-    before it; the text stays where it was read.
+    priors, a class without training rows has NULL. All columns and rows stay;
+    ids play no part. With words that are not broadcast, rows are written once
+    with what the others add up to.
     """
-    places = range(len(model.categories))
-    tokens = articles.select(F.col(id_col).alias("id"), F.explode_outer(word_tokens(cleaned)).alias("word"))
-    hot = F.broadcast(model.hot.select("word", "weight"))
-    found = tokens.join(hot, "word", "left").select("id", "weight")
-    if model.cold is not None:
-        found = found.unionByName(_cold_tokens(tokens, model.cold))
-    sums = found.groupBy("id").agg(*[F.sum(F.get("weight", F.lit(i))).alias(f"s{i}") for i in places])
-    scores = F.array(
-        *[F.lit(model.priors[i]).cast("long") + F.coalesce(F.col(f"s{i}"), F.lit(0)) for i in places]
+    hot, cold = _hot_and_cold(model)
+    table = hot.select("word", "weight").toPandas()  # its size is bounded by BROADCAST_BYTES
+    shared = articles.sparkSession.sparkContext.broadcast(
+        (
+            {word: i for i, word in enumerate(table["word"])},
+            np.array(table["weight"].tolist(), dtype=np.int64).reshape(len(table), len(model.categories)),
+        )
     )
-    return sums.select("id", scores.alias("scores"))
+    most, priors = model.settings.most, np.array([p or 0 for p in model.priors], dtype=np.int64)
+    keep_rest = cold is not None
+
+    @F.pandas_udf("scores array<bigint>, rest array<string>")
+    def add_up(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        places, weights = shared.value
+        for texts in batches:
+            sums, rests = [], []
+            for text in texts:
+                tokens = text.split(" ") if text else []
+                tokens = tokens[:most] if most is not None else tokens
+                found = [places.get(token, -1) for token in tokens]
+                known = [i for i in found if i >= 0]
+                sums.append(weights[known].sum(axis=0) + priors if known else priors)
+                rests.append([t for t, i in zip(tokens, found, strict=True) if i < 0] if keep_rest else [])
+            yield pd.DataFrame({"scores": sums, "rest": rests})
+
+    columns = [c for c in articles.columns if c != "scores"]
+    seen = F.lit([p is not None for p in model.priors])
+    rows = articles.select(*columns, add_up(F.col(cleaned)).alias("_found"))
+
+    def masked(values: Column) -> Column:
+        return F.zip_with(values, seen, lambda value, known: F.when(known, value))
+
+    if cold is None:
+        return rows.select(*columns, masked(F.col("_found.scores")).alias("scores"))
+    rows = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "partly-scored")
+    more = (
+        rows.select("_row", F.explode("_found.rest").alias("word"))
+        .groupBy("_row", "word")
+        .agg(F.count("*").alias("times"))
+        .join(cold, "word")
+        .select("_row", "times", F.posexplode("weight").alias("label_idx", "value"))
+        .groupBy("_row", "label_idx")
+        .agg(F.sum(F.col("times") * F.col("value")).alias("value"))
+        .groupBy("_row")
+        .agg(F.map_from_entries(F.collect_list(F.struct("label_idx", "value"))).alias("_more"))
+    )
+    total = F.transform(
+        "_found.scores", lambda value, i: value + F.coalesce(F.try_element_at("_more", i), F.lit(0).cast("long"))
+    )
+    return rows.join(more, "_row", "left").select(*columns, masked(total).alias("scores"))
 
 
-def _hot_and_cold(weights: DataFrame, classes: int) -> tuple[DataFrame, DataFrame | None]:
-    """Split the weight table into a part small enough to broadcast and the rest.
+def _hot_and_cold(model: BayesModel) -> tuple[DataFrame, DataFrame | None]:
+    """The part of the weights small enough for every worker, and the rest if any.
 
     The whole table counts as hot when its measured size allows; otherwise the
     most frequent words of ordinary length do, which bounds rows and bytes.
     """
-    row_bytes = 48 + 8 * classes
-    size = weights.agg(
+    weights = model.weights
+    row_bytes = 48 + 8 * len(model.categories)
+    size = model.words.agg(
         F.count("*").alias("words"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")
     ).first()
     if size.bytes + size.words * row_bytes <= BROADCAST_BYTES:
         return weights, None
-    room = max(1, min(HOT_WORDS, BROADCAST_BYTES // (row_bytes + HOT_WORD_BYTES)))
+    room = max(1, BROADCAST_BYTES // (row_bytes + HOT_WORD_BYTES))
     short = weights.filter(F.octet_length("word") <= HOT_WORD_BYTES)
     hot = stage(top_words(short, room), "hot-weights")
-    return hot, weights.join(F.broadcast(hot.select("word")), "word", "left_anti")
+    return hot, weights.join(hot.select("word"), "word", "left_anti").select("word", "weight")
 
 
-def _cold_tokens(tokens: DataFrame, cold: DataFrame) -> DataFrame:
-    """Weights of rare words. A word rare in training may be frequent here, so
-    each word's tokens are spread over `SALTS` keys."""
-    salted = tokens.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
-    copies = cold.select(
-        "word", "weight", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt")
-    )
-    return salted.join(copies, ["word", "salt"]).select("id", "weight")

@@ -17,12 +17,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.scores import MAX_TOKENS
-from newsloom.functions.text import clean_text
-from newsloom.operators.scoring import as_results
 from newsloom.staging import new_path
 
-HASH_FEATURES = 1 << 15
+#: Cells that words are hashed to; a parameter of every fit.
+HASH_FEATURES = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -31,6 +29,14 @@ class Candidate:
     reg_param: float = 0.01
 
 
+@dataclass(frozen=True)
+class Regression:
+    """A fitted pipeline with the names of its classes in label order."""
+
+    model: PipelineModel
+    categories: list[str]
+
+
 @dataclass(frozen=True)
 class Choice:
     model: PipelineModel
@@ -39,11 +45,12 @@ class Choice:
 
 
 def feature_pipeline(features: int = HASH_FEATURES) -> Pipeline:
-    """Cleaned text to weighted hashed word counts."""
-    tokens = SQLTransformer(
-        statement=f"""SELECT *, array_remove(
-            slice(split(cleaned_text, ' ', {MAX_TOKENS + 1}), 1, {MAX_TOKENS}), '') AS words FROM __THIS__"""
-    )
+    """Cleaned text to weighted hashed counts of all its words.
+
+    Words share cells when there are more of them than `features`; choose it from
+    the size of the vocabulary.
+    """
+    tokens = SQLTransformer(statement="SELECT *, array_remove(split(cleaned_text, ' '), '') AS words FROM __THIS__")
     hashed = HashingTF(inputCol="words", outputCol="word_counts", numFeatures=features)
     weighted = IDF(inputCol="word_counts", outputCol="features")
     return Pipeline(stages=[tokens, hashed, weighted])
@@ -123,12 +130,6 @@ def predict(articles: DataFrame, model: PipelineModel) -> DataFrame:
     )
 
 
-def classify(articles: DataFrame, model: PipelineModel, names: Sequence[str]) -> DataFrame:
-    """Results for raw `(id, text)` rows, as the Bayes scorer gives them."""
-    cleaned = articles.select("id", "text", clean_text("text").alias("cleaned_text"))
-    return as_results(predict(cleaned, model), F.col("probabilities"), names)
-
-
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType
 
 from newsloom.staging import stage
 
-SMALL_LIMIT = 10_000
 BUCKET_BITS = 12
 
 
@@ -100,14 +100,34 @@ def nth_smallest(df: DataFrame, key: str, n: int) -> int | None:
 
 
 def first_n(df: DataFrame, n: int | None, key: str = "id") -> DataFrame:
-    """The first `n` rows by a unique long key; all of them for None and 0.
+    """The first `n` rows by a key of any sortable type, NULLs last; all of them for None and 0.
 
-    A large `n` becomes a filter on the key, which reaches the scan, because a
-    sort with a large limit would merge `n` rows of every partition in one task.
+    The n-th key is found by counting (whole numbers) or by numbering the keys
+    alone, and becomes a filter that reaches the scan. Of the rows that share that
+    key as many as are still wanted are taken, in the order of their other
+    columns. There are exactly `n` rows, or all if there are fewer.
     """
     if not n:
         return df
-    if n <= SMALL_LIMIT:
-        return df.orderBy(F.col(key).asc_nulls_last()).limit(n)
-    last = nth_smallest(df, key, n)
-    return df if last is None else df.filter(F.col(key) <= F.lit(last))
+    filled = df.filter(F.col(key).isNotNull())
+    count = filled.count()
+    if n > count:
+        below, ties = filled, df.filter(F.col(key).isNull())
+    else:
+        if isinstance(df.schema[key].dataType, IntegralType):
+            cut = F.lit(nth_smallest(df, key, n))
+        else:
+            nth = number_by(filled.select(key), [F.col(key)]).filter(F.col("position") == n - 1)
+            cut = F.lit(nth.first()[key])
+        cut = cut.cast(df.schema[key].dataType)
+        below, ties = df.filter(F.col(key) < cut), df.filter(F.col(key) == cut)
+        count = below.count()
+    wanted = n - count
+    if ties.count() > wanted:
+        order = [F.col(f.name) for f in df.schema if not _holds_map(f.dataType)]
+        ties = number_by(ties, order).filter(F.col("position") < wanted).drop("position")
+    return below.unionByName(ties)
+
+
+def _holds_map(kind: DataType) -> bool:
+    return "map<" in kind.simpleString() or "variant" in kind.simpleString()

@@ -9,36 +9,51 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scores import argmax, confidence, name_of, probability_map, softmax, with_value
 from newsloom.functions.text import clean_text, is_blank, is_long_enough
-from newsloom.operators import naive_bayes
+from newsloom.operators import naive_bayes, pipeline
 from newsloom.operators.naive_bayes import UNIT, BayesModel
+from newsloom.operators.pipeline import Regression
 
 INVALID = "Invalid/Empty"
 NO_PROBABILITIES = "map<string,double>"
 
 
-def predict(articles: DataFrame, model: BayesModel) -> DataFrame:
-    """`(id, predicted_label_idx)` for cleaned articles."""
-    return naive_bayes.score(articles, model).select("id", argmax(F.col("scores")).alias("predicted_label_idx"))
+Model = BayesModel | Regression
 
 
-def probabilities(scores: DataFrame) -> DataFrame:
-    """`(id, probabilities)` from summed integer scores."""
-    logs = with_value(
-        F.array_max("scores"), lambda top: F.transform("scores", lambda s: (s - top) / F.lit(float(UNIT)))
+def scored(articles: DataFrame, model: Model) -> DataFrame:
+    """Cleaned articles with `predicted_label_idx` and `probabilities`, row by row.
+
+    No id is needed: each row is scored where it stands.
+    """
+    if isinstance(model, Regression):
+        return pipeline.predict(articles, model.model)
+    rows = naive_bayes.score(articles, model)
+    columns = [c for c in rows.columns if c != "scores"]
+    return rows.select(
+        *columns,
+        argmax(F.col("scores")).alias("predicted_label_idx"),
+        probabilities(F.col("scores")).alias("probabilities"),
     )
-    return scores.select("id", softmax(logs).alias("probabilities"))
 
 
-def evaluate_rows(validation: DataFrame, model: BayesModel) -> DataFrame:
-    """Predictions beside the truth, joined on the id.
+def predict(articles: DataFrame, model: Model) -> DataFrame:
+    """Cleaned articles with `predicted_label_idx`."""
+    return scored(articles, model).drop("probabilities")
+
+
+def probabilities(scores: Column) -> Column:
+    """Summed integer scores as probabilities."""
+    logs = with_value(F.array_max(scores), lambda top: F.transform(scores, lambda s: (s - top) / F.lit(float(UNIT))))
+    return softmax(logs)
+
+
+def evaluate_rows(validation: DataFrame, model: Model) -> DataFrame:
+    """Predictions beside the truth, with the columns of the prediction table.
 
-    `validation` holds id, cleaned_text, label_idx; the result has the columns
-    of the prediction table. The score side is `(id, index)`, far smaller than
-    the text side.
+    `validation` holds id, cleaned_text and label_idx; ids may be NULL or repeated.
     """
-    predicted = predict(validation.select("id", "cleaned_text"), model)
     names = model.categories
-    return validation.join(predicted, "id").select(
+    return predict(validation.select("id", "cleaned_text", "label_idx"), model).select(
         "id",
         F.col("cleaned_text").alias("text"),
         F.col("label_idx").alias("true_label_idx"),
@@ -48,20 +63,18 @@ def evaluate_rows(validation: DataFrame, model: BayesModel) -> DataFrame:
     )
 
 
-def classify(articles: DataFrame, model: BayesModel, missing: str = "Unknown") -> DataFrame:
+def classify(articles: DataFrame, model: Model, missing: str = "Unknown") -> DataFrame:
     """Results for raw `(id, text)` rows.
 
     Blank text keeps its row as `Invalid/Empty` with confidence 0 and an empty
     map. Any other text is cleaned as in training, then scored.
     """
-    usable = articles.filter(~is_blank("text")).select("id", clean_text("text").alias("cleaned_text"))
-    scored = probabilities(naive_bayes.score(usable, model))
-    joined = articles.join(scored, "id", "left")
-    return as_results(joined, F.col("probabilities"), model.categories, missing)
+    cleaned = articles.select("id", "text", clean_text("text").alias("cleaned_text"))
+    return as_results(scored(cleaned, model), F.col("probabilities"), model.categories, missing)
 
 
 def classify_texts(
-    spark: SparkSession, texts: Sequence[str | None], model: BayesModel, least: int = 0
+    spark: SparkSession, texts: Sequence[str | None], model: Model, least: int = 0
 ) -> DataFrame:
     """Results for texts typed in by hand, in the order given.
 
@@ -95,4 +108,4 @@ def above_threshold(results: DataFrame, threshold: float = 0.75) -> DataFrame:
 def probability_rows(results: DataFrame) -> DataFrame:
     """A row per article and category, least probable first within an article."""
     rows = results.select("id", F.explode("raw_probabilities").alias("category", "probability"))
-    return rows.sortWithinPartitions("id", "probability", "category")
+    return rows.orderBy("id", "probability", "category")

@@ -5,17 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.functions.scores import MAX_TOKENS, word_tokens
+from newsloom.functions.scores import word_tokens
 from newsloom.operators.positions import number_by
 
-# Fixed value: the vocabulary size of the published model.
-VOCABULARY_SIZE = 30_522
-
-SORTED_WORDS = 1_000_000
-
 
 def label_word_counts(
-    df: DataFrame, label: str = "label_idx", cleaned: str = "cleaned_text", most: int = MAX_TOKENS
+    df: DataFrame, label: str = "label_idx", cleaned: str = "cleaned_text", most: int | None = None
 ) -> DataFrame:
     """`(label_idx, word, n, first_words)` over the tokens of each article.
 
@@ -29,20 +24,19 @@ def label_word_counts(
     )
 
 
-def word_counts(df: DataFrame, cleaned: str = "cleaned_text", most: int = MAX_TOKENS) -> DataFrame:
+def word_counts(df: DataFrame, cleaned: str = "cleaned_text", most: int | None = None) -> DataFrame:
     """`(word, n)` over all articles."""
     tokens = df.select(F.explode(word_tokens(cleaned, most)).alias("word"))
     return tokens.groupBy("word").agg(F.count("*").alias("n"))
 
 
-def top_words(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFrame:
+def top_words(counts: DataFrame, size: int | None = None) -> DataFrame:
     """The `size` most frequent words, ties by word; all of them for None.
 
     `counts` is read twice, so pass a staged table. Words are first thinned by
     the bit length of their count: lengths are tallied from the top until
-    `size` words are covered, and shorter counts cannot be among the top. The
-    tally tells how many rows are left: few go through a sort with a limit,
-    many (a large `size`, or a long tie) through a distributed numbering.
+    `size` words are covered, and shorter counts cannot be among the top. What is
+    left is numbered by a distributed sort.
     """
     if size is None:
         return counts
@@ -57,7 +51,4 @@ def top_words(counts: DataFrame, size: int | None = VOCABULARY_SIZE) -> DataFram
         if covered >= size:
             break
     left = counts.filter(F.col("n") >= F.lit(1 << (least - 1)))
-    order = [F.col("n").desc(), F.col("word")]
-    if covered <= SORTED_WORDS:
-        return left.orderBy(*order).limit(size)
-    return number_by(left, order).filter(F.col("position") < size).drop("position")
+    return number_by(left, [F.col("n").desc(), F.col("word")]).filter(F.col("position") < size).drop("position")

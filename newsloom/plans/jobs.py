@@ -13,13 +13,12 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import clean_text
 from newsloom.operators import metrics, naive_bayes, pipeline
-from newsloom.operators.batches import cap_batch
+from newsloom.operators.batches import article_count, cap_batch
 from newsloom.operators.cleaning import clean_articles, observe_quality
 from newsloom.operators.labels import encode, label_map, label_names
-from newsloom.operators.pipeline import Candidate
-from newsloom.operators.scoring import above_threshold, classify, evaluate_rows
+from newsloom.operators.pipeline import HASH_FEATURES, Candidate, Regression
+from newsloom.operators.scoring import Model, above_threshold, classify, evaluate_rows
 from newsloom.operators.split import cut_points, label_profile, mark_validation, split_sizes
-from newsloom.operators.vocabulary import VOCABULARY_SIZE
 from newsloom.sources import files
 from newsloom.sources.articles import raw_records
 from newsloom.staging import new_path, stage
@@ -42,11 +41,12 @@ class Evaluation:
 
 @dataclass(frozen=True)
 class Classification:
-    """All results, those over the threshold, and their count per category."""
+    """All results, those over the threshold, their count per category, and how many articles there were."""
 
     results: DataFrame
     confident: DataFrame
     distribution: DataFrame
+    found: DataFrame
 
 
 def ingest(
@@ -88,37 +88,55 @@ def train(
     numerator: int = 1,
     denominator: int = 10,
     seed: int = 42,
-    vocabulary_size: int | None = VOCABULARY_SIZE,
+    bayes: Sequence[naive_bayes.Candidate] = (naive_bayes.Candidate(),),
     candidates: Sequence[Candidate] = (),
+    features: int = HASH_FEATURES,
 ) -> dict[str, float]:
-    """Write the label map and the fitted model; returns sizes and accuracy.
+    """Write the label map, the split and the fitted models; returns sizes and accuracies.
 
-    Fits Naive Bayes under `<model_dir>/bayes`; with candidates, also the best
-    regression pipeline among them under `<model_dir>/pipeline`.
+    The most accurate Bayes candidate goes under `<model_dir>/bayes`; with
+    regression candidates, the best of them goes under `<model_dir>/pipeline`. The
+    better of the two, Bayes on a tie, is what `load_model` gives by default. The
+    cuts of the split go under `<model_dir>/cuts`, so that an evaluation knows the
+    validation rows although articles may have been added since.
     """
     rows = files.read_model_input(spark, cleaned_path)
     profile = label_profile(rows, seed)
     files.write_label_map(label_map(profile, id_col="first_id"), label_map_path)
     labels = files.read_label_map(spark, label_map_path)
-    cuts = cut_points(rows, profile, numerator, denominator, seed)
-    rows = mark_validation(encode(rows, labels), cuts, seed)
+    cut_points(rows, profile, numerator, denominator, seed).write.mode("overwrite").parquet(f"{model_dir}/cuts")
+    rows = mark_validation(encode(rows, labels), spark.read.parquet(f"{model_dir}/cuts"), seed)
     sizes = {r.is_val: r.rows for r in split_sizes(rows).collect()}
-    model = naive_bayes.fit(rows.filter(~F.col("is_val")), labels, f"{model_dir}/bayes", vocabulary_size)
-    scored = evaluate_rows(rows.filter("is_val"), model)
+    training, validation = rows.filter(~F.col("is_val")), rows.filter("is_val")
+    chosen = naive_bayes.select_best(training, validation, labels, bayes)
+    naive_bayes.save(chosen.model, f"{model_dir}/bayes")
     summary = {
         "training": sizes.get(False, 0),
         "validation": sizes.get(True, 0),
-        "accuracy": metrics.accuracy(scored).first().accuracy,
+        "accuracy": max(chosen.accuracies),
     }
+    best = "bayes"
     if candidates:
-        choice = pipeline.select_best(rows.filter(~F.col("is_val")), rows.filter("is_val"), candidates)
+        choice = pipeline.select_best(training, validation, candidates, features)
         pipeline.save(choice.model, f"{model_dir}/pipeline")
         summary["pipeline_accuracy"] = max(choice.accuracies)
+        best = "pipeline" if summary["pipeline_accuracy"] > summary["accuracy"] else best
+    spark.createDataFrame([(best,)], "kind string").coalesce(1).write.mode("overwrite").parquet(f"{model_dir}/best")
+    files.write_label_map(labels, f"{model_dir}/labels")
     return summary
 
 
-def load_model(spark: SparkSession, model_dir: str) -> naive_bayes.BayesModel:
-    return files.need(lambda path: naive_bayes.load(spark, path), f"{model_dir}/bayes", "run the train job first")
+def load_model(spark: SparkSession, model_dir: str, kind: str | None = None) -> Model:
+    """The model of a kind, `bayes` or `pipeline`; the better one by default."""
+
+    def load(path: str) -> Model:
+        wanted = kind or spark.read.parquet(f"{path}/best").first().kind
+        if wanted == "bayes":
+            return naive_bayes.load(spark, f"{path}/bayes")
+        names = label_names(files.read_label_map(spark, f"{path}/labels"))
+        return Regression(pipeline.load(f"{path}/pipeline"), names)
+
+    return files.need(load, model_dir, "run the train job first")
 
 
 def evaluate(
@@ -127,15 +145,15 @@ def evaluate(
     model_dir: str,
     label_map_path: str,
     predictions_out: str | None = None,
-    numerator: int = 1,
-    denominator: int = 10,
     seed: int = 42,
     examples: int = 5,
+    kind: str | None = None,
 ) -> Evaluation:
     """Score the validation rows of the training split once and report on them."""
     labels = files.read_label_map(spark, label_map_path)
-    model = load_model(spark, model_dir)
-    rows = prepare_split(spark, cleaned_path, labels, numerator, denominator, seed)
+    model = load_model(spark, model_dir, kind)
+    cuts = spark.read.parquet(f"{model_dir}/cuts")
+    rows = mark_validation(encode(files.read_model_input(spark, cleaned_path), labels), cuts, seed)
     predictions = stage(evaluate_rows(rows.filter("is_val"), model), "predictions")
     if predictions_out:
         files.write_csv(predictions, predictions_out)
@@ -152,12 +170,18 @@ def evaluate(
 
 def classify_articles(
     articles: DataFrame,
-    model: naive_bayes.BayesModel,
+    model: Model,
     threshold: float = 0.75,
     most: int | None = None,
     results_out: str | None = None,
 ) -> Classification:
-    """Classify `(id, text)` rows; all results can go to CSV."""
+    """Classify `(id, text)` rows; all results can go to CSV.
+
+    `found` tells how many articles there were and whether `most` left any out.
+    """
+    total = F.count("*").alias("articles")
+    found = article_count(articles, most) if most else articles.agg(total, F.lit(False).alias("over_cap"))
+    found = stage(found, "found")
     results = stage(classify(cap_batch(articles, most), model), "results")
     if results_out:
         files.write_csv(files.results_table(results), results_out)
@@ -165,6 +189,7 @@ def classify_articles(
         results=results,
         confident=above_threshold(results, threshold),
         distribution=metrics.category_distribution(results, threshold),
+        found=found,
     )
 
 
@@ -175,14 +200,22 @@ def classify_file(
     threshold: float = 0.75,
     most: int | None = None,
     results_out: str | None = None,
+    multi_line: bool = True,
+    kind: str | None = None,
 ) -> Classification:
-    """Classify a CSV file with a `text` column or a text file of one article per line."""
-    read = files.read_txt_articles if path.endswith(".txt") else files.read_csv_articles
-    return classify_articles(read(spark, path), load_model(spark, model_dir), threshold, most, results_out)
+    """Classify a CSV file with a `text` column or a text file of one article per line.
+
+    With `multi_line` off, fields of a CSV hold no line breaks and one file is read by many tasks.
+    """
+    if path.endswith(".txt"):
+        articles = files.read_txt_articles(spark, path)
+    else:
+        articles = files.read_csv_articles(spark, path, multi_line)
+    return classify_articles(articles, load_model(spark, model_dir, kind), threshold, most, results_out)
 
 
 def train_on_articles(
-    articles: DataFrame, vocabulary_size: int | None = VOCABULARY_SIZE
+    articles: DataFrame, vocabulary_size: int | None = None, most: int | None = None
 ) -> tuple[DataFrame, DataFrame, naive_bayes.BayesModel]:
     """Label map, split rows and model for raw `(id, text, category)` rows.
 
@@ -192,7 +225,7 @@ def train_on_articles(
     labels, marked = split_articles(articles)
     rows = marked.withColumn("cleaned_text", clean_text("text"))
     path = new_path(articles.sparkSession, "bayes")
-    return labels, rows, naive_bayes.fit(rows.filter(~F.col("is_val")), labels, path, vocabulary_size)
+    return labels, rows, naive_bayes.fit(rows.filter(~F.col("is_val")), labels, path, vocabulary_size, most)
 
 
 def split_articles(articles: DataFrame) -> tuple[DataFrame, DataFrame]:

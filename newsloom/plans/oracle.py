@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from newsloom.operators.labels import CATEGORIES, NO_CATEGORY
+
 # The character classes of the cleaning rules, as one list.
 WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 WORD = r"[\p{L}\p{N}_]"
 
 SEED = 42
 TOKENS = 128
-VOCABULARY = 30522
 
 DOCUMENTS = "SELECT doc_id AS id, text, source, lang AS category FROM documents"
-NEWS = """SELECT d.doc_id AS id, d.text, d.source,
-  CASE l.quality + 2 * l.toxic WHEN 0 THEN 'World' WHEN 1 THEN 'Sports'
-    WHEN 2 THEN 'Business' WHEN 3 THEN 'Sci/Tech' ELSE 'unknown' END AS category
-  FROM documents d JOIN labels l USING (doc_id)"""
+CODES = " ".join(f"WHEN {code} THEN '{name}'" for code, name in CATEGORIES.items())
+CODED = f"""SELECT d.doc_id AS id, d.text, d.source,
+  CASE l.quality + 2 * l.toxic {CODES} ELSE '{NO_CATEGORY}' END AS category
+  FROM documents d LEFT JOIN labels l USING (doc_id)"""
+NEWS = f"SELECT * FROM ({CODED}) WHERE category <> '{NO_CATEGORY}'"
 
 
 def replace(text: str, pattern: str, by: str = "") -> str:
@@ -74,28 +76,31 @@ parts AS (SELECT a.id, a.text, a.category, label_idx,
   FROM arts a JOIN lmap USING (category) JOIN quota USING (label_idx))"""
 
 
-def model(source: str) -> str:
+def model(source: str, smoothing: float = 1.0, vocabulary: int | None = None, most: int | None = None) -> str:
     """CTEs up to `weights` and `lstat`."""
+    cut = f"[1:{most}]" if most else ""
+    limit = f"ORDER BY n DESC, word LIMIT {vocabulary}" if vocabulary else ""
     return f"""{split(source)},
-tok AS (SELECT id, label_idx, is_val, unnest(string_split(cleaned, ' ')[1:{TOKENS}]) AS word
+tok AS (SELECT id, label_idx, is_val, unnest(string_split(cleaned, ' '){cut}) AS word
   FROM (SELECT id, label_idx, is_val, {clean('text')} AS cleaned FROM parts) WHERE cleaned <> ''),
 lw AS (SELECT label_idx, word, count(*) AS n FROM tok WHERE NOT is_val GROUP BY label_idx, word),
-vocab AS (SELECT word, sum(n) AS n FROM lw GROUP BY word ORDER BY n DESC, word LIMIT {VOCABULARY}),
+vocab AS (SELECT word, sum(n) AS n FROM lw GROUP BY word {limit}),
 tokens AS (SELECT label_idx, sum(n) AS tokens FROM lw SEMI JOIN vocab USING (word) GROUP BY label_idx),
 filled AS (SELECT label_idx, count(DISTINCT id) AS articles FROM tok WHERE NOT is_val GROUP BY label_idx),
 lstat AS (SELECT category, label_idx, coalesce(articles, 0) AS articles, coalesce(tokens, 0) AS tokens,
     CAST(round(ln(CAST(articles AS DOUBLE) / sum(articles) OVER ()) * 1000000000) AS BIGINT) AS prior
   FROM lmap LEFT JOIN filled USING (label_idx) LEFT JOIN tokens USING (label_idx)),
 weights AS (SELECT v.word, s.label_idx,
-    CAST(round(ln(CAST(coalesce(lw.n, 0) + 1 AS DOUBLE) / (s.tokens + (SELECT count(*) FROM vocab))) * 1000000000)
-      AS BIGINT) AS weight
+    CAST(round(ln((coalesce(lw.n, 0) + CAST({smoothing} AS DOUBLE))
+      / (s.tokens + CAST({smoothing} AS DOUBLE) * (SELECT count(*) FROM vocab))) * 1000000000) AS BIGINT) AS weight
   FROM vocab v CROSS JOIN lstat s LEFT JOIN lw ON lw.word = v.word AND lw.label_idx = s.label_idx)"""
 
 
-def scored(items: str) -> str:
+def scored(items: str, most: int | None = None) -> str:
     """CTEs `scores` and `probs` for items `(id, cleaned)`; follows `model`."""
+    cut = f"[1:{most}]" if most else ""
     return f"""items AS ({items}),
-itok AS (SELECT id, unnest(string_split(cleaned, ' ')[1:{TOKENS}]) AS word FROM items WHERE cleaned <> ''),
+itok AS (SELECT id, unnest(string_split(cleaned, ' '){cut}) AS word FROM items WHERE cleaned <> ''),
 sums AS (SELECT id, label_idx, sum(weight) AS s FROM itok JOIN weights USING (word) GROUP BY id, label_idx),
 scores AS (SELECT i.id, l.label_idx, l.category, CAST(l.prior + coalesce(s, 0) AS BIGINT) AS score
   FROM items i CROSS JOIN lstat l LEFT JOIN sums ON sums.id = i.id AND sums.label_idx = l.label_idx),
@@ -104,10 +109,10 @@ probs AS (SELECT id, label_idx, category, score, e / sum(e) OVER (PARTITION BY i
     row_number() OVER (PARTITION BY id ORDER BY score DESC, label_idx) AS place FROM exps)"""
 
 
-def predictions(source: str) -> str:
+def predictions(source: str, **settings) -> str:
     """CTE `preds` over the validation rows."""
     val = f"SELECT id, {clean('text')} AS cleaned FROM parts WHERE is_val"
-    return f"""{model(source)}, {scored(val)},
+    return f"""{model(source, **settings)}, {scored(val, settings.get('most'))},
 preds AS (SELECT p.id, i.cleaned AS text, parts.label_idx AS true_label_idx, p.label_idx AS predicted_label_idx,
     parts.category AS true_category, p.category AS predicted_category
   FROM probs p JOIN items i USING (id) JOIN parts USING (id) WHERE place = 1)"""
@@ -127,11 +132,16 @@ rep AS (SELECT *, coalesce(hits / nullif(CAST(claimed AS DOUBLE), 0), 0) AS prec
 
 
 def results(source: str, raw: str) -> str:
-    """CTE `res` for raw items `(id, text)`: category and confidence."""
-    usable = f"SELECT id, {clean('text')} AS cleaned FROM raw WHERE NOT {blank('text')}"
-    return f"""raw AS ({raw}), {model(source)}, {scored(usable)},
+    """CTEs `res` and `item_shares` for raw items `(id, text)`, whose ids may be NULL or repeated."""
+    usable = f"SELECT row AS id, {clean('text')} AS cleaned FROM raw WHERE NOT {blank('text')}"
+    return f"""raw AS MATERIALIZED (SELECT row_number() OVER () AS row, id, text FROM ({raw})),
+{model(source)}, {scored(usable)},
+maps AS (SELECT id, string_agg(category || ':' || {fixed('p')}, ',' ORDER BY category) AS probabilities
+  FROM probs GROUP BY id),
 res AS (SELECT raw.id, raw.text, coalesce(category, 'Invalid/Empty') AS predicted_category,
-    coalesce(p, 0) AS confidence FROM raw LEFT JOIN (SELECT * FROM probs WHERE place = 1) b USING (id))"""
+    coalesce(p, 0) AS confidence, coalesce(probabilities, '') AS probabilities
+  FROM raw LEFT JOIN (SELECT * FROM probs WHERE place = 1) b ON b.id = raw.row LEFT JOIN maps ON maps.id = raw.row),
+item_shares AS (SELECT raw.id, category, p FROM raw JOIN probs ON probs.id = raw.row)"""
 
 
 def blank(text: str) -> str:

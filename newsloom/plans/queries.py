@@ -18,7 +18,7 @@ from newsloom.plans import oracle as sql
 from newsloom.sources import files
 from newsloom.sources.articles import raw_records
 from newsloom.staging import new_path, stage
-from newsloom.streaming.articles import classify_stream, clean_stream
+from newsloom.streaming.articles import classify_stream, clean_stream, read_parquet_stream, read_results
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,26 +51,41 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def coded(spark: SparkSession, folder: str) -> DataFrame:
-    """Articles with a label code 0-3 made of the two quality labels."""
+    """All articles, with a label code 0-3 made of the two quality labels where there are any."""
     codes = table(spark, folder, "labels").select("doc_id", (F.col("quality") + 2 * F.col("toxic")).alias("label"))
-    rows = table(spark, folder, "documents").join(codes, "doc_id")
+    rows = table(spark, folder, "documents").join(codes, "doc_id", "left")
     return rows.select(F.col("doc_id").alias("id"), "text", "source", "label")
 
 
-def news(spark: SparkSession, folder: str) -> DataFrame:
+def named(spark: SparkSession, folder: str) -> DataFrame:
     """The same with the category name."""
     return coded(spark, folder).withColumn("category", labels.code_to_category(F.col("label"))).drop("label")
 
 
+def news(spark: SparkSession, folder: str) -> DataFrame:
+    """Articles of a known category, to train on."""
+    return named(spark, folder).filter(F.col("category") != labels.NO_CATEGORY)
+
+
 def turns(spark: SparkSession, folder: str) -> DataFrame:
-    """Unlabelled texts, some of them blank."""
-    text = F.when(F.col("turn") == 3, F.lit(" \u00a0\t")).otherwise(F.col("text"))
-    rows = table(spark, folder, "conversations")
-    return rows.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), text.alias("text"))
+    """Unlabelled texts; added to them are blank ones, some with ids that others have, and some without an id."""
+    return with_planted_turns(table(spark, folder, "conversations"))
 
 
-TURNS = """SELECT conv_id * 1000 + turn AS id,
-  CASE WHEN turn = 3 THEN ' ' || chr(160) || chr(9) ELSE text END AS text FROM conversations"""
+def with_planted_turns(rows: DataFrame) -> DataFrame:
+    number = F.col("conv_id") * 1000 + F.col("turn")
+    real = F.struct(number.alias("id"), F.col("text").alias("text"))
+    blank = F.struct(number.alias("id"), F.lit(" \u00a0\t").alias("text"))
+    nameless = F.struct(F.lit(None).cast("long").alias("id"), F.concat("text", F.lit(" more")).alias("text"))
+    repeated = F.struct((number - 1).alias("id"), F.concat(F.lit("the "), "text").alias("text"))
+    planted = F.when(F.col("turn") == 3, F.array(real, blank)).when(F.col("turn") == 1, F.array(real, nameless, repeated))
+    return rows.select(F.inline(F.coalesce(planted, F.array(real))))
+
+
+TURNS = """SELECT conv_id * 1000 + turn AS id, text FROM conversations
+  UNION ALL SELECT conv_id * 1000 + turn, ' ' || chr(160) || chr(9) FROM conversations WHERE turn = 3
+  UNION ALL SELECT NULL, text || ' more' FROM conversations WHERE turn = 1
+  UNION ALL SELECT conv_id * 1000 + turn - 1, 'the ' || text FROM conversations WHERE turn = 1"""
 
 
 # --- scalar functions -------------------------------------------------------
@@ -131,13 +146,15 @@ def excerpt(spark, folder):
     return _per_document(tx.excerpt, "excerpt")(spark, folder)
 
 
-@query("""SELECT event_id, printf('%.4f', value) AS fixed4, printf('%.2f%%', floor(value) / 100 * 100) AS percent,
-  printf('%.0f%%', floor(value) / 100 * 100) AS whole_percent FROM events""")
+@query("""SELECT event_id, printf('%.4f', value) AS fixed4, printf('%.4f', (event_id % 4000) / 32000.0::DOUBLE) AS tied4,
+  printf('%.2f%%', (event_id % 801) / 800.0::DOUBLE * 100) AS percent,
+  printf('%.0f%%', (event_id % 801) / 800.0::DOUBLE * 100) AS whole_percent FROM events""")
 def number_formats(spark, folder):
-    share = F.floor("value") / 100
+    share = (F.col("event_id") % 801) / F.lit(800.0)
     return table(spark, folder, "events").select(
         "event_id",
         sc.fixed4(F.col("value")).alias("fixed4"),
+        sc.fixed4((F.col("event_id") % 4000) / F.lit(32000.0)).alias("tied4"),
         sc.percent(share).alias("percent"),
         sc.percent(share, 0).alias("whole_percent"),
     )
@@ -195,12 +212,24 @@ def code_to_category(spark, folder):
     )
 
 
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 4 <> 0 THEN 'unknown' WHEN l_linenumber = 1 THEN 'World'
+  WHEN l_linenumber = 2 THEN 'Sports' WHEN l_linenumber = 3 THEN 'Business' WHEN l_linenumber = 4 THEN 'Sci/Tech'
+  ELSE 'unknown' END AS category FROM lineitem""")
+def odd_codes(spark, folder):
+    """Whole codes, and codes that are fractional or wider than an integer."""
+    number, kind = F.col("l_linenumber") - 1, F.col("l_orderkey") % 4
+    code = F.when(kind == 0, number).when(kind == 1, number + 0.5).when(kind == 2, number + 4294967296).otherwise(-1e300)
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", labels.code_to_category(code.cast("double")).alias("category")
+    )
+
+
 # --- ingest and cleaning ----------------------------------------------------
 
 MOMENT = "2024-03-05 06:07:08"
 
 
-@query(f"SELECT id, '{MOMENT}' AS timestamp, text, 'newswire' AS source, category FROM ({sql.NEWS})")
+@query(f"SELECT id, '{MOMENT}' AS timestamp, text, 'newswire' AS source, category FROM ({sql.CODED})")
 def ingest_records(spark, folder):
     moment = F.lit(MOMENT).cast("timestamp")
     return raw_records(coded(spark, folder), "newswire", None, moment=moment)
@@ -212,10 +241,55 @@ def ingest_without_fields(spark, folder):
     return raw_records(ids, "newswire").drop("timestamp")
 
 
-@query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority
-  FROM orders ORDER BY o_orderkey LIMIT 12000""")
+@query(f"""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS id, '{MOMENT}' AS timestamp, text, 'newswire' AS source,
+  'unknown' AS category FROM documents""")
+def ingest_numbered(spark, folder):
+    """Records of a table without ids get the numbers of their rows."""
+    moment = F.lit(MOMENT).cast("timestamp")
+    return raw_records(table(spark, folder, "documents").drop("doc_id"), "newswire", moment=moment)
+
+
+@query(f"""SELECT row_number() OVER (ORDER BY source, doc_id, text) - 1 AS id, '{MOMENT}' AS timestamp, text,
+  'newswire' AS source, 'unknown' AS category FROM documents""")
+def ingest_renumbered(spark, folder):
+    """Ids that repeat become places in their order."""
+    moment = F.lit(MOMENT).cast("timestamp")
+    rows = table(spark, folder, "documents").select(F.col("source").alias("id"), "doc_id", "text")
+    return raw_records(rows, "newswire", moment=moment, renumber=True)
+
+
+@query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+  o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 12000""")
 def first_n_rows(spark, folder):
-    return first_n(table(spark, folder, "orders").drop("o_orderdate"), 12_000, "o_orderkey")
+    rows = table(spark, folder, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+    return first_n(rows, 12_000, "o_orderkey")
+
+
+def _loose_keys(spark, folder) -> DataFrame:
+    """Orders with a key that repeats and is NULL in every fifth row."""
+    key = F.when(F.col("o_orderkey") % 5 != 0, F.floor(F.col("o_orderkey") / 7))
+    return table(spark, folder, "orders").select(key.alias("key"), "o_orderkey", "o_totalprice")
+
+
+LOOSE = """SELECT CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey // 7 END AS key, o_orderkey, o_totalprice FROM orders
+  ORDER BY key NULLS LAST, o_orderkey, o_totalprice"""
+
+
+@query(f"{LOOSE} LIMIT 9000")
+def first_n_repeated(spark, folder):
+    return first_n(_loose_keys(spark, folder), 9_000, "key")
+
+
+@query(f"{LOOSE} LIMIT 13001")
+def first_n_nulls(spark, folder):
+    return first_n(_loose_keys(spark, folder), 13_001, "key")
+
+
+@query("""SELECT CAST(key AS VARCHAR) AS key, doc_id FROM (SELECT source || '-' || lang AS key, doc_id FROM documents
+  ORDER BY key, doc_id LIMIT 333)""")
+def first_n_text_keys(spark, folder):
+    rows = table(spark, folder, "documents").select(F.concat_ws("-", "source", "lang").alias("key"), "doc_id")
+    return first_n(rows, 333, "key")
 
 
 @query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders")
@@ -257,20 +331,18 @@ def head_preview(spark, folder):
 
 
 def _spoiled(spark, folder):
-    """Documents, with blank, missing and marked texts put in."""
+    """Documents, and beside some of them a blank, missing or marked text with a negative id."""
     kind = F.pmod("doc_id", F.lit(7))
-    text = (
-        F.when(kind == 0, F.lit(None).cast("string"))
-        .when(kind == 1, F.lit(" \t "))
-        .when(kind == 2, F.lit("\u00a0\u2003"))
-        .when(kind == 3, F.lit("N/A"))
-        .otherwise(F.col("text"))
-    )
-    return table(spark, folder, "documents").select("doc_id", text.alias("text"))
+    odd = (
+        F.when(kind == 1, F.lit(" \t ")).when(kind == 2, F.lit("\u00a0\u2003")).when(kind == 3, F.lit("N/A"))
+    )  # NULL for kind 0
+    rows = F.array(F.struct("doc_id", "text"), F.struct((-1 - F.col("doc_id")).alias("doc_id"), odd.alias("text")))
+    return table(spark, folder, "documents").select(F.inline(F.when(kind < 4, rows).otherwise(F.slice(rows, 1, 1))))
 
 
-SPOILED = """spoiled AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN NULL WHEN 1 THEN ' ' || chr(9) || ' '
-  WHEN 2 THEN chr(160) || chr(8195) WHEN 3 THEN 'N/A' ELSE text END AS text FROM documents)"""
+SPOILED = """spoiled AS (SELECT doc_id, text, 9 AS kind FROM documents UNION ALL
+  SELECT -1 - doc_id, CASE doc_id % 7 WHEN 1 THEN ' ' || chr(9) || ' ' WHEN 2 THEN chr(160) || chr(8195)
+    WHEN 3 THEN 'N/A' END, doc_id % 7 FROM documents WHERE doc_id % 7 < 4)"""
 
 
 @query(f"WITH {SPOILED} SELECT doc_id, {sql.blank('text')} AS invalid FROM spoiled")
@@ -289,7 +361,7 @@ def drop_missing(spark, folder):
     return files.drop_missing(_spoiled(spark, folder))
 
 
-@query(f"WITH {SPOILED} SELECT doc_id, text FROM spoiled WHERE text IS NOT NULL AND doc_id % 7 <> 1")
+@query(f"WITH {SPOILED} SELECT doc_id, text FROM spoiled WHERE text IS NOT NULL AND kind <> 1")
 def drop_blank(spark, folder):
     return _spoiled(spark, folder).filter(tx.has_ascii_content("text"))
 
@@ -342,11 +414,14 @@ def split_counts(spark, folder):
 @query(f"""SELECT doc_id, array_to_string(string_split({sql.clean('text')}, ' ')[1:{sql.TOKENS}], ' ') AS tokens
   FROM documents""")
 def tokens_truncated(spark, folder):
-    return _per_document(lambda c: F.array_join(sc.word_tokens(tx.clean_text(c)), " "), "tokens")(spark, folder)
+    def cut(text: Column) -> Column:
+        return F.array_join(sc.word_tokens(tx.clean_text(text), sc.MAX_TOKENS), " ")
+
+    return _per_document(cut, "tokens")(spark, folder)
 
 
 @query(f"""SELECT word, count(*) AS n FROM (
-    SELECT unnest(string_split({sql.clean('text')}, ' ')[1:{sql.TOKENS}]) AS word FROM documents)
+    SELECT unnest(string_split({sql.clean('text')}, ' ')) AS word FROM documents)
   WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 5000""")
 def vocabulary_top(spark, folder):
     words = vocabulary.word_counts(documents(spark, folder).select(tx.clean_text("text").alias("cleaned_text")))
@@ -359,6 +434,22 @@ def nb_weights(spark, folder):
     return model.weights.select("word", F.posexplode("weight").alias("label_idx", "weight"))
 
 
+CUT = {"vocabulary": 2000, "most": 128}
+
+
+@query(f"WITH {sql.model(sql.NEWS, **CUT)} SELECT word, label_idx, weight FROM weights")
+def nb_weights_cut(spark, folder):
+    """A model told to read the first words of each text and to keep the most frequent ones."""
+    _, _, model = jobs.train_on_articles(news(spark, folder), CUT["vocabulary"], CUT["most"])
+    return model.weights.select("word", F.posexplode("weight").alias("label_idx", "weight"))
+
+
+@query(f"WITH {sql.predictions(sql.NEWS, **CUT)} SELECT * FROM preds")
+def predictions_cut(spark, folder):
+    _, rows, model = jobs.train_on_articles(news(spark, folder), CUT["vocabulary"], CUT["most"])
+    return scoring.evaluate_rows(rows.filter("is_val"), model)
+
+
 @query(f"""WITH {sql.model(sql.NEWS)} SELECT category, label_idx, CAST(articles AS BIGINT) AS articles,
   CAST(tokens AS BIGINT) AS tokens, prior FROM lstat""")
 def nb_labels(spark, folder):
@@ -379,8 +470,8 @@ def nb_scores(spark, folder):
   SELECT id, label_idx, {sql.fixed('p')} AS probability FROM probs""")
 def nb_probabilities(spark, folder):
     _, rows, model = jobs.train_on_articles(news(spark, folder))
-    probs = scoring.probabilities(naive_bayes.score(rows.filter("is_val"), model))
-    rows = probs.select("id", F.posexplode("probabilities").alias("label_idx", "p"))
+    scored = naive_bayes.score(rows.filter("is_val"), model)
+    rows = scored.select("id", F.posexplode(scoring.probabilities(F.col("scores"))).alias("label_idx", "p"))
     return rows.select("id", "label_idx", fixed(F.col("p")).alias("probability"))
 
 
@@ -401,7 +492,7 @@ VECTORS = """cells AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, un
 parts AS (SELECT *, max(x) OVER (PARTITION BY vec_id) AS top, exp(x - max(x) OVER (PARTITION BY vec_id)) AS e FROM cells),
 soft AS (SELECT vec_id, i, x, e / sum(e) OVER (PARTITION BY vec_id) AS p,
   row_number() OVER (PARTITION BY vec_id ORDER BY x DESC, i) AS place FROM parts)"""
-NAMES = ["World", "Sports", "Business", "Sci/Tech"]
+NAMES = list(labels.CATEGORIES.values())
 
 
 def _logits(spark, folder):
@@ -507,17 +598,42 @@ def _classified(spark, folder, articles: DataFrame) -> DataFrame:
     return scoring.classify(articles, jobs.train_on_articles(news(spark, folder))[2])
 
 
-RESULT = f"id, text, predicted_category, {sql.fixed('confidence')} AS confidence"
+RESULT = f"id, text, predicted_category, {sql.fixed('confidence')} AS confidence, probabilities"
+
+
+def shown(results: DataFrame) -> DataFrame:
+    """Results with the confidence to six decimals and the probabilities as sorted text."""
+    entries = F.transform(
+        F.array_sort(F.map_entries("raw_probabilities")),
+        lambda e: F.concat(e["key"], F.lit(":"), fixed(e["value"]).cast("string")),
+    )
+    return results.select(
+        "id",
+        "text",
+        "predicted_category",
+        fixed(F.col("confidence")).alias("confidence"),
+        F.array_join(entries, ",").alias("probabilities"),
+    )
 
 
 @query(f"WITH {sql.results(sql.NEWS, TURNS)} SELECT {RESULT} FROM res")
 def classify_batch(spark, folder):
-    results = _classified(spark, folder, turns(spark, folder))
-    return results.withColumn("confidence", fixed(F.col("confidence"))).drop("raw_probabilities")
+    return shown(_classified(spark, folder, turns(spark, folder)))
+
+
+ITEMS = "SELECT item_id AS id, text FROM benchmark"
+
+
+@query(f"""WITH {sql.results(sql.NEWS, "SELECT row_number() OVER (ORDER BY item_id) - 1 AS id, text FROM benchmark")}
+  SELECT {RESULT} FROM res""")
+def adhoc_texts(spark, folder):
+    """The benchmark's questions, as texts typed in by hand."""
+    model = jobs.train_on_articles(news(spark, folder))[2]
+    texts = [r.text for r in table(spark, folder, "benchmark").orderBy("item_id").collect()]
+    return shown(scoring.classify_texts(spark, texts, model))
 
 
-@query(f"""WITH {sql.results(sql.NEWS, "SELECT item_id AS id, text FROM benchmark")}
-  SELECT id, category, {sql.fixed('p')} AS probability FROM probs""")
+@query(f"""WITH {sql.results(sql.NEWS, ITEMS)} SELECT id, category, {sql.fixed('p')} AS probability FROM item_shares""")
 def classify_probabilities(spark, folder):
     items = table(spark, folder, "benchmark").select(F.col("item_id").alias("id"), "text")
     rows = scoring.probability_rows(_classified(spark, folder, items))
@@ -526,8 +642,7 @@ def classify_probabilities(spark, folder):
 
 @query(f"WITH {sql.results(sql.NEWS, TURNS)} SELECT {RESULT} FROM res WHERE confidence >= 0.75")
 def confidence_filter(spark, folder):
-    results = scoring.above_threshold(_classified(spark, folder, turns(spark, folder)))
-    return results.withColumn("confidence", fixed(F.col("confidence"))).drop("raw_probabilities")
+    return shown(scoring.above_threshold(_classified(spark, folder, turns(spark, folder))))
 
 
 @query(f"""WITH {sql.results(sql.NEWS, TURNS)} SELECT id, predicted_category,
@@ -543,12 +658,12 @@ def category_distribution(spark, folder):
     return metrics.category_distribution(_classified(spark, folder, turns(spark, folder)), 0.0)
 
 
-@query(f"SELECT id, text FROM ({TURNS}) ORDER BY id LIMIT 100")
+@query(f"SELECT id, text FROM ({TURNS}) ORDER BY id NULLS LAST, text LIMIT 100")
 def batch_cap(spark, folder):
     return batches.cap_batch(turns(spark, folder), 100)
 
 
-@query("SELECT count(*) AS articles, count(*) > 100 AS over_cap FROM conversations")
+@query(f"SELECT count(*) AS articles, count(*) > 100 AS over_cap FROM ({TURNS})")
 def article_count(spark, folder):
     return batches.article_count(turns(spark, folder), 100)
 
@@ -573,19 +688,20 @@ def batch_progress(spark, folder):
 # --- files ------------------------------------------------------------------
 
 
-@query(f"SELECT id, '{MOMENT}' AS timestamp, text, 'newswire' AS source, category FROM ({sql.NEWS})")
+@query(f"SELECT id, '{MOMENT}' AS timestamp, text, 'newswire' AS source, category FROM ({sql.CODED})")
 def jsonl_roundtrip(spark, folder):
     path = new_path(spark, "jsonl")
     files.write_jsonl(ingest_records(spark, folder), path)
     return files.read_jsonl(spark, path)
 
 
-@query(f"""SELECT id, '{MOMENT}' AS timestamp, source, category, {sql.clean('text')} AS cleaned_text FROM ({sql.NEWS})""")
+@query(f"""SELECT id, '{MOMENT}' AS timestamp, source, category, text, {sql.clean('text')} AS cleaned_text,
+  count(*) OVER () AS records, 0 AS null_timestamps, 0 AS null_ids FROM ({sql.CODED})""")
 def process_job(spark, folder):
     raw, out = new_path(spark, "raw"), new_path(spark, "cleaned")
-    files.write_jsonl(news(spark, folder).withColumn("timestamp", F.lit(MOMENT)), raw)
-    jobs.process(spark, raw, out)
-    rows = files.read_cleaned(spark, out).drop("text")
+    files.write_jsonl(named(spark, folder).withColumn("timestamp", F.lit(MOMENT)), raw)
+    counts = jobs.process(spark, raw, out)
+    rows = files.read_cleaned(spark, out).withColumns({name: F.lit(n).cast("long") for name, n in counts.items()})
     return rows.withColumn("timestamp", timestamp_text(F.col("timestamp")))
 
 
@@ -631,7 +747,7 @@ def label_map_roundtrip(spark, folder):
 @query(f"WITH {sql.model(sql.NEWS)} SELECT word, label_idx, weight FROM weights")
 def model_roundtrip(spark, folder):
     saved = jobs.train_on_articles(news(spark, folder))[2]
-    loaded = naive_bayes.load(spark, saved.path)
+    loaded = naive_bayes.load(spark, naive_bayes.save(saved, new_path(spark, "saved")).path)
     return loaded.weights.select("word", F.posexplode("weight").alias("label_idx", "weight"))
 
 
@@ -644,11 +760,16 @@ def predictions_export(spark, folder):
     return files.read_csv(spark, path)
 
 
-@query(f"""WITH {sql.results(sql.NEWS, TURNS)} SELECT CAST(id AS VARCHAR) AS id, text, predicted_category FROM res""")
+@query(f"""WITH {sql.results(sql.NEWS, TURNS)} SELECT CAST(id AS VARCHAR) AS id, text, predicted_category,
+  {sql.fixed('confidence')} AS confidence, probabilities FROM res""")
 def results_export(spark, folder):
+    """All five columns, read back from CSV with the probabilities as JSON."""
     path = new_path(spark, "results")
     files.write_csv(files.results_table(_classified(spark, folder, turns(spark, folder))), path)
-    return files.read_csv(spark, path).select("id", "text", "predicted_category")
+    rows = files.read_csv(spark, path).withColumn(
+        "raw_probabilities", F.from_json("raw_probabilities", "map<string,double>")
+    )
+    return shown(rows.withColumn("confidence", F.col("confidence").cast("double")))
 
 
 # --- regression pipeline ----------------------------------------------------
@@ -662,20 +783,52 @@ def _split_news(spark, folder) -> tuple[DataFrame, DataFrame]:
     return cleaned.filter("not is_val").drop("is_val"), cleaned.filter("is_val").drop("is_val")
 
 
-@query()
+@query(f"""WITH {sql.split(sql.NEWS)} SELECT id, label_idx AS true_label_idx, true AS is_argmax,
+  CAST(1 AS DECIMAL(9, 6)) AS probability_sum FROM parts WHERE is_val""")
 def ml_predictions(spark, folder):
+    """Regression: what must hold of every row whatever the fit comes to."""
     train, held_out = _split_news(spark, folder)
     predicted = pipeline.predict(held_out, pipeline.fit(train))
+    total = F.aggregate("probabilities", F.lit(0.0), lambda whole, p: whole + p)
     return predicted.select(
         "id",
         F.col("label_idx").alias("true_label_idx"),
-        "predicted_label_idx",
-        sc.confidence(F.col("probabilities")).alias("confidence"),
+        (sc.argmax(F.col("probabilities")) == F.col("predicted_label_idx")).alias("is_argmax"),
+        fixed(total).alias("probability_sum"),
     )
 
 
-@query()
+SELECTED = [naive_bayes.Candidate(1.0), naive_bayes.Candidate(0.25), naive_bayes.Candidate(1.0, 1000)]
+
+
+def _selection_sql() -> str:
+    rates = []
+    for i, c in enumerate(SELECTED):
+        text = sql.predictions(sql.NEWS, smoothing=c.smoothing, vocabulary=c.vocabulary_size, most=c.most)
+        rates.append(
+            f"SELECT {i} AS candidate, {c.smoothing}::DOUBLE AS smoothing, {c.vocabulary_size or 'NULL'}::BIGINT AS words, "
+            f"(WITH {text} SELECT avg(CASE WHEN true_label_idx = predicted_label_idx THEN 1.0 ELSE 0 END) FROM preds) AS a"
+        )
+    return f"""WITH rates AS ({" UNION ALL ".join(rates)}) SELECT candidate, smoothing, words, {sql.fixed('a')} AS accuracy,
+      row_number() OVER (ORDER BY a DESC, candidate) = 1 AS chosen FROM rates"""
+
+
+@query(_selection_sql())
 def model_selection(spark, folder):
+    """The most accurate of several Bayes candidates."""
+    known, rows = jobs.split_articles(news(spark, folder))
+    rows = rows.withColumn("cleaned_text", tx.clean_text("text"))
+    choice = naive_bayes.select_best(rows.filter("not is_val"), rows.filter("is_val"), known, SELECTED)
+    found = [
+        (i, c.smoothing, c.vocabulary_size, accuracy, c == choice.candidate)
+        for i, (c, accuracy) in enumerate(zip(SELECTED, choice.accuracies, strict=True))
+    ]
+    table = spark.createDataFrame(found, "candidate int, smoothing double, words long, accuracy double, chosen boolean")
+    return table.withColumn("accuracy", fixed(F.col("accuracy")))
+
+
+@query()
+def regression_selection(spark, folder):
     train, held_out = _split_news(spark, folder)
     choice = pipeline.select_best(train, held_out, [pipeline.Candidate(n) for n in (1, 2, 3)])
     scored = pipeline.predict(held_out, choice.model).withColumnRenamed("label_idx", "true_label_idx")
@@ -685,26 +838,23 @@ def model_selection(spark, folder):
 # --- streams ----------------------------------------------------------------
 
 
-@query(f"SELECT id, source, category, text, {sql.clean('text')} AS cleaned_text FROM ({sql.DOCUMENTS})")
+@query(f"""SELECT id, '{MOMENT}' AS timestamp, source, category, text, {sql.clean('text')} AS cleaned_text
+  FROM ({sql.DOCUMENTS})""")
 def stream_clean(spark, folder):
-    given = table(spark, folder, "documents")
-    arriving = spark.readStream.schema(given.schema).option("pathGlobFilter", "documents*.parquet").parquet(folder)
+    arriving = read_parquet_stream(spark, f"{folder}/documents.parquet")
     raw = arriving.select(
         F.col("doc_id").alias("id"), F.lit(MOMENT).alias("timestamp"), "text", "source", F.col("lang").alias("category")
     )
     out = new_path(spark, "stream")
     clean_stream(raw, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return files.read_cleaned(spark, f"{out}/rows").drop("timestamp")
+    rows = files.read_cleaned(spark, f"{out}/rows")
+    return rows.withColumn("timestamp", timestamp_text(F.col("timestamp")))
 
 
 @query(f"WITH {sql.results(sql.NEWS, TURNS)} SELECT {RESULT} FROM res")
 def stream_classify(spark, folder):
     model = jobs.train_on_articles(news(spark, folder))[2]
-    given = table(spark, folder, "conversations")
-    arriving = spark.readStream.schema(given.schema).option("pathGlobFilter", "conversations*.parquet").parquet(folder)
-    text = F.when(F.col("turn") == 3, F.lit(" \u00a0\t")).otherwise(F.col("text"))
-    items = arriving.select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), text.alias("text"))
+    items = with_planted_turns(read_parquet_stream(spark, f"{folder}/conversations.parquet"))
     out = new_path(spark, "stream")
     classify_stream(items, model, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    results = spark.read.parquet(f"{out}/rows").select("id", "text", "predicted_category", "confidence")
-    return results.withColumn("confidence", fixed(F.col("confidence")))
+    return shown(read_results(spark, f"{out}/rows"))

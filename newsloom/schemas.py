@@ -32,6 +32,16 @@ LABEL_MAP = T.StructType(
     ]
 )
 
+RESULTS = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("predicted_category", T.StringType()),
+        T.StructField("confidence", T.DoubleType()),
+        T.StructField("raw_probabilities", T.MapType(T.StringType(), T.DoubleType())),
+    ]
+)
+
 PREDICTIONS = T.StructType(
     [
         T.StructField("id", T.LongType()),

@@ -22,20 +22,20 @@ BASE_CONF = {
 def create_spark_session(
     app_name: str = "newsloom",
     master: str | None = None,
-    executor_memory: str = "2g",
-    driver_memory: str = "2g",
+    memory: dict[str, str] | None = None,
     extra: dict[str, str] | None = None,
     log_level: str = "ERROR",
 ) -> SparkSession:
     """Return a session with the settings above.
 
-    `master` is only set when given, so `spark-submit --master ...` wins.
+    `master` and `memory` (sizes for "driver" and "executor") are only set when
+    given, so what `spark-submit` says wins.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.executor.memory", executor_memory)
-    builder = builder.config("spark.driver.memory", driver_memory)
+    for side, size in (memory or {}).items():
+        builder = builder.config(f"spark.{side}.memory", size)
     for key, value in {**BASE_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

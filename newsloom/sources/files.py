@@ -59,10 +59,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
 
 
 def save_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str = "id") -> DataFrame:
-    """Keep articles as a table bucketed by id.
-
-    Scoring sums per id and joins on id, so over such a table neither shuffles.
-    """
+    """Keep articles as a table bucketed by id: joins and groups by id do not shuffle it."""
     spread = df.repartition(buckets, key)
     spread.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return df.sparkSession.table(table)

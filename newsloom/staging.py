@@ -10,10 +10,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,7 +37,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/newsloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/newsloom/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was staged inside; results must have been written elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -63,7 +63,7 @@ if __name__ == "__main__":
 
     folder, names = sys.argv[1], sys.argv[2:]
     spark = create_spark_session(
-        "check", "local[8]", driver_memory="8g", extra={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        "check", "local[8]", memory={"driver": "8g"}, extra={"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
     )
     statements = oracle_sql()
     for name, run in queries().items():

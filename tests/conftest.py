@@ -21,7 +21,7 @@ def spark(tmp_path_factory):
     }
     if not SparkConf().contains("spark.checkpoint.dir"):
         extra["spark.checkpoint.dir"] = str(tmp_path_factory.mktemp("checkpoints"))
-    session = create_spark_session("tests", "local[4]", driver_memory="4g", extra=extra)
+    session = create_spark_session("tests", "local[4]", memory={"driver": "4g"}, extra=extra)
     yield session
     session.stop()
 

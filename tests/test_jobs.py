@@ -51,6 +51,28 @@ def test_classify_files(spark, trained):
     assert capped.results.count() == 2
 
 
+def test_either_model_serves(spark, trained):
+    _, paths, _, summary = trained
+    items = spark.read.parquet(paths["articles"]).select("id", "text").limit(5)
+    for kind, key in (("bayes", "accuracy"), ("pipeline", "pipeline_accuracy")):
+        model = jobs.load_model(spark, paths["model"], kind)
+        assert jobs.classify_articles(items, model).results.count() == 5
+        found = jobs.evaluate(spark, paths["cleaned"], paths["model"], paths["labels"], kind=kind)
+        assert found.accuracy.first().accuracy == pytest.approx(summary[key])
+    best = jobs.load_model(spark, paths["model"])
+    wanted = "BayesModel" if summary["accuracy"] >= summary["pipeline_accuracy"] else "Regression"
+    assert type(best).__name__ == wanted
+
+
+def test_later_articles_do_not_move_the_split(spark, trained, tmp_path):
+    _, paths, _, _ = trained
+    rows = files.read_cleaned(spark, paths["cleaned"])
+    more = rows.withColumn("id", F.col("id") + 1000)
+    files.write_parquet(rows.unionByName(more), str(tmp_path / "more"), jobs.PARTITIONS)
+    found = jobs.evaluate(spark, str(tmp_path / "more"), paths["model"], paths["labels"])
+    assert found.predictions.filter("id < 1000").count() == 20
+
+
 def test_missing_model(spark, trained, tmp_path):
     _, paths, _, _ = trained
     with pytest.raises(files.MissingInput):

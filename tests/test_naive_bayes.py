@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from newsloom.operators import naive_bayes as nb
 from newsloom.operators.scoring import predict, probabilities
@@ -44,7 +45,7 @@ def by_hand(text, size=None):
     for c, docs in zip(counts, articles):
         tokens = sum(n for w, n in c.items() if w in vocabulary)
         value = round(math.log(docs / sum(articles)) * 1e9)
-        for w in text.split()[:128]:
+        for w in text.split():
             if w in vocabulary:
                 value += round(math.log((c.get(w, 0) + 1) / (tokens + len(vocabulary))) * 1e9)
         found.append(value)
@@ -59,15 +60,21 @@ def test_scores_by_hand(spark, size):
     assert got == {i: by_hand(t, size) for i, t in ITEMS}
 
 
-def test_long_tail_by_salted_join_gives_the_same(spark, monkeypatch):
+def test_long_tail_by_a_join_gives_the_same(spark, monkeypatch):
     train, labels, items = setup(spark)
     model = nb.fit(train, labels, vocabulary_size=None)
     whole = {r.id: r.scores for r in nb.score(items, model).collect()}
     monkeypatch.setattr(nb, "BROADCAST_BYTES", 3 * (48 + 8 * 3 + nb.HOT_WORD_BYTES))
-    split = nb.load(spark, model.path)
-    assert split.hot.count() == 3 and split.cold.count() == model.weights.count() - 3
-    parts = nb.score(items, split)
-    assert "salt" in parts._jdf.queryExecution().optimizedPlan().toString()
+    hot, cold = nb._hot_and_cold(model)
+    assert hot.count() == 3 and cold.count() == model.weights.count() - 3
+    written = []
+    stage = nb.stage
+    monkeypatch.setattr(nb, "stage", lambda df, name: written.append(name) or stage(df, name))
+    parts = nb.score(items, model)
+    # The rows are read and scored once; only words that are not hot, summed per row, are exchanged.
+    assert written.count("partly-scored") == 1
+    text = parts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in text and "partial_count" in text
     assert {r.id: r.scores for r in parts.collect()} == whole
 
 
@@ -82,7 +89,7 @@ def test_unknown_words_and_empty_text_score_priors(spark):
 def test_label_without_training_rows_gets_no_probability(spark):
     train, labels, items = setup(spark, [*CATEGORIES, "World"])
     model = nb.fit(train, labels)
-    for r in probabilities(nb.score(items, model)).collect():
+    for r in nb.score(items, model).select(probabilities(F.col("scores")).alias("probabilities")).collect():
         assert r.probabilities[3] == 0.0 and abs(sum(r.probabilities) - 1) < 1e-9
 
 
@@ -94,11 +101,52 @@ def test_save_and_load(spark, tmp_path):
     assert sorted(nb.score(items, loaded).collect()) == sorted(nb.score(items, saved).collect())
 
 
-@pytest.mark.parametrize("sorted_words", [1_000_000, 0])
 @pytest.mark.parametrize("size", [1, 2, 5, 37, 80, 500])
-def test_top_words(spark, monkeypatch, size, sorted_words):
-    monkeypatch.setattr("newsloom.operators.vocabulary.SORTED_WORDS", sorted_words)
+def test_top_words(spark, size):
     counts = [(f"w{i:03d}", 1 + (200 // (i + 1)) if i < 60 else 1) for i in range(120)]
     df = spark.createDataFrame(counts, "word string, n long").repartition(5)
     got = sorted((-r.n, r.word) for r in top_words(df, size).collect())
     assert got == sorted((-n, w) for w, n in counts)[:size]
+
+
+def test_whole_texts_and_all_words_unless_told(spark):
+    words = [f"w{i}" for i in range(31_000)]
+    train = spark.createDataFrame([(0, " ".join(words)), (1, "other " * 200 + "last")], "label_idx int, cleaned_text string")
+    labels = spark.createDataFrame([("A", 0), ("B", 1)], "category string, label_idx int")
+    model = nb.fit(train, labels)
+    assert model.weights.count() == 31_002
+    text = spark.createDataFrame([("nothing " * 300 + "last",)], "cleaned_text string")
+    assert predict(text, model).first().predicted_label_idx == 1
+    cut = nb.load(spark, nb.fit(train, labels, vocabulary_size=100, most=128).path)
+    assert cut.weights.count() == 100 and cut.settings.most == 128
+    scores = nb.score(text, cut).first().scores
+    assert scores == cut.priors
+
+
+def test_rows_are_scored_where_they_stand(spark):
+    train, labels, _ = setup(spark)
+    model = nb.fit(train, labels)
+    rows = [(7, "ball game"), (7, "market crash"), (None, "moon"), (None, None)]
+    items = spark.createDataFrame(rows, "id long, cleaned_text string")
+    scored = nb.score(items, model)
+    assert "Exchange" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {(r.id, r.cleaned_text): r.scores for r in scored.collect()}
+    assert got == {(i, t): by_hand(t or "") for i, t in rows}
+
+
+def test_many_classes(spark):
+    count = 1500
+    train = spark.range(count).selectExpr("cast(id as int) label_idx", "concat('w', id) cleaned_text")
+    labels = train.selectExpr("concat('c', label_idx) category", "label_idx")
+    model = nb.fit(train, labels)
+    got = predict(spark.createDataFrame([("w1234",)], "cleaned_text string"), model).first()
+    assert got.predicted_label_idx == 1234
+
+
+def test_first_best_candidate_wins(spark):
+    train, labels, items = setup(spark)
+    held_out = items.withColumn("label_idx", F.lit(0))
+    choices = [nb.Candidate(1.0), nb.Candidate(1.0), nb.Candidate(0.5, 3)]
+    choice = nb.select_best(train, held_out, labels, choices)
+    assert choice.candidate == choices[max(range(3), key=lambda i: (choice.accuracies[i], -i))]
+    assert choice.accuracies[0] == choice.accuracies[1]

@@ -1,6 +1,7 @@
 import pytest
 
 from newsloom.operators import pipeline
+from newsloom.operators.scoring import classify
 
 WORDS = {0: "ball goal match", 1: "stock market bank"}
 
@@ -19,7 +20,7 @@ def test_fit_save_load_classify(spark, rows, tmp_path):
     assert predicted.filter("id < 60 and label_idx <> predicted_label_idx").count() == 0
     assert predicted.count() == 62
     texts = spark.createDataFrame([(1, "GOAL! Match."), (2, None), (3, "bank, stock")], "id long, text string")
-    got = pipeline.classify(texts, model, ["Sports", "Business"]).orderBy("id").collect()
+    got = classify(texts, pipeline.Regression(model, ["Sports", "Business"])).orderBy("id").collect()
     assert [r.predicted_category for r in got] == ["Sports", "Invalid/Empty", "Business"]
     assert sum(got[0].raw_probabilities.values()) == pytest.approx(1)
 

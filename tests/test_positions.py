@@ -21,9 +21,8 @@ def test_nth_smallest(spark, wild_keys):
     assert nth_smallest(df.limit(0), "k", 3) is None
 
 
-def test_first_n(spark, monkeypatch):
+def test_first_n(spark):
     df = spark.range(0, 500).repartition(6)
-    monkeypatch.setattr("newsloom.operators.positions.SMALL_LIMIT", 10)
     assert sorted(r.id for r in first_n(df, 7).collect()) == list(range(7))
     large = first_n(df, 300)
     assert "TakeOrdered" not in large._jdf.queryExecution().executedPlan().toString()
@@ -32,6 +31,17 @@ def test_first_n(spark, monkeypatch):
     assert first_n(df, 900).count() == 500
 
 
+@pytest.mark.parametrize("kind", ["long", "string", "double"])
+def test_first_n_of_repeated_and_missing_keys(spark, kind):
+    keys = [1, 1, 1, 2, 3, 3, None, None, None, 5]
+    rows = [(k, i) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, "k long, i long").repartition(3).withColumn("k", F.col("k").cast(kind))
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    for n in range(1, 12):
+        assert sorted(r.i for r in first_n(df, n, "k").collect()) == sorted(i for _, i in order[:n]), n
+    assert first_n(df.limit(0), 3, "k").count() == 0
+
+
 def test_positions(spark, wild_keys):
     df = spark.createDataFrame([(k,) for k in wild_keys], "k long").repartition(5)
     got = {r.k: r.position for r in positions(df, "k").collect()}

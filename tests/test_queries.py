@@ -12,7 +12,7 @@ def test_names_agree():
     assert set(QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert set(STATEMENTS) <= set(QUERIES)
-    assert set(QUERIES) - set(STATEMENTS) == {"ml_predictions", "model_selection"}
+    assert set(QUERIES) - set(STATEMENTS) == {"regression_selection"}
 
 
 @pytest.mark.parametrize("name", sorted(STATEMENTS))

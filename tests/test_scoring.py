@@ -26,7 +26,8 @@ def test_softmax(spark, values):
 
 def test_tokens(spark):
     text = " ".join(f"w{i}" for i in range(200))
-    assert one(spark, sc.word_tokens, text, "string") == [f"w{i}" for i in range(128)]
+    assert one(spark, sc.word_tokens, text, "string") == [f"w{i}" for i in range(200)]
+    assert one(spark, lambda c: sc.word_tokens(c, sc.MAX_TOKENS), text, "string") == [f"w{i}" for i in range(128)]
     assert one(spark, sc.word_tokens, "", "string") == []
     assert one(spark, sc.word_tokens, None, "string") is None
     assert one(spark, lambda c: sc.word_tokens(c, 2), "a b", "string") == ["a", "b"]
@@ -43,6 +44,10 @@ def test_number_formats(spark):
     assert one(spark, sc.fixed4, 0.98765432, "double") == "0.9877"
     assert one(spark, sc.percent, 0.98765432, "double") == "98.77%"
     assert one(spark, lambda c: sc.percent(c, 0), 0.75, "double") == "75%"
+    for value in (0.005, 0.025, 0.125, 0.00125, 0.00375, 0.5, 1.0, 0.285, 1 / 3, 0.0, 2.675, 1e-9, 12345.678950001):
+        assert one(spark, sc.fixed4, value, "double") == f"{value:.4f}"
+        assert one(spark, sc.percent, value, "double") == f"{value * 100:.2f}%"
+        assert one(spark, lambda c: sc.percent(c, 0), value, "double") == f"{value * 100:.0f}%"
     assert one(spark, sc.confidence_flag, 0.75, "double") == "ok"
     assert one(spark, sc.confidence_flag, 0.7499, "double") == "below_threshold"
 
@@ -54,6 +59,18 @@ def test_codes(spark, code, name):
     assert one(spark, labels.code_to_category, code, "int") == name
 
 
+@pytest.mark.parametrize("code", [1.7, 3_000_000_000.0, -1e300, float("nan"), float("inf"), 4294967297.0])
+def test_odd_codes_are_no_codes(spark, code):
+    assert one(spark, labels.code_to_category, code, "double") == "unknown"
+
+
+def test_codes_as_wide_numbers(spark):
+    assert one(spark, labels.code_to_category, 3_000_000_001, "long") == "unknown"
+    assert one(spark, labels.code_to_category, 2.0, "double") == "Business"
+    assert one(spark, labels.code_to_category, "3", "string") == "Sci/Tech"
+    assert one(spark, labels.code_to_category, "x", "string") == "unknown"
+
+
 def test_label_map_orders_by_first_id(spark):
     rows = [(5, "b"), (3, "c"), (9, "a"), (4, "b"), (7, "c"), (1, None)]
     df = spark.createDataFrame(rows, "id long, category string").repartition(3)
@@ -103,3 +120,16 @@ def test_threshold_is_inclusive(spark):
 def test_probability_rows_ascend(spark, model):
     rows = scoring.probability_rows(scoring.classify_texts(spark, ["goal", None], model)).collect()
     assert [r.category for r in rows] == ["Business", "Sports"] and rows[0].probability < rows[1].probability
+
+
+def test_probability_rows_are_in_order_over_several_partitions(spark, model):
+    items = spark.createDataFrame([(i, "goal" if i % 3 else "bank") for i in range(60)], "id long, text string")
+    rows = scoring.probability_rows(scoring.classify(items.repartition(7), model)).collect()
+    assert [(r.id, r.probability, r.category) for r in rows] == sorted((r.id, r.probability, r.category) for r in rows)
+
+
+def test_ids_play_no_part(spark, model):
+    rows = [(7, "goal"), (7, "bank"), (None, "goal"), (None, "  ")]
+    items = spark.createDataFrame(rows, "id long, text string")
+    got = sorted((r.id or 0, r.text, r.predicted_category) for r in scoring.classify(items, model).collect())
+    assert got == [(0, "  ", "Invalid/Empty"), (0, "goal", "Sports"), (7, "bank", "Business"), (7, "goal", "Sports")]
