@@ -36,6 +36,8 @@ MATCHES = 20
 SEED = 11
 #: Rounds of best pairs before all open pairs are tested; a number of rounds, not a bound on pairs.
 ROUNDS = 1
+#: Lists, rarest first, whose heads a text is paired with in these rounds; later passes take all lists.
+FIRST_LISTS = 5
 
 SIGNATURES = "id long, text_hash long, n_shingles long, set_key string, signature array<int>"
 
@@ -111,9 +113,10 @@ def _set_rows(size: int):
 
 
 def _prefixes(texts: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """`(coordinate, value, node, shared)`: the postings of every text's prefix that other texts can meet.
+    """`(coordinate, value, node, shared, place)`: the postings of every text's prefix that other texts can meet.
 
-    `shared` tells how many of the text's coordinates are shared with any other text.
+    `shared` tells how many of the text's coordinates are shared with any other
+    text, `place` how many rarer ones the posting has before it.
     """
     postings = texts.select("node", F.posexplode("signature").alias("coordinate", "value"))
     lengths = postings.groupBy("coordinate", "value").agg(F.count("*").alias("n")).filter("n > 1")
@@ -121,8 +124,9 @@ def _prefixes(texts: DataFrame, coordinates: int, matches: int) -> DataFrame:
     # Values of one text alone come first in the order, so they take up places of the prefix.
     own = shared.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "coordinate", "value"))).alias("lists"))
     room = F.greatest(F.lit(0), F.lit(coordinates - matches + 1) - (F.lit(coordinates) - F.size("lists")))
-    kept = own.select("node", F.size("lists").alias("shared"), F.explode(F.slice("lists", F.lit(1), room)).alias("list"))
-    return kept.select("list.coordinate", "list.value", "node", "shared")
+    prefix = F.posexplode(F.slice("lists", F.lit(1), room)).alias("place", "list")
+    kept = own.select("node", F.size("lists").alias("shared"), prefix)
+    return kept.select("list.coordinate", "list.value", "node", "shared", "place")
 
 
 def _agreements(a: Column, b: Column) -> Column:
@@ -204,7 +208,7 @@ def near_duplicates(
     )
     stars = (
         lists.join(heads.filter("n > 1").drop("n"), key)
-        .filter("node <> head")
+        .filter((F.col("node") != F.col("head")) & (F.col("place") < FIRST_LISTS))
         .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
         .distinct()
     )
@@ -239,7 +243,7 @@ def near_duplicates(
 
     # What is left: pairs of one list in different components that were not tested yet. Texts that
     # share most of their shingles are the middle of a group; pairs with them come before all others.
-    lists = stage(lists.join(heads.filter("n > 1").select(*key), key, "left_semi").drop("shared"), "minhash-lists")
+    lists = stage(lists.join(heads.filter("n > 1").select(*key), key, "left_semi").drop("shared", "place"), "minhash-lists")
     open_lists = _several(lists, groups)
     sets = _with_sets(sets, rows, texts, open_lists.select("node").distinct(), likeness.size)
     linkable = stage(_linkable(open_lists, sets, likeness.percent), "minhash-linkable")
