@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import chat, decontamination, fingerprints, language, minhash, packing, pii, pseudo_likelihood, toxicity, warc
+from newsloom.llm import chat, decontamination, fingerprints, language, minhash, oracle, packing, pii, pseudo_likelihood, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,11 +33,12 @@ def share(key: str, parts: int):
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts))
 
 
-@query()
+@query(oracle.LEAKS)
 def op1_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = decontamination.flag(docs, table(spark, folder, "benchmark"))
-    return found.select("doc_id", "contaminated", "leaked_items", "coverage")
+    items = F.array_join("leaked_items", ",").alias("leaked_items")
+    return found.select("doc_id", "contaminated", items, "coverage")
 
 
 OWN = "</s>[INST] ok [/INST]"
@@ -78,7 +79,7 @@ def op3_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
 
 
-@query()
+@query(oracle.SPANS)
 def op4_pii_sanitise(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.annotate(table(spark, folder, "documents").select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
