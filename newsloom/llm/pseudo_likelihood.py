@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.staging import bounded_rows
+from newsloom.staging import bounded_rows, stage
 
 #: Softmax classes: frequent words, endings of other words, and the edge of a text.
 WORDS = 192
@@ -39,7 +39,7 @@ MASKED = 16
 ROUNDS = 2
 RATE = 0.2
 BATCH = 256
-CHUNK = 4096
+CHUNK = 256
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 
@@ -93,7 +93,7 @@ class Encoder:
         """Classes of the tokens of a whole text, with edges on both sides."""
         tokens = TOKEN.findall((text or "").lower())
         found = [self.met.get(word, -1) for word in tokens]
-        codes = np.full(len(found) + 2 * SIDE, EDGE, dtype=np.int32)
+        codes = np.full(len(found) + 2 * SIDE, EDGE, dtype=np.int16)
         codes[SIDE : SIDE + len(found)] = found
         for place in np.flatnonzero(codes < 0):
             codes[place] = self.__missing(tokens[place - SIDE])
@@ -167,10 +167,37 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
     return {row.word: i for i, row in enumerate(bounded_rows(top, WORDS))}
 
 
+def encode(docs: DataFrame, words: dict[str, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`(doc_id, codes)` of all rows: a byte for each token of the whole text, and edges."""
+    shared = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(shared.value)
+        for batch in source:
+            codes = [encoder(text).astype(np.uint8).tobytes() for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["doc_id", "codes"])
+
+    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    return rows.mapInArrow(run, "doc_id long, codes binary")
+
+
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, masked: int = MASKED) -> Network:
     """Train on masked tokens of every text. Without tokens the network stays as it was drawn."""
-    context = docs.sparkSession.sparkContext
-    network = fresh(vocabulary(docs, text_col))
+    words = vocabulary(docs, text_col)
+    rows = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
+    return fit_codes(stage(encode(rows, words), "lm-codes"), words, rounds, masked)
+
+
+def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Train on all texts and score them; texts are turned into codes once."""
+    words = vocabulary(docs, text_col)
+    coded = stage(encode(docs, words, id_col, text_col), "lm-codes")
+    return score_codes(coded, fit_codes(coded, words))
+
+
+def fit_codes(coded: DataFrame, words: dict[str, int], rounds: int = ROUNDS, masked: int = MASKED) -> Network:
+    context = coded.sparkSession.sparkContext
+    network = fresh(words)
     for turn in range(rounds):
         shared = context.broadcast(network)
 
@@ -178,11 +205,10 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, masked: i
             start = shared.value
             own = (start.tables.copy(), start.out.copy(), start.bias.copy())
             seen = tuple(np.full_like(x, 1e-4) for x in own)
-            encode = Encoder(start.words)
             around, wanted, held, total = [], [], 0, 0
             for batch in source:
-                for text in batch.column(0).to_pylist():
-                    codes = encode(text)
+                for raw in batch.column(0).to_pylist():
+                    codes = np.frombuffer(raw, dtype=np.uint8)
                     tokens = len(codes) - 2 * SIDE
                     if tokens <= 0:
                         continue
@@ -214,7 +240,7 @@ def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, masked: i
             return len(y)
 
         sums = (
-            docs.select(F.col(text_col).cast("string"))
+            coded.select("codes")
             .mapInArrow(train, "place long, value double")
             .groupBy("place")
             .agg(F.sum("value").alias("value"))
@@ -241,20 +267,20 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
     NULL, empty and blank texts have no tokens, a sum of 0 and a NULL mean.
     Repeated rows are scored alike; a NULL id stays NULL; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(network)
+    return score_codes(encode(docs, network.words, id_col, text_col), network)
+
+
+def score_codes(coded: DataFrame, network: Network) -> DataFrame:
+    shared = coded.sparkSession.sparkContext.broadcast(network)
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(shared.value.words)
         for batch in source:
-            counts, sums = [], []
-            for text in batch.column(1).to_pylist():
-                codes = encode(text)
-                counts.append(len(codes) - 2 * SIDE)
-                sums.append(log_likelihood(codes, shared.value))
+            codes = [np.frombuffer(raw, dtype=np.uint8) for raw in batch.column(1).to_pylist()]
+            counts = [len(c) - 2 * SIDE for c in codes]
+            sums = [log_likelihood(c, shared.value) for c in codes]
             arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "log_likelihood"])
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    found = rows.mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
+    found = coded.mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return found.withColumn("mean_log_likelihood", mean)

@@ -75,8 +75,7 @@ def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op3_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return pseudo_likelihood.score(docs, pseudo_likelihood.fit(docs))
+    return pseudo_likelihood.fit_and_score(table(spark, folder, "documents"))
 
 
 @query(oracle.SPANS)
