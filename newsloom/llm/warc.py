@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from newsloom.llm.tables import small
 from newsloom.staging import new_path, stage
 
 MAGIC = "WARC/1.1\r\n"
@@ -96,24 +97,44 @@ def write(records: DataFrame, path: str) -> None:
     records.select(F.concat(header, body).alias("value")).write.option("lineSep", BLOCK_END).text(path)
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """`(file, offset, content, length, successor)` for each place with a version line.
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """`(slot, file, block, content, head, head_bytes, length)`: what stands between version lines, written once.
 
     The text source splits archives by byte ranges, so one large file is read by
-    many tasks. A row's offset follows from the lengths of the rows before it:
-    first within its block, then over the blocks of the file. `content` runs from
-    after the version line to the next one; `successor` is NULL where no header
-    with a length is found.
+    many tasks. `content` runs from after a version line to the next one; `length`
+    is NULL where no header with a length is found.
     """
-    pieces = spark.read.option("lineSep", MAGIC).text(path).select(
+    content = F.col("content")
+    latin = F.decode(content, "ISO-8859-1")
+    head_end = F.locate(BLOCK_END, latin)
+    rows = spark.read.option("lineSep", MAGIC).text(path).select(
+        F.monotonically_increasing_id().alias("slot"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("slot"),
         F.col("value").cast("binary").alias("content"),
     )
-    pieces = stage(pieces, "warc-pieces")
+    rows = rows.withColumn("head", F.when(head_end > 0, F.substring(latin, F.lit(1), head_end + 1)).otherwise(""))
+    length = F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*([0-9]{1,18})[ \t]*\r?$", 1)
+    rows = rows.select(
+        "*",
+        F.when(head_end > 0, (head_end + 3).cast("long")).alias("head_bytes"),
+        F.when(length != "", length.cast("long")).alias("length"),
+    )
+    place = new_path(spark, "warc-pieces")
+    rows.write.option("compression", "zstd").parquet(place)
+    return spark.read.schema(rows.schema).parquet(place)
+
+
+def candidates(parts: DataFrame) -> DataFrame:
+    """`(slot, file, offset, successor)` for each place with a version line.
+
+    A place's offset follows from the lengths of the pieces before it: first
+    within its block, then over the blocks of the file. Payloads are not moved.
+    """
     magic = len(MAGIC)
-    sizes = pieces.select("file", "block", "slot", (F.octet_length("content") + magic).cast("long").alias("size"))
+    sizes = parts.select(
+        "file", "block", "slot", (F.octet_length("content") + magic).cast("long").alias("size"), "head_bytes", "length"
+    )
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         sizes.groupBy("file", "block")
@@ -121,26 +142,12 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
         .select("file", "block", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("base"))
     )
     within = Window.partitionBy("file", "block").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    places = sizes.select(
-        "file", "block", "slot", F.coalesce(F.sum("size").over(within), F.lit(0)).alias("inner")
-    ).join(blocks, ["file", "block"])
-    places = places.select("slot", (F.col("base") + F.col("inner") - magic).alias("offset"))
-    # The first row of a file is what stands before its first version line: nothing in a sound archive.
-    content = F.col("content")
-    head_end = F.locate(BLOCK_END, F.decode(content, "ISO-8859-1"))
-    head = F.when(head_end > 0, F.substring(F.decode(content, "ISO-8859-1"), F.lit(1), head_end + 1)).otherwise("")
-    length = F.regexp_extract(head, r"(?im)^Content-Length:[ \t]*([0-9]{1,18})[ \t]*\r?$", 1)
-    rows = pieces.join(places, "slot").filter("offset >= 0").select(
-        "file",
-        "offset",
-        "content",
-        head.alias("head"),
-        F.when(length != "", length.cast("long")).alias("length"),
-        F.when(head_end > 0, (head_end + 3).cast("long")).alias("head_bytes"),
-    )
-    return rows.withColumn(
-        "successor", F.col("offset") + magic + F.col("head_bytes") + F.col("length") + len(BLOCK_END)
-    )
+    placed = sizes.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0))).join(blocks, ["file", "block"])
+    offset = F.col("base") + F.col("inner") - magic
+    # The first piece of a file is what stands before its first version line: nothing in a sound archive.
+    rows = placed.withColumn("offset", offset).filter("offset >= 0")
+    successor = F.col("offset") + magic + F.col("head_bytes") + F.col("length") + len(BLOCK_END)
+    return rows.select("slot", "file", "offset", successor.alias("successor"))
 
 
 def reachable(links: DataFrame, first: int = 0) -> DataFrame:
@@ -179,41 +186,34 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     breaks (no length, or a successor where no record starts) ends there, and
     the record with the broken link is kept only if its payload is whole.
     """
-    all_pieces = stage(candidates(spark, path), "warc-candidates")
-    links = all_pieces.select("file", "offset", "successor")
-    true = reachable(links).withColumn("record", F.lit(True))
+    parts = pieces(spark, path)
+    links = stage(candidates(parts), "warc-candidates")
+    true = reachable(links.select("file", "offset", "successor")).withColumn("record", F.lit(True))
     in_order = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
-    owners = (
-        links.join(true, ["file", "offset"], "left")
-        .withColumn("owner", F.last(F.when(F.col("record"), F.col("offset")), ignorenulls=True).over(in_order))
-        .select("file", "offset", "owner", "record")
-    )
-    inner = stage(owners.filter("record IS NULL AND owner IS NOT NULL").drop("record"), "warc-inner")
-    records = all_pieces.join(true, ["file", "offset"], "left_semi")
+    owner = F.last(F.when(F.col("record"), F.col("slot")), ignorenulls=True).over(in_order)
+    owned = links.join(true, ["file", "offset"], "left").withColumn("owner", owner).filter("owner IS NOT NULL")
+    owned = stage(owned.select("slot", "offset", "owner", "record"), "warc-owned")
+    records = parts.join(small(owned.filter("record").select("slot", "offset")), "slot")
+    inner = owned.filter("record IS NULL").select("slot", "offset", "owner")
+    owners = small(stage(inner.select(F.col("owner").alias("slot")).distinct(), "warc-owners"))
     tails = (
-        all_pieces.join(inner, ["file", "offset"])
-        .groupBy("file", "owner")
+        parts.select("slot", "content")
+        .join(small(inner), "slot")
+        .groupBy(F.col("owner").alias("slot"))
         .agg(F.array_sort(F.collect_list(F.struct("offset", "content"))).alias("parts"))
         .select(
-            "file",
-            F.col("owner").alias("offset"),
+            "slot",
             F.aggregate(
                 "parts", F.lit(b""), lambda acc, part: F.concat(acc, F.lit(MAGIC.encode()), part["content"])
             ).alias("tail"),
         )
     )
-    whole = records.join(tails, ["file", "offset"], "left").select(
-        "file",
-        "offset",
-        "head",
-        "length",
-        F.substring(
-            F.concat("content", F.coalesce("tail", F.lit(b""))),
-            (F.col("head_bytes") + 1).cast("int"),
-            F.col("length").cast("int"),
-        ).alias("payload"),
-    )
-    return whole.filter(F.octet_length("payload") == F.col("length")).drop("length")
+    # Only records with version lines in their payload wait for what belongs to them.
+    longer = records.join(owners, "slot", "left_semi").join(tails, "slot").withColumn("content", F.concat("content", "tail"))
+    whole = records.join(owners, "slot", "left_anti").unionByName(longer.drop("tail"))
+    payload = F.substring("content", (F.col("head_bytes") + 1).cast("int"), F.col("length").cast("int"))
+    rows = whole.select("file", "offset", "head", "length", payload.alias("payload"))
+    return rows.filter(F.octet_length("payload") == F.col("length")).drop("length")
 
 
 def header(name: str) -> Column:

@@ -446,7 +446,7 @@ def test_warc_with_records_inside_payloads(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        assert warc.candidates(spark, path).count() > len(pages)
+        assert warc.candidates(warc.pieces(spark, path)).count() > len(pages)
         got = {r.page_id: r for r in warc.page_records(warc.read(spark, path)).collect()}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
