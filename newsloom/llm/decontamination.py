@@ -203,7 +203,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
         F.col(id_col).cast("long").alias("_doc"),
         F.xxhash64(F.col(text_col).cast("string")).alias("_text"),
     )
-    return rows.join(found, match, "left").select(
+    return rows.join(small(found), match, "left").select(
         *kept,
         F.col("_hash").isNotNull().alias("contaminated"),
         F.coalesce("leaked_items", F.array().cast("array<long>")).alias("leaked_items"),

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import joined
+from newsloom.llm.tables import small
 from newsloom.staging import stage
 
 COORDINATES = 40
@@ -262,17 +263,22 @@ def near_duplicates(
     # other shared ones the smaller number.
     with_middle = common.select(F.col("a").alias("node"), F.col("b").alias("middle"), F.col("common").alias("inner"))
     rest = rest.join(middles, key).join(with_middle, ["node", "middle"]).withColumn("outer", F.col("shared") - F.col("inner"))
-    rest = stage(rest, "minhash-rest")
+    rest = rest.join(texts.select("node", "signature"), "node")
+    own = rest.groupBy("node").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("coordinate"))).alias("posted"))
+    rest = stage(rest.join(own, "node"), "minhash-rest")
     one, two = rest.alias("one"), rest.alias("two")
     most = F.least("one.inner", "two.inner") + F.least("one.outer", "two.outer")
     bound = most * 100 >= (F.col("one.n_shingles") + F.col("two.n_shingles") - most) * likeness.percent
+    # A pair comes up in the first list that both are posted in, and in no other.
+    agree = F.zip_with("one.signature", "two.signature", lambda x, y: x == y)
+    both = F.col("one.posted").bitwiseAND(F.col("two.posted"))
+    earlier = F.transform(agree, lambda same, i: same & (i < F.col("one.coordinate")) & (F.getbit(both, i) == 1))
     crossing = (
         one.join(two, key)
         .filter((F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component")) & bound)
+        .filter((F.size(F.filter(agree, lambda same: same)) >= matches) & ~F.exists(earlier, lambda same: same))
         .select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
-        .distinct()
     )
-    crossing = _possible(crossing, texts, matches, likeness.percent)
     crossing = stage(crossing.join(tested, ["a", "b"], "left_anti"), "minhash-crossing")
     if not crossing.isEmpty():
         new = stage(_confirmed(crossing, sets, likeness.percent), "minhash-links")
@@ -309,7 +315,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     match = F.col("_id").eqNullSafe(F.col(id_col).cast("long")) & (
         F.col("_hash") == F.xxhash64(F.col(text_col).cast("string"))
     )
-    left = docs.join(stage(dropped, "minhash-dropped"), match, "left_anti")
+    left = docs.join(small(stage(dropped, "minhash-dropped")), match, "left_anti")
     repeated = stage(repeated, "minhash-repeated")
     if repeated.isEmpty():
         return left
@@ -363,6 +369,7 @@ def _sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """`(node, shingles)` of the wanted sets, computed again from one text each."""
     one = wanted.select("set_key", "node", F.col("least.id").alias("_id"), F.col("least.text_hash").alias("_hash"))
     match = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash"))
-    texts = rows.join(one, match, "left_semi").select("text")
+    # The wanted rows go to all tasks if their count allows, so that no text is shuffled.
+    texts = rows.join(small(stage(one.select("_id", "_hash"), "minhash-wanted")), match, "left_semi").select("text")
     found = texts.mapInArrow(_set_rows(size), "set_key string, shingles array<long>")
     return found.join(one, "set_key").groupBy("node").agg(F.first("shingles").alias("shingles"))

@@ -237,7 +237,7 @@ def annotate(
 
     plain = docs.filter(~maybe(text)).select(*kept, F.array().cast(SPANS).alias("spans"))
     held = docs.filter(maybe(text)).select(*kept, F.xxhash64(text).alias("_row"), base_spans(text).alias("_base"))
-    joined = held.join(hits, "_row", "left")
+    joined = held.join(small(hits), "_row", "left")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("_terms", "|"), F.lit(r")(?!\p{L})"))
 
     def apart(span: Column) -> Column:
