@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import with_value
-from newsloom.llm.tables import small
+from newsloom.llm.tables import free, small
 from newsloom.staging import stage
 
 WINDOW = 5
@@ -195,17 +195,18 @@ def flag(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     found = leaks(docs, benchmark, id_col, text_col).groupBy("id", "text_hash").agg(
         F.array_sort(F.collect_set("item_id")).alias("leaked_items"), F.max("coverage").alias("coverage")
     )
-    found = stage(found.toDF("_id", "_hash", "leaked_items", "coverage"), "benchmark-leaks")
-    kept = [c for c in docs.columns if c not in ("contaminated", "leaked_items", "coverage")]
-    match = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_text"))
+    there, there_hash, here, here_hash = free(["_id", "_hash", "_doc", "_text"], docs.columns)
+    found = stage(found.toDF(there, there_hash, "leaked_items", "coverage"), "benchmark-leaks")
+    kept = [c for c in docs.columns if c.lower() not in ("contaminated", "leaked_items", "coverage")]
+    match = F.col(there).eqNullSafe(F.col(here)) & (F.col(there_hash) == F.col(here_hash))
     rows = docs.select(
         *kept,
-        F.col(id_col).cast("long").alias("_doc"),
-        F.xxhash64(F.col(text_col).cast("string")).alias("_text"),
+        F.col(id_col).cast("long").alias(here),
+        F.xxhash64(F.col(text_col).cast("string")).alias(here_hash),
     )
     return rows.join(small(found), match, "left").select(
         *kept,
-        F.col("_hash").isNotNull().alias("contaminated"),
+        F.col(there_hash).isNotNull().alias("contaminated"),
         F.coalesce("leaked_items", F.array().cast("array<long>")).alias("leaked_items"),
         F.coalesce("coverage", F.lit(0.0)).alias("coverage"),
     )

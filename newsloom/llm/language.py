@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.ngrams import grams, letter_codes
+from newsloom.llm.tables import free
 from newsloom.staging import bounded_rows
 
 BITS = 14
@@ -216,6 +217,6 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
         found = [predict_text(text, shared.value) for text in texts]
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "_found")]
-    found = docs.select(*kept, label(F.col(text_col)).alias("_found"))
-    return found.select(*kept, "_found.lang_pred", "_found.score")
+    kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
+    (found,) = free(["_found"], docs.columns)
+    return docs.select(*kept, label(F.col(text_col)).alias(found)).select(*kept, f"{found}.lang_pred", f"{found}.score")

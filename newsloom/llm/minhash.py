@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import joined
-from newsloom.llm.tables import small
+from newsloom.llm.tables import free, small
 from newsloom.staging import stage
 
 COORDINATES = 40
@@ -308,12 +308,12 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Rows without words are all kept. Rows equal in id and text are one document: one of them stays.
     """
     marked = stage(near_duplicates(docs, id_col, text_col, likeness), "minhash-marked")
-    names = ["_id", "_hash"]
+    names = free(["_id", "_hash"], docs.columns)
     dropped = marked.filter("NOT kept").select("id", "text_hash").distinct().toDF(*names)
     repeated = marked.filter("kept AND set_key IS NOT NULL").groupBy("id", "text_hash").agg(F.count("*").alias("n"))
     repeated = repeated.filter("n > 1").select("id", "text_hash").toDF(*names)
-    match = F.col("_id").eqNullSafe(F.col(id_col).cast("long")) & (
-        F.col("_hash") == F.xxhash64(F.col(text_col).cast("string"))
+    match = F.col(names[0]).eqNullSafe(F.col(id_col).cast("long")) & (
+        F.col(names[1]) == F.xxhash64(F.col(text_col).cast("string"))
     )
     left = docs.join(small(stage(dropped, "minhash-dropped")), match, "left_anti")
     repeated = stage(repeated, "minhash-repeated")

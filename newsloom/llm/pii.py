@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import with_value
-from newsloom.llm.tables import small
+from newsloom.llm.tables import free, small
 from newsloom.staging import stage
 
 # The patterns match what their plain forms match; possessive parts and the look-behinds only
@@ -217,7 +217,8 @@ def annotate(
     looked for in rows with at least one entity; a term inside an entity's span is no
     span of its own.
     """
-    kept = [c for c in docs.columns if c != "spans"]
+    kept = [c for c in docs.columns if c.lower() != "spans"]
+    row, base, found_terms = free(["_row", "_base", "_terms"], docs.columns)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     texts = docs.select(text.alias("text"))
     with_spans = (
@@ -231,20 +232,20 @@ def annotate(
         found.select("row", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
         .join(small(terms), "term")
         .groupBy("row")
-        .agg(F.array_sort(F.collect_set("term")).alias("_terms"))
+        .agg(F.array_sort(F.collect_set("term")).alias(found_terms))
     )
-    hits = stage(hits.withColumnRenamed("row", "_row"), "pii-hits")
+    hits = stage(hits.withColumnRenamed("row", row), "pii-hits")
 
     plain = docs.filter(~maybe(text)).select(*kept, F.array().cast(SPANS).alias("spans"))
-    held = docs.filter(maybe(text)).select(*kept, F.xxhash64(text).alias("_row"), base_spans(text).alias("_base"))
-    joined = held.join(small(hits), "_row", "left")
-    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("_terms", "|"), F.lit(r")(?!\p{L})"))
+    held = docs.filter(maybe(text)).select(*kept, F.xxhash64(text).alias(row), base_spans(text).alias(base))
+    joined = held.join(small(hits), row, "left")
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(found_terms, "|"), F.lit(r")(?!\p{L})"))
 
     def apart(span: Column) -> Column:
-        return ~F.exists("_base", lambda b: (span["start"] < b["end"]) & (b["start"] < span["end"]))
+        return ~F.exists(base, lambda b: (span["start"] < b["end"]) & (b["start"] < span["end"]))
 
-    more = F.when(F.col("_terms").isNotNull(), F.filter(located(text, pattern, TERM), apart))
-    spans = F.concat("_base", F.coalesce(more, F.array().cast(SPANS))).cast(SPANS)
+    more = F.when(F.col(found_terms).isNotNull(), F.filter(located(text, pattern, TERM), apart))
+    spans = F.concat(base, F.coalesce(more, F.array().cast(SPANS))).cast(SPANS)
     return plain.unionByName(joined.select(*kept, spans.alias("spans")))
 
 

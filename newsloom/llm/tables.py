@@ -1,4 +1,4 @@
-"""Joins with tables whose size is measured first."""
+"""Joins with tables whose size is measured first, and column names that are free."""
 
 from __future__ import annotations
 
@@ -12,3 +12,11 @@ BROADCAST_ROWS = 500_000
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """`df`, marked for broadcast if its counted rows allow. Pass a staged table of short rows."""
     return F.broadcast(df) if df.count() <= most else df
+
+
+def free(names: list[str], columns: list[str]) -> list[str]:
+    """`names`, with underscores put before them until no column of `columns` has any of them."""
+    taken = {c.lower() for c in columns}
+    while any(n.lower() in taken for n in names):
+        names = [f"_{n}" for n in names]
+    return names

@@ -164,6 +164,6 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", thresho
         for texts in batches:
             yield pd.Series([sigmoid(text_logit(t, shared.value)) for t in texts], dtype=float)
 
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
     scored = docs.select(*kept, logits(F.col(text_col)).alias("score"))
     return scored.select(*kept, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -25,7 +25,7 @@ def odd_docs(spark, docs_schema):
         (7, "x", None, "d", 1),
     ]
     frame = spark.createDataFrame(rows, docs_schema)
-    extra = {n: "lit" for n in ("score", "spans", "item_id", "set_key", "node", "id", "label", "coverage", "_row", "own")}
+    extra = "score spans item_id set_key node id label coverage _row own _id _hash _text _found Lang_Pred".split()
     return frame.withColumns({n: F.lit(f"mine-{n}") for n in extra})
 
 

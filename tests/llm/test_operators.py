@@ -241,8 +241,9 @@ def test_base_spans_by_hand(spark):
 
 
 def test_terms_that_disclose(spark):
-    rows = [f"Filler{i} text. Reach Zebulon at zeb@corp.example.com about topic{i}." for i in range(6)]
-    rows += [f"Common words about nothing at all number{i}x" for i in range(60)]
+    topics = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    rows = [f"{t} text. Reach Zebulon at zeb@corp.example.com about {t}s." for t in topics]
+    rows += [f"Common text about nothing at all number{i}x" for i in range(60)]
     rows += [f"Reach us at info{i}@other{i}.example.org about common words" for i in range(20)]
     found = {r.doc_id: r.spans for r in pii.annotate(doc_frame(spark, rows)).collect()}
     for i in range(6):
@@ -250,7 +251,7 @@ def test_terms_that_disclose(spark):
     assert not any(s.kind == "term" for i in range(6, len(rows)) for s in found[i])
     frame = pii.annotate(doc_frame(spark, rows[:6] + rows[6:]))
     text = frame.select("doc_id", pii.redacted(F.col("text"), F.col("spans")).alias("t")).filter("doc_id = 2").first().t
-    assert text == "Filler2 text. Reach [TERM] at [EMAIL] about topic2."
+    assert text == "gamma text. Reach [TERM] at [EMAIL] about gammas."
 
 
 def test_odd_texts_are_annotated(spark, odd_docs, no_docs):
