@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.ngrams import grams, letter_codes
-from newsloom.llm.tables import free
+from newsloom.llm.tables import free, small_batches
 from newsloom.staging import bounded_rows
 
 BITS = 14
@@ -76,7 +76,7 @@ def document_counts(docs: DataFrame, text_col: str = "text", bits: int = BITS) -
         places = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(seen[places], pa.int64())], ["bucket", "n"])
 
-    sums = docs.select(text_col).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = small_batches(docs).select(text_col).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     found = sums.toPandas()  # at most 2**bits + 1 rows
     totals = np.zeros(size + 1)
     totals[found["bucket"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=float)
@@ -219,4 +219,4 @@ def predict(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> Da
 
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     (found,) = free(["_found"], docs.columns)
-    return docs.select(*kept, label(F.col(text_col)).alias(found)).select(*kept, f"{found}.lang_pred", f"{found}.score")
+    return small_batches(docs).select(*kept, label(F.col(text_col)).alias(found)).select(*kept, f"{found}.lang_pred", f"{found}.score")

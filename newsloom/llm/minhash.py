@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.llm.components import joined
-from newsloom.llm.tables import free, small
+from newsloom.llm.tables import free, small, small_batches
 from newsloom.staging import stage
 
 COORDINATES = 40
@@ -190,7 +190,7 @@ def near_duplicates(
     of rows that share the smallest id, those with the smallest text hash are
     kept. Rows equal in both columns are marked alike. Only the two named columns are read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = rows.select("id", F.xxhash64("text").alias("text_hash"), "text")
     signed = stage(rows.mapInArrow(_signature_rows(likeness.size, coordinates), SIGNATURES), "minhash-signatures")
     # One node per distinct set, numbered as it is written: ids may be NULL or repeated.

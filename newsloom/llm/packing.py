@@ -21,6 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm.tables import small_batches
+
 CAPACITY = 2048
 #: Pieces shorter than `CAPACITY // CLASSES` are filled in order.
 CLASSES = 32
@@ -180,7 +182,7 @@ def pack(
         if rows := list(worker.finish()):
             yield as_batch(rows)
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(batches, SCHEMA)
+    return small_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(batches, SCHEMA)
 
 
 def as_batch(rows: list[tuple]) -> pa.RecordBatch:

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsloom.llm.tables import small_batches
 from newsloom.staging import bounded_rows, stage
 
 #: Softmax classes: frequent words, endings of other words, and the edge of a text.
@@ -71,7 +72,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def as_batch(seen: dict[str, int]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
-    counted = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "word string, n long")
+    counted = small_batches(docs).select(F.col(text_col).cast("string")).mapInArrow(count, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
@@ -177,7 +178,7 @@ def encode(docs: DataFrame, words: dict[str, int], id_col: str = "doc_id", text_
             codes = [encoder(text).astype(np.uint8).tobytes() for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["doc_id", "codes"])
 
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    rows = small_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return rows.mapInArrow(run, "doc_id long, codes binary")
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.language import labelled_sample
 from newsloom.llm.ngrams import SPACE, grams, letter_codes
+from newsloom.llm.tables import small_batches
 
 BITS = 17
 SIZES = (3, 4, 5)
@@ -165,5 +166,5 @@ def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text", thresho
             yield pd.Series([sigmoid(text_logit(t, shared.value)) for t in texts], dtype=float)
 
     kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
-    scored = docs.select(*kept, logits(F.col(text_col)).alias("score"))
+    scored = small_batches(docs).select(*kept, logits(F.col(text_col)).alias("score"))
     return scored.select(*kept, "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
