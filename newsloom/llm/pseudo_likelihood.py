@@ -2,11 +2,14 @@
 
 Every token is predicted from its neighbours on both sides: position-wise
 embeddings of the window are summed, a hyperbolic tangent follows, and a softmax runs
-over the vocabulary. A document's score is the sum of the log-probabilities of
-all its tokens, each given all its neighbours.
-
-The vocabulary comes from word counts over the whole corpus: the most frequent
-words, and buckets by word ending for all others. Training masks a share of the
+over classes of words. A document's score is the sum of the log-probabilities of
+all its tokens, each given all its neighbours: P(class | both sides) x P(word | class).
+
+Classes and the words inside them come from word counts over the whole corpus: the most
+frequent words are classes of their own, all others share classes by word ending. P(word | class)
+is the word's share of its class; one more count in each class is kept for words the corpus has not.
+Words up to a bounded number, the most frequent, are weighed where the texts stand; the
+others, counted per row, in a join with the whole table. Training masks a share of the
 tokens of every document; each task takes steps from the same start on its own
 rows, and the mean of the networks, weighted by tokens, starts the next round.
 What is counted, masked and averaged grows with the corpus; a network does not.
@@ -14,9 +17,11 @@ What is counted, masked and averaged grows with the corpus; a network does not.
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,8 @@ WORDS = 192
 ENDINGS = 63
 EDGE = WORDS + ENDINGS
 SIZE = EDGE + 1
+#: Words whose weights go to all tasks, at most; the others are joined.
+HEADS = 200_000
 #: Neighbours on each side.
 SIDE = 2
 DIMENSIONS = 24
@@ -42,6 +49,7 @@ RATE = 0.2
 BATCH = 256
 CHUNK = 256
 
+REST = pa.list_(pa.struct([("word", pa.string()), ("place", pa.int32()), ("times", pa.int64())]))
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 
 
@@ -52,10 +60,26 @@ class Network:
     tables: np.ndarray
     out: np.ndarray
     bias: np.ndarray
+    inside: Inside | None = None
+
+
+@dataclass(frozen=True)
+class Inside:
+    """P(word | class) of all words: the staged `(word, place, n)` of a corpus, and the counts of shared classes."""
+
+    counts: DataFrame
+    totals: dict[int, int]
+    #: Class and log-probability of the most frequent words.
+    heads: dict[str, tuple[int, float]]
+
+
+def bucket(word: str) -> int:
+    """The class that words with the same ending share."""
+    return WORDS + xxhash.xxh3_64_intdigest(word[-3:].encode("utf-8", "surrogatepass")) % ENDINGS
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """`(word, n)` over all whole texts; tasks send each distinct word once."""
+    """`(word, place, n)` over all whole texts, `place` by ending; tasks send each distinct word once."""
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, int] = {}
@@ -70,35 +94,44 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
             yield as_batch(seen)
 
     def as_batch(seen: dict[str, int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.string()), pa.array([bucket(w) for w in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())],
+            ["word", "place", "n"],
+        )
 
-    counted = small_batches(docs).select(F.col(text_col).cast("string")).mapInArrow(count, "word string, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+    counted = small_batches(docs).select(F.col(text_col).cast("string")).mapInArrow(count, "word string, place int, n long")
+    return counted.groupBy("word", "place").agg(F.sum("n").alias("n"))
 
 
 class Encoder:
-    """Texts to class numbers; remembers the classes of words it has met, within bounds."""
+    """Texts to class numbers and the log-probabilities of the words in their classes."""
 
-    def __init__(self, words: dict[str, int], most: int = 1_000_000):
-        self.words, self.most, self.met = words, most, dict(words)
+    def __init__(self, words: dict[str, int], heads: dict[str, tuple[int, float]] | None = None):
+        known = {word: (place, 0.0) for word, place in words.items()}
+        known = {**(heads or {}), **known}
+        self.index = {word: i for i, word in enumerate(known)}
+        self.places = np.array([place for place, _ in known.values()] or [0], dtype=np.int16)
+        self.weights = np.array([weight for _, weight in known.values()] or [0.0], dtype=np.float64)
 
-    def __missing(self, word: str) -> int:
-        ending = word[-3:].encode("utf-8", "surrogatepass")
-        place = WORDS + xxhash.xxh3_64_intdigest(ending) % ENDINGS
-        if len(self.met) >= self.most:
-            self.met = dict(self.words)
-        self.met[word] = place
-        return place
+    def parts(self, text: str | None) -> tuple[np.ndarray, float, Counter]:
+        """Classes of the tokens of a whole text, with edges on both sides; the sum of the known weights; the other words."""
+        tokens = TOKEN.findall((text or "").lower())
+        found = np.array([self.index.get(word, -1) for word in tokens], dtype=np.int32)
+        codes = np.full(len(found) + 2 * SIDE, EDGE, dtype=np.int16)
+        rest: Counter = Counter()
+        known = 0.0
+        if len(found):
+            codes[SIDE : SIDE + len(found)] = self.places[found]
+            there = found >= 0
+            known = float(self.weights[found[there]].sum())
+            for place in np.flatnonzero(~there):
+                codes[SIDE + place] = bucket(tokens[place])
+                rest[tokens[place]] += 1
+        return codes, known, rest
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Classes of the tokens of a whole text, with edges on both sides."""
-        tokens = TOKEN.findall((text or "").lower())
-        found = [self.met.get(word, -1) for word in tokens]
-        codes = np.full(len(found) + 2 * SIDE, EDGE, dtype=np.int16)
-        codes[SIDE : SIDE + len(found)] = found
-        for place in np.flatnonzero(codes < 0):
-            codes[place] = self.__missing(tokens[place - SIDE])
-        return codes
+        return self.parts(text)[0]
 
 
 def neighbours(codes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -162,41 +195,74 @@ def fresh(words: dict[str, int]) -> Network:
     )
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
-    """The `WORDS` most frequent words of all texts, ties by word."""
-    top = word_counts(docs, text_col).orderBy(F.desc("n"), "word").limit(WORDS)
-    return {row.word: i for i, row in enumerate(bounded_rows(top, WORDS))}
-
-
-def encode(docs: DataFrame, words: dict[str, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`(doc_id, codes)` of all rows: a byte for each token of the whole text, and edges."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[dict[str, int], Inside]:
+    """The `WORDS` most frequent words of all texts, ties by word, and the shares of all others in their classes."""
+    counts = stage(word_counts(docs, text_col), "lm-words")
+    top = counts.orderBy(F.desc("n"), "word").limit(WORDS)
+    words = {row.word: i for i, row in enumerate(bounded_rows(top, WORDS))}
+    others = counts.filter(~F.col("word").isin(list(words))) if words else counts
+    totals = {row.place: row.n for row in bounded_rows(others.groupBy("place").agg(F.sum("n").alias("n")), ENDINGS)}
+    # The least power of two for which the words counted at least so often are few enough.
+    tall = F.floor(F.log2("n")).cast("int")
+    most, held = 64, 0
+    for row in others.groupBy(tall.alias("power")).agg(F.count("*").alias("words")).orderBy(F.desc("power")).collect():
+        held += row.words
+        if held > HEADS:
+            break
+        most = row.power
+    heads = {
+        row.word: (row.place, math.log(row.n / (totals[row.place] + 1)))
+        for row in bounded_rows(others.filter(tall >= most), HEADS)
+    }
+    return words, Inside(counts, totals, heads)
+
+
+def encode(
+    docs: DataFrame, words: dict[str, int], inside: Inside | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`(row, doc_id, codes, inside, rest)` of all rows: a byte for each token of the whole text, and edges;
+    the log-probabilities of known words in their classes, and the counts of the other words. Stage it: `row` is
+    fixed when it is written."""
+    shared = docs.sparkSession.sparkContext.broadcast((words, inside.heads if inside else {}))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(*shared.value)
         for batch in source:
-            codes = [encoder(text).astype(np.uint8).tobytes() for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], names=["doc_id", "codes"])
+            found = [encoder.parts(text) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([codes.astype(np.uint8).tobytes() for codes, _, _ in found], pa.binary()),
+                    pa.array([known for _, known, _ in found], pa.float64()),
+                    pa.array([[(w, bucket(w), n) for w, n in rest.items()] for _, _, rest in found], REST),
+                ],
+                names=["row", "doc_id", "codes", "inside", "rest"],
+            )
 
-    rows = small_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(run, "doc_id long, codes binary")
+    rows = small_batches(docs).select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    )
+    return rows.mapInArrow(run, "row long, doc_id long, codes binary, inside double, rest array<struct<word:string,place:int,times:long>>")
 
 
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, masked: int = MASKED) -> Network:
     """Train on masked tokens of every text. Without tokens the network stays as it was drawn."""
-    words = vocabulary(docs, text_col)
+    words, inside = vocabulary(docs, text_col)
     rows = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
-    return fit_codes(stage(encode(rows, words), "lm-codes"), words, rounds, masked)
+    return fit_codes(stage(encode(rows, words, inside), "lm-codes"), words, inside, rounds, masked)
 
 
 def fit_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train on all texts and score them; texts are turned into codes once."""
-    words = vocabulary(docs, text_col)
-    coded = stage(encode(docs, words, id_col, text_col), "lm-codes")
-    return score_codes(coded, fit_codes(coded, words))
+    words, inside = vocabulary(docs, text_col)
+    coded = stage(encode(docs, words, inside, id_col, text_col), "lm-codes")
+    return score_codes(coded, fit_codes(coded, words, inside))
 
 
-def fit_codes(coded: DataFrame, words: dict[str, int], rounds: int = ROUNDS, masked: int = MASKED) -> Network:
+def fit_codes(
+    coded: DataFrame, words: dict[str, int], inside: Inside, rounds: int = ROUNDS, masked: int = MASKED
+) -> Network:
     context = coded.sparkSession.sparkContext
     network = fresh(words)
     for turn in range(rounds):
@@ -259,7 +325,7 @@ def fit_codes(coded: DataFrame, words: dict[str, int], rounds: int = ROUNDS, mas
                 parts[2],
             )
         shared.unpersist()
-    return network
+    return replace(network, inside=inside)
 
 
 def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,20 +334,40 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
     NULL, empty and blank texts have no tokens, a sum of 0 and a NULL mean.
     Repeated rows are scored alike; a NULL id stays NULL; other columns are not read.
     """
-    return score_codes(encode(docs, network.words, id_col, text_col), network)
+    coded = encode(docs, network.words, network.inside, id_col, text_col)
+    return score_codes(stage(coded, "lm-codes"), network)
+
+
+def rest_weights(coded: DataFrame, inside: Inside) -> DataFrame:
+    """`(row, more)`: the log-probabilities in their classes of words that were not known where the texts stand."""
+    each = coded.select("row", F.inline("rest"))
+    pairs = [F.lit(x) for pair in (inside.totals or {-1: 0}).items() for x in pair]
+    total = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("place")), F.lit(0))
+    # A word that the corpus has not gets the count kept for such words in its class.
+    found = each.join(inside.counts.select("word", "n"), "word", "left")
+    weight = F.ln(F.coalesce("n", F.lit(1)) / (total + 1))
+    return found.groupBy("row").agg(F.sum(F.col("times") * weight).alias("more"))
 
 
 def score_codes(coded: DataFrame, network: Network) -> DataFrame:
-    shared = coded.sparkSession.sparkContext.broadcast(network)
+    inside = network.inside
+    shared = coded.sparkSession.sparkContext.broadcast(replace(network, inside=None))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            codes = [np.frombuffer(raw, dtype=np.uint8) for raw in batch.column(1).to_pylist()]
+            codes = [np.frombuffer(raw, dtype=np.uint8) for raw in batch.column(2).to_pylist()]
             counts = [len(c) - 2 * SIDE for c in codes]
             sums = [log_likelihood(c, shared.value) for c in codes]
-            arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "log_likelihood"])
-
-    found = coded.mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double")
+            sums = np.array(sums) + batch.column(3).to_numpy()
+            arrays = [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "n_tokens", "log_likelihood"])
+
+    found = coded.drop("rest").mapInArrow(run, "row long, doc_id long, n_tokens long, log_likelihood double")
+    if inside:
+        more = rest_weights(coded, inside)
+        found = found.join(more, "row", "left").withColumn(
+            "log_likelihood", F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
+        )
+    found = found.select("doc_id", "n_tokens", "log_likelihood")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return found.withColumn("mean_log_likelihood", mean)

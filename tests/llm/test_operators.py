@@ -184,6 +184,30 @@ def test_training_tells_order_from_disorder(spark):
     assert good > bad + 0.5 and good > alien + 0.5
 
 
+@pytest.mark.parametrize("heads", [200_000, 20, 0])
+def test_words_are_told_apart_inside_their_class(spark, monkeypatch, heads):
+    monkeypatch.setattr(pseudo_likelihood, "HEADS", heads)
+    common = " ".join(f"w{i}" for i in range(250)) + " "
+    rows = [(i, common * 3) for i in range(8)] + [(8, "nation " * 15 + "zzation"), (9, "nation nation zzation zzation qqation")]
+    network = pseudo_likelihood.fit(spark.createDataFrame(rows, "doc_id long, text string"), rounds=1)
+    counts = Counter(w for _, text in rows for w in text.split())
+    places = Counter()
+    for word, n in counts.items():
+        if word not in network.words:
+            places[pseudo_likelihood.bucket(word)] += n
+    texts = ["nation", "zzation", "qqation", "gibberation", "w1 nation zzation zzation", "", None]
+    docs = spark.createDataFrame([(None if i == 4 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.score(docs, network).collect()}
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        inside = sum(
+            np.log((counts[w] or 1) / (places[pseudo_likelihood.bucket(w)] + 1)) for w in words if w not in network.words
+        )
+        codes = pseudo_likelihood.Encoder(network.words)(text)
+        assert got[None if i == 4 else i] == pytest.approx(pseudo_likelihood.log_likelihood(codes, network) + inside, rel=1e-4)
+    assert got[0] > got[1] + 1 > got[2] + 1 > got[3] or "nation" in network.words
+
+
 def test_odd_texts_are_scored(spark, odd_docs, no_docs):
     network = pseudo_likelihood.fit(odd_docs)
     rows = pseudo_likelihood.score(odd_docs, network).collect()
