@@ -9,8 +9,9 @@ Classes and the words inside them come from word counts over the whole corpus: t
 frequent words are classes of their own, all others share classes by word ending. P(word | class)
 is the word's share of its class; one more count in each class is kept for words the corpus has not.
 Words up to a bounded number, the most frequent, are weighed where the texts stand; the
-others, counted per row, in a join with the whole table. Training masks a share of the
-tokens of every document; each task takes steps from the same start on its own
+others, counted per row, in a join with the whole table. Training deals the tokens of
+every document to masks, and every round takes masks of its own, so that the rounds together
+predict every token of the corpus once; each task takes steps from the same start on its own
 rows, and the mean of the networks, weighted by tokens, starts the next round.
 What is counted, masked and averaged grows with the corpus; a network does not.
 """
@@ -42,7 +43,7 @@ HEADS = 200_000
 #: Neighbours on each side.
 SIDE = 2
 DIMENSIONS = 24
-#: One token of this many is masked in a round of training.
+#: Masks to which tokens are dealt; the rounds share all of them.
 MASKED = 16
 ROUNDS = 2
 RATE = 0.2
@@ -175,8 +176,8 @@ def step(network: tuple[np.ndarray, ...], seen: tuple[np.ndarray, ...], around:
     back = (logits @ out.T) * (1 - inner**2)
     slopes_out, slopes_bias = inner.T @ logits, logits.sum(axis=0)
     for i in range(2 * SIDE):
-        slope = np.zeros_like(tables[i])
-        np.add.at(slope, around[:, i], back)
+        cells = around[:, i].astype(np.int64)[:, None] * DIMENSIONS + np.arange(DIMENSIONS)
+        slope = np.bincount(cells.ravel(), back.ravel(), SIZE * DIMENSIONS).astype(np.float32).reshape(SIZE, DIMENSIONS)
         seen[0][i] += slope**2
         tables[i] -= RATE * slope / np.sqrt(seen[0][i])
     seen[1][...] += slopes_out**2
@@ -185,6 +186,12 @@ def step(network: tuple[np.ndarray, ...], seen: tuple[np.ndarray, ...], around:
     bias -= RATE * slopes_bias / np.sqrt(seen[2])
 
 
+def trained(codes: np.ndarray, turn: int, rounds: int, masked: int) -> np.ndarray:
+    """Token places that a round predicts: those of its masks. Which mask a token gets depends on its text alone."""
+    rng = np.random.default_rng(xxhash.xxh3_64_intdigest(codes.tobytes()))
+    return np.flatnonzero(rng.integers(0, masked, len(codes) - 2 * SIDE) % rounds == turn)
+
+
 def fresh(words: dict[str, int]) -> Network:
     rng = np.random.default_rng(5)
     return Network(
@@ -247,7 +254,7 @@ def encode(
 
 
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, masked: int = MASKED) -> Network:
-    """Train on masked tokens of every text. Without tokens the network stays as it was drawn."""
+    """Train on all tokens of every text, each in one round. Without tokens the network stays as it was drawn."""
     words, inside = vocabulary(docs, text_col)
     rows = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
     return fit_codes(stage(encode(rows, words, inside), "lm-codes"), words, inside, rounds, masked)
@@ -279,9 +286,7 @@ def fit_codes(
                     tokens = len(codes) - 2 * SIDE
                     if tokens <= 0:
                         continue
-                    # Which tokens are masked depends on the text alone.
-                    rng = np.random.default_rng((turn, xxhash.xxh3_64_intdigest(codes.tobytes())))
-                    places = np.flatnonzero(rng.random(tokens) < 1 / masked)
+                    places = trained(codes, turn, rounds, masked)
                     around.append(neighbours(codes, places))
                     wanted.append(codes[places + SIDE])
                     held += len(places)

@@ -208,6 +208,14 @@ def test_words_are_told_apart_inside_their_class(spark, monkeypatch, heads):
     assert got[0] > got[1] + 1 > got[2] + 1 > got[3] or "nation" in network.words
 
 
+@pytest.mark.parametrize("rounds, masked", [(pseudo_likelihood.ROUNDS, pseudo_likelihood.MASKED), (3, 16), (4, 4), (6, 4)])
+def test_training_predicts_every_token_once(rounds, masked):
+    for text in texts_of(21, 30, 200):
+        codes = pseudo_likelihood.Encoder({"w1": 0})(text)
+        places = [pseudo_likelihood.trained(codes, turn, rounds, masked) for turn in range(rounds)]
+        assert sorted(np.concatenate(places).tolist()) == list(range(len(codes) - 4))
+
+
 def test_odd_texts_are_scored(spark, odd_docs, no_docs):
     network = pseudo_likelihood.fit(odd_docs)
     rows = pseudo_likelihood.score(odd_docs, network).collect()
