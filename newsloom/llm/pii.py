@@ -175,12 +175,14 @@ def contexts(entities: DataFrame) -> DataFrame:
 def disclosing(rows: DataFrame, found: DataFrame, threshold: float, least: int) -> DataFrame:
     """`(term)` that give away an entity. `rows` holds all texts, `found` `(row, text, spans)` with entities.
 
-    Counts cover all rows: how many hold the term, the entity, and the one beside the other.
+    Counts cover all rows, each copy of a text too: how many hold the term, the entity, and the one beside the other.
     """
-    beside = contexts(found)
+    copies = stage(found.groupBy("row").agg(F.count("*").alias("copies")), "pii-copies")
+    beside = contexts(found).distinct()
+    counted = beside.join(small(copies), "row")
     pairs = (
-        beside.groupBy("entity", "term", "context")
-        .agg(F.count_distinct("row").alias("rows"))
+        counted.groupBy("entity", "term", "context")
+        .agg(F.sum("copies").alias("rows"))
         .groupBy("entity", "term")
         .agg(F.count("*").alias("contexts"), F.sum("rows").alias("together"))
         .filter(F.col("contexts") >= least)
@@ -190,7 +192,8 @@ def disclosing(rows: DataFrame, found: DataFrame, threshold: float, least: int)
     terms = stage(pairs.select("term").distinct(), "pii-terms")
     holds = rows.select(F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
     with_term = holds.join(small(terms), "term").groupBy("term").agg(F.count("*").alias("with_term"))
-    with_entity = beside.groupBy("entity").agg(F.count_distinct("row").alias("with_entity"))
+    holders = beside.select("row", "entity").distinct().join(small(copies), "row")
+    with_entity = holders.groupBy("entity").agg(F.sum("copies").alias("with_entity"))
     total = rows.count()
     strength = F.ln(F.lit(float(total)) * F.col("together") / (F.col("with_term") * F.col("with_entity")))
     information = -F.ln(F.col("with_entity") / F.lit(float(total)))

@@ -286,6 +286,14 @@ def test_terms_that_disclose(spark):
     assert text == "gamma text. Reach [TERM] at [EMAIL] about gammas."
 
 
+def test_copies_count_as_rows_wherever_rows_are_counted(spark):
+    held = ["Reach Zebulon at zeb@corp.example.com about one thing"] * 30 + ["Then Zebulon wrote zeb@corp.example.com about two more"]
+    rows = held + [f"Common text about one thing or two more number{i}x" for i in range(270)]
+    found = {r.doc_id: r.spans for r in pii.annotate(doc_frame(spark, rows)).collect()}
+    for i in range(31):
+        assert "Zebulon" in [rows[i][s.start : s.end] for s in found[i] if s.kind == "term"]
+
+
 def test_odd_texts_are_annotated(spark, odd_docs, no_docs):
     got = pii.annotate(odd_docs)
     assert got.count() == odd_docs.count() and got.columns == [c for c in odd_docs.columns if c != "spans"] + ["spans"]
