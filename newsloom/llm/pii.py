@@ -5,7 +5,7 @@ values are the protected entities. For words near an entity the corpus tells
 how strongly they reveal it: pointwise mutual information of word and entity,
 as a share of the entity's own information content. Words that come up beside
 an entity in several different contexts, and hardly anywhere else, exceed the
-threshold and are generalised in documents that hold protected entities.
+threshold and are generalised in all documents, also in those that hold no entity.
 """
 
 from __future__ import annotations
@@ -217,8 +217,7 @@ def annotate(
     NULL texts count as empty and have no spans. Rows are told apart by their
     text, so repeated rows and rows with NULL ids get the same spans as any
     other. All rows and columns stay; a column `spans` is replaced. Terms are
-    looked for in rows with at least one entity; a term inside an entity's span is no
-    span of its own.
+    looked for in all rows; a term inside an entity's span is no span of its own.
     """
     kept = [c for c in docs.columns if c.lower() != "spans"]
     row, base, found_terms = free(["_row", "_base", "_terms"], docs.columns)
@@ -232,15 +231,14 @@ def annotate(
     found = stage(with_spans.filter(F.size("spans") > 0), "pii-found")
     terms = stage(disclosing(texts, found, threshold, least), "pii-disclosing")
     hits = (
-        found.select("row", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
+        texts.select(F.xxhash64("text").alias("row"), F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
         .join(small(terms), "term")
         .groupBy("row")
         .agg(F.array_sort(F.collect_set("term")).alias(found_terms))
     )
     hits = stage(hits.withColumnRenamed("row", row), "pii-hits")
 
-    plain = docs.filter(~maybe(text)).select(*kept, F.array().cast(SPANS).alias("spans"))
-    held = docs.filter(maybe(text)).select(*kept, F.xxhash64(text).alias(row), base_spans(text).alias(base))
+    held = docs.select(*kept, F.xxhash64(text).alias(row), base_spans(text).alias(base))
     joined = held.join(small(hits), row, "left")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(found_terms, "|"), F.lit(r")(?!\p{L})"))
 
@@ -249,7 +247,7 @@ def annotate(
 
     more = F.when(F.col(found_terms).isNotNull(), F.filter(located(text, pattern, TERM), apart))
     spans = F.concat(base, F.coalesce(more, F.array().cast(SPANS))).cast(SPANS)
-    return plain.unionByName(joined.select(*kept, spans.alias("spans")))
+    return joined.select(*kept, spans.alias("spans"))
 
 
 def redacted(text: Column, spans: Column) -> Column:

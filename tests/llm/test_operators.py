@@ -294,6 +294,18 @@ def test_copies_count_as_rows_wherever_rows_are_counted(spark):
         assert "Zebulon" in [rows[i][s.start : s.end] for s in found[i] if s.kind == "term"]
 
 
+def test_terms_are_found_in_rows_without_entities(spark):
+    topics = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    rows = [f"{t} text. Reach Zebulon at zeb@corp.example.com about {t}s." for t in topics]
+    rows += ["Ask ZEBULON, not Zebulonia; zebulon knows"]
+    rows += [f"Common text about nothing at all number{i}x" for i in range(60)]
+    rows += [f"Reach us at info{i}@other{i}.example.org about common words" for i in range(20)]
+    found = {r.doc_id: r.spans for r in pii.annotate(doc_frame(spark, rows)).collect()}
+    assert [(s.kind, s.value, s.start) for s in found[6]] == [("term", "ZEBULON", 4), ("term", "zebulon", 28)]
+    assert all([s.value for s in found[i] if s.kind == "term"] == ["Zebulon"] for i in range(6))
+    assert not any(s.kind == "term" for i in range(7, len(rows)) for s in found[i])
+
+
 def test_odd_texts_are_annotated(spark, odd_docs, no_docs):
     got = pii.annotate(odd_docs)
     assert got.count() == odd_docs.count() and got.columns == [c for c in odd_docs.columns if c != "spans"] + ["spans"]
