@@ -11,7 +11,7 @@ frame but freely changing values is not.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.scores import with_value
@@ -23,6 +23,8 @@ WINDOW = 5
 LEAST_WORDS = 2
 COVERAGE = 0.8
 CONSISTENCY = 0.8
+#: Template tokens by which parts of one occurrence of an item may be shifted.
+SHIFT = 3
 
 #: Unit words, as they follow a number.
 UNITS = (
@@ -111,7 +113,8 @@ def leaks(
 
     One row per document, told by id and text, and item. `coverage` is the share of
     the item's distinct windows found, `consistency` the share of slot values that are
-    replaced in one way only (1 without slots), `changed` whether any value
+    replaced in one way only (1 without slots), in the whole document or in the best single
+    occurrence that has enough of the windows; `changed` whether any value there
     differs from the item's. Items without words, and rows without text, have no
     windows and are never part of a row; equal items are each reported. Repeated rows of a
     document count once. NULL ids are compared like values.
@@ -152,10 +155,35 @@ def leaks(
         .select("id", "text_hash", F.inline(slots(F.col("text"))))
         .toDF("id", "text_hash", "slot", "kind", "value")
     )
+    both = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    here = hits.alias("l").join(covered.alias("r"), both, "left_semi")
+    here = stage(here.withColumn("offset", F.col("place") - F.col("item_place")), "benchmark-here")
+    # An occurrence: hits of one offset, or of offsets that follow each other closely. The whole document is one more.
+    in_order = Window.partitionBy(*key).orderBy("offset")
+    apart = F.coalesce(F.col("offset") - F.lag("offset").over(in_order) > SHIFT, F.lit(True)).cast("long")
+    runs = here.select(*key, "offset").distinct().withColumn("apart", apart)
+    runs = runs.select(*key, "offset", F.sum("apart").over(in_order).alias("run"))
+    near = [*both, F.col("l.offset") == F.col("r.offset")]
+    found = here.alias("l").join(runs.alias("r"), near).select("l.*", "r.run")
+    found = found.withColumn(
+        "part",
+        F.explode(F.array(F.lit("all"), F.concat(F.lit("at "), F.col("offset")), F.concat(F.lit("run "), F.col("run")))),
+    )
+    enough = (
+        found.groupBy(*key, "part")
+        .agg(F.count_distinct("window").alias("found"))
+        .join(totals, "item_id")
+        .filter(F.col("found") / F.col("windows") >= coverage)
+        .select(*key, "part")
+    )
+    enough = stage(enough, "benchmark-parts")
+    each = [*both, F.col("l.part") == F.col("r.part")]
     aligned = (
-        hits.join(item_slots, "item_id")
+        found.alias("l")
+        .join(enough.alias("r"), each, "left_semi")
+        .join(item_slots, "item_id")
         .filter(F.col("slot").between(F.col("item_place"), F.col("item_place") + WINDOW - 1))
-        .select(*key, "kind", "item_value", (F.col("place") + F.col("slot") - F.col("item_place")).alias("slot"))
+        .select(*key, "part", "kind", "item_value", (F.col("slot") + F.col("offset")).alias("slot"))
         .distinct()
     )
     pairs = (
@@ -164,24 +192,32 @@ def leaks(
             doc_slots.alias("r"),
             [*same, F.col("l.slot") == F.col("r.slot"), F.col("l.kind") == F.col("r.kind")],
         )
-        .select("l.id", "l.text_hash", "l.item_id", "l.kind", "l.item_value", "r.value")
+        .select("l.id", "l.text_hash", "l.item_id", "l.part", "l.kind", "l.item_value", "r.value")
     )
     agreed = (
-        pairs.groupBy(*key, "kind", "item_value")
+        pairs.groupBy(*key, "part", "kind", "item_value")
         .agg(F.count_distinct("value").alias("values"), F.max(F.col("value") != F.col("item_value")).alias("other"))
-        .groupBy(*key)
+        .groupBy(*key, "part")
         .agg(F.avg(F.when(F.col("values") == 1, 1.0).otherwise(0.0)).alias("consistency"), F.max("other").alias("changed"))
     )
-    both = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
-    return (
-        covered.alias("l")
-        .join(agreed.alias("r"), both, "left")
+    best = (
+        enough.alias("l")
+        .join(agreed.alias("r"), each, "left")
         .select(
             *[F.col(f"l.{c}") for c in key],
-            "coverage",
-            F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
-            F.coalesce("changed", F.lit(False)).alias("changed"),
+            F.struct(
+                (-F.coalesce("consistency", F.lit(1.0))).alias("less"),
+                F.coalesce("changed", F.lit(False)).alias("changed"),
+            ).alias("one"),
         )
+        .groupBy(*key)
+        .agg(F.min("one").alias("one"))
+        .select(*key, (-F.col("one.less")).alias("consistency"), F.col("one.changed").alias("changed"))
+    )
+    return (
+        covered.alias("l")
+        .join(best.alias("r"), both)
+        .select(*[F.col(f"l.{c}") for c in key], "coverage", "consistency", "changed")
         .filter(F.col("consistency") >= consistency)
     )
 

@@ -65,6 +65,20 @@ def test_template_leaks(spark, text, found):
     assert got.contaminated is found
 
 
+def test_one_occurrence_is_enough(spark):
+    other = ITEM.replace("12", "77").replace("Anna", "Maria").replace("3.50", "9")
+    mixed = ITEM.replace("12", "77", 1).replace("Anna", "Maria", 1)
+    texts = [
+        f"{ITEM} In between are some more words. {other}",
+        f"{other} In between are some more words. {mixed}",
+        f"{ITEM} Much further on somebody said that Maria sold 77 apples to Hugo at the market.",
+        f"{ITEM.replace('and later', 'and much much later')} In between are some more words. {other} {mixed}",
+        f"{mixed} In between are some more words. {mixed}",
+    ]
+    got = {r.doc_id: r.contaminated for r in decontamination.flag(doc_frame(spark, texts), item_frame(spark, [ITEM])).collect()}
+    assert got == {0: True, 1: True, 2: True, 3: True, 4: False}
+
+
 def test_windows_by_hand(spark):
     items = [t for t in texts_of(1, 12, 30) if len(t.split()) >= 5]
     rng = random.Random(2)
