@@ -29,8 +29,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def small():
     return SMALL
-
-
-def plan(df) -> str:
-    """The physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,6 @@
 """What must hold of the plans at any size."""
 
-from conftest import plan
+from explained import plan
 from pyspark.sql import functions as F
 
 from newsloom.operators.cleaning import clean_articles
