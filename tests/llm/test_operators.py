@@ -14,6 +14,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from newsloom import staging
 from newsloom.llm import (
     chat,
     components,
@@ -418,6 +419,20 @@ def test_components(spark):
     assert {r.node: r.component for r in both.collect() if r.node not in alone} == wanted
 
 
+def test_components_of_a_long_path_take_few_rounds(spark, monkeypatch):
+    written = []
+
+    def counted(df, name):
+        written.append(name)
+        return staging.stage(df, name)
+
+    monkeypatch.setattr(components, "stage", counted)
+    links = spark.range(10_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = components.components(links)
+    assert found.agg(F.count("*"), F.min("component"), F.max("component")).first() == (10_001, 0, 0)
+    assert written.count("component-roots") <= 20
+
+
 # --- fingerprints -----------------------------------------------------------
 
 
