@@ -101,3 +101,58 @@ SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{kind}') AS n_{kind}" for k
   sha256(coalesce(string_agg(s, ',' ORDER BY place, start) FILTER (kind <> 'term'), '')) AS base_sha256,
   coalesce(string_agg(s, ',' ORDER BY place, start), '') AS spans
 FROM docs LEFT JOIN shown USING (doc_id) GROUP BY doc_id"""
+
+
+def crc32(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text: a byte at a time, eight shifts each."""
+    shifts = "list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))"
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ord(substring({text}, i, 1))::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {codes}, lambda c, b: {shifts}), 4294967295)"
+
+
+def field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR)) || ':' || {value}::VARCHAR, '-')"
+
+
+def leaf(text: str) -> str:
+    return "sha256(" + " || ".join(field(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: Levels of eight that the statement can build: enough for eight million leaves of a language, and for 64 languages.
+LANGUAGE_LEVELS, TOP_LEVELS = 8, 2
+
+
+def _manifest() -> str:
+    """Every level as a table `(tree, ordinal, size, digest, run)`, and then every leaf through all levels."""
+    parts = [f"""leaves AS MATERIALIZED (SELECT doc_id, lang, {leaf('text')} AS leaf,
+    CASE WHEN {crc32('doc_id::VARCHAR')} % 3 = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {leaf('text')} END AS claimed,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS ordinal,
+    count(*) OVER (PARTITION BY lang) AS size FROM documents)"""]
+
+    def climb(name: str, first: str, levels: int) -> None:
+        parts.append(f"{name}0 AS MATERIALIZED ({first})")
+        for i in range(levels):
+            parts.append(f"""{name}{i + 1} AS MATERIALIZED (SELECT tree, ordinal // 8 AS ordinal, (max(size) + 7) // 8 AS size,
+    CASE WHEN max(size) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY ordinal)) END AS digest,
+    CASE WHEN max(size) = 1 THEN '' ELSE string_agg(digest, '' ORDER BY ordinal) END AS run
+    FROM {name}{i} GROUP BY tree, ordinal // 8)""")
+
+    climb("low", "SELECT tree, ordinal, size, leaf AS digest FROM leaves", LANGUAGE_LEVELS)
+    climb("top", f"SELECT 0 AS tree, tree AS ordinal, count(*) OVER () AS size, digest FROM low{LANGUAGE_LEVELS}", TOP_LEVELS)
+    parts.append("path0 AS (SELECT doc_id, tree, ordinal, leaf, claimed AS folded, '' AS proof FROM leaves)")
+    steps = [("low", i + 1, "path.tree", "path.ordinal", i) for i in range(LANGUAGE_LEVELS)]
+    steps += [("top", i + 1, "0", "path.tree", i) for i in range(TOP_LEVELS)]
+    for number, (name, level, tree, ordinal, below) in enumerate(steps):
+        place = f"({ordinal} // {8 ** below} % 8)"
+        left, right = f"substring(run, 1, {place} * 64)", f"substring(run, {place} * 64 + 65)"
+        parts.append(f"""path{number + 1} AS (SELECT doc_id, path.tree, path.ordinal, leaf,
+    CASE WHEN run = '' THEN folded ELSE sha256({left} || folded || {right}) END AS folded, proof || {left} || {right} AS proof
+    FROM path{number} path JOIN {name}{level} up ON up.tree = {tree} AND up.ordinal = {ordinal} // {8 ** level})""")
+    return f"""WITH {", ".join(parts)}
+SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+  folded = r.digest AS verified
+FROM path{len(steps)} p JOIN low{LANGUAGE_LEVELS} s USING (tree), top{TOP_LEVELS} r"""
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+MANIFEST = _manifest()

@@ -1,4 +1,4 @@
-"""The ten operators and the corpus pipeline as queries over the given tables, with SQL where it can say the same."""
+"""The operators and the corpus pipeline as queries over the given tables, with SQL where it can say the same."""
 
 from __future__ import annotations
 
@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm import chat, decontamination, fingerprints, language, minhash, oracle, packing, pii, pseudo_likelihood, toxicity, warc
+from newsloom.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    language,
+    merkle,
+    minhash,
+    oracle,
+    packing,
+    pii,
+    pseudo_likelihood,
+    simhash,
+    toxicity,
+    warc,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +158,25 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").filter(share("doc_id", 4) != 2).select("doc_id", "toxic")
     model = toxicity.fit(docs.filter(~F.col("held_out")).join(labels, "doc_id"))
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+#: A-Z to a-z and nothing else.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(oracle.MANIFEST)
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(*merkle.FIELDS)
+    tampered = F.when(share("doc_id", 3) == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    found = merkle.verified(merkle.build(merkle.rows_of(docs, changed={"text": tampered})))
+    return found.withColumnRenamed("id", "doc_id").drop("key")
+
+
+@query()
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+@query()
+def op13_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")

@@ -15,7 +15,7 @@ from newsloom.llm.queries import ORACLES, QUERIES
 
 def test_registered():
     found = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(found)
     assert [s for s, _ in corpus_pipeline.STAGES] == ["language", "near_dedup", "decontaminate", "pii", "pack"]
 
