@@ -43,27 +43,33 @@ def number_by(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 def number_file_rows(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """Number the rows of a file source from 0 in file order.
+    """Number the rows of a file source from 0 in file order, without writing or shuffling them.
 
-    `df` must still offer the scan's `_metadata`. Rows are written once with
-    the file block they came from and their slot; block sizes give offsets.
+    `df` must still offer the scan's `_metadata`. A first pass counts the rows of every
+    file block; the sizes of the blocks before and a row's slot in its task give its
+    number in the second. There is one row per input split to broadcast. Should Spark split
+    the files in another way the second time, the query fails instead of numbering wrongly.
     """
+    slot = F.monotonically_increasing_id()
     tagged = df.select(
-        F.monotonically_increasing_id().alias("_slot"),
+        slot.alias("_slot"),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_block_length").alias("_length"),
         *df.columns,
-    )
-    rows = stage(tagged, "numbered-rows")
+    ).withColumn("_task", F.shiftright("_slot", 33))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    place = ["_file", "_block", "_length", "_task"]
     blocks = stage(
-        rows.groupBy("_file", "_block")
+        tagged.groupBy(*place)
         .agg(F.count("*").alias("_n"), F.min("_slot").alias("_first"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))),
+        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .drop("_n"),
         "file-blocks",
     )
     number = (F.col("_offset") + F.col("_slot") - F.col("_first")).cast("long")
-    return rows.join(blocks, ["_file", "_block"]).select(number.alias(id_col), *df.columns)
+    sure = F.coalesce(number, F.raise_error(F.lit("files were split differently")).cast("long"))
+    return tagged.join(F.broadcast(blocks), place, "left").select(sure.alias(id_col), *df.columns)
 
 
 def nth_smallest(df: DataFrame, key: str, n: int) -> int | None:

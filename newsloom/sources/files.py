@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.text import has_ascii_content, strip
 from newsloom.operators.positions import number_file_rows
 from newsloom.schemas import CLEANED, LABEL_MAP, RAW
+from newsloom.sources import quoted_csv
 
 # CSV fields that stand for a missing value.
 MISSING = [
@@ -105,13 +106,25 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Any CSV table with a header, every column as text.
+    """Any CSV table with a header, every column as text, each file read by many tasks.
 
-    Fields may hold line breaks unless `multi_line` is off; only then can Spark
-    read one file by many tasks.
+    Fields may hold line breaks unless `multi_line` is off, which saves a pass over the file.
     """
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    return need(reader.csv, path, "check the path")
+    if multi_line:
+        return _parsed_records(spark, path).select("row.*")
+    return need(_csv_reader(spark, False).csv, path, "check the path")
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+
+
+def _parsed_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of quoted CSV with their places and, as `row`, their fields."""
+    kind = need(_csv_reader(spark, True).csv, path, "check the path").schema  # looks at the header only
+    rows = quoted_csv.records(spark, path).filter("number > 0")
+    fields = F.from_csv("record", kind.toDDL(), {"escape": '"'})
+    return rows.withColumn("row", fields).drop("record")
 
 
 def drop_missing(df: DataFrame, column: str = "text") -> DataFrame:
@@ -121,9 +134,13 @@ def drop_missing(df: DataFrame, column: str = "text") -> DataFrame:
 
 def read_csv_articles(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """`(id, text)` from a CSV table, numbered in file order."""
-    table = read_csv(spark, path, multi_line)
-    if "text" not in table.columns:
+    table = _parsed_records(spark, path) if multi_line else read_csv(spark, path, False)
+    names = table.schema["row"].dataType.fieldNames() if multi_line else table.columns
+    if "text" not in names:
         raise ValueError("a CSV of articles must contain a 'text' column")
+    if multi_line:
+        places = ["file", "start", "ordinal", "number", "whole"]
+        return quoted_csv.number_records(drop_missing(table.select(*places, F.col("row.text").alias("text"))))
     return _numbered(drop_missing(table))
 
 

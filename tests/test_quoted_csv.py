@@ -1,0 +1,119 @@
+"""Quoted CSV read by many tasks, against a reader that sees the whole file."""
+
+import csv
+import io
+import random
+from contextlib import contextmanager
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from newsloom.sources import files, quoted_csv
+
+
+@contextmanager
+def blocks_of(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def open_by_hand(line, is_open):
+    """One character at a time."""
+    state = "quoted" if is_open else "start"
+    for c in line:
+        if state == "quoted":
+            state = "after" if c == '"' else "quoted"
+        elif state == "start" and c == '"' or state == "after" and c == '"':
+            state = "quoted"
+        else:
+            state = "start" if c == "," else "plain"
+    return state == "quoted"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet='",a \r', max_size=14), st.booleans())
+def test_state_of_a_line(line, is_open):
+    assert quoted_csv.open_at_end(line.encode(), is_open) == open_by_hand(line, is_open)
+
+
+def fields(rng):
+    pieces = ["", "plain", 'say ""hi""'.replace('""', '"'), "a,b", "two\nlines", "\n", "é\n\n,\"", "x" * 90, "three\nmore\nlines"]
+    return [rng.choice(pieces) for _ in range(3)]
+
+
+def written(rows, end="\n"):
+    out = io.StringIO(newline="")
+    csv.writer(out, lineterminator=end, quoting=csv.QUOTE_MINIMAL).writerows(rows)
+    return out.getvalue().encode()
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [61, 1 << 20])
+def test_any_block_size_gives_the_same_records(spark, tmp_path, size, end):
+    rng = random.Random(size)
+    rows = [[str(i), *fields(rng)] for i in range(40)]
+    (tmp_path / "a.csv").write_bytes(written([["n", "one", "text", "three"], *rows], end))
+    with blocks_of(spark, size):
+        table = files.read_csv(spark, str(tmp_path / "a.csv"))
+        found = table.collect()
+        texts = files.read_csv_articles(spark, str(tmp_path / "a.csv")).orderBy("id").collect()
+    assert table.columns == ["n", "one", "text", "three"]
+    key = lambda r: int(r[0])
+    assert [[c or "" for c in r] for r in sorted(found, key=key)] == rows
+    assert [(r.id, r.text) for r in texts] == list(enumerate(r[2] for r in rows if r[2]))
+
+
+def test_one_file_is_read_by_many_tasks(spark, tmp_path):
+    rows = [["n", "text"], *[[str(i), f"line\nof, {i}"] for i in range(3000)]]
+    (tmp_path / "a.csv").write_bytes(written(rows))
+    with blocks_of(spark, 4096):
+        table = files.read_csv(spark, str(tmp_path / "a.csv"))
+        assert table.rdd.getNumPartitions() > 10
+        tasks = table.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) > 10 and sum(r["count"] for r in tasks) == 3000
+
+
+def test_like_the_reader_of_whole_files(spark, tmp_path):
+    """Stray quotes, short and long rows, blank lines, a field as long as several blocks."""
+    text = 'a,text,c\n1,x"y"z,2\n\n"q ""in"" q",,""\nshort\n1,2,3,4\n"over\n' + "many\n" * 60 + 'blocks",t,u\n"a" b,c,d\n5,6,7'
+    (tmp_path / "a.csv").write_text(text, encoding="utf-8")
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(tmp_path / "a.csv"))
+    for size in (23, 1 << 20):
+        with blocks_of(spark, size):
+            assert sorted(map(str, files.read_csv(spark, str(tmp_path / "a.csv")).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_several_files_and_open_ends(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('text\n"one\ntwo"\n"never closed\nto the end\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text('\ntext\n"three\n\nfour"\nfive\n', encoding="utf-8")
+    (tmp_path / "c.csv").write_text("text\n", encoding="utf-8")
+    (tmp_path / "d.csv").write_text("", encoding="utf-8")
+    for size in (11, 1 << 20):
+        with blocks_of(spark, size):
+            found = files.read_csv_articles(spark, str(tmp_path)).orderBy("id").collect()
+        assert [r.id for r in found] == [0, 1, 2, 3]
+        assert [r.text for r in found if "never" not in r.text] == ["one\ntwo", "three\n\nfour", "five"]
+
+
+def test_text_lines_are_numbered_in_file_order(spark, tmp_path):
+    lines = [f"line {i}" if i % 5 else "  " for i in range(500)]
+    (tmp_path / "a.txt").write_text("\n".join(lines), encoding="utf-8")
+    (tmp_path / "b.txt").write_text("last", encoding="utf-8")
+    for size in (64, 1 << 20):
+        with blocks_of(spark, size):
+            found = files.read_txt_articles(spark, str(tmp_path)).orderBy("id").collect()
+        wanted = [t for t in lines if t.strip()] + ["last"]
+        assert [(r.id, r.text) for r in found] == list(enumerate(wanted))
+
+
+def test_files_split_differently_are_noticed(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("\n".join(f"line {i}" for i in range(500)), encoding="utf-8")
+    with blocks_of(spark, 64):
+        numbered = files.read_txt_articles(spark, str(tmp_path))
+    with blocks_of(spark, 1000), pytest.raises(Exception, match="split differently"):
+        numbered.select("id").orderBy("id").collect()
