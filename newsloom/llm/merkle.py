@@ -37,9 +37,10 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 @dataclass(frozen=True)
 class Manifest:
-    """Written tables: `leaves` (position, tree, key, id, leaf, claimed, and the parent's key) and `nodes` (a row per
-    inner node: tree, height, ordinal, run, the parent's key, first and last position), and `subroots` (tree, subroot);
-    `run` holds the digests of a node's children as one string. `root` is None without rows.
+    """Written tables: `leaves` (position, tree, ordinal, size of the tree, key, id, leaf, claimed if it differs, and the
+    parent's key and the place in its run), `nodes` (a row per inner node: tree, height, ordinal, run, the parent's
+    key, the place in its run, first and last position), and `subroots` (tree, subroot). Digests are bytes but for the subroots;
+    `run` holds those of a node's children one after another. `root` is None without rows.
     """
 
     leaves: DataFrame
@@ -68,12 +69,10 @@ def rows_of(
     changed: dict[str, Column] | None = None,
 ) -> DataFrame:
     """`(key, id, leaf, claimed)`: every row's digest, and that of the row with the `changed` columns."""
-    claimed = [(changed or {}).get(f, F.col(f)) for f in fields]
+    own = leaf([F.col(f) for f in fields])
+    claimed = leaf([changed.get(f, F.col(f)) for f in fields]) if changed else own
     return docs.select(
-        F.col(key_col).cast("string").alias("key"),
-        F.col(id_col).alias("id"),
-        leaf([F.col(f) for f in fields]).alias("leaf"),
-        (leaf(claimed) if changed else leaf([F.col(f) for f in fields])).alias("claimed"),
+        F.col(key_col).cast("string").alias("key"), F.col(id_col).alias("id"), own.alias("leaf"), claimed.alias("claimed")
     )
 
 
@@ -119,7 +118,10 @@ def build(rows: DataFrame) -> Manifest:
     separate leaves. Every table is written, and no key's rows meet in one task.
     """
     order = F.concat(F.when(F.col("key").isNull(), "0").otherwise("1"), F.coalesce("key", F.lit("")))
-    marked = rows.withColumns({"_order": order, "_mark": F.monotonically_increasing_id()})
+    digests = rows.select("key", "id", F.unhex("leaf").alias("leaf"), F.unhex("claimed").alias("claimed"))
+    differing = F.when(F.col("leaf") != F.col("claimed"), F.col("claimed"))
+    marked = digests.withColumns({"claimed": differing, "_order": order, "_mark": F.monotonically_increasing_id()})
+    marked = stage(marked, "merkle-digests")
     by = [F.col("_order"), F.col("id").asc_nulls_first(), F.col("leaf"), F.col("claimed"), F.col("_mark")]
     numbered = number_by(marked, by).drop("_mark")
     keys = numbered.groupBy("_order").agg(F.count("*").alias("size"), F.min("position").alias("start"))
@@ -133,7 +135,7 @@ def build(rows: DataFrame) -> Manifest:
     columns = ["position", "tree", "ordinal", "size", "key", "id", "leaf", "claimed"]
     leaves = stage(placed.select(*_link(columns, F.lit(0), F.col("ordinal"), F.col("size"), many)), "merkle-leaves")
 
-    ends = {"first": F.col("position"), "last": F.col("position"), "digest": F.col("leaf")}
+    ends = {"first": F.col("position"), "last": F.col("position"), "digest": _hex("leaf")}
     lowest = leaves.withColumns(ends).select("tree", "ordinal", "size", "first", "last", "digest")
     inner, roots = _levels(lowest, sizes.most, 1)
     found = roots[0]
@@ -157,21 +159,23 @@ def build(rows: DataFrame) -> Manifest:
         root.digest if root else None, sizes.rows)
 
 
-#: A row per leaf and step; step 0 is the leaf as claimed. The siblings of a step are kept as bytes.
+#: Every leaf climbs, step 0 being the leaf as claimed, until it has no parent. What lies beside the way from a run's
+#: node up is the same for all leaves of the run, so the run's first leaf appends it for them, from step `since` on.
 CLIMB = f"""
-WITH RECURSIVE climb(position, block, step, tree, height, ordinal, place, folded, siblings) AS (
-  SELECT position, position DIV {{block}}, 0, to_tree, to_height, to_ordinal, place, claimed, CAST(NULL AS BINARY)
+WITH RECURSIVE climb(position, block, step, since, tree, height, ordinal, place, folded, siblings) AS (
+  SELECT position, position DIV {{block}}, 0, since, to_tree, to_height, to_ordinal, place, claimed, CAST(NULL AS BINARY)
   FROM {{leaves}}
   UNION ALL
-  SELECT position, block, step + 1, to_tree, to_height, to_ordinal, next_place,
-    sha2(concat(substr(run, 1, place * {HEX}), folded, substr(run, (place + 1) * {HEX} + 1)), 256),
-    unhex(concat(substr(run, 1, place * {HEX}), substr(run, (place + 1) * {HEX} + 1)))
-  FROM (SELECT c.position, c.block, c.step, c.place, c.folded, lower(hex(n.run)) AS run,
+  SELECT position, block, step + 1, since, to_tree, to_height, to_ordinal, next_place,
+    unhex(sha2(concat(substr(run, 1, place * {HEX}), lower(hex(folded)), substr(run, (place + 1) * {HEX} + 1)), 256)),
+    CASE WHEN step + 1 >= since THEN unhex(concat(substr(run, 1, place * {HEX}), substr(run, (place + 1) * {HEX} + 1))) END
+  FROM (SELECT c.position, c.block, c.step, c.since, c.place, c.folded, lower(hex(n.run)) AS run,
       n.to_tree, n.to_height, n.to_ordinal, n.place AS next_place
     FROM climb c JOIN {{nodes}} n
       ON c.tree = n.tree AND c.height = n.height AND c.ordinal = n.ordinal AND c.block = n.block)
 )
-SELECT position, step, folded, siblings FROM climb
+SELECT position, step, CASE WHEN tree IS NULL THEN folded END AS folded, siblings
+FROM climb WHERE tree IS NULL OR siblings IS NOT NULL
 """
 
 
@@ -190,33 +194,50 @@ def _any_number_of_rows(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def proofs(manifest: Manifest) -> DataFrame:
-    """`(position, proof_sha256, folded_root)` of every leaf: the siblings' digest, and the root that the claimed leaf gives."""
+def climbed(manifest: Manifest) -> DataFrame:
+    """`(position, step, folded, siblings)`: the root each claimed leaf leads to, and the siblings that each step of a
+    run's first leaf appended."""
     spark = manifest.leaves.sparkSession
     block = max(BLOCK, -(-manifest.rows // MOST_BLOCKS))
     blocks = F.sequence(F.floor(F.col("first") / block), F.floor(F.col("last") / block)).cast("array<long>")
-    nodes = manifest.nodes.withColumn("block", F.explode(blocks)).drop("first", "last")
-    nodes = stage(nodes, "merkle-copies")
+    nodes = stage(manifest.nodes.withColumn("block", F.explode(blocks)).drop("first", "last"), "merkle-copies")
+    leaves = manifest.leaves.withColumns({
+        # A leaf that is alone in its tree has no run below the top, and keeps all that it meets.
+        "since": F.when(F.col("size") == 1, 1).when(F.col("place") == 0, 2),
+        "claimed": F.coalesce("claimed", "leaf"),
+    })
     with _any_number_of_rows(spark):
-        climbed = spark.sql(CLIMB.replace("{block}", str(block)), leaves=manifest.leaves, nodes=nodes)
-        path = F.array_sort(F.collect_list(F.struct("step", F.lower(F.hex("siblings")).alias("siblings"))))
-        siblings = F.array_join(F.transform(path, lambda s: F.coalesce(s["siblings"], F.lit(""))), "")
-        found = climbed.groupBy("position").agg(
-            digest(siblings).alias("proof_sha256"), F.max_by("folded", "step").alias("folded_root")
-        )
-        return stage(found, "merkle-proofs")
+        return stage(spark.sql(CLIMB.replace("{block}", str(block)), leaves=leaves, nodes=nodes), "merkle-climb")
+
+
+def _hex(value: str) -> Column:
+    return F.lower(F.hex(value))
 
 
 def verified(manifest: Manifest) -> DataFrame:
-    """`(id, key, leaf, subroot, root, proof_sha256, folded_root, verified)`, one row per leaf, all as the manifest has them
-    but for the last two: the root that the claimed leaf leads to, and whether it is the manifest's.
+    """`(id, key, leaf, subroot, root, proof_sha256, folded_root, verified)`, one row per leaf.
+
+    `proof_sha256` is the digest of all siblings from the leaf to the root, `folded_root` the root that the
+    claimed leaf leads to with them, `verified` whether that is the manifest's. All else is as the manifest has it.
     """
+    climb = climbed(manifest)
     root = F.lit(manifest.root).cast("string")
+    steps = F.array_sort(F.collect_list(F.struct("step", _hex("siblings").alias("siblings"))))  # one per level
+    above = climb.filter("siblings IS NOT NULL").groupBy(F.col("position").alias("head")).agg(
+        F.array_join(F.transform(steps, lambda s: s["siblings"]), "").alias("above")
+    )
+    runs = manifest.nodes.filter("height = 1").select(F.col("first").alias("head"), _hex("run").alias("run"))
+    shared = stage(runs.join(above, "head", "full"), "merkle-shared")
+    head = F.when(F.col("size") == 1, F.col("position")).otherwise(F.col("position") - F.col("place"))
+    leaves = manifest.leaves.select("position", "tree", "key", "id", "leaf", "place", head.alias("head"))
+    inside = F.concat(F.expr(f"substr(run, 1, place * {HEX})"), F.expr(f"substr(run, (place + 1) * {HEX} + 1)"))
+    proof = digest(F.coalesce(inside, F.lit("")), F.coalesce("above", F.lit("")))
+    folded = climb.filter("folded IS NOT NULL").select("position", _hex("folded").alias("folded_root"))
     return (
-        manifest.leaves.select("position", "tree", "key", "id", "leaf")
-        .join(proofs(manifest), "position")
+        leaves.join(folded, "position")
+        .join(shared, "head", "left")
         .join(manifest.subroots, "tree")
         .select(
-            "id", "key", "leaf", "subroot", root.alias("root"), "proof_sha256", "folded_root",
+            "id", "key", _hex("leaf").alias("leaf"), "subroot", root.alias("root"), proof.alias("proof_sha256"), "folded_root",
             (F.col("folded_root") == root).alias("verified"))
     )
