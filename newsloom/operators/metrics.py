@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.text import excerpt
 from newsloom.operators.labels import decode
+from newsloom.staging import stage
 
 TRUE, PREDICTED = "true_label_idx", "predicted_label_idx"
 
@@ -33,7 +34,12 @@ def error_count(predictions: DataFrame) -> DataFrame:
 
 
 def pair_counts(predictions: DataFrame) -> DataFrame:
-    return predictions.groupBy(TRUE, PREDICTED).agg(F.count("*").alias("n"))
+    """Written counts per (true, predicted) pair.
+
+    Reports join them with the label map in several places; were they not written, each place would
+    score all rows again, and a filter derived from a join would do so once more.
+    """
+    return stage(predictions.groupBy(TRUE, PREDICTED).agg(F.count("*").alias("n")), "pair-counts")
 
 
 def confusion_matrix(predictions: DataFrame, labels: DataFrame) -> DataFrame:

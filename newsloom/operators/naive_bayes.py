@@ -12,19 +12,24 @@ when the vocabulary is larger, only the words that are not in it go through a jo
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom.operators.calibration import best_temperature, temperature_losses
 from newsloom.operators.vocabulary import label_word_counts, top_words
 from newsloom.staging import new_path, stage
 
 UNIT = 1_000_000_000
 HOT_WORD_BYTES = 64
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: Words whose weights are gathered at a time.
+WORDS_AT_ONCE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -42,7 +47,8 @@ class BayesModel:
 
     `labels`: category, label_idx, articles, tokens, prior (one row per class).
     `words`: word, n, by_label map<label_idx, n> (one row per word). `weights` is
-    `words` with log-probabilities in label order. `settings`: one row, the candidate.
+    `words` with log-probabilities in label order. `settings`: one row, the candidate and the
+    temperature that its probabilities are taken at.
     """
 
     path: str
@@ -52,6 +58,7 @@ class BayesModel:
     words: DataFrame
     weights: DataFrame
     settings: Candidate
+    temperature: float = 1.0
 
 
 @dataclass(frozen=True)
@@ -114,17 +121,21 @@ def fit_counts(counts: DataFrame, labels: DataFrame, settings: Candidate, path:
         )
     )
     label_table.write.mode("overwrite").parquet(f"{path}/labels")
-    kept = (settings.smoothing, settings.vocabulary_size, settings.most)
-    spark.createDataFrame([kept], "smoothing double, vocabulary_size long, most int").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/settings")
+    _write_settings(spark, path, settings, 1.0)
     return load(spark, path)
 
 
+def _write_settings(spark: SparkSession, path: str, settings: Candidate, temperature: float) -> None:
+    kept = (settings.smoothing, settings.vocabulary_size, settings.most, temperature)
+    row = spark.createDataFrame([kept], "smoothing double, vocabulary_size long, most int, temperature double")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
+
+
 def load(spark: SparkSession, path: str) -> BayesModel:
     """Read a fitted model back."""
     labels, words = spark.read.parquet(f"{path}/labels"), spark.read.parquet(f"{path}/words")
-    settings = Candidate(*spark.read.parquet(f"{path}/settings").select("smoothing", "vocabulary_size", "most").first())
+    kept = spark.read.parquet(f"{path}/settings").first()
+    settings = Candidate(kept.smoothing, kept.vocabulary_size, kept.most)
     rows = sorted(labels.collect(), key=lambda r: r.label_idx)  # one row per class
     size, added = words.count(), settings.smoothing
     totals = F.lit([float(r.tokens + added * size) for r in rows])
@@ -140,6 +151,7 @@ def load(spark: SparkSession, path: str) -> BayesModel:
         words,
         words.select("word", "n", weight.alias("weight")),
         settings,
+        kept.asDict().get("temperature", 1.0),
     )
 
 
@@ -167,14 +179,97 @@ def select_best(
 
 
 def save(model: BayesModel, path: str) -> BayesModel:
-    """Write a model's tables to another place."""
+    """Write a model's tables and settings to another place."""
     spark = model.labels.sparkSession
-    for name in ("labels", "words", "settings"):
+    for name in ("labels", "words"):
         spark.read.parquet(f"{model.path}/{name}").write.mode("overwrite").parquet(f"{path}/{name}")
+    _write_settings(spark, path, model.settings, model.temperature)
     return load(spark, path)
 
 
-def score(articles: DataFrame, model: BayesModel, cleaned: str = "cleaned_text") -> DataFrame:
+def logs(scores: Column) -> Column:
+    """Summed integer scores as logarithms; NULL stays NULL."""
+    return F.transform(scores, lambda s: s / F.lit(float(UNIT)))
+
+
+def calibrated(model: BayesModel, validation: DataFrame) -> BayesModel:
+    """The model at the temperature under which the classes of held-out `(label_idx, cleaned_text)` rows are likeliest."""
+    scored = score(validation, model).select(logs(F.col("scores")).alias("logs"), "label_idx")
+    return replace(model, temperature=best_temperature(temperature_losses(scored)))
+
+
+@dataclass(frozen=True)
+class ReadyBayes:
+    """A model whose frequent words every worker has; prepare it once and score many batches."""
+
+    model: BayesModel
+    shared: Broadcast
+    cold: DataFrame | None
+
+    @property
+    def categories(self) -> list[str]:
+        return self.model.categories
+
+    @property
+    def temperature(self) -> float:
+        return self.model.temperature
+
+
+def prepare(model: BayesModel) -> ReadyBayes:
+    """Send the words that fit to all workers."""
+    hot, cold = _hot_and_cold(model)
+    table = hot.select("word", "weight").toPandas()  # its size is bounded by BROADCAST_BYTES
+    weights = np.array(table["weight"].tolist(), dtype=np.int64).reshape(len(table), len(model.categories))
+    # The last row stands for words that are not in the table.
+    weights = np.vstack([weights, np.zeros((1, len(model.categories)), dtype=np.int64)])
+    places = {word: i for i, word in enumerate(table["word"])}
+    return ReadyBayes(model, model.labels.sparkSession.sparkContext.broadcast((places, weights)), cold)
+
+
+def _sums(words: pa.Array, sizes: np.ndarray, places: dict[str, int], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Summed weights per text and class, and which of the words are not in the table.
+
+    `words` are those of the texts one after another, `sizes` their numbers. A word is looked up once.
+    """
+    coded = words.dictionary_encode()
+    unknown = len(weights) - 1
+    found = np.array([places.get(word, unknown) for word in coded.dictionary.to_pylist()], dtype=np.int64)
+    rows = found[coded.indices.to_numpy()] if len(words) else np.empty(0, dtype=np.int64)
+    ends = np.cumsum(sizes)
+    totals = np.empty((len(sizes), weights.shape[1]), dtype=np.int64)
+    for i in range(weights.shape[1]):
+        running = np.concatenate([[0], np.cumsum(weights[rows, i])])
+        totals[:, i] = running[ends] - running[ends - sizes]
+    return totals, rows == unknown
+
+
+def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
+
+
+def _scored_texts(texts: pa.Array, places: dict, weights: np.ndarray, priors: np.ndarray, most: int | None, rest: bool) -> pa.Array:
+    """A batch's scores, and the words that are to be joined elsewhere; some texts at a time, by their words."""
+    words = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    if most is not None:
+        words = pc.list_slice(words, 0, most)
+    sizes = pc.list_value_length(words).to_numpy()
+    ends, parts, start = np.cumsum(sizes), [], 0
+    while start < len(sizes) or not parts:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, side="right")))
+        some, counts = words[start:stop].flatten(), sizes[start:stop]
+        totals, unknown = _sums(some, counts, places, weights)
+        left = _lists(some.slice(0, 0), np.zeros(len(counts), dtype=np.int64))
+        if rest:
+            owners = np.repeat(np.arange(len(counts)), counts)
+            left = _lists(some.filter(pa.array(unknown)), np.bincount(owners[unknown], minlength=len(counts)))
+        scores = _lists(pa.array((totals + priors).ravel()), np.full(len(counts), len(priors)))
+        parts.append(pa.StructArray.from_arrays([scores, left], names=["scores", "rest"]))
+        start = stop
+    return pa.concat_arrays(parts)
+
+
+def score(articles: DataFrame, model: BayesModel | ReadyBayes, cleaned: str = "cleaned_text") -> DataFrame:
     """`articles` with `scores`, an integer per label in label order.
 
     Unknown words add nothing; an article without a known word scores the
@@ -182,30 +277,16 @@ def score(articles: DataFrame, model: BayesModel, cleaned: str = "cleaned_text")
     ids play no part. With words that are not broadcast, rows are written once
     with what the others add up to.
     """
-    hot, cold = _hot_and_cold(model)
-    table = hot.select("word", "weight").toPandas()  # its size is bounded by BROADCAST_BYTES
-    shared = articles.sparkSession.sparkContext.broadcast(
-        (
-            {word: i for i, word in enumerate(table["word"])},
-            np.array(table["weight"].tolist(), dtype=np.int64).reshape(len(table), len(model.categories)),
-        )
-    )
+    ready = model if isinstance(model, ReadyBayes) else prepare(model)
+    model, cold, shared = ready.model, ready.cold, ready.shared
     most, priors = model.settings.most, np.array([p or 0 for p in model.priors], dtype=np.int64)
     keep_rest = cold is not None
 
-    @F.pandas_udf("scores array<bigint>, rest array<string>")
-    def add_up(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("scores array<bigint>, rest array<string>")
+    def add_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         places, weights = shared.value
         for texts in batches:
-            sums, rests = [], []
-            for text in texts:
-                tokens = text.split(" ") if text else []
-                tokens = tokens[:most] if most is not None else tokens
-                found = [places.get(token, -1) for token in tokens]
-                known = [i for i in found if i >= 0]
-                sums.append(weights[known].sum(axis=0) + priors if known else priors)
-                rests.append([t for t, i in zip(tokens, found, strict=True) if i < 0] if keep_rest else [])
-            yield pd.DataFrame({"scores": sums, "rest": rests})
+            yield _scored_texts(texts, places, weights, priors, most, keep_rest)
 
     columns = [c for c in articles.columns if c != "scores"]
     seen = F.lit([p is not None for p in model.priors])

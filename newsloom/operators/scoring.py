@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scores import argmax, confidence, name_of, probability_map, softmax, with_value
 from newsloom.functions.text import clean_text, is_blank, is_long_enough
-from newsloom.operators import naive_bayes, pipeline
-from newsloom.operators.naive_bayes import UNIT, BayesModel
+from newsloom.operators import epochs, naive_bayes, pipeline
+from newsloom.operators.epochs import EpochModel
+from newsloom.operators.naive_bayes import UNIT, BayesModel, ReadyBayes
 from newsloom.operators.pipeline import Regression
 
 INVALID = "Invalid/Empty"
 NO_PROBABILITIES = "map<string,double>"
 
-
-Model = BayesModel | Regression
+Model = BayesModel | ReadyBayes | Regression | EpochModel
 
 
 def scored(articles: DataFrame, model: Model) -> DataFrame:
@@ -27,23 +27,31 @@ def scored(articles: DataFrame, model: Model) -> DataFrame:
     """
     if isinstance(model, Regression):
         return pipeline.predict(articles, model.model)
+    if isinstance(model, EpochModel):
+        return epochs.predict(articles, model)
     rows = naive_bayes.score(articles, model)
     columns = [c for c in rows.columns if c != "scores"]
     return rows.select(
         *columns,
         argmax(F.col("scores")).alias("predicted_label_idx"),
-        probabilities(F.col("scores")).alias("probabilities"),
+        probabilities(F.col("scores"), model.temperature).alias("probabilities"),
     )
 
 
+def ready(model: Model) -> Model:
+    """The model with what workers need sent to them once, for scoring batch after batch."""
+    return naive_bayes.prepare(model) if isinstance(model, BayesModel) else model
+
+
 def predict(articles: DataFrame, model: Model) -> DataFrame:
     """Cleaned articles with `predicted_label_idx`."""
     return scored(articles, model).drop("probabilities")
 
 
-def probabilities(scores: Column) -> Column:
+def probabilities(scores: Column, temperature: float = 1.0) -> Column:
     """Summed integer scores as probabilities."""
-    logs = with_value(F.array_max(scores), lambda top: F.transform(scores, lambda s: (s - top) / F.lit(float(UNIT))))
+    unit = F.lit(float(UNIT) * temperature)
+    logs = with_value(F.array_max(scores), lambda top: F.transform(scores, lambda s: (s - top) / unit))
     return softmax(logs)
 
 

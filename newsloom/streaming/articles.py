@@ -14,7 +14,7 @@ from pyspark.sql.utils import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom.operators.cleaning import clean_articles
-from newsloom.operators.scoring import Model, classify
+from newsloom.operators.scoring import Model, classify, ready
 from newsloom.schemas import RAW, RESULTS
 from newsloom.sources.files import folder_values
 
@@ -75,15 +75,17 @@ def clean_stream(
 def classify_stream(
     articles: DataFrame, model: Model, out: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Classify arriving `(id, text)` rows.
+    """Classify arriving `(id, text)` rows. The model is sent to the workers once, for all batches.
 
     A batch owns the folder of its number and replaces it, so a batch that is run
     again after a failure leaves no double rows. Read the results with
     `read_results`, which also knows a stream that had no batch.
     """
 
+    served = ready(model)
+
     def write(batch: DataFrame, number: int) -> None:
-        classify(batch, model).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        classify(batch, served).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return (
         articles.writeStream.foreachBatch(write)
