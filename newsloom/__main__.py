@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scores import fixed4
 from newsloom.operators import naive_bayes
+from newsloom.operators.epochs import Schedule
 from newsloom.operators.pipeline import HASH_FEATURES, Candidate
 from newsloom.operators.scoring import classify_texts
 from newsloom.plans import jobs
@@ -35,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     process.add_argument("raw")
     process.add_argument("out")
     process.add_argument("--partition-by", nargs="*", default=list(jobs.PARTITIONS))
+    process.add_argument("--quarantine", help="folder for malformed lines")
     process.add_argument("--timestamps", choices=["lenient", "strict"], default="lenient")
 
     train = todo.add_parser("train", help="label map and model from cleaned Parquet")
@@ -50,6 +52,9 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--most", type=int, help="read only so many words of each text")
     train.add_argument("--features", type=int, default=HASH_FEATURES, help="cells that a regression hashes words to")
     train.add_argument("--max-iter", type=int, nargs="*", default=[], help="also fit regressions, one per value")
+    train.add_argument("--epochs", type=int, help="also train by so many epochs and keep the best one")
+    train.add_argument("--batch", type=int, default=Schedule.batch, help="rows of a step in an epoch")
+    train.add_argument("--run", help="folder of the epochs; a job started again with it goes on from there")
     evaluate.add_argument("--predictions", help="CSV folder for the predictions")
 
     classify = todo.add_parser("classify", help="a CSV or TXT file of articles")
@@ -58,14 +63,14 @@ def parser() -> argparse.ArgumentParser:
     classify.add_argument("--threshold", type=float, default=0.75)
     classify.add_argument("--most", type=int, help="classify the first articles only")
     classify.add_argument("--results", help="CSV folder for all results")
-    classify.add_argument("--single-line", action="store_true", help="CSV fields hold no line breaks: read by many tasks")
+    classify.add_argument("--single-line", action="store_true", help="CSV fields hold no line breaks, which saves a pass")
 
     texts = todo.add_parser("texts", help="articles given on the command line")
     texts.add_argument("model")
     texts.add_argument("text", nargs="+")
     texts.add_argument("--least", type=int, default=0, help="refuse texts with fewer characters")
     for job in (evaluate, classify, texts):
-        job.add_argument("--kind", choices=["bayes", "pipeline"], help="by default the better model")
+        job.add_argument("--kind", choices=["bayes", "pipeline", "epochs"], help="by default the best model")
     return top
 
 
@@ -86,15 +91,15 @@ def run(spark, args) -> None:
     if args.job == "ingest":
         print(jobs.ingest(spark, args.articles, args.dataset, args.out, args.count, renumber=args.renumber))
     elif args.job == "process":
-        print(jobs.process(spark, args.raw, args.out, args.partition_by, args.timestamps))
+        print(jobs.process(spark, args.raw, args.out, args.partition_by, args.timestamps, args.quarantine))
     elif args.job == "train":
         num, den = map(int, args.ratio.split("/"))
         sizes = [None, *args.vocabulary]
         bayes = [naive_bayes.Candidate(added, size, args.most) for size in sizes for added in args.smoothing]
         choices = [Candidate(n) for n in args.max_iter]
-        print(
-            jobs.train(spark, args.cleaned, args.model, args.labels, num, den, args.seed, bayes, choices, args.features)
-        )
+        schedule = Schedule(epochs=args.epochs, batch=args.batch) if args.epochs else None
+        where, how = (args.cleaned, args.model, args.labels, num, den, args.seed), (bayes, choices, args.features)
+        print(jobs.train(spark, *where, *how, schedule, args.run))
     elif args.job == "evaluate":
         found = jobs.evaluate(
             spark, args.cleaned, args.model, args.labels, args.predictions, args.seed, kind=args.kind

@@ -37,6 +37,12 @@ def observe_quality(cleaned: DataFrame) -> tuple[DataFrame, Observation]:
     return cleaned.observe(seen, *_counts()), seen
 
 
+def observe_malformed(checked: DataFrame) -> tuple[DataFrame, Observation]:
+    """How many records were malformed, counted while the others are being written."""
+    seen = Observation("malformed")
+    return checked.observe(seen, F.count_if(F.col("malformed").isNotNull()).alias("malformed")), seen
+
+
 def preview(cleaned: DataFrame, rows: int = 5) -> DataFrame:
     """The first rows in id order."""
     return cleaned.orderBy("id").limit(rows)

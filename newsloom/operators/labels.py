@@ -41,6 +41,18 @@ def label_map(df: DataFrame, category: str = "category", id_col: str = "id") ->
     )
 
 
+def grow_label_map(known: DataFrame, more: DataFrame) -> DataFrame:
+    """`known` with the categories of the label map `more` that it lacks, numbered on in their order there.
+
+    Categories keep their index for good, also those that no longer occur. One row per category is moved.
+    """
+    last = known.agg(F.coalesce(F.max("label_idx"), F.lit(-1)).alias("last"))
+    new = more.join(known.select("category"), "category", "left_anti")
+    place = F.row_number().over(Window.orderBy("label_idx"))
+    numbered = new.join(F.broadcast(last)).select("category", (F.col("last") + place).cast("int").alias("label_idx"))
+    return known.select("category", "label_idx").unionByName(numbered)
+
+
 def encode(df: DataFrame, labels: DataFrame, category: str = "category", out: str = "label_idx") -> DataFrame:
     """Add the label index of each row's category; NULL for an unseen one."""
     side = labels.select(F.col("category").alias("_category"), F.col("label_idx").alias(out))

@@ -11,11 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom import model_store
 from newsloom.functions.text import clean_text
-from newsloom.operators import metrics, naive_bayes, pipeline
+from newsloom.operators import epochs, metrics, naive_bayes, pipeline
 from newsloom.operators.batches import article_count, cap_batch
-from newsloom.operators.cleaning import clean_articles, observe_quality
-from newsloom.operators.labels import encode, label_map, label_names
+from newsloom.operators.cleaning import clean_articles, observe_malformed, observe_quality
+from newsloom.operators.labels import encode, grow_label_map, label_map, label_names
 from newsloom.operators.pipeline import HASH_FEATURES, Candidate, Regression
 from newsloom.operators.scoring import Model, above_threshold, classify, evaluate_rows
 from newsloom.operators.split import cut_points, label_profile, mark_validation, split_sizes
@@ -64,11 +65,25 @@ def process(
     out: str,
     partition_by: Sequence[str] = PARTITIONS,
     mode: str = "lenient",
+    quarantine: str | None = None,
 ) -> dict[str, int]:
-    """JSON Lines to cleaned Parquet in one pass; returns the quality counts."""
-    cleaned, seen = observe_quality(clean_articles(files.read_jsonl(spark, raw_path), mode))
+    """JSON Lines to cleaned Parquet in one pass; returns the quality counts.
+
+    With a folder for them, malformed lines go there as they are, with the name of their file, instead of becoming
+    rows of NULLs, and their number is among the counts. Only if there are any is the input read again for them.
+    """
+    if quarantine is None:
+        cleaned, seen = observe_quality(clean_articles(files.read_jsonl(spark, raw_path), mode))
+        files.write_parquet(cleaned, out, partition_by)
+        return seen.get
+    checked, lines = observe_malformed(files.read_jsonl_checked(spark, raw_path))
+    cleaned, seen = observe_quality(clean_articles(files.good_records(checked), mode))
     files.write_parquet(cleaned, out, partition_by)
-    return seen.get
+    counts = seen.get | lines.get
+    if counts["malformed"]:
+        rejected = files.quarantined(files.read_jsonl_checked(spark, raw_path))
+        files.write_jsonl(rejected, quarantine)
+    return counts
 
 
 def prepare_split(
@@ -91,52 +106,73 @@ def train(
     bayes: Sequence[naive_bayes.Candidate] = (naive_bayes.Candidate(),),
     candidates: Sequence[Candidate] = (),
     features: int = HASH_FEATURES,
+    schedule: epochs.Schedule | None = None,
+    run_dir: str | None = None,
 ) -> dict[str, float]:
     """Write the label map, the split and the fitted models; returns sizes and accuracies.
 
-    The most accurate Bayes candidate goes under `<model_dir>/bayes`; with
-    regression candidates, the best of them goes under `<model_dir>/pipeline`. The
-    better of the two, Bayes on a tie, is what `load_model` gives by default. The
-    cuts of the split go under `<model_dir>/cuts`, so that an evaluation knows the
-    validation rows although articles may have been added since.
+    A label map that is there already grows: its categories keep their index. All else is a new version
+    under `model_dir`, published when it is whole. The most accurate Bayes candidate goes under `bayes`, at the
+    temperature that fits the validation rows; with regression candidates, the best of them goes
+    under `pipeline`; with a schedule, the best epoch of a training goes under `epochs`. The best of them, the earlier on
+    a tie, is what `load_model` gives by default. The cuts of the split go under `cuts`, so that an evaluation knows the
+    validation rows although articles may have been added since. Epochs are published under `run_dir` as
+    they end; a job that is started again with the same folder goes on from there.
     """
     rows = files.read_model_input(spark, cleaned_path)
     profile = label_profile(rows, seed)
-    files.write_label_map(label_map(profile, id_col="first_id"), label_map_path)
-    labels = files.read_label_map(spark, label_map_path)
-    cut_points(rows, profile, numerator, denominator, seed).write.mode("overwrite").parquet(f"{model_dir}/cuts")
-    rows = mark_validation(encode(rows, labels), spark.read.parquet(f"{model_dir}/cuts"), seed)
-    sizes = {r.is_val: r.rows for r in split_sizes(rows).collect()}
-    training, validation = rows.filter(~F.col("is_val")), rows.filter("is_val")
-    chosen = naive_bayes.select_best(training, validation, labels, bayes)
-    naive_bayes.save(chosen.model, f"{model_dir}/bayes")
-    summary = {
-        "training": sizes.get(False, 0),
-        "validation": sizes.get(True, 0),
-        "accuracy": max(chosen.accuracies),
-    }
-    best = "bayes"
-    if candidates:
-        choice = pipeline.select_best(training, validation, candidates, features)
-        pipeline.save(choice.model, f"{model_dir}/pipeline")
-        summary["pipeline_accuracy"] = max(choice.accuracies)
-        best = "pipeline" if summary["pipeline_accuracy"] > summary["accuracy"] else best
-    spark.createDataFrame([(best,)], "kind string").coalesce(1).write.mode("overwrite").parquet(f"{model_dir}/best")
-    files.write_label_map(labels, f"{model_dir}/labels")
+    fresh = label_map(profile, id_col="first_id")
+    if files.exists(spark, label_map_path):
+        fresh = grow_label_map(files.read_label_map(spark, label_map_path), fresh)
+    labels = stage(fresh, "label-map")
+    files.write_label_map(labels, label_map_path)
+    summary: dict[str, float] = {}
+
+    def write(path: str) -> None:
+        cut_points(rows, profile, numerator, denominator, seed).write.parquet(f"{path}/cuts")
+        marked = mark_validation(encode(rows, labels), spark.read.parquet(f"{path}/cuts"), seed)
+        sizes = {r.is_val: r.rows for r in split_sizes(marked).collect()}
+        training, validation = marked.filter(~F.col("is_val")), marked.filter("is_val")
+        chosen = naive_bayes.select_best(training, validation, labels, bayes)
+        model = naive_bayes.save(naive_bayes.calibrated(chosen.model, validation), f"{path}/bayes")
+        summary.update(
+            training=sizes.get(False, 0),
+            validation=sizes.get(True, 0),
+            accuracy=max(chosen.accuracies),
+            temperature=model.temperature,
+        )
+        found = {"bayes": summary["accuracy"]}
+        if candidates:
+            choice = pipeline.select_best(training, validation, candidates, features)
+            pipeline.save(choice.model, f"{path}/pipeline")
+            found["pipeline"] = summary["pipeline_accuracy"] = max(choice.accuracies)
+        if schedule:
+            run = run_dir or f"{path}/run"
+            trained = epochs.train(training, validation, label_names(labels), run, schedule, features)
+            epochs.save(trained, f"{path}/epochs")
+            found["epochs"] = summary["epochs_accuracy"] = epochs.best_of(epochs.history(spark, run)).accuracy
+            summary["epoch"] = trained.epoch
+        best = max(found, key=lambda kind: (found[kind], -list(found).index(kind)))
+        spark.createDataFrame([(best,)], "kind string").coalesce(1).write.parquet(f"{path}/best")
+        files.write_label_map(labels, f"{path}/labels")
+
+    summary["version"] = model_store.save(spark, model_dir, write).number
     return summary
 
 
 def load_model(spark: SparkSession, model_dir: str, kind: str | None = None) -> Model:
-    """The model of a kind, `bayes` or `pipeline`; the better one by default."""
+    """The model of a kind, `bayes`, `pipeline` or `epochs`, of the latest version; the best one by default."""
 
     def load(path: str) -> Model:
         wanted = kind or spark.read.parquet(f"{path}/best").first().kind
         if wanted == "bayes":
             return naive_bayes.load(spark, f"{path}/bayes")
+        if wanted == "epochs":
+            return epochs.load_saved(spark, f"{path}/epochs")
         names = label_names(files.read_label_map(spark, f"{path}/labels"))
         return Regression(pipeline.load(f"{path}/pipeline"), names)
 
-    return files.need(load, model_dir, "run the train job first")
+    return files.need(load, model_store.resolve(spark, model_dir), "run the train job first")
 
 
 def evaluate(
@@ -151,8 +187,9 @@ def evaluate(
 ) -> Evaluation:
     """Score the validation rows of the training split once and report on them."""
     labels = files.read_label_map(spark, label_map_path)
-    model = load_model(spark, model_dir, kind)
-    cuts = spark.read.parquet(f"{model_dir}/cuts")
+    version = model_store.resolve(spark, model_dir)  # model and cuts of one version
+    model = load_model(spark, version, kind)
+    cuts = spark.read.parquet(f"{version}/cuts")
     rows = mark_validation(encode(files.read_model_input(spark, cleaned_path), labels), cuts, seed)
     predictions = stage(evaluate_rows(rows.filter("is_val"), model), "predictions")
     if predictions_out:

@@ -146,3 +146,26 @@ item_shares AS (SELECT raw.id, category, p FROM raw JOIN probs ON probs.id = raw
 
 def blank(text: str) -> str:
     return f"({text} IS NULL OR NOT regexp_matches({text}, '[^{WS}]'))"
+
+
+def losses(source: str, temperatures: list[float]) -> str:
+    """CTEs `away` (distance of each score from the best), `losses` per temperature and `best`, over the validation rows."""
+    val = f"SELECT id, {clean('text')} AS cleaned FROM parts WHERE is_val"
+    choices = ", ".join(f"({t!r}::DOUBLE)" for t in temperatures)
+    return f"""{model(source)}, {scored(val)},
+away AS (SELECT id, s.label_idx, (score - max(score) OVER (PARTITION BY id))::DOUBLE / 1000000000 AS a,
+    s.label_idx = parts.label_idx AS own FROM scores s JOIN parts USING (id)),
+choices(temperature) AS (VALUES {choices}),
+single AS (SELECT temperature, id, ln(sum(exp(a / temperature))) - sum(a) FILTER (own) / temperature AS loss
+  FROM away CROSS JOIN choices GROUP BY temperature, id),
+losses AS (SELECT temperature, count(loss) AS rows, avg(loss) AS loss FROM single GROUP BY temperature),
+best AS (SELECT temperature FROM losses ORDER BY round(loss, 9), temperature LIMIT 1)"""
+
+
+def calibrated(source: str, temperatures: list[float]) -> str:
+    """CTE `warm`: probabilities at the best temperature and at 1, with whether the likeliest class is right."""
+    return f"""{losses(source, temperatures)},
+warm AS (SELECT t.temperature, id, label_idx, own, exp(a / t.temperature)
+      / sum(exp(a / t.temperature)) OVER (PARTITION BY t.temperature, id) AS p,
+    row_number() OVER (PARTITION BY t.temperature, id ORDER BY a DESC, label_idx) AS place
+  FROM away CROSS JOIN (SELECT temperature FROM best UNION SELECT 1::DOUBLE) t)"""

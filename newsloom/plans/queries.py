@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from newsloom import model_store
 from newsloom.functions import scores as sc
 from newsloom.functions import text as tx
 from newsloom.functions.timestamps import parse_timestamp, timestamp_text
-from newsloom.operators import batches, cleaning, labels, metrics, naive_bayes, pipeline, scoring, vocabulary
+from newsloom.operators import (
+    batches,
+    calibration,
+    cleaning,
+    epochs,
+    labels,
+    metrics,
+    naive_bayes,
+    pipeline,
+    scoring,
+    vocabulary,
+)
 from newsloom.operators.positions import first_n, positions
 from newsloom.operators.split import split_sizes
 from newsloom.plans import jobs
@@ -772,6 +785,149 @@ def results_export(spark, folder):
     return shown(rows.withColumn("confidence", F.col("confidence").cast("double")))
 
 
+@query(f"""WITH {sql.model(sql.NEWS, smoothing=0.25)} SELECT word, label_idx, weight FROM weights""")
+def versioned_model(spark, folder):
+    """The model that is served after two saves and one that failed half-way."""
+    place, trained = new_path(spark, "store"), jobs.train_on_articles(news(spark, folder))
+    known, rows, first = trained
+    second = naive_bayes.fit(rows.filter(~F.col("is_val")), known, smoothing=0.25)
+    for model in (first, second):
+        model_store.save(spark, place, lambda path, model=model: naive_bayes.save(model, path))
+
+    def fail(path: str) -> None:
+        first.words.write.parquet(f"{path}/words")
+        raise InterruptedError
+
+    try:
+        model_store.save(spark, place, fail)
+    except InterruptedError:
+        pass
+    loaded = naive_bayes.load(spark, model_store.resolve(spark, place))
+    return loaded.weights.select("word", F.posexplode("weight").alias("label_idx", "weight"))
+
+
+@query("""WITH known AS (SELECT source AS category, row_number() OVER (ORDER BY min(doc_id), source) - 1 AS label_idx
+    FROM documents WHERE lang <> 'en' GROUP BY source),
+  fresh AS (SELECT source AS category, min(doc_id) AS first FROM documents GROUP BY source)
+  SELECT category, label_idx::INTEGER AS label_idx FROM known UNION ALL
+  SELECT category, (row_number() OVER (ORDER BY first, category) - 1 + (SELECT count(*) FROM known))::INTEGER
+  FROM fresh ANTI JOIN known USING (category)""")
+def label_map_growth(spark, folder):
+    """The sources of all articles, after a load that had those in other languages than English."""
+    rows = documents(spark, folder).select("id", F.col("source").alias("category"), F.col("category").alias("lang"))
+    known = stage(labels.label_map(rows.filter("lang <> 'en'")), "label-map")
+    return labels.grow_label_map(known, labels.label_map(rows))
+
+
+@query("""SELECT 'record' AS kind, doc_id AS id, NULL AS record FROM documents UNION ALL
+  SELECT 'malformed', NULL, CASE doc_id % 3 WHEN 0 THEN '{"id": ' || doc_id WHEN 1 THEN '{"id": "no ' || doc_id || '"}'
+    ELSE 'no json ' || doc_id END FROM documents""")
+def quarantine(spark, folder):
+    """As many lines that are cut off, are of another type or no JSON at all, beside all records."""
+    path = new_path(spark, "jsonl")
+    rows = named(spark, folder).withColumn("timestamp", F.lit(MOMENT))
+    kind = F.pmod("id", F.lit(3))
+    bad = F.when(kind == 0, F.concat(F.lit('{"id": '), "id")).when(kind == 1, F.concat(F.lit('{"id": "no '), "id", F.lit('"}')))
+    bad = F.coalesce(bad, F.concat(F.lit("no json "), "id"))
+    lines = rows.select(F.explode(F.array(F.to_json(F.struct("id", "timestamp", "text", "source", "category")), bad)).alias("value"))
+    lines.write.text(path)
+    checked = files.read_jsonl_checked(spark, path)
+    good = files.good_records(checked).select(F.lit("record").alias("kind"), "id", F.lit(None).cast("string").alias("record"))
+    return good.unionByName(files.quarantined(checked).select(F.lit("malformed").alias("kind"), "id", "record"))
+
+
+# --- calibration ------------------------------------------------------------
+
+
+def _held_out(spark, folder) -> tuple[DataFrame, naive_bayes.BayesModel]:
+    _, rows, model = jobs.train_on_articles(news(spark, folder))
+    return rows.filter("is_val"), model
+
+
+@query(f"""WITH {sql.losses(sql.NEWS, calibration.TEMPERATURES)}
+  SELECT temperature, rows, {sql.fixed('least(loss, 900)')} AS loss FROM losses""")
+def temperature_losses(spark, folder):
+    rows, model = _held_out(spark, folder)
+    scored = naive_bayes.score(rows, model).select(naive_bayes.logs(F.col("scores")).alias("logs"), "label_idx")
+    found = calibration.temperature_losses(scored)
+    return found.withColumn("loss", fixed(F.least("loss", F.lit(900.0))))
+
+
+@query(f"""WITH {sql.calibrated(sql.NEWS, calibration.TEMPERATURES)},
+  bins AS (SELECT temperature, least(floor(round(p, 9) * 10), 9) AS bin, count(*) AS n, avg(p) AS confidence,
+    avg(own::INT) AS accuracy FROM warm WHERE place = 1 GROUP BY ALL)
+  SELECT temperature, sum(n)::BIGINT AS rows, {sql.fixed('sum(n * abs(accuracy - confidence)) / sum(n)')} AS error
+  FROM bins GROUP BY temperature""")
+def calibration_errors(spark, folder):
+    """The expected calibration error before and after a temperature is fitted."""
+    rows, model = _held_out(spark, folder)
+    warm = naive_bayes.calibrated(model, rows)
+    found = None
+    for one in [model, *([warm] if warm.temperature != 1 else [])]:
+        scored = scoring.scored(rows, one)
+        right = F.col("predicted_label_idx") == F.col("label_idx")
+        predicted = scored.select(sc.confidence(F.col("probabilities")).alias("confidence"), right.alias("is_right"))
+        error = calibration.calibration_error(calibration.reliability(predicted))
+        error = error.select(F.lit(one.temperature).alias("temperature"), "rows", fixed(F.col("error")).alias("error"))
+        found = error if found is None else found.unionByName(error)
+    return found
+
+
+@query(f"""WITH {sql.calibrated(sql.NEWS, calibration.TEMPERATURES)}
+  SELECT id, label_idx, {sql.fixed('p')} AS probability FROM warm WHERE temperature = (SELECT temperature FROM best)""")
+def calibrated_probabilities(spark, folder):
+    rows, model = _held_out(spark, folder)
+    scored = scoring.scored(rows, naive_bayes.calibrated(model, rows))
+    found = scored.select("id", F.posexplode("probabilities").alias("label_idx", "p"))
+    return found.select("id", "label_idx", fixed(F.col("p")).alias("probability"))
+
+
+# --- training by epochs -----------------------------------------------------
+
+
+def _epochs(spark, folder) -> tuple[DataFrame, str]:
+    train, held_out = _split_news(spark, folder)
+    path = new_path(spark, "epochs")
+    epochs.train(train, held_out, NAMES, path, SCHEDULE)
+    return held_out, path
+
+
+SCHEDULE = epochs.Schedule(epochs=3, batch=16, shards=8)
+
+
+@query(f"""WITH {sql.split(sql.NEWS)} SELECT id, label_idx AS true_label_idx, true AS is_argmax,
+  CAST(1 AS DECIMAL(9, 6)) AS probability_sum FROM parts WHERE is_val""")
+def epoch_predictions(spark, folder):
+    """The best of three epochs: what must hold of every row."""
+    held_out, path = _epochs(spark, folder)
+    predicted = epochs.predict(held_out, epochs.load(spark, path))
+    total = F.aggregate("probabilities", F.lit(0.0), lambda whole, p: whole + p)
+    return predicted.select(
+        "id",
+        F.col("label_idx").alias("true_label_idx"),
+        (sc.argmax(F.col("probabilities")) == F.col("predicted_label_idx")).alias("is_argmax"),
+        fixed(total).alias("probability_sum"),
+    )
+
+
+@query(f"""WITH {sql.split(sql.NEWS)} SELECT epoch, (SELECT count(*) FROM parts WHERE is_val) AS rows, true AS is_share,
+  true AS beats_none, true AS is_resumed FROM (SELECT unnest([1, 2, 3]) AS epoch)""")
+def epoch_history(spark, folder):
+    """Every epoch's figures: a whole number of right rows, a loss below that of knowing nothing, and the same when resumed."""
+    train, held_out = _split_news(spark, folder)
+    whole, broken = new_path(spark, "epochs"), new_path(spark, "epochs")
+    epochs.train(train, held_out, NAMES, whole, SCHEDULE)
+    epochs.train(train, held_out, NAMES, broken, SCHEDULE, until=1)
+    epochs.train(train, held_out, NAMES, broken, SCHEDULE)
+    rows = held_out.count()
+    found = [
+        (a.number, rows, abs(a.accuracy * rows - round(a.accuracy * rows)) < 1e-6, a.loss < math.log(len(NAMES)),
+         a.accuracy == b.accuracy and abs(a.loss - b.loss) < 1e-9)
+        for a, b in zip(epochs.history(spark, whole), epochs.history(spark, broken), strict=True)
+    ]
+    return spark.createDataFrame(found, "epoch int, rows long, is_share boolean, beats_none boolean, is_resumed boolean")
+
+
 # --- regression pipeline ----------------------------------------------------
 
 
@@ -827,6 +983,23 @@ def model_selection(spark, folder):
     return table.withColumn("accuracy", fixed(F.col("accuracy")))
 
 
+@query(f"""WITH {sql.split(sql.NEWS)} SELECT max_iter, (SELECT count(*) FROM parts WHERE is_val) AS rows, true AS is_share,
+  true AS not_above_chosen FROM (SELECT unnest([1, 2, 3]) AS max_iter)""")
+def regression_candidates(spark, folder):
+    """What must hold of every candidate of a selection: a whole number of right rows, and none better than the chosen one."""
+    train, held_out = _split_news(spark, folder)
+    tried = [pipeline.Candidate(n) for n in (1, 2, 3)]
+    choice = pipeline.select_best(train, held_out, tried)
+    scored = pipeline.predict(held_out, choice.model).withColumnRenamed("label_idx", "true_label_idx")
+    served = metrics.accuracy(scored).first()
+    found = [
+        (c.max_iter, served.rows, abs(a * served.rows - round(a * served.rows)) < 1e-6,
+         (a, -c.max_iter) <= (served.accuracy, -choice.candidate.max_iter))
+        for c, a in zip(tried, choice.accuracies, strict=True)
+    ]
+    return spark.createDataFrame(found, "max_iter int, rows long, is_share boolean, not_above_chosen boolean")
+
+
 @query()
 def regression_selection(spark, folder):
     train, held_out = _split_news(spark, folder)

@@ -40,10 +40,29 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Raw records. A malformed line gives a row of NULLs, a bad field a NULL."""
+    """Raw records. A malformed line gives a row of NULLs, a bad field a NULL; `read_jsonl_checked` tells them apart."""
     return need(spark.read.schema(RAW).json, path, "run the ingest job first")
 
 
+def read_jsonl_checked(spark: SparkSession, path: str) -> DataFrame:
+    """Raw records with `file` and `malformed`, the whole line where it is no JSON or a field does not fit, else NULL.
+
+    Blank lines are no records.
+    """
+    kind = T.StructType([*RAW.fields, T.StructField("malformed", T.StringType())])
+    reader = spark.read.schema(kind).option("columnNameOfCorruptRecord", "malformed")
+    return need(reader.json, path, "run the ingest job first").select("*", F.col("_metadata.file_path").alias("file"))
+
+
+def good_records(checked: DataFrame) -> DataFrame:
+    return checked.filter("malformed IS NULL").select(*RAW.fieldNames())
+
+
+def quarantined(checked: DataFrame) -> DataFrame:
+    """`(file, id, record)` of malformed lines, with the id where it could be read."""
+    return checked.filter("malformed IS NOT NULL").select("file", "id", F.col("malformed").alias("record"))
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> None:
     """Replace `path` by `df`, in folders per value of `partition_by` if given.
 
@@ -89,6 +108,11 @@ def write_label_map(labels: DataFrame, path: str) -> None:
     labels.coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
     return need(spark.read.schema(LABEL_MAP).parquet, path, "run the train job first")
 

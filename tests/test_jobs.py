@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from newsloom.operators import naive_bayes
+from newsloom.operators.epochs import Schedule
 from newsloom.operators.pipeline import Candidate
 from newsloom.plans import jobs
 from newsloom.sources import files
@@ -79,3 +81,51 @@ def test_missing_model(spark, trained, tmp_path):
         jobs.load_model(spark, str(tmp_path))
     with pytest.raises(files.MissingInput):
         jobs.evaluate(spark, paths["cleaned"], paths["model"], str(tmp_path / "none"))
+
+
+def test_malformed_lines_are_put_aside(spark, tmp_path):
+    good = '{"id": 1, "timestamp": "2024-01-02 03:04:05", "text": "Good", "source": "s", "category": "World"}'
+    lines = [good, "{broken", "", '{"id": "x", "text": "t"}', good.replace("1,", "2,")]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines), encoding="utf-8")
+    place = {n: str(tmp_path / n) for n in ("in", "out", "bad", "more", "none")}
+    counts = jobs.process(spark, place["in"], place["out"], quarantine=place["bad"])
+    assert counts == {"records": 2, "null_timestamps": 0, "null_ids": 0, "malformed": 2}
+    assert sorted(r.id for r in files.read_cleaned(spark, place["out"]).collect()) == [1, 2]
+    rejected = spark.read.json(place["bad"]).collect()
+    assert sorted(r.record for r in rejected) == ['{"id": "x", "text": "t"}', "{broken"] and "a.json" in rejected[0].file
+    (tmp_path / "in" / "a.json").write_text(good, encoding="utf-8")
+    counts = jobs.process(spark, place["in"], place["more"], quarantine=place["none"])
+    assert counts["malformed"] == 0 and not files.exists(spark, place["none"])
+
+
+def test_training_again_adds_a_version_and_keeps_labels(spark, trained, tmp_path, monkeypatch):
+    _, paths, _, _ = trained
+    model, known = str(tmp_path / "model"), str(tmp_path / "labels")
+    old = spark.createDataFrame([("Gone", 0), ("Sci/Tech", 1)], "category string, label_idx int")
+    files.write_label_map(old, known)
+    schedule = Schedule(epochs=2, shards=2)
+    run = str(tmp_path / "run")
+    summary = jobs.train(spark, paths["cleaned"], model, known, features=4096, schedule=schedule, run_dir=run)
+    grown = {r.category: r.label_idx for r in files.read_label_map(spark, known).collect()}
+    assert grown["Gone"] == 0 and grown["Sci/Tech"] == 1 and sorted(grown.values()) == list(range(5))
+    assert summary["version"] == 1 and summary["epoch"] in (1, 2) and 0 <= summary["epochs_accuracy"] <= 1
+    assert summary["temperature"] > 0
+    served = jobs.load_model(spark, model, "bayes")
+    assert served.temperature == summary["temperature"]
+    found = jobs.evaluate(spark, paths["cleaned"], model, known, kind="epochs")
+    assert found.accuracy.first().accuracy == pytest.approx(summary["epochs_accuracy"])
+    items = spark.read.parquet(paths["articles"]).select("id", "text").limit(5)
+    assert jobs.classify_articles(items, jobs.load_model(spark, model, "epochs")).results.count() == 5
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(naive_bayes, "_write_settings", lost)
+        with pytest.raises(RuntimeError):
+            jobs.train(spark, paths["cleaned"], model, known)
+    assert jobs.load_model(spark, model, "bayes").path == served.path
+    assert jobs.train(spark, paths["cleaned"], model, known)["version"] == 2
+    assert jobs.load_model(spark, model, "bayes").path != served.path
+    assert served.words.count() > 0
