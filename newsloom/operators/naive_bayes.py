@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.operators.calibration import best_temperature, temperature_losses
+from newsloom.operators.subwords import piece_counts, pieces_of, read_vocabulary
 from newsloom.operators.vocabulary import label_word_counts, top_words
 from newsloom.staging import new_path, stage
 
@@ -34,11 +35,15 @@ WORDS_AT_ONCE = 1 << 20
 
 @dataclass(frozen=True)
 class Candidate:
-    """Settings of a fit: added count, words kept (None: all), words read per text (None: all)."""
+    """Settings of a fit: added count, words kept (None: all), words read per text (None: all).
+
+    With `subwords`, the path of a tokenizer file, words are cut into its pieces, which then take their place.
+    """
 
     smoothing: float = 1.0
     vocabulary_size: int | None = None
     most: int | None = None
+    subwords: str | None = None
 
 
 @dataclass(frozen=True)
@@ -72,12 +77,13 @@ def _log_units(ratio: Column) -> Column:
     return F.round(F.ln(ratio) * UNIT).cast("long")
 
 
-def counted(train: DataFrame, most: int | None = None) -> DataFrame:
-    """Written counts per label and word of `(label_idx, cleaned_text)` rows.
+def counted(train: DataFrame, most: int | None = None, subwords: str | None = None) -> DataFrame:
+    """Written counts per label and word, or piece, of `(label_idx, cleaned_text)` rows.
 
     Rows without text or label say nothing and are left out: no text, no tokens.
     """
-    return stage(label_word_counts(train.filter(F.col("label_idx").isNotNull()), most=most), "label-word-counts")
+    counts = stage(label_word_counts(train.filter(F.col("label_idx").isNotNull()), most=most), "label-word-counts")
+    return stage(piece_counts(counts, subwords), "label-piece-counts") if subwords else counts
 
 
 def fit(
@@ -87,9 +93,11 @@ def fit(
     vocabulary_size: int | None = None,
     most: int | None = None,
     smoothing: float = 1.0,
+    subwords: str | None = None,
 ) -> BayesModel:
     """Fit on whole texts and all words, unless told to cut them."""
-    return fit_counts(counted(train, most), labels, Candidate(smoothing, vocabulary_size, most), path)
+    settings = Candidate(smoothing, vocabulary_size, most, subwords)
+    return fit_counts(counted(train, most, subwords), labels, settings, path)
 
 
 def fit_counts(counts: DataFrame, labels: DataFrame, settings: Candidate, path: str | None = None) -> BayesModel:
@@ -126,8 +134,9 @@ def fit_counts(counts: DataFrame, labels: DataFrame, settings: Candidate, path:
 
 
 def _write_settings(spark: SparkSession, path: str, settings: Candidate, temperature: float) -> None:
-    kept = (settings.smoothing, settings.vocabulary_size, settings.most, temperature)
-    row = spark.createDataFrame([kept], "smoothing double, vocabulary_size long, most int, temperature double")
+    kept = (settings.smoothing, settings.vocabulary_size, settings.most, settings.subwords, temperature)
+    kind = "smoothing double, vocabulary_size long, most int, subwords string, temperature double"
+    row = spark.createDataFrame([kept], kind)
     row.coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
 
 
@@ -135,7 +144,7 @@ def load(spark: SparkSession, path: str) -> BayesModel:
     """Read a fitted model back."""
     labels, words = spark.read.parquet(f"{path}/labels"), spark.read.parquet(f"{path}/words")
     kept = spark.read.parquet(f"{path}/settings").first()
-    settings = Candidate(kept.smoothing, kept.vocabulary_size, kept.most)
+    settings = Candidate(kept.smoothing, kept.vocabulary_size, kept.most, kept.asDict().get("subwords"))
     rows = sorted(labels.collect(), key=lambda r: r.label_idx)  # one row per class
     size, added = words.count(), settings.smoothing
     totals = F.lit([float(r.tokens + added * size) for r in rows])
@@ -164,12 +173,13 @@ def select_best(
     """
     from newsloom.functions.scores import argmax
 
-    counts: dict[int | None, DataFrame] = {}
+    counts: dict[tuple, DataFrame] = {}
     fitted, accuracies = [], []
     for candidate in candidates:
-        if candidate.most not in counts:
-            counts[candidate.most] = counted(train, candidate.most)
-        model = fit_counts(counts[candidate.most], labels, candidate)
+        read = (candidate.most, candidate.subwords)
+        if read not in counts:
+            counts[read] = counted(train, *read)
+        model = fit_counts(counts[read], labels, candidate)
         right = (argmax(F.col("scores")) == F.col("label_idx")).cast("double")
         found = score(validation, model).agg(F.coalesce(F.avg(F.coalesce(right, F.lit(0.0))), F.lit(0.0)))
         fitted.append(model)
@@ -223,31 +233,51 @@ def prepare(model: BayesModel) -> ReadyBayes:
     # The last row stands for words that are not in the table.
     weights = np.vstack([weights, np.zeros((1, len(model.categories)), dtype=np.int64)])
     places = {word: i for i, word in enumerate(table["word"])}
-    return ReadyBayes(model, model.labels.sparkSession.sparkContext.broadcast((places, weights)), cold)
+    vocabulary = read_vocabulary(model.settings.subwords) if model.settings.subwords else None
+    shared = model.labels.sparkSession.sparkContext.broadcast(Weights(places, weights, vocabulary))
+    return ReadyBayes(model, shared, cold)
+
+
+@dataclass(frozen=True)
+class Weights:
+    """Where each word, or piece of a word, has its row of weights; the last row is for all others."""
+
+    places: dict[str, int]
+    rows: np.ndarray
+    vocabulary: str | None
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row of weights for each word, and which words are not in the table. All words have pieces."""
+        unknown = len(self.rows) - 1
+        if self.vocabulary is None:
+            found = np.array([self.places.get(word, unknown) for word in words], dtype=np.int64)
+            return self.rows[found], found == unknown
+        cut = pieces_of(words, self.vocabulary)
+        totals = [self.rows[[self.places.get(piece, unknown) for piece in pieces]].sum(axis=0) for pieces in cut]
+        return np.array(totals, dtype=np.int64).reshape(len(words), -1), np.zeros(len(words), dtype=bool)
 
 
-def _sums(words: pa.Array, sizes: np.ndarray, places: dict[str, int], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _sums(words: pa.Array, sizes: np.ndarray, known: Weights) -> tuple[np.ndarray, np.ndarray]:
     """Summed weights per text and class, and which of the words are not in the table.
 
     `words` are those of the texts one after another, `sizes` their numbers. A word is looked up once.
     """
     coded = words.dictionary_encode()
-    unknown = len(weights) - 1
-    found = np.array([places.get(word, unknown) for word in coded.dictionary.to_pylist()], dtype=np.int64)
-    rows = found[coded.indices.to_numpy()] if len(words) else np.empty(0, dtype=np.int64)
+    weights, unknown = known.of(coded.dictionary.to_pylist())
+    places = coded.indices.to_numpy() if len(words) else np.empty(0, dtype=np.int64)
     ends = np.cumsum(sizes)
-    totals = np.empty((len(sizes), weights.shape[1]), dtype=np.int64)
-    for i in range(weights.shape[1]):
-        running = np.concatenate([[0], np.cumsum(weights[rows, i])])
+    totals = np.zeros((len(sizes), known.rows.shape[1]), dtype=np.int64)
+    for i in range(known.rows.shape[1] if len(words) else 0):
+        running = np.concatenate([[0], np.cumsum(weights[places, i])])
         totals[:, i] = running[ends] - running[ends - sizes]
-    return totals, rows == unknown
+    return totals, unknown[places]
 
 
 def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), values)
 
 
-def _scored_texts(texts: pa.Array, places: dict, weights: np.ndarray, priors: np.ndarray, most: int | None, rest: bool) -> pa.Array:
+def _scored_texts(texts: pa.Array, known: Weights, priors: np.ndarray, most: int | None, rest: bool) -> pa.Array:
     """A batch's scores, and the words that are to be joined elsewhere; some texts at a time, by their words."""
     words = pc.split_pattern(pc.fill_null(texts, ""), " ")
     if most is not None:
@@ -258,7 +288,7 @@ def _scored_texts(texts: pa.Array, places: dict, weights: np.ndarray, priors: np
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, side="right")))
         some, counts = words[start:stop].flatten(), sizes[start:stop]
-        totals, unknown = _sums(some, counts, places, weights)
+        totals, unknown = _sums(some, counts, known)
         left = _lists(some.slice(0, 0), np.zeros(len(counts), dtype=np.int64))
         if rest:
             owners = np.repeat(np.arange(len(counts)), counts)
@@ -284,9 +314,9 @@ def score(articles: DataFrame, model: BayesModel | ReadyBayes, cleaned: str = "c
 
     @F.arrow_udf("scores array<bigint>, rest array<string>")
     def add_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        places, weights = shared.value
+        known = shared.value
         for texts in batches:
-            yield _scored_texts(texts, places, weights, priors, most, keep_rest)
+            yield _scored_texts(texts, known, priors, most, keep_rest)
 
     columns = [c for c in articles.columns if c != "scores"]
     seen = F.lit([p is not None for p in model.priors])

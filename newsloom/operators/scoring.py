@@ -88,9 +88,12 @@ def classify_texts(
 
     Texts of fewer than `least` characters are refused and give no row.
     """
-    rows = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    if least:
-        rows = rows.filter(is_long_enough("text", least))
+    return classify_numbered(spark.createDataFrame(list(enumerate(texts)), "id long, text string"), model, least)
+
+
+def classify_numbered(texts: DataFrame, model: Model, least: int = 0) -> DataFrame:
+    """The same for a table of `(id, text)`, in id order."""
+    rows = texts.filter(is_long_enough("text", least)) if least else texts
     return classify(rows, model, "Unknown Category").orderBy("id")
 
 

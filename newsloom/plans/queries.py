@@ -22,15 +22,17 @@ from newsloom.operators import (
     naive_bayes,
     pipeline,
     scoring,
+    subwords,
     vocabulary,
 )
-from newsloom.operators.positions import first_n, positions
+from newsloom.operators.positions import first_n, number_by, positions
 from newsloom.operators.split import split_sizes
 from newsloom.plans import jobs
 from newsloom.plans import oracle as sql
 from newsloom.sources import files
 from newsloom.sources.articles import raw_records
 from newsloom.staging import new_path, stage
+from newsloom.streaming import progress
 from newsloom.streaming.articles import classify_stream, clean_stream, read_parquet_stream, read_results
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +181,10 @@ def timestamp_string(spark, folder):
 
 
 def _event_times(spark, folder):
+    return _event_times_of(table(spark, folder, "events"))
+
+
+def _event_times_of(events: DataFrame) -> DataFrame:
     """Event times as text in eight shapes, half of them no valid time."""
     ts, kind = F.col("ts"), F.pmod("event_id", F.lit(8))
     day, time = F.date_format(ts, "yyyy-MM-dd"), F.date_format(ts, "HH:mm:ss")
@@ -191,7 +197,7 @@ def _event_times(spark, folder):
         .when(kind == 5, F.concat(F.lit("0000"), F.date_format(ts, "-MM-dd HH:mm:ss")))
         .when(kind == 6, F.concat(F.date_format(ts, "yyyy"), F.lit("-02-30 "), time))
     )
-    return table(spark, folder, "events").select("event_id", text.alias("timestamp"))
+    return events.select("event_id", text.alias("timestamp"))
 
 
 TIMES = r"""times AS (SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS good, CASE event_id % 8
@@ -447,6 +453,43 @@ def nb_weights(spark, folder):
     return model.weights.select("word", F.posexplode("weight").alias("label_idx", "weight"))
 
 
+def vocabulary_file() -> str:
+    """A public vocabulary of lower-case pieces, as installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query(f"""SELECT word, word AS joined, count(*) AS n, true AS has_pieces FROM (
+    SELECT unnest(string_split({sql.clean('text')}, ' ')) AS word FROM documents) WHERE word <> '' GROUP BY word""")
+def subword_pieces(spark, folder):
+    """All words with what their pieces spell."""
+    words = vocabulary.word_counts(documents(spark, folder).select(tx.clean_text("text").alias("cleaned_text")))
+    words = stage(words, "word-counts")
+    spelt = F.regexp_replace(F.array_join("pieces", ""), f"{subwords.WORD_END}$", "")
+    pieces = subwords.word_pieces(words, vocabulary_file())
+    spelt = pieces.select("word", spelt.alias("joined"), (F.size("pieces") > 0).alias("has_pieces"))
+    return words.join(spelt, "word").select("word", "joined", "n", "has_pieces")
+
+
+@query(f"""WITH {sql.split(sql.NEWS)}, tok AS (SELECT id, label_idx, unnest(string_split({sql.clean('text')}, ' ')) AS word
+    FROM parts WHERE NOT is_val)
+  SELECT label_idx, sum(length(word))::BIGINT AS letters, count(*) AS words, count(DISTINCT id) AS articles FROM tok
+  WHERE word <> '' GROUP BY label_idx""")
+def subword_counts(spark, folder):
+    """Counts of pieces per label add up to the letters, words and articles that were read."""
+    _, rows = jobs.split_articles(news(spark, folder))
+    train = rows.filter("not is_val").withColumn("cleaned_text", tx.clean_text("text"))
+    counts = naive_bayes.counted(train, None, vocabulary_file())
+    ends = F.col("word").endswith(subwords.WORD_END)
+    letters = F.char_length("word") - F.when(ends, len(subwords.WORD_END)).otherwise(0)
+    return counts.groupBy("label_idx").agg(
+        F.sum(letters * F.col("n")).alias("letters"),
+        F.sum(F.when(ends, F.col("n")).otherwise(0)).alias("words"),
+        F.sum("first_words").alias("articles"),
+    )
+
+
 CUT = {"vocabulary": 2000, "most": 128}
 
 
@@ -640,10 +683,10 @@ ITEMS = "SELECT item_id AS id, text FROM benchmark"
 @query(f"""WITH {sql.results(sql.NEWS, "SELECT row_number() OVER (ORDER BY item_id) - 1 AS id, text FROM benchmark")}
   SELECT {RESULT} FROM res""")
 def adhoc_texts(spark, folder):
-    """The benchmark's questions, as texts typed in by hand."""
+    """The benchmark's questions in their order, as texts typed in by hand would be numbered."""
     model = jobs.train_on_articles(news(spark, folder))[2]
-    texts = [r.text for r in table(spark, folder, "benchmark").orderBy("item_id").collect()]
-    return shown(scoring.classify_texts(spark, texts, model))
+    texts = number_by(table(spark, folder, "benchmark").select("item_id", "text"), [F.col("item_id")])
+    return shown(scoring.classify_numbered(texts.select(F.col("position").alias("id"), "text"), model))
 
 
 @query(f"""WITH {sql.results(sql.NEWS, ITEMS)} SELECT id, category, {sql.fixed('p')} AS probability FROM item_shares""")
@@ -1031,3 +1074,34 @@ def stream_classify(spark, folder):
     out = new_path(spark, "stream")
     classify_stream(items, model, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
     return shown(read_results(spark, f"{out}/rows"))
+
+
+@query("""SELECT count(*) AS records, count(*) FILTER (WHERE event_id % 8 > 2) AS null_timestamps,
+  count(*) FILTER (WHERE event_id % 3 = 0) AS null_ids FROM events""")
+def stream_quality(spark, folder):
+    """The counts that a cleaning stream keeps per batch, added up."""
+    times = _event_times_of(read_parquet_stream(spark, f"{folder}/events.parquet"))
+    raw = times.select(
+        F.when(F.col("event_id") % 3 != 0, F.col("event_id")).alias("id"),
+        "timestamp",
+        F.lit("text").alias("text"),
+        F.lit("events").alias("source"),
+        F.lit("none").alias("category"),
+    )
+    out = new_path(spark, "stream")
+    progress.clean_stream_with_counts(raw, out, f"{out}/checkpoint").awaitTermination()
+    return progress.quality_total(spark, out)
+
+
+@query(f"""SELECT count(*) AS rows, count(*) AS done, true AS rises, true AS all_done FROM ({TURNS})""")
+def stream_progress(spark, folder):
+    """A classifying stream that is watched: rows done never fall and end at the number of results."""
+    model = jobs.train_on_articles(news(spark, folder))[2]
+    arriving = progress.counted(with_planted_turns(read_parquet_stream(spark, f"{folder}/conversations.parquet", 1)))
+    out, steps = new_path(spark, "stream"), []
+    running = classify_stream(arriving, model, f"{out}/rows", f"{out}/checkpoint")
+    last = progress.watch(running, lambda step: steps.append(step.done))
+    rows = read_results(spark, f"{out}/rows").agg(F.count("*").alias("rows"))
+    rises = steps == sorted(steps) and len(steps) == last.batches
+    done = F.lit(last.done).cast("long")
+    return rows.select("rows", done.alias("done"), F.lit(rises).alias("rises"), (F.col("rows") == done).alias("all_done"))

@@ -25,6 +25,14 @@ CLEANED = T.StructType(
     ]
 )
 
+QUALITY = T.StructType(
+    [
+        T.StructField("records", T.LongType()),
+        T.StructField("null_timestamps", T.LongType()),
+        T.StructField("null_ids", T.LongType()),
+    ]
+)
+
 LABEL_MAP = T.StructType(
     [
         T.StructField("category", T.StringType()),
