@@ -42,7 +42,7 @@ def components(links: DataFrame) -> DataFrame:
     if not steps:
         return first.withColumn("component", F.col("node"))
     reached = stage(reduce(_follow, steps, first.withColumn("component", F.col("node"))), "component-reached")
-    smallest = stage(reached.groupBy("component").agg(F.min("node").alias("smallest")), "component-smallest")
+    smallest = reached.groupBy("component").agg(F.min("node").alias("smallest"))
     return reached.join(smallest, "component").select("node", F.col("smallest").alias("component"))
 
 

@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.ngrams import grams, letter_codes
 from newsloom.llm.tables import free, small_batches
-from newsloom.staging import bounded_rows
+from newsloom.staging import stage
 
 BITS = 14
 SIZES = (1, 2, 3)
 #: Labelled rows per language that train the weights; the only bound on what is learned from.
 SAMPLE_PER_LANGUAGE = 800
-MOST_LANGUAGES = 200
+#: Labelled rows in all; with very many languages each has fewer than the above.
+SAMPLE_TOTAL = 160_000
 SCALE = 20.0
 UNKNOWN = "und"
 
@@ -84,22 +85,24 @@ def document_counts(docs: DataFrame, text_col: str = "text", bits: int = BITS) -
 
 
 def labelled_sample(
-    docs: DataFrame, label_col: str, most: int, key: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, label_col: str, most: int, key: str = "doc_id", text_col: str = "text", total: int = SAMPLE_TOTAL
 ) -> pd.DataFrame:
     """About `most` rows of each label, the same ones at any partitioning, as `(label, mark, text)`.
 
-    Rows are chosen by a hash of their id, at a rate that follows from the number of rows of their label.
+    Rows are chosen by a hash of their id and text, at a rate that follows from the number of different rows
+    of their label; rows equal in label, id and text count once. With very many labels each gets fewer
+    rows, one at least, so that there are about `total` rows in all.
     """
-    counts = bounded_rows(docs.groupBy(label_col).agg(F.count("*").alias("n")), MOST_LANGUAGES)
-    if not counts:
-        return pd.DataFrame({"label": [], "mark": [], "text": []})
-    mark = F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 30))
-    chosen = F.lit(False)
-    for row in counts:
-        share = min(1 << 30, round(most / row.n * (1 << 30)))
-        chosen = chosen | ((F.col(label_col) == F.lit(row[label_col])) & (mark < share))
-    rows = docs.filter(chosen).select(F.col(label_col).alias("label"), mark.alias("mark"), F.col(text_col).alias("text"))
-    return rows.toPandas().sort_values(["label", "mark", "text"], ignore_index=True)
+    marks = F.xxhash64(F.col(key), F.col(text_col), F.lit("sample"))
+    rows = docs.select(F.col(label_col).alias("label"), marks.alias("hash"), F.col(text_col).alias("text"))
+    counts = stage(rows.groupBy("label").agg(F.approx_count_distinct("hash").alias("n")), "label-counts")
+    each = max(1, min(most, total // max(1, counts.count())))
+    # A label of few rows is taken whole: at a rate of a little over `each` none may be left.
+    share = F.when(F.col("n") <= 2 * each, 1 << 30).otherwise(F.round(F.lit(float(each)) / F.col("n") * (1 << 30)))
+    mark = F.pmod("hash", F.lit(1 << 30))
+    chosen = rows.withColumn("mark", mark).join(counts.select("label", share.alias("share")), "label").filter("mark < share")
+    sample = chosen.dropDuplicates(["label", "hash"]).select("label", "mark", "text")
+    return sample.toPandas().sort_values(["label", "mark", "text"], ignore_index=True)
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:

@@ -23,6 +23,8 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2020-01-01T00:00:00Z"
 #: Rounds of pointer jumping; 2**40 records in one file are more than any file holds.
 MOST_ROUNDS = 40
+#: The longest value of bytes that Spark holds.
+LARGEST = (1 << 31) - 1
 
 
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -184,7 +186,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     A record whose payload holds version lines is put together from the pieces
     between it and its successor. Empty archives give no rows. A chain that
     breaks (no length, or a successor where no record starts) ends there, and
-    the record with the broken link is kept only if its payload is whole.
+    the record with the broken link is kept only if its payload is whole. Payloads
+    hold up to two gigabytes, as Spark's values do.
     """
     parts = pieces(spark, path)
     links = stage(candidates(parts), "warc-candidates")
@@ -211,7 +214,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # Only records with version lines in their payload wait for what belongs to them.
     longer = records.join(owners, "slot", "left_semi").join(tails, "slot").withColumn("content", F.concat("content", "tail"))
     whole = records.join(owners, "slot", "left_anti").unionByName(longer.drop("tail"))
-    payload = F.substring("content", (F.col("head_bytes") + 1).cast("int"), F.col("length").cast("int"))
+    # A length beyond what a value can hold belongs to no whole payload.
+    length = F.least(F.col("length"), F.lit(LARGEST)).cast("int")
+    payload = F.substring("content", (F.col("head_bytes") + 1).cast("int"), length)
     rows = whole.select("file", "offset", "head", "length", payload.alias("payload"))
     return rows.filter(F.octet_length("payload") == F.col("length")).drop("length")
 

@@ -389,6 +389,21 @@ def test_near_duplicates_by_hand(spark, seed, size, percent):
     assert [got[i].kept for i in range(len(texts))] == [i == r for i, r in enumerate(roots)]
 
 
+def test_a_sample_of_rows_with_one_id(spark):
+    """Ids that repeat, rows that repeat, and more labels than rows wanted."""
+    same = spark.range(3000).select(F.lit(1).alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("text "), "id").alias("text"))
+    equal = spark.range(3000).select(F.lit(None).cast("int").alias("doc_id"), F.lit("fr").alias("lang"), F.lit("le").alias("text"))
+    sample = language.labelled_sample(same.unionByName(equal), "lang", 100)
+    sizes = sample.groupby("label").size()
+    assert 60 <= sizes["en"] <= 150 and sizes["fr"] == 1
+    again = language.labelled_sample(same.unionByName(equal).repartition(7), "lang", 100)
+    assert sample.equals(again)
+    many = spark.range(900).select("id", F.concat(F.lit("l"), F.col("id") % 300).alias("lang"), F.concat(F.lit("t"), "id").alias("text"))
+    assert set(language.labelled_sample(many, "lang", 5, "id", total=300).groupby("label").size()) <= {1, 2, 3}
+    model = language.fit(many.withColumnRenamed("id", "doc_id"), per_language=3)
+    assert len(model.languages) == 300
+
+
 def test_one_of_each_group_stays(spark, odd_docs, no_docs):
     left = minhash.deduplicated(odd_docs)
     assert left.columns == odd_docs.columns
@@ -507,6 +522,16 @@ def test_odd_fingerprints(spark, odd_docs, no_docs):
 # --- WARC -------------------------------------------------------------------
 
 
+def test_a_length_beyond_all_payloads_ends_the_chain(spark, tmp_path):
+    good = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    for number, length in enumerate((9_999_999_999, 999_999_999_999_999_999, 2**31 - 1)):
+        place = tmp_path / str(number)
+        place.mkdir()
+        bad = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:2>\r\nContent-Length: {length}\r\n\r\ncd\r\n\r\n"
+        (place / "a.warc").write_bytes((good + bad).encode())
+        assert [r.page_id for r in warc.page_records(warc.read(spark, str(place))).collect()] == [1]
+
+
 def test_warc_with_records_inside_payloads(spark, tmp_path):
     inner = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     pages = [
