@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from newsloom.llm import merkle, simhash, whitening
+from newsloom.llm import language, merkle, packing, simhash, whitening
 from newsloom.llm.queries import LOWER, UPPER
 
 # --- manifest ---------------------------------------------------------------
@@ -316,3 +316,50 @@ def test_a_long_text_is_counted_in_blocks(monkeypatch):
     text = " ".join(f"w{i % 91}" for i in range(5000))
     monkeypatch.setattr(simhash, "BLOCK", 64)
     assert simhash.fingerprint(simhash.shingle_hashes(text)) == fingerprint_by_hand(text)
+
+
+# --- steps of older operators by hand ---------------------------------------
+
+
+def test_all_ids_are_those_of_the_tokenizer_file(spark):
+    """The rank file gives the same ids as the tokenizer file on every text of a table, and on odd ones."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += ["", " ", "\n\n \t", "a" * 3000, "<|endoftext|> x", "é\U0001f600\u200d", "\u0000\ufeff", "  two  blanks ", "١٢٣ 123"]
+    by_file = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.encoder()
+    for text, wanted in zip(texts, by_file.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert encode(text).tolist() == wanted.ids
+
+
+def test_ftrl_steps_by_hand():
+    """One number at a time, after the published update rules."""
+    settings = language.Ftrl(epochs=2)
+    rows = [(np.array([0, 2]), np.array([0.5, 1.5])), (np.array([1]), np.array([2.0])), (np.array([0, 1]), np.array([1.0, 0.25]))]
+    labels, classes, size = np.array([0, 1, 2]), 3, 3
+    z = [[0.0] * classes for _ in range(size + 1)]
+    n = [[0.0] * classes for _ in range(size + 1)]
+
+    def weight(i, c):
+        if abs(z[i][c]) <= settings.l1:
+            return 0.0
+        sign = 1 if z[i][c] > 0 else -1
+        return -(z[i][c] - sign * settings.l1) / ((settings.beta + math.sqrt(n[i][c])) / settings.alpha + settings.l2)
+
+    order = np.random.default_rng(7)
+    for _ in range(settings.epochs):
+        for at in order.permutation(len(rows)):
+            row = [*zip(*(part.tolist() for part in rows[at]), strict=True), (size, 1.0)]
+            old = {i: [weight(i, c) for c in range(classes)] for i, _ in row}
+            powers = [math.exp(sum(v * old[i][c] for i, v in row)) for c in range(classes)]
+            for i, v in row:
+                for c in range(classes):
+                    g = v * (powers[c] / sum(powers) - (c == labels[at]))
+                    sigma = (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / settings.alpha
+                    z[i][c] += g - sigma * old[i][c]
+                    n[i][c] += g * g
+    found, bias = language.train_ftrl(rows, labels, classes, size, settings)
+    wanted = [[weight(i, c) for c in range(classes)] for i in range(size + 1)]
+    assert np.allclose(found, wanted[:size]) and np.allclose(bias, wanted[size]) and np.abs(found).max() > 0.01
