@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from newsloom.operators.calibration import best_temperature, temperature_losses
@@ -111,21 +111,22 @@ def fit_counts(counts: DataFrame, labels: DataFrame, settings: Candidate, path:
     words.write.mode("overwrite").parquet(f"{path}/words")
     words = spark.read.schema(words.schema).parquet(f"{path}/words")
 
-    tokens = (
-        words.select(F.explode("by_label").alias("label_idx", "n")).groupBy("label_idx").agg(F.sum("n").alias("tokens"))
-    )
-    articles = counts.groupBy("label_idx").agg(F.sum("first_words").alias("articles"))
-    everything = articles.agg(F.sum("articles")).first()[0] or 0
+    # One aggregation over the counts gives a label's articles and tokens, unless words were left out.
+    sums = counts.groupBy("label_idx").agg(F.sum("first_words").alias("articles"), F.sum("n").alias("tokens"))
+    if settings.vocabulary_size is not None:
+        kept = words.select(F.explode("by_label").alias("label_idx", "n"))
+        sums = sums.drop("tokens").join(kept.groupBy("label_idx").agg(F.sum("n").alias("tokens")), "label_idx", "left")
+    # The window sees one row per label.
+    everything = F.sum("articles").over(Window.partitionBy())
     label_table = (
-        labels.join(articles, "label_idx", "left")
-        .join(tokens, "label_idx", "left")
+        labels.join(sums, "label_idx", "left")
         .fillna(0, ["articles", "tokens"])
         .select(
             "category",
             "label_idx",
             "articles",
             "tokens",
-            F.when(F.col("articles") > 0, _log_units(F.col("articles") / F.lit(everything))).alias("prior"),
+            F.when(F.col("articles") > 0, _log_units(F.col("articles") / everything)).alias("prior"),
         )
     )
     label_table.write.mode("overwrite").parquet(f"{path}/labels")
