@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -27,6 +29,8 @@ SIZES = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 800
 #: Labelled rows in all; with very many languages each has fewer than the above.
 SAMPLE_TOTAL = 160_000
+#: Up to so many labels, the rates of a sample are literals of its filter; beyond that they are joined.
+LITERAL_LABELS = 200
 SCALE = 20.0
 UNKNOWN = "und"
 
@@ -89,20 +93,32 @@ def labelled_sample(
 ) -> pd.DataFrame:
     """About `most` rows of each label, the same ones at any partitioning, as `(label, mark, text)`.
 
-    Rows are chosen by a hash of their id and text, at a rate that follows from the number of different rows
+    Rows are chosen by a hash of their id and text, at a rate that follows from the number of rows
     of their label; rows equal in label, id and text count once. With very many labels each gets fewer
     rows, one at least, so that there are about `total` rows in all.
     """
     marks = F.xxhash64(F.col(key), F.col(text_col), F.lit("sample"))
     rows = docs.select(F.col(label_col).alias("label"), marks.alias("hash"), F.col(text_col).alias("text"))
-    counts = stage(rows.groupBy("label").agg(F.approx_count_distinct("hash").alias("n")), "label-counts")
-    each = max(1, min(most, total // max(1, counts.count())))
+    rows = rows.withColumn("mark", F.pmod("hash", F.lit(1 << 30)))
+    counts = stage(rows.groupBy("label").agg(F.count("*").alias("n")), "label-counts")
+    labels = counts.count()
+    each = max(1, min(most, total // max(1, labels)))
     # A label of few rows is taken whole: at a rate of a little over `each` none may be left.
     share = F.when(F.col("n") <= 2 * each, 1 << 30).otherwise(F.round(F.lit(float(each)) / F.col("n") * (1 << 30)))
-    mark = F.pmod("hash", F.lit(1 << 30))
-    chosen = rows.withColumn("mark", mark).join(counts.select("label", share.alias("share")), "label").filter("mark < share")
-    sample = chosen.dropDuplicates(["label", "hash"]).select("label", "mark", "text")
-    return sample.toPandas().sort_values(["label", "mark", "text"], ignore_index=True)
+    shares = counts.select("label", share.cast("long").alias("share"))
+    if labels <= LITERAL_LABELS:
+        # As literals the rates reach the scan, also through a join that gives the label.
+        wanted = [(F.col("label") == F.lit(r.label)) & (F.col("mark") < r.share) for r in shares.collect()]
+        chosen = rows.filter(reduce(or_, wanted, F.lit(False)))
+    else:
+        chosen = rows.join(shares, "label").filter("mark < share")
+    sample = chosen.dropDuplicates(["label", "hash"]).select("label", "mark", "text").toPandas()
+    missing = shares.filter(~F.col("label").isin(list(set(sample["label"]))))
+    if len(set(sample["label"])) < labels:
+        # Copies of few different rows may all be passed over: the first of them stands for its label.
+        first = rows.join(missing, "label").groupBy("label").agg(F.min(F.struct("hash", "mark", "text")).alias("row"))
+        sample = pd.concat([sample, first.select("label", "row.mark", "row.text").toPandas()])
+    return sample.sort_values(["label", "mark", "text"], ignore_index=True)
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
