@@ -23,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,14 @@ DIMENSIONS = 24
 MASKED = 16
 ROUNDS = 2
 RATE = 0.2
+#: Tokens of a task's first steps; after every `STEPS_OF_SIZE` steps a step takes twice as many, up to `LARGEST_BATCH`.
 BATCH = 256
+LARGEST_BATCH = 2_048
+STEPS_OF_SIZE = 16
 CHUNK = 256
+#: Scores up to this size are raised to powers as they are; larger ones have their largest taken off first.
+SAFE = 60.0
 
-REST = pa.list_(pa.struct([("word", pa.string()), ("place", pa.int32()), ("times", pa.int64())]))
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]|_")
 
 
@@ -76,21 +81,25 @@ class Inside:
 
 def bucket(word: str) -> int:
     """The class that words with the same ending share."""
-    return WORDS + xxhash.xxh3_64_intdigest(word[-3:].encode("utf-8", "surrogatepass")) % ENDINGS
+    return ending_class(word[-3:])
+
+
+@lru_cache(maxsize=100_000)
+def ending_class(ending: str) -> int:
+    return WORDS + xxhash.xxh3_64_intdigest(ending.encode("utf-8", "surrogatepass")) % ENDINGS
 
 
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`(word, place, n)` over all whole texts, `place` by ending; tasks send each distinct word once."""
 
     def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, int] = {}
+        seen: Counter = Counter()
         for batch in source:
             for text in batch.column(0).to_pylist():
-                for word in TOKEN.findall((text or "").lower()):
-                    seen[word] = seen.get(word, 0) + 1
+                seen.update(TOKEN.findall((text or "").lower()))
             if len(seen) > 500_000:
                 yield as_batch(seen)
-                seen = {}
+                seen = Counter()
         if seen:
             yield as_batch(seen)
 
@@ -136,30 +145,36 @@ class Encoder:
 
 
 def neighbours(codes: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Classes around the given token places, one column per neighbour."""
-    steps = [i for i in range(2 * SIDE + 1) if i != SIDE]
-    return codes[places[:, None] + np.array(steps)[None, :]]
+    """Classes around the given token places, one row per neighbour."""
+    return np.stack([codes[places + i] for i in range(2 * SIDE + 1) if i != SIDE])
 
 
 def hidden(around: np.ndarray, tables: np.ndarray) -> np.ndarray:
-    total = tables[0][around[:, 0]]
+    total = np.take(tables[0], around[0], axis=0)
     for i in range(1, 2 * SIDE):
-        total = total + tables[i][around[:, i]]
-    return np.tanh(total)
+        total += np.take(tables[i], around[i], axis=0)
+    return np.tanh(total, out=total)
+
+
+def bounded(out: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no score of any class can leave the range that single precision raises to powers safely."""
+    return bool((np.abs(out).sum(axis=0) + np.abs(bias)).max() <= SAFE)
 
 
 def log_likelihood(codes: np.ndarray, network: Network) -> float:
     """Sum over all tokens of the log-probability given both sides."""
     tokens = len(codes) - 2 * SIDE
+    safe, ones = bounded(network.out, network.bias), np.ones(SIZE, dtype=np.float32)
     total = 0.0
     for start in range(0, tokens, CHUNK):
         places = np.arange(start, min(tokens, start + CHUNK))
-        logits = hidden(neighbours(codes, places), network.tables) @ network.out + network.bias
+        logits = hidden(neighbours(codes, places), network.tables) @ network.out
+        logits += network.bias
+        if not safe:
+            logits -= logits.max(axis=1, keepdims=True)
         wanted = logits[np.arange(len(places)), codes[places + SIDE]]
-        top = logits.max(axis=1)
-        logits -= top[:, None]
         np.exp(logits, out=logits)
-        total += float((wanted - top - np.log(logits.sum(axis=1))).sum(dtype=np.float64))
+        total += float((wanted - np.log(logits @ ones)).sum(dtype=np.float64))
     return total
 
 
@@ -167,23 +182,33 @@ def step(network: tuple[np.ndarray, ...], seen: tuple[np.ndarray, ...], around:
     """One step on a batch, in place, with per-coordinate rates."""
     tables, out, bias = network
     inner = hidden(around, tables)
-    logits = inner @ out + bias
-    logits -= logits.max(axis=1, keepdims=True)
+    logits = inner @ out
+    logits += bias
+    if not bounded(out, bias):
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    logits[np.arange(len(wanted)), wanted] -= 1.0
-    logits /= len(wanted)
+    share = np.float32(1 / len(wanted))
+    logits *= (share / (logits @ np.ones(SIZE, dtype=np.float32)))[:, None]
+    logits[np.arange(len(wanted)), wanted] -= share
     back = (logits @ out.T) * (1 - inner**2)
     slopes_out, slopes_bias = inner.T @ logits, logits.sum(axis=0)
+    columns = np.arange(DIMENSIONS, dtype=np.int64)
     for i in range(2 * SIDE):
-        cells = around[:, i].astype(np.int64)[:, None] * DIMENSIONS + np.arange(DIMENSIONS)
+        cells = (around[i].astype(np.int64) * DIMENSIONS)[:, None] + columns
         slope = np.bincount(cells.ravel(), back.ravel(), SIZE * DIMENSIONS).astype(np.float32).reshape(SIZE, DIMENSIONS)
-        seen[0][i] += slope**2
-        tables[i] -= RATE * slope / np.sqrt(seen[0][i])
-    seen[1][...] += slopes_out**2
-    out -= RATE * slopes_out / np.sqrt(seen[1])
-    seen[2][...] += slopes_bias**2
-    bias -= RATE * slopes_bias / np.sqrt(seen[2])
+        descend(tables[i], seen[0][i], slope)
+    descend(out, seen[1], slopes_out)
+    descend(bias, seen[2], slopes_bias)
+
+
+def descend(weights: np.ndarray, seen: np.ndarray, slope: np.ndarray) -> None:
+    seen += slope * slope
+    weights -= np.float32(RATE) * slope / np.sqrt(seen)
+
+
+def batch_size(taken: int) -> int:
+    """Tokens of a task's next step after `taken` steps: small ones find the way, large ones cost less a token."""
+    return min(LARGEST_BATCH, BATCH << min(taken // STEPS_OF_SIZE, 30))
 
 
 def trained(codes: np.ndarray, turn: int, rounds: int, masked: int) -> np.ndarray:
@@ -224,6 +249,15 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> tuple[dict[str, int],
     return words, Inside(counts, totals, heads)
 
 
+def counted_words(rests: list[Counter]) -> pa.Array:
+    words = [word for rest in rests for word in rest]
+    places = pa.array([bucket(word) for word in words], pa.int32())
+    times = pa.array([n for rest in rests for n in rest.values()], pa.int64())
+    each = pa.StructArray.from_arrays([pa.array(words, pa.string()), places, times], ["word", "place", "times"])
+    ends = np.cumsum([0] + [len(rest) for rest in rests])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), each)
+
+
 def encode(
     docs: DataFrame, words: dict[str, int], inside: Inside | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -242,7 +276,7 @@ def encode(
                     batch.column(1),
                     pa.array([codes.astype(np.uint8).tobytes() for codes, _, _ in found], pa.binary()),
                     pa.array([known for _, known, _ in found], pa.float64()),
-                    pa.array([[(w, bucket(w), n) for w, n in rest.items()] for _, _, rest in found], REST),
+                    counted_words([rest for _, _, rest in found]),
                 ],
                 names=["row", "doc_id", "codes", "inside", "rest"],
             )
@@ -254,7 +288,11 @@ def encode(
 
 
 def fit(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, masked: int = MASKED) -> Network:
-    """Train on all tokens of every text, each in one round. Without tokens the network stays as it was drawn."""
+    """Train on all tokens of every text, each in one round. Without tokens the network stays as it was drawn.
+
+    Tasks step on their own rows, so weights depend on how rows are dealt to tasks, as the order of
+    rows does in any stochastic training; counts, masks and the tokens trained on do not.
+    """
     words, inside = vocabulary(docs, text_col)
     rows = docs.select(F.lit(0).alias("doc_id"), F.col(text_col).alias("text"))
     return fit_codes(stage(encode(rows, words, inside), "lm-codes"), words, inside, rounds, masked)
@@ -279,7 +317,7 @@ def fit_codes(
             start = shared.value
             own = (start.tables.copy(), start.out.copy(), start.bias.copy())
             seen = tuple(np.full_like(x, 1e-4) for x in own)
-            around, wanted, held, total = [], [], 0, 0
+            around, wanted, held, taken, total = [], [], 0, 0, 0
             for batch in source:
                 for raw in batch.column(0).to_pylist():
                     codes = np.frombuffer(raw, dtype=np.uint8)
@@ -290,11 +328,12 @@ def fit_codes(
                     around.append(neighbours(codes, places))
                     wanted.append(codes[places + SIDE])
                     held += len(places)
-                    if held >= BATCH:
-                        total += steps(own, seen, around, wanted)
-                        around, wanted, held = [], [], 0
+                    if held >= batch_size(taken):
+                        taken = steps(own, seen, around, wanted, taken)
+                        around, wanted, total, held = [], [], total + held, 0
             if held:
-                total += steps(own, seen, around, wanted)
+                steps(own, seen, around, wanted, taken)
+                total += held
             if total:
                 flat = np.concatenate([x.ravel() for x in own]).astype(np.float64) * total
                 yield pa.RecordBatch.from_arrays(
@@ -305,11 +344,15 @@ def fit_codes(
                     ["place", "value"],
                 )
 
-        def steps(own, seen, around, wanted) -> int:
-            x, y = np.concatenate(around), np.concatenate(wanted)
-            for i in range(0, len(y), BATCH):
-                step(own, seen, x[i : i + BATCH], y[i : i + BATCH])
-            return len(y)
+        def steps(own, seen, around, wanted, taken: int) -> int:
+            """Train on all tokens held; how many steps the task has taken then."""
+            x, y = np.concatenate(around, axis=1), np.concatenate(wanted)
+            start = 0
+            while start < len(y):
+                size = batch_size(taken)
+                step(own, seen, x[:, start : start + size], y[start : start + size])
+                start, taken = start + size, taken + 1
+            return taken
 
         sums = (
             coded.select("codes")
