@@ -68,10 +68,12 @@ def line(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
 
 
-def write(records: DataFrame, path: str) -> None:
+def write(records: DataFrame, path: str, compression: str = "gzip") -> None:
     """Write records as archives, one per task, through Spark's own text writer.
 
-    A record ends with two line ends, which serve as the line separator.
+    A record ends with two line ends, which serve as the line separator. `compression`
+    is one of the text source's; plain archives (`none`) take more disk, and byte ranges of one
+    can be read by many tasks.
     """
     revisit = F.col("record_type") == "revisit"
     urn = F.lit("urn:page:")
@@ -96,14 +98,17 @@ def write(records: DataFrame, path: str) -> None:
         F.lit("\r\n"),
     )
     body = F.when(revisit, "").otherwise(F.col("payload"))
-    records.select(F.concat(header, body).alias("value")).write.option("lineSep", BLOCK_END).text(path)
+    records.select(F.concat(header, body).alias("value")).write.text(
+        path, compression=compression, lineSep=BLOCK_END
+    )
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
     """`(slot, file, block, content, head, head_bytes, length)`: what stands between version lines, written once.
 
-    The text source splits archives by byte ranges, so one large file is read by
-    many tasks. `content` runs from after a version line to the next one; `length`
+    The text source splits plain archives by byte ranges, so one large file is read by
+    many tasks; a compressed file is one task's, whether compressed whole or record by record, and
+    offsets are those of its content. `content` runs from after a version line to the next one; `length`
     is NULL where no header with a length is found.
     """
     content = F.col("content")
@@ -226,27 +231,38 @@ def header(name: str) -> Column:
 
 
 def page_records(records: DataFrame) -> DataFrame:
-    """`(page_id, payload_bytes, payload_digest, record_type, refers_to)` from what archives say.
+    """`(page_id, payload_bytes, payload_digest, record_type, refers_to)` from what archives hold.
 
-    Responses are measured again on the payload that was read; a revisit, which
-    stores none, carries the length and digest of its response in its header.
+    Responses are measured on the payload that was read. A revisit, which stores
+    none, gets length and digest from the response that it refers to, if one with that id and the
+    digest of the revisit's header was read; a revisit of a lost or other response is left out.
+    Records of other types have the length and digest that their header says.
     """
     number = r"<urn:page:(-?[0-9]+)>"
     ident = F.regexp_extract(header("WARC-Record-ID"), number, 1)
     refers = F.regexp_extract(header("WARC-Refers-To"), number, 1)
     kind = header("WARC-Type")
     stored = kind == "response"
-    return records.select(
-        F.when(ident != "", ident.cast("long")).alias("page_id"),
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    rows = records.select(
+        F.when(ident != "", ident.try_cast("long")).alias("page_id"),
         F.when(stored, F.octet_length("payload").cast("long"))
-        .otherwise(header("WARC-Payload-Length").cast("long"))
+        .otherwise(header("WARC-Payload-Length").try_cast("long"))
         .alias("payload_bytes"),
         F.when(stored, F.sha2(F.col("payload"), 256))
         .otherwise(F.regexp_extract(header("WARC-Payload-Digest"), "^sha256:(.*)$", 1))
         .alias("payload_digest"),
         kind.alias("record_type"),
-        F.when(refers != "", refers.cast("long")).alias("refers_to"),
+        F.when(refers != "", refers.try_cast("long")).alias("refers_to"),
     )
+    rows = stage(rows, "warc-records")
+    revisits = rows.filter(F.col("record_type") == "revisit")
+    key = ["refers_to", "payload_digest"]
+    wanted = stage(revisits.select(*key).distinct(), "warc-wanted")
+    responses = rows.filter(F.col("record_type") == "response").withColumn("refers_to", F.col("page_id"))
+    met = responses.select(*key, "payload_bytes").join(small(wanted), key, "left_semi").distinct()
+    resolved = revisits.drop("payload_bytes").join(small(stage(met, "warc-met")), key)
+    return rows.filter(F.col("record_type") != "revisit").unionByName(resolved.select(columns))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
