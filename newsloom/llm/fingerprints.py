@@ -18,10 +18,13 @@ K = 128
 BITS = 48
 HEX = BITS // 4
 
-#: Cells that ids are counted in, and buckets of neighbours: both tables are small enough to send to all executors.
-CELLS = 65_536
+#: Buckets of neighbours, at most: a table with a row for each is small enough to send to all executors.
 BUCKETS = 50_000
 LEAST_BUCKET_ROWS = 2_048
+#: Rows drawn for each bucket to find where buckets begin. They say where rows are sorted, never how.
+DRAWN = 16
+#: A border that no key lies below.
+LOWEST = (False, 0, -(1 << 63))
 
 
 def sketch(text: Column, size: int = SHINGLE, k: int = K) -> Column:
@@ -85,36 +88,60 @@ def from_text(text: Column) -> Column:
     return F.transform(places, lambda i: F.conv(F.substring(text, i * HEX + 1, F.lit(HEX)), 16, 10).cast("long"))
 
 
-def _cells(docs: DataFrame, id_col: str) -> tuple[int, int, list[tuple[int, int, int]]]:
-    """`(low, width, [(cell, first bucket, buckets)])`: ids cut into ranges of about equally many rows.
+def _borders(keys: DataFrame, buckets: int, share: float) -> list[tuple]:
+    """Keys `(there, id, tie)`, ascending, at which a drawn share of rows is cut into about equal buckets."""
+    drawn = keys.sample(share, seed=1) if share < 1 else keys
+    found = drawn.agg(F.sort_array(F.collect_list(F.struct("there", "id", "tie"))).alias("all"))
+    step = F.greatest(F.ceil(F.size("all") / buckets), F.lit(1))
+    cuts = F.filter("all", lambda _, i: (i > 0) & (i % step == 0))
+    return [tuple(cut) for cut in found.select(cuts.alias("cuts")).first().cuts]
 
-    Ids are counted in equal cells; neighbouring cells with few rows share a
-    bucket, and a cell with many is cut again.
-    """
+
+def _key(docs: DataFrame, id_col: str, tie: Column, kept: tuple[str, ...] = ()) -> DataFrame:
     ids = F.col(id_col).cast("long")
-    ends = docs.agg(F.min(ids).alias("low"), F.max(ids).alias("high"), F.count("*").alias("rows")).first()
-    low = ends.low if ends.low is not None else 0
-    high = ends.high if ends.high is not None else 0
-    width = -(-(high - low + 2) // CELLS)
-    counts = (
-        docs.select(_cell(ids, low, width).alias("cell")).groupBy("cell").agg(F.count("*").alias("n")).collect()
-    )  # at most CELLS + 1 rows
-    most = max(LEAST_BUCKET_ROWS, -(-ends.rows // BUCKETS))
-    found, bucket, filled = [], 0, 0
-    for cell, n in sorted((r.cell, r.n) for r in counts):
-        if filled and filled + n > most:
-            bucket, filled = bucket + 1, 0
-        parts = min(width, -(-n // most))
-        found.append((cell, bucket, parts))
-        filled += n
-        if parts > 1:
-            bucket, filled = bucket + parts, 0
-    return low, width, found
-
-
-def _cell(ids: Column, low: int, width: int) -> Column:
-    """Cell 0 holds NULL ids, which come last in descending order."""
-    return F.when(ids.isNull(), 0).otherwise(F.floor((ids - F.lit(low)) / F.lit(width)) + 1).cast("long")
+    number = F.coalesce(ids, F.lit(0).cast("long"))
+    return docs.select(*kept, ids.isNotNull().alias("there"), number.alias("id"), tie.cast("long").alias("tie"))
+
+
+def _cuts(docs: DataFrame, id_col: str, tie: Column) -> tuple[list[tuple], bool]:
+    """Borders of buckets, ascending, and whether any id has so many rows that ties are cut too.
+
+    Rows drawn by chance show how ids lie, whatever their range: a bucket holds about equally many
+    rows beside an id far from all others, and ids are only compared. An id that fills a bucket
+    is cut again by the hash of what its rows hold.
+    """
+    rows = docs.count()
+    buckets = min(BUCKETS, -(-rows // LEAST_BUCKET_ROWS))
+    if buckets < 2:
+        return [], False
+    share = min(1.0, buckets * DRAWN / rows)
+    cuts = _borders(_key(docs, id_col, F.lit(0)), buckets, share)
+    heavy = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})
+    if not heavy:
+        return sorted(set(cuts)), False
+    known = F.broadcast(docs.sparkSession.createDataFrame(heavy, "there boolean, id long, tie long").drop("tie"))
+    ties = _borders(_key(docs, id_col, tie).join(known, ["there", "id"]), sum(c in heavy for c in cuts), share)
+    least = [(there, number, -(1 << 63)) for there, number, _ in heavy]
+    return sorted({*(c for c in cuts if c not in heavy), *ties, *least}), True
+
+
+def _longs(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+
+
+def _bucket(cuts: list[tuple]) -> Column:
+    """The number of borders that are not above the row's key: halving steps over their sorted list."""
+    cuts = cuts or [LOWEST]
+    there, ids, ties = (_longs([int(c[i]) for c in cuts]) for i in range(3))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))])
+
+    def further(at: Column, step: Column) -> Column:
+        place = at + step - 1
+        border = F.struct(F.get(there, place), F.get(ids, place), F.get(ties, place))
+        own = F.struct(F.col("there").cast("long"), F.col("id"), F.col("tie"))
+        return F.when((at + step <= len(cuts)) & (border <= own), at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further).cast("long")
 
 
 def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
@@ -122,44 +149,41 @@ def with_next(docs: DataFrame, id_col: str, columns: list[str]) -> DataFrame:
 
     Ids are ranged into buckets, so rows with text are shuffled once. A bucket's
     first row is sent to the bucket before it as well, whose last row it
-    follows. Ties go by text order of the columns; NULL ids come last.
+    follows. `docs` must have no columns `there`, `id` and `tie`. Ties go by the hash of the first of the columns, then by the order of all; NULL ids come
+    last. Ids may be any 64-bit numbers, far apart or repeated; only rows alike in id and
+    first column share a bucket however many they are.
     """
     spark = docs.sparkSession
-    low, width, cells = _cells(docs, id_col)
-    ids = F.col(id_col).cast("long")
-    ranged = F.broadcast(spark.createDataFrame(cells, "_cell long, _first long, _parts long"))
-    inside = F.when(
-        F.col("_parts") > 1,
-        F.least(
-            F.floor(((ids - F.lit(low)) % F.lit(width)) * (F.col("_parts") / F.lit(width))).cast("long"), F.col("_parts") - 1
-        ),
-    ).otherwise(F.lit(0))
+    tie = F.xxhash64(columns[0])
+    cuts, tied = _cuts(docs, id_col, tie)
+    own_tie = tie if tied else F.lit(0)
+    key = F.struct("there", "id", "tie")
 
     def bucketed(df: DataFrame) -> DataFrame:
-        placed = df.withColumn("_cell", _cell(ids, low, width)).join(ranged, "_cell")
-        return placed.withColumn("_bucket", F.col("_first") + F.coalesce(inside, F.lit(0))).drop("_cell", "_first", "_parts")
+        return df.withColumn("_bucket", _bucket(cuts))
 
-    firsts = sorted(
-        (r["_bucket"], r["top"])
-        for r in bucketed(docs.select(id_col)).groupBy("_bucket").agg(F.max(ids).alias("top")).collect()
-    )  # one row per bucket
+    tops = bucketed(_key(docs, id_col, own_tie)).groupBy("_bucket").agg(F.max(key).alias("top")).collect()
+    firsts = sorted((r["_bucket"], tuple(r["top"])) for r in tops)  # one row per bucket
     above = [b for b, _ in firsts[1:]] + [b for b, _ in firsts[:1]]
     heads = [(b, top, receiver) for (b, top), receiver in zip(firsts, above, strict=True)]
-    heads = F.broadcast(spark.createDataFrame(heads, "_bucket long, _top long, _receiver long"))
+    shape = "_bucket long, _top struct<there:boolean,id:long,tie:long>, _receiver long"
+    heads = F.broadcast(spark.createDataFrame(heads, shape))
     targets = F.filter(
         F.array(
             F.struct(F.col("_bucket").alias("bucket"), F.lit(False).alias("copy")),
             F.struct(F.col("_receiver").alias("bucket"), F.lit(True).alias("copy")),
         ),
-        lambda t: ~t["copy"] | ids.eqNullSafe(F.col("_top")),
+        lambda t: ~t["copy"] | (key == F.col("_top")),
     )
+    names = docs.columns
+    ids = F.col(id_col).cast("long")
     sent = (
-        bucketed(docs)
+        bucketed(_key(docs, id_col, own_tie, tuple(names)))
         .join(heads, "_bucket")
-        .select(*docs.columns, F.explode(targets).alias("_to"))
-        .select(*docs.columns, F.col("_to.bucket").alias("_bucket"), F.col("_to.copy").alias("_copy"))
+        .select(*names, F.explode(targets).alias("_to"))
+        .select(*names, F.col("_to.bucket").alias("_bucket"), F.col("_to.copy").alias("_copy"))
     )
-    order = Window.partitionBy("_bucket").orderBy("_copy", ids.desc_nulls_last(), *columns)
+    order = Window.partitionBy("_bucket").orderBy("_copy", ids.desc_nulls_last(), tie.desc(), *columns)
     following = {f"next_{c}": F.lead(c).over(order) for c in columns}
     return sent.withColumns(following).filter(~F.col("_copy")).drop("_bucket", "_copy")
 

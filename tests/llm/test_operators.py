@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import itertools
 import random
@@ -504,7 +505,6 @@ def test_sketches_merge_and_estimate(spark):
 
 def test_buckets_of_neighbours(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "LEAST_BUCKET_ROWS", 3)
-    monkeypatch.setattr(fingerprints, "CELLS", 16)
     ids = [0, 1, 2, 3, 50, 51, 52, 53, 54, 55, 56, 10**12, 10**12 + 1, -(10**12), None]
     docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id long, text string").repartition(4)
     got = {r.doc_id: r.next_text for r in fingerprints.with_next(docs, "doc_id", ["text"]).collect()}
@@ -512,6 +512,30 @@ def test_buckets_of_neighbours(spark, monkeypatch):
     assert got == {i: f"text {j}" for i, j in zip(order, order[1:] + order[:1], strict=True)}
 
 
+@pytest.mark.parametrize(
+    "ids",
+    [
+        [*range(2_000), 2**60],
+        [-(2**63), 2**63 - 1, 0, *range(5, 900), *(2**i for i in range(12, 63)), *(-(2**i) for i in range(12, 63))],
+        [*range(300), *[77] * 1_500, *range(400, 700)],
+        [*range(300), *[None] * 1_500],
+    ],
+)
+def test_buckets_stay_small_whatever_the_ids(spark, monkeypatch, ids):
+    monkeypatch.setattr(fingerprints, "LEAST_BUCKET_ROWS", 50)
+    rows = [(i, f"text {n} {i}") for n, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    tie = F.xxhash64("text")
+    cuts, tied = fingerprints._cuts(docs, "doc_id", tie)
+    keys = fingerprints._key(docs, "doc_id", tie if tied else F.lit(0))
+    sizes = keys.select(fingerprints._bucket(cuts).alias("b")).groupBy("b").count().collect()
+    assert max(r["count"] for r in sizes) < 250 and len(sizes) >= len(ids) / 250
+    hashed = dict(docs.select("text", tie.alias("h")).collect())
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]]), reverse=True)
+    got = {r.text: r.next_text for r in fingerprints.with_next(docs, "doc_id", ["text"]).collect()}
+    assert got == {a[1]: b[1] for a, b in zip(order, order[1:] + order[:1], strict=True)}
+
+
 def test_odd_fingerprints(spark, odd_docs, no_docs):
     assert fingerprints.edited_fingerprints(odd_docs).count() == odd_docs.count()
     assert fingerprints.edited_fingerprints(no_docs).count() == 0
@@ -532,7 +556,27 @@ def test_a_length_beyond_all_payloads_ends_the_chain(spark, tmp_path):
         assert [r.page_id for r in warc.page_records(warc.read(spark, str(place))).collect()] == [1]
 
 
-def test_warc_with_records_inside_payloads(spark, tmp_path):
+def test_a_revisit_takes_its_figures_from_the_response_read(spark, tmp_path):
+    def record(page, kind, payload, said, refers=""):
+        head = f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{page}>\r\nWARC-Payload-Digest: sha256:{said}\r\n"
+        head += f"WARC-Payload-Length: 7\r\n{refers and f'WARC-Refers-To: <urn:page:{refers}>' + chr(13) + chr(10)}"
+        return (head + f"Content-Length: {len(payload)}\r\n\r\n{payload}\r\n\r\n").encode()
+
+    digest = hashlib.sha256(b"abcde").hexdigest()
+    records = [
+        record(1, "response", "abcde", digest),
+        record(2, "revisit", "", digest, 1),
+        record(3, "revisit", "", digest, 9),  # its response is not there
+        record(4, "revisit", "", "00" * 32, 1),  # another payload
+        record(5, "response", "", hashlib.sha256(b"").hexdigest()),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    got = {r.page_id: (r.payload_bytes, r.record_type, r.refers_to) for r in warc.page_records(warc.read(spark, str(tmp_path))).collect()}
+    assert got == {1: (5, "response", None), 2: (5, "revisit", 1), 5: (0, "response", None)}
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_warc_with_records_inside_payloads(spark, tmp_path, compression):
     inner = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     pages = [
         (1, "http://a b/\r\nX: 1", inner * 3 + "x" * 100),
@@ -549,7 +593,7 @@ def test_warc_with_records_inside_payloads(spark, tmp_path):
     ]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("head", F.lit("mine"))
     path = str(tmp_path / "w")
-    warc.write(warc.with_revisits(frame.coalesce(2)), path)
+    warc.write(warc.with_revisits(frame.coalesce(2)), path, compression)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
