@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -725,3 +726,15 @@ def test_odd_texts_have_a_score(spark, odd_docs, no_docs):
     nothing = toxicity.fit(no_docs.withColumn("toxic", F.lit(1)))
     assert toxicity.score(no_docs, nothing).count() == 0
     assert toxicity.score(odd_docs, nothing).first().score == pytest.approx(0.5)
+
+
+def test_edited_texts_of_a_whole_table_equal_sql(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "LEAST_BUCKET_ROWS", 100)
+    place = "/root/testdata/sf0.01/documents.parquet"
+    docs = fingerprints.edited_fingerprints(spark.read.parquet(place))
+    wanted = duckdb.sql(
+        f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM '{place}'),
+        n AS (SELECT *, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nx FROM d WINDOW w AS (ORDER BY doc_id DESC))
+        SELECT doc_id, length(t), sha256(left(t, length(t) - length(t) // 2) || left(nx, length(t) // 2)) FROM n"""
+    ).fetchall()
+    assert sorted(map(tuple, docs.select("doc_id", "n_chars", "edited_sha256").collect())) == sorted(wanted)
