@@ -29,8 +29,8 @@ from newsloom.staging import new_path, stage
 UNIT = 1_000_000_000
 HOT_WORD_BYTES = 64
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Words whose weights are gathered at a time.
-WORDS_AT_ONCE = 1 << 20
+#: Bytes of text whose words are scored at a time.
+TEXT_AT_ONCE = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -229,33 +229,39 @@ class ReadyBayes:
 def prepare(model: BayesModel) -> ReadyBayes:
     """Send the words that fit to all workers."""
     hot, cold = _hot_and_cold(model)
-    table = hot.select("word", "weight").toPandas()  # its size is bounded by BROADCAST_BYTES
-    weights = np.array(table["weight"].tolist(), dtype=np.int64).reshape(len(table), len(model.categories))
+    table = hot.select("word", "weight").toArrow()  # its size is bounded by BROADCAST_BYTES
+    words = table["word"].combine_chunks().cast(pa.string())
+    weights = table["weight"].combine_chunks().flatten().to_numpy().reshape(len(words), len(model.categories))
     # The last row stands for words that are not in the table.
     weights = np.vstack([weights, np.zeros((1, len(model.categories)), dtype=np.int64)])
-    places = {word: i for i, word in enumerate(table["word"])}
     vocabulary = read_vocabulary(model.settings.subwords) if model.settings.subwords else None
-    shared = model.labels.sparkSession.sparkContext.broadcast(Weights(places, weights, vocabulary))
+    shared = model.labels.sparkSession.sparkContext.broadcast(Weights(words, weights, vocabulary))
     return ReadyBayes(model, shared, cold)
 
 
 @dataclass(frozen=True)
 class Weights:
-    """Where each word, or piece of a word, has its row of weights; the last row is for all others."""
+    """Words, or pieces of words, with a row of weights each; the last row is for all others.
 
-    places: dict[str, int]
+    Every worker has a copy, so words are an Arrow array: a `dict` of them takes several times the memory.
+    """
+
+    words: pa.Array
     rows: np.ndarray
     vocabulary: str | None
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, words: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.index_in(words, value_set=self.words), len(self.words)).to_numpy()
+
+    def of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A row of weights for each word, and which words are not in the table. All words have pieces."""
-        unknown = len(self.rows) - 1
         if self.vocabulary is None:
-            found = np.array([self.places.get(word, unknown) for word in words], dtype=np.int64)
-            return self.rows[found], found == unknown
-        cut = pieces_of(words, self.vocabulary)
-        totals = [self.rows[[self.places.get(piece, unknown) for piece in pieces]].sum(axis=0) for pieces in cut]
-        return np.array(totals, dtype=np.int64).reshape(len(words), -1), np.zeros(len(words), dtype=bool)
+            found = self.places(words)
+            return self.rows[found], found == len(self.words)
+        cut = pa.array(pieces_of(words.to_pylist(), self.vocabulary), pa.list_(pa.string()))
+        totals = np.zeros((len(words), self.rows.shape[1]), dtype=np.int64)
+        np.add.at(totals, pc.list_parent_indices(cut).to_numpy(), self.rows[self.places(cut.flatten())])
+        return totals, np.zeros(len(words), dtype=bool)
 
 
 def _sums(words: pa.Array, sizes: np.ndarray, known: Weights) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +270,7 @@ def _sums(words: pa.Array, sizes: np.ndarray, known: Weights) -> tuple[np.ndarra
     `words` are those of the texts one after another, `sizes` their numbers. A word is looked up once.
     """
     coded = words.dictionary_encode()
-    weights, unknown = known.of(coded.dictionary.to_pylist())
+    weights, unknown = known.of(coded.dictionary)
     places = coded.indices.to_numpy() if len(words) else np.empty(0, dtype=np.int64)
     ends = np.cumsum(sizes)
     totals = np.zeros((len(sizes), known.rows.shape[1]), dtype=np.int64)
@@ -279,16 +285,16 @@ def _lists(values: pa.Array, sizes: np.ndarray) -> pa.Array:
 
 
 def _scored_texts(texts: pa.Array, known: Weights, priors: np.ndarray, most: int | None, rest: bool) -> pa.Array:
-    """A batch's scores, and the words that are to be joined elsewhere; some texts at a time, by their words."""
-    words = pc.split_pattern(pc.fill_null(texts, ""), " ")
-    if most is not None:
-        words = pc.list_slice(words, 0, most)
-    sizes = pc.list_value_length(words).to_numpy()
-    ends, parts, start = np.cumsum(sizes), [], 0
-    while start < len(sizes) or not parts:
+    """A batch's scores, and the words that are to be joined elsewhere; some texts at a time, by their bytes."""
+    texts = pc.fill_null(texts, "")
+    ends, parts, start = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64), [], 0
+    while start < len(texts) or not parts:
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + WORDS_AT_ONCE, side="right")))
-        some, counts = words[start:stop].flatten(), sizes[start:stop]
+        stop = max(start + 1, int(np.searchsorted(ends, before + TEXT_AT_ONCE, side="right")))
+        words = pc.split_pattern(texts.slice(start, stop - start), " ")
+        if most is not None:
+            words = pc.list_slice(words, 0, most)
+        some, counts = words.flatten(), pc.list_value_length(words).to_numpy()
         totals, unknown = _sums(some, counts, known)
         left = _lists(some.slice(0, 0), np.zeros(len(counts), dtype=np.int64))
         if rest:

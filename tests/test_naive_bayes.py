@@ -1,4 +1,6 @@
 import math
+import pickle
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -150,3 +152,15 @@ def test_first_best_candidate_wins(spark):
     choice = nb.select_best(train, held_out, labels, choices)
     assert choice.candidate == choices[max(range(3), key=lambda i: (choice.accuracies[i], -i))]
     assert choice.accuracies[0] == choice.accuracies[1]
+
+
+def test_workers_hold_words_in_little_memory(spark):
+    words = [f"word{i}" for i in range(50_000)]
+    train = spark.createDataFrame([(0, " ".join(words)), (1, "b"), (2, "c")], "label_idx int, cleaned_text string")
+    labels = spark.createDataFrame([(c, i) for i, c in enumerate(CATEGORIES)], "category string, label_idx int")
+    sent = pickle.dumps(nb.prepare(nb.fit(train, labels)).shared.value)
+    tracemalloc.start()
+    held = pickle.loads(sent)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(held.rows) == 50_003 and most < 60 * 50_000  # 24 bytes are weights
