@@ -339,7 +339,7 @@ def score(articles: DataFrame, model: BayesModel | ReadyBayes, cleaned: str = "c
         rows.select("_row", F.explode("_found.rest").alias("word"))
         .groupBy("_row", "word")
         .agg(F.count("*").alias("times"))
-        .join(cold, "word")
+        .join(cold.hint("merge"), "word")  # a broadcast would pass through the driver with every batch of a stream
         .select("_row", "times", F.posexplode("weight").alias("label_idx", "value"))
         .groupBy("_row", "label_idx")
         .agg(F.sum(F.col("times") * F.col("value")).alias("value"))
@@ -356,7 +356,8 @@ def _hot_and_cold(model: BayesModel) -> tuple[DataFrame, DataFrame | None]:
     """The part of the weights small enough for every worker, and the rest if any.
 
     The whole table counts as hot when its measured size allows; otherwise the
-    most frequent words of ordinary length do, which bounds rows and bytes.
+    most frequent words of ordinary length do, which bounds rows and bytes. Both
+    parts are written, so that scoring batch after batch finds them once.
     """
     weights = model.weights
     row_bytes = 48 + 8 * len(model.categories)
@@ -368,6 +369,7 @@ def _hot_and_cold(model: BayesModel) -> tuple[DataFrame, DataFrame | None]:
     room = max(1, BROADCAST_BYTES // (row_bytes + HOT_WORD_BYTES))
     short = weights.filter(F.octet_length("word") <= HOT_WORD_BYTES)
     hot = stage(top_words(short, room), "hot-weights")
-    return hot, weights.join(hot.select("word"), "word", "left_anti").select("word", "weight")
+    cold = weights.join(hot.select("word"), "word", "left_anti").select("word", "weight")
+    return hot, stage(cold, "cold-weights")
 
 

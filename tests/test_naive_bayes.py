@@ -164,3 +164,11 @@ def test_workers_hold_words_in_little_memory(spark):
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(held.rows) == 50_003 and most < 60 * 50_000  # 24 bytes are weights
+
+
+def test_a_prepared_model_finds_its_rare_words_once(spark, monkeypatch):
+    train, labels, items = setup(spark)
+    monkeypatch.setattr(nb, "BROADCAST_BYTES", 3 * (48 + 8 * 3 + nb.HOT_WORD_BYTES))
+    ready = nb.prepare(nb.fit(train, labels))
+    plan = nb.score(items, ready)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan and "BroadcastHashJoin [word" not in plan
