@@ -5,7 +5,8 @@ starts from the same weights and goes through its rows in an order of its own, b
 by batch, with a warm-up, a linear decay of the rate and decay of the weights; at the end
 the shards' weights are averaged by their numbers of rows. Changes are summed as
 whole numbers, and shards do not depend on how Spark deals rows to tasks, so a fit
-gives the same weights on any number of tasks and in any run.
+gives the same weights on any number of tasks and in any run. A shard of many rows goes
+through several tasks, one section of its order after another, and hands on where it stands.
 
 Every epoch is published with its accuracy on the validation rows. A run that was
 stopped goes on after the last published epoch, and the best epoch is served.
@@ -14,6 +15,7 @@ stopped goes on after the last published epoch, and the best epoch is served.
 from __future__ import annotations
 
 import json
+import pickle
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
@@ -26,10 +28,13 @@ from pyspark.sql import functions as F
 
 from newsloom import model_store
 from newsloom.operators.pipeline import HASH_FEATURES, feature_pipeline
+from newsloom.staging import new_path, scope, stage
 
 #: Changes of weights are summed in units of 2**-40.
 UNIT = 1 << 40
 VECTORS = "label_idx int, cells array<int>, amounts array<double>"
+#: Bytes of a shard's rows that a task reads at most, but for hash luck and copies of one row.
+SECTION_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -102,12 +107,33 @@ def _logits(weights: np.ndarray, cells: np.ndarray, amounts: np.ndarray, sizes:
 
 
 class _Shard:
-    """The weights of one shard while it goes through its rows; `scale` holds what decay has taken off all of them."""
+    """The weights of one shard while it goes through its rows; `scale` holds what decay has taken off all of them.
+
+    `waiting` are the rows of a batch that is not full yet, out of the `seen` ones.
+    """
 
     def __init__(self, start: np.ndarray, rows: int, epoch: int, schedule: Schedule):
         self.weights, self.start, self.schedule, self.scale = start.copy(), start, schedule, 1.0
         each = -(-rows // schedule.batch)
         self.step, self.steps = each * (epoch - 1), each * schedule.epochs
+        self.rows, self.seen, self.waiting = rows, 0, []
+
+    def packed(self) -> bytes:
+        """Where it stands, for the task that goes on."""
+        return pickle.dumps((self.weights, self.scale, self.step, self.seen, self.waiting))
+
+    def unpack(self, state: bytes) -> None:
+        self.weights, self.scale, self.step, self.seen, self.waiting = pickle.loads(state)
+
+    def take(self, label: int, cells: np.ndarray, amounts: np.ndarray) -> None:
+        """One more row; a full batch is learned, and the last one as it is."""
+        self.waiting.append((label, cells, amounts))
+        self.seen += 1
+        if len(self.waiting) == self.schedule.batch or self.seen == self.rows:
+            labels, parts, values = zip(*self.waiting, strict=True)
+            sizes = np.array([len(c) for c in parts])
+            self.learn(np.array(labels), np.concatenate(parts), np.concatenate(values), sizes)
+            self.waiting = []
 
     def learn(self, labels: np.ndarray, cells: np.ndarray, amounts: np.ndarray, sizes: np.ndarray) -> None:
         rate = rate_at(self.step, self.steps, self.schedule)
@@ -128,11 +154,18 @@ class _Shard:
         return label, cell, (self.weights[label, cell] - self.start[label, cell]) * self.scale
 
 
-def _train_rows(start, sizes: dict[int, int], epoch: int, schedule: Schedule):
-    """A task's shards, whose rows come one after another; batches run across what Spark hands over."""
+def _train_rows(start, sizes: dict[int, int], epoch: int, schedule: Schedule, ends: bool):
+    """A task's shards, whose rows come one after another; batches run across what Spark hands over.
+
+    A row with a `state` comes first and says where the shard stands. What the shard has changed comes out if the
+    epoch `ends` with these rows, else its state.
+    """
     total = sum(sizes.values())
 
     def results(shard: int, state: _Shard) -> pa.RecordBatch:
+        if not ends:
+            arrays = [pa.array([shard], pa.int32()), pa.array([state.packed()], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, names=["shard", "state"])
         share = sizes[shard] / total
         label, cell, change = state.changes()
         label, cell = np.append(label, -1), np.append(cell, -1)
@@ -141,29 +174,22 @@ def _train_rows(start, sizes: dict[int, int], epoch: int, schedule: Schedule):
         return pa.RecordBatch.from_arrays(arrays, names=["label", "cell", "units"])
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state, waiting, seen = None, None, [], 0
-
-        def learn(rows: list) -> None:
-            cells = np.concatenate([r[1] for r in rows])
-            amounts = np.concatenate([r[2] for r in rows])
-            state.learn(np.array([r[0] for r in rows]), cells, amounts, np.array([len(r[1]) for r in rows]))
-
+        current, state = None, None
         for batch in source:
             shards, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             cells, counts = _flat(batch.column(2))
             amounts, _ = _flat(batch.column(3))
-            ends = np.cumsum(counts)
+            stops = np.cumsum(counts)
             for i, shard in enumerate(shards):
                 if shard != current:
                     if state is not None:
                         yield results(current, state)
-                    current, state, waiting, seen = shard, _Shard(start.value, sizes[shard], epoch, schedule), [], 0
-                inside = slice(ends[i] - counts[i], ends[i])
-                waiting.append((labels[i], cells[inside], amounts[inside]))
-                seen += 1
-                if len(waiting) == schedule.batch or seen == sizes[shard]:
-                    learn(waiting)
-                    waiting = []
+                    current, state = shard, _Shard(start.value, sizes[shard], epoch, schedule)
+                if batch.column(4)[i].is_valid:
+                    state.unpack(batch.column(4)[i].as_py())
+                    continue
+                inside = slice(stops[i] - counts[i], stops[i])
+                state.take(labels[i], cells[inside], amounts[inside])
         if state is not None:
             yield results(current, state)
 
@@ -178,15 +204,46 @@ def _dealt(rows: DataFrame, schedule: Schedule) -> DataFrame:
     )
 
 
-def run_epoch(dealt: DataFrame, sizes: dict[int, int], weights: np.ndarray, epoch: int, schedule: Schedule) -> np.ndarray:
-    """The weights after one more epoch. What comes back is of the size of the weights, whatever the number of rows."""
+def _sections(most: int) -> int:
+    """Into how many sections shards of up to `most` bytes are cut."""
+    return max(1, -(-most // SECTION_BYTES))
+
+
+def run_epoch(
+    dealt: DataFrame, sizes: dict[int, int], weights: np.ndarray, epoch: int, schedule: Schedule, sections: int = 1
+) -> np.ndarray:
+    """The weights after one more epoch. What comes back is of the size of the weights, whatever the number of rows.
+
+    With more `sections` than one, every shard goes through its rows in as many tasks, in the same order and batches: rows
+    are written by section, and one section after another starts from the states that the one before has left.
+    """
     spark = dealt.sparkSession
     start = spark.sparkContext.broadcast(weights)
-    order = F.xxhash64("key", F.lit(epoch))
-    rows = dealt.repartition(schedule.shards, "shard").sortWithinPartitions("shard", order, "key")
-    rows = rows.select("shard", "label_idx", "cells", "amounts")
-    found = rows.mapInArrow(_train_rows(start, sizes, epoch, schedule), "label int, cell int, units long")
-    summed = found.groupBy("label", "cell").agg(F.sum("units").alias("units")).toPandas()
+    rows = dealt.withColumn("order", F.xxhash64("key", F.lit(epoch)))
+
+    def trained(part: DataFrame, ends: bool) -> DataFrame:
+        part = part.repartition(schedule.shards, "shard").sortWithinPartitions("shard", "order", "key")
+        part = part.select("shard", "label_idx", "cells", "amounts", "state")
+        made = "label int, cell int, units long" if ends else "shard int, state binary"
+        return part.mapInArrow(_train_rows(start, sizes, epoch, schedule, ends), made)
+
+    with scope(spark):
+        if sections > 1:
+            place = F.shiftright("order", 32) + F.lit(1 << 31)  # of 2**32, in the order of `order`
+            path = new_path(spark, "epoch-rows")
+            by_section = rows.withColumn("section", F.shiftright(place * sections, 32).cast("int"))
+            by_section.write.partitionBy("section").parquet(path)
+            rows = spark.read.schema(by_section.schema).parquet(path)
+        states = None
+        for section in range(sections):
+            part = rows.filter(F.col("section") == section).drop("section") if sections > 1 else rows
+            part = part.withColumn("state", F.lit(None).cast("binary"))
+            if states is not None:  # no order comes before any
+                part = part.unionByName(states, allowMissingColumns=True)
+            found = trained(part, section == sections - 1)
+            if section < sections - 1:
+                states = stage(found, "epoch-states")
+        summed = found.groupBy("label", "cell").agg(F.sum("units").alias("units")).toPandas()
     start.destroy()
     changed = summed[summed.label >= 0]
     scale = summed[summed.label < 0].units.sum() / UNIT
@@ -258,7 +315,9 @@ def train(
     fitted = PipelineModel.load(f"{prepared.path}/pipeline")
     dealt = _dealt(spark.read.schema(VECTORS).parquet(f"{prepared.path}/training"), schedule)
     held_out = spark.read.schema(VECTORS).parquet(f"{prepared.path}/validation")
-    sizes = {r.shard: r["count"] for r in dealt.groupBy("shard").count().collect()}  # one row per shard
+    held = F.sum(12 * F.size("cells") + 32).alias("bytes")
+    shards = dealt.groupBy("shard").agg(F.count("*").alias("rows"), held).collect()  # one row per shard
+    sizes, sections = {r.shard: r.rows for r in shards}, _sections(max((r.bytes for r in shards), default=0))
 
     done = history(spark, path)
     for epoch in done:
@@ -267,7 +326,7 @@ def train(
     weights = _weights(spark, done[-1]) if done else np.zeros((len(categories), features + 1))
     for number in range(len(done) + 1, min(schedule.epochs, until or schedule.epochs) + 1):
         if sizes:
-            weights = run_epoch(dealt, sizes, weights, number, schedule)
+            weights = run_epoch(dealt, sizes, weights, number, schedule, sections)
         accuracy, loss = _figures(held_out, weights)
         _save_epoch(spark, f"{path}/epochs", number, weights, accuracy, loss, about)
     return load(spark, path)

@@ -86,6 +86,31 @@ def test_same_weights_however_rows_are_dealt_to_tasks(spark, prepared):
     assert np.array_equal(*found)
 
 
+@pytest.mark.parametrize("sections", [2, 7, 200])
+def test_same_weights_in_sections(spark, prepared, sections):
+    schedule = Schedule(batch=4, shards=3)
+    copies = prepared.unionAll(prepared.limit(5)).unionAll(prepared.limit(5))
+    dealt = epochs._dealt(copies, schedule)
+    sizes = {r.shard: r["count"] for r in dealt.groupBy("shard").count().collect()}
+    whole = epochs.run_epoch(dealt, sizes, np.zeros((3, 65)), 1, schedule)
+    if sections > 7:  # more than there are rows in a shard
+        dealt = epochs._dealt(prepared.limit(9), schedule)
+        sizes = {r.shard: r["count"] for r in dealt.groupBy("shard").count().collect()}
+        whole, sections = epochs.run_epoch(dealt, sizes, np.zeros((3, 65)), 1, schedule), 12
+    assert np.array_equal(whole, epochs.run_epoch(dealt, sizes, np.zeros((3, 65)), 1, schedule, sections))
+
+
+def test_large_shards_are_trained_in_sections(spark, tmp_path, monkeypatch):
+    train, held_out = articles(spark), articles(spark, 40, 9)
+    schedule, names, used = Schedule(epochs=2, batch=4, shards=2), ["Sports", "Business", "Science"], []
+    whole = epochs.train(train, held_out, names, str(tmp_path / "whole"), schedule, 256)
+    run = epochs.run_epoch
+    monkeypatch.setattr(epochs, "run_epoch", lambda *a: used.append(a[-1]) or run(*a))
+    monkeypatch.setattr(epochs, "SECTION_BYTES", 2000, raising=False)
+    cut = epochs.train(train, held_out, names, str(tmp_path / "cut"), schedule, 256)
+    assert np.array_equal(whole.weights, cut.weights) and used[0] == used[1] > 1
+
+
 def test_a_stopped_run_goes_on(spark, tmp_path):
     train, held_out = articles(spark), articles(spark, 40, 9)
     schedule = Schedule(epochs=3, batch=4, shards=2)
