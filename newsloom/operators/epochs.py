@@ -222,7 +222,7 @@ def run_epoch(
     rows = dealt.withColumn("order", F.xxhash64("key", F.lit(epoch)))
 
     def trained(part: DataFrame, ends: bool) -> DataFrame:
-        part = part.repartition(schedule.shards, "shard").sortWithinPartitions("shard", "order", "key")
+        part = part.repartitionById(schedule.shards, F.col("shard")).sortWithinPartitions("shard", "order", "key")
         part = part.select("shard", "label_idx", "cells", "amounts", "state")
         made = "label int, cell int, units long" if ends else "shard int, state binary"
         return part.mapInArrow(_train_rows(start, sizes, epoch, schedule, ends), made)

@@ -100,6 +100,26 @@ def test_same_weights_in_sections(spark, prepared, sections):
     assert np.array_equal(whole, epochs.run_epoch(dealt, sizes, np.zeros((3, 65)), 1, schedule, sections))
 
 
+def test_a_task_has_one_shard(spark, prepared, monkeypatch):
+    schedule = Schedule(batch=4, shards=8)
+    dealt = epochs._dealt(prepared, schedule)
+    sizes = {r.shard: r["count"] for r in dealt.groupBy("shard").count().collect()}
+    inner = epochs._train_rows
+
+    def watched(*args):
+        run = inner(*args)
+
+        def alone(source):
+            found = list(source)
+            assert len({shard for batch in found for shard in batch.column(0).to_pylist()}) <= 1
+            yield from run(iter(found))
+
+        return alone
+
+    monkeypatch.setattr(epochs, "_train_rows", watched)
+    epochs.run_epoch(dealt, sizes, np.zeros((3, 65)), 1, schedule)
+
+
 def test_large_shards_are_trained_in_sections(spark, tmp_path, monkeypatch):
     train, held_out = articles(spark), articles(spark, 40, 9)
     schedule, names, used = Schedule(epochs=2, batch=4, shards=2), ["Sports", "Business", "Science"], []
