@@ -8,6 +8,7 @@ all its tokens, each given all its neighbours: P(class | both sides) x P(word |
 Classes and the words inside them come from word counts over the whole corpus: the most
 frequent words are classes of their own, all others share classes by word ending. P(word | class)
 is the word's share of its class; one more count in each class is kept for words the corpus has not.
+Texts are cut at white space, and each different piece is taken apart into words once, not wherever it stands.
 Words up to a bounded number, the most frequent, are weighed where the texts stand; the
 others, counted per row, in a join with the whole table. Training deals the tokens of
 every document to masks, and every round takes masks of its own, so that the rounds together
@@ -20,13 +21,15 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,11 +51,16 @@ DIMENSIONS = 24
 MASKED = 16
 ROUNDS = 2
 RATE = 0.2
-#: Tokens of a task's first steps; after every `STEPS_OF_SIZE` steps a step takes twice as many, up to `LARGEST_BATCH`.
+#: Tokens of a task's first steps; after every `STEPS_OF_SIZE` steps a step takes twice as many, up to `LARGEST_BATCH`,
+#: which is also how many are scored at once.
 BATCH = 256
 LARGEST_BATCH = 2_048
 STEPS_OF_SIZE = 16
-CHUNK = 256
+#: Texts are split together up to so many characters, and scored together up to so many tokens.
+CHARACTERS = 4_000_000
+TOKENS = 200_000
+#: Pieces of texts whose words a worker keeps, before it begins anew.
+PIECES = 500_000
 #: Scores up to this size are raised to powers as they are; larger ones have their largest taken off first.
 SAFE = 60.0
 
@@ -89,59 +97,168 @@ def ending_class(ending: str) -> int:
     return WORDS + xxhash.xxh3_64_intdigest(ending.encode("utf-8", "surrogatepass")) % ENDINGS
 
 
+def tokens_of(piece: str) -> list[str]:
+    """The tokens of a text without ASCII white space; most are one word, or one word and a mark."""
+    if piece.isalnum():
+        return [piece]
+    word, mark = piece[:-1], piece[-1:]
+    if word.isalnum() and not mark.isspace():
+        return [word, mark]
+    return TOKEN.findall(piece)
+
+
+def runs(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Start and end of runs of neighbouring rows that together have at most the given size, or are one row."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield start, i
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def split(texts: list[str | None]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Texts in lower case, cut at ASCII white space, which no token has inside: the different pieces, which of them stands
+    at each place of the texts one after another, and where each text's places begin, and end."""
+    found = pc.ascii_split_whitespace(pa.array([(text or "").lower() for text in texts], pa.large_string()))
+    coded = found.values.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), found.offsets.to_numpy()
+
+
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """`(word, place, n)` over all whole texts, `place` by ending; tasks send each distinct word once."""
+    """`(word, place, n)` over all whole texts, `place` by ending. Pieces between white space are counted first, and every
+    different piece is taken apart into words once."""
 
-    def count(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+    def count_pieces(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            for text in batch.column(0).to_pylist():
-                seen.update(TOKEN.findall((text or "").lower()))
-            if len(seen) > 500_000:
-                yield as_batch(seen)
-                seen = Counter()
-        if seen:
-            yield as_batch(seen)
-
-    def as_batch(seen: dict[str, int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.string()), pa.array([bucket(w) for w in seen], pa.int32()), pa.array(list(seen.values()), pa.int64())],
-            ["word", "place", "n"],
-        )
+            texts = batch.column(0).to_pylist()
+            for start, end in runs([len(text or "") for text in texts], CHARACTERS):
+                different, places, _ = split(texts[start:end])
+                times = np.bincount(places, minlength=len(different))
+                yield pa.RecordBatch.from_arrays([different.cast(pa.string()), pa.array(times, pa.int64())], ["piece", "n"])
 
-    counted = small_batches(docs).select(F.col(text_col).cast("string")).mapInArrow(count, "word string, place int, n long")
+    def count_words(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            seen: defaultdict[str, int] = defaultdict(int)
+            for piece, n in zip(*(column.to_numpy(zero_copy_only=False) for column in batch.columns), strict=True):
+                for word in tokens_of(piece):
+                    seen[word] += n
+            places = pa.array([bucket(word) for word in seen], pa.int32())
+            columns = [pa.array(list(seen), pa.string()), places, pa.array(list(seen.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "place", "n"])
+
+    pieces = small_batches(docs).select(F.col(text_col).cast("string")).mapInArrow(count_pieces, "piece string, n long")
+    pieces = pieces.groupBy("piece").agg(F.sum("n").alias("n"))
+    counted = pieces.mapInArrow(count_words, "word string, place int, n long")
     return counted.groupBy("word", "place").agg(F.sum("n").alias("n"))
 
 
+def grown(values: np.ndarray, size: int) -> np.ndarray:
+    """`values`, with zeros put behind them if they are fewer than `size`; room grows by doubling."""
+    if size <= len(values):
+        return values
+    return np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), dtype=values.dtype)])
+
+
 class Encoder:
-    """Texts to class numbers and the log-probabilities of the words in their classes."""
+    """Texts to class numbers and the log-probabilities of the words in their classes.
+
+    What it learns of the pieces of texts it keeps for later texts, and leaves behind when it is sent to workers.
+    """
 
     def __init__(self, words: dict[str, int], heads: dict[str, tuple[int, float]] | None = None):
         known = {word: (place, 0.0) for word, place in words.items()}
         known = {**(heads or {}), **known}
-        self.index = {word: i for i, word in enumerate(known)}
-        self.places = np.array([place for place, _ in known.values()] or [0], dtype=np.int16)
-        self.weights = np.array([weight for _, weight in known.values()] or [0.0], dtype=np.float64)
-
-    def parts(self, text: str | None) -> tuple[np.ndarray, float, Counter]:
-        """Classes of the tokens of a whole text, with edges on both sides; the sum of the known weights; the other words."""
-        tokens = TOKEN.findall((text or "").lower())
-        found = np.array([self.index.get(word, -1) for word in tokens], dtype=np.int32)
-        codes = np.full(len(found) + 2 * SIDE, EDGE, dtype=np.int16)
-        rest: Counter = Counter()
-        known = 0.0
-        if len(found):
-            codes[SIDE : SIDE + len(found)] = self.places[found]
-            there = found >= 0
-            known = float(self.weights[found[there]].sum())
-            for place in np.flatnonzero(~there):
-                codes[SIDE + place] = bucket(tokens[place])
-                rest[tokens[place]] += 1
-        return codes, known, rest
+        places = np.array([place for place, _ in known.values()] or [0], dtype=np.uint8)
+        weights = np.array([weight for _, weight in known.values()] or [0.0], dtype=np.float64)
+        self.know(list(known), places, weights)
+
+    def know(self, words: list[str], places: np.ndarray, weights: np.ndarray) -> None:
+        self.index = {word: i for i, word in enumerate(words)}
+        self.known_places, self.known_weights = places, weights
+        self.forget()
+
+    def __reduce__(self):
+        return received, (list(self.index), self.known_places, self.known_weights)
+
+    def forget(self) -> None:
+        """Drop what is kept of pieces of texts; they are many where few words repeat."""
+        self.numbers: defaultdict[str, int] = defaultdict(count().__next__)
+        #: How many words each piece has, and where they begin among the words of all pieces.
+        self.sizes, self.starts = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32)
+        #: The words of all pieces, their classes, log-probabilities there, and whether they are not known.
+        self.words: list[str] = []
+        self.classes, self.weights, self.other = np.zeros(0, dtype=np.uint8), np.zeros(0), np.zeros(0, dtype=bool)
+        self.done = 0
+
+    def learn(self) -> None:
+        """Take in the pieces that came last."""
+        words: list[str] = []
+        sizes: list[int] = []
+        for piece in islice(self.numbers, self.done, None):
+            if piece.isalnum():
+                words.append(piece)
+                sizes.append(1)
+            else:
+                found = tokens_of(piece)
+                words += found
+                sizes.append(len(found))
+        index = np.fromiter((self.index.get(word, -1) for word in words), np.int64, len(words))
+        classes, weights, other = self.known_places[index], self.known_weights[index], index < 0
+        weights[other] = 0.0
+        for i in np.flatnonzero(other).tolist():
+            classes[i] = bucket(words[i])
+        start, end = len(self.words), len(self.words) + len(words)
+        pieces = slice(self.done, self.done + len(sizes))
+        self.sizes, self.starts = grown(self.sizes, pieces.stop), grown(self.starts, pieces.stop)
+        self.sizes[pieces] = sizes
+        self.starts[pieces] = start + np.cumsum(self.sizes[pieces]) - self.sizes[pieces]
+        self.classes, self.weights, self.other = (grown(x, end) for x in (self.classes, self.weights, self.other))
+        self.classes[start:end], self.weights[start:end], self.other[start:end] = classes, weights, other
+        self.words += words
+        self.done = pieces.stop
+
+    def parts(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, float, Counter]]:
+        """For each whole text the classes of its tokens, with edges on both sides; the sum of the known weights; the other words."""
+        for start, end in runs([len(text or "") for text in texts], CHARACTERS):
+            yield from self.parts_of_run(texts[start:end])
+
+    def parts_of_run(self, texts: list[str | None]) -> Iterator[tuple[np.ndarray, float, Counter]]:
+        if self.done > PIECES:
+            self.forget()
+        different, places, bounds = split(texts)
+        names = different.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.numbers.__getitem__, names), np.int64, len(names))
+        self.learn()
+        # Every place of a piece becomes the places of its words.
+        size = self.sizes[numbers][places]
+        ends = np.append(0, np.cumsum(size))
+        tokens = np.arange(ends[-1])
+        word = tokens + np.repeat(self.starts[numbers][places] - ends[:-1], size)
+        bounds = ends[bounds]
+        text = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        codes = np.full(len(tokens) + 2 * SIDE * len(texts), EDGE, dtype=np.uint8)
+        codes[tokens + (2 * SIDE * text + SIDE)] = self.classes[word]
+        known = np.bincount(text, self.weights[word], len(texts)).tolist()
+        rests: list[Counter] = [Counter() for _ in texts]
+        others = np.flatnonzero(self.other[word])
+        for i, k in zip(text[others].tolist(), word[others].tolist(), strict=True):
+            rests[i][self.words[k]] += 1
+        bounds = (bounds + 2 * SIDE * np.arange(len(texts) + 1)).tolist()
+        for i, rest in enumerate(rests):
+            yield codes[bounds[i] : bounds[i + 1]], known[i], rest
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Classes of the tokens of a whole text, with edges on both sides."""
-        return self.parts(text)[0]
+        return next(self.parts([text]))[0]
+
+
+def received(words: list[str], places: np.ndarray, weights: np.ndarray) -> Encoder:
+    encoder = Encoder({})
+    encoder.know(words, places, weights)
+    return encoder
 
 
 def neighbours(codes: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -163,44 +280,89 @@ def bounded(out: np.ndarray, bias: np.ndarray) -> bool:
 
 def log_likelihood(codes: np.ndarray, network: Network) -> float:
     """Sum over all tokens of the log-probability given both sides."""
-    tokens = len(codes) - 2 * SIDE
-    safe, ones = bounded(network.out, network.bias), np.ones(SIZE, dtype=np.float32)
-    total = 0.0
-    for start in range(0, tokens, CHUNK):
-        places = np.arange(start, min(tokens, start + CHUNK))
-        logits = hidden(neighbours(codes, places), network.tables) @ network.out
-        logits += network.bias
+    return float(log_likelihoods([codes], network)[0])
+
+
+def log_likelihoods(codes: list[np.ndarray], network: Network) -> np.ndarray:
+    """`log_likelihood` of each text; short ones go through the network together."""
+    counts = [len(c) - 2 * SIDE for c in codes]
+    scores = [
+        np.bincount(
+            np.repeat(np.arange(end - start), counts[start:end]), token_scores(codes[start:end], network), end - start
+        )
+        for start, end in runs(counts, TOKENS)
+    ]
+    return np.concatenate(scores or [np.empty(0)])
+
+
+def token_scores(codes: list[np.ndarray], network: Network) -> np.ndarray:
+    """The log-probability of every token of the texts, one text after another, given both its sides."""
+    counts = np.array([len(c) - 2 * SIDE for c in codes])
+    joined = np.concatenate(codes)
+    places = np.arange(counts.sum()) + np.repeat(2 * SIDE * np.arange(len(codes)) + SIDE, counts)
+    safe, out = bounded(network.out, network.bias), with_bias(network.out, network.bias)
+    ones, rows = np.ones(SIZE, dtype=np.float32), np.arange(LARGEST_BATCH)
+    held = np.empty((LARGEST_BATCH, SIZE), dtype=np.float32)
+    scores = np.empty(len(places), dtype=np.float32)
+    for start in range(0, len(places), LARGEST_BATCH):
+        near = places[start : start + LARGEST_BATCH]
+        inner = with_ones(hidden(neighbours(joined, near - SIDE), network.tables))
+        logits = np.matmul(inner, out, out=held[: len(near)])
         if not safe:
             logits -= logits.max(axis=1, keepdims=True)
-        wanted = logits[np.arange(len(places)), codes[places + SIDE]]
+        wanted = logits[rows[: len(near)], joined[near]]
         np.exp(logits, out=logits)
-        total += float((wanted - np.log(logits @ ones)).sum(dtype=np.float64))
-    return total
+        scores[start : start + LARGEST_BATCH] = wanted - np.log(logits @ ones)
+    return scores
+
+
+def with_bias(out: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    return np.concatenate([out, bias[None]])
+
+
+def with_ones(inner: np.ndarray) -> np.ndarray:
+    """`inner` with a last column that takes the bias."""
+    wide = np.empty((len(inner), DIMENSIONS + 1), dtype=np.float32)
+    wide[:, :DIMENSIONS] = inner
+    wide[:, DIMENSIONS] = 1
+    return wide
 
 
 def step(network: tuple[np.ndarray, ...], seen: tuple[np.ndarray, ...], around: np.ndarray, wanted: np.ndarray) -> None:
-    """One step on a batch, in place, with per-coordinate rates."""
+    """One step on a batch, in place, with per-coordinate rates.
+
+    A class's probability is its power over the row's total, so rows are divided by their totals where they
+    are as wide as the network's inner layer, not where they are as wide as the classes.
+    """
     tables, out, bias = network
     inner = hidden(around, tables)
-    logits = inner @ out
-    logits += bias
+    powers = with_ones(inner) @ with_bias(out, bias)
     if not bounded(out, bias):
-        logits -= logits.max(axis=1, keepdims=True)
-    np.exp(logits, out=logits)
-    share = np.float32(1 / len(wanted))
-    logits *= (share / (logits @ np.ones(SIZE, dtype=np.float32)))[:, None]
-    logits[np.arange(len(wanted)), wanted] -= share
-    back = (logits @ out.T) * (1 - inner**2)
-    slopes_out, slopes_bias = inner.T @ logits, logits.sum(axis=0)
-    columns = np.arange(DIMENSIONS, dtype=np.int64)
-    for i in range(2 * SIDE):
-        cells = (around[i].astype(np.int64) * DIMENSIONS)[:, None] + columns
-        slope = np.bincount(cells.ravel(), back.ravel(), SIZE * DIMENSIONS).astype(np.float32).reshape(SIZE, DIMENSIONS)
-        descend(tables[i], seen[0][i], slope)
-    descend(out, seen[1], slopes_out)
+        powers -= powers.max(axis=1, keepdims=True)
+    np.exp(powers, out=powers)
+    totals = powers @ np.ones(SIZE, dtype=np.float32)
+    powers[np.arange(len(wanted)), wanted] -= totals
+    scale = np.float32(1 / len(wanted)) / totals
+    back = (powers @ out.T) * scale[:, None] * (1 - inner * inner)
+    slopes_out = powers.T @ (inner * scale[:, None])
+    slopes_bias = scale @ powers
+    for i, slopes in enumerate(table_slopes(around, back)):
+        descend(tables[i], seen[0][i], slopes)
+    descend(out, seen[1], slopes_out.T)
     descend(bias, seen[2], slopes_bias)
 
 
+def table_slopes(around: np.ndarray, back: np.ndarray) -> np.ndarray:
+    """Sums of the rows of `back` for each neighbour and class; two columns are added up at a time, as one complex number."""
+    pairs = DIMENSIONS // 2
+    cells = np.arange(SIZE * pairs, dtype=np.intp).reshape(SIZE, pairs)
+    values = back.astype(np.float64).view(np.complex128).ravel()
+    sums = np.zeros((2 * SIDE, SIZE * pairs), dtype=np.complex128)
+    for i in range(2 * SIDE):
+        np.add.at(sums[i], np.take(cells, around[i], axis=0).ravel(), values)
+    return sums.view(np.float64).astype(np.float32).reshape(2 * SIDE, SIZE, DIMENSIONS)
+
+
 def descend(weights: np.ndarray, seen: np.ndarray, slope: np.ndarray) -> None:
     seen += slope * slope
     weights -= np.float32(RATE) * slope / np.sqrt(seen)
@@ -214,7 +376,8 @@ def batch_size(taken: int) -> int:
 def trained(codes: np.ndarray, turn: int, rounds: int, masked: int) -> np.ndarray:
     """Token places that a round predicts: those of its masks. Which mask a token gets depends on its text alone."""
     rng = np.random.default_rng(xxhash.xxh3_64_intdigest(codes.tobytes()))
-    return np.flatnonzero(rng.integers(0, masked, len(codes) - 2 * SIDE) % rounds == turn)
+    own = np.arange(masked) % rounds == turn
+    return own.take(rng.integers(0, masked, len(codes) - 2 * SIDE)).nonzero()[0]
 
 
 def fresh(words: dict[str, int]) -> Network:
@@ -264,17 +427,17 @@ def encode(
     """`(row, doc_id, codes, inside, rest)` of all rows: a byte for each token of the whole text, and edges;
     the log-probabilities of known words in their classes, and the counts of the other words. Stage it: `row` is
     fixed when it is written."""
-    shared = docs.sparkSession.sparkContext.broadcast((words, inside.heads if inside else {}))
+    shared = docs.sparkSession.sparkContext.broadcast(Encoder(words, inside.heads if inside else {}))
 
     def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value)
+        encoder = shared.value
         for batch in source:
-            found = [encoder.parts(text) for text in batch.column(2).to_pylist()]
+            found = list(encoder.parts(batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([codes.astype(np.uint8).tobytes() for codes, _, _ in found], pa.binary()),
+                    pa.array([codes.tobytes() for codes, _, _ in found], pa.binary()),
                     pa.array([known for _, known, _ in found], pa.float64()),
                     counted_words([rest for _, _, rest in found]),
                 ],
@@ -317,22 +480,21 @@ def fit_codes(
             start = shared.value
             own = (start.tables.copy(), start.out.copy(), start.bias.copy())
             seen = tuple(np.full_like(x, 1e-4) for x in own)
-            around, wanted, held, taken, total = [], [], 0, 0, 0
+            texts, places, held, taken, total = [], [], 0, 0, 0
             for batch in source:
                 for raw in batch.column(0).to_pylist():
                     codes = np.frombuffer(raw, dtype=np.uint8)
                     tokens = len(codes) - 2 * SIDE
                     if tokens <= 0:
                         continue
-                    places = trained(codes, turn, rounds, masked)
-                    around.append(neighbours(codes, places))
-                    wanted.append(codes[places + SIDE])
-                    held += len(places)
+                    texts.append(codes)
+                    places.append(trained(codes, turn, rounds, masked))
+                    held += len(places[-1])
                     if held >= batch_size(taken):
-                        taken = steps(own, seen, around, wanted, taken)
-                        around, wanted, total, held = [], [], total + held, 0
+                        taken = steps(own, seen, texts, places, taken)
+                        texts, places, total, held = [], [], total + held, 0
             if held:
-                steps(own, seen, around, wanted, taken)
+                steps(own, seen, texts, places, taken)
                 total += held
             if total:
                 flat = np.concatenate([x.ravel() for x in own]).astype(np.float64) * total
@@ -344,9 +506,11 @@ def fit_codes(
                     ["place", "value"],
                 )
 
-        def steps(own, seen, around, wanted, taken: int) -> int:
+        def steps(own, seen, texts, places, taken: int) -> int:
             """Train on all tokens held; how many steps the task has taken then."""
-            x, y = np.concatenate(around, axis=1), np.concatenate(wanted)
+            codes, starts = np.concatenate(texts), np.cumsum([0] + [len(text) for text in texts[:-1]])
+            there = np.concatenate(places) + np.repeat(starts, [len(own_places) for own_places in places])
+            x, y = neighbours(codes, there), codes[there + SIDE]
             start = 0
             while start < len(y):
                 size = batch_size(taken)
@@ -405,8 +569,7 @@ def score_codes(coded: DataFrame, network: Network) -> DataFrame:
         for batch in source:
             codes = [np.frombuffer(raw, dtype=np.uint8) for raw in batch.column(2).to_pylist()]
             counts = [len(c) - 2 * SIDE for c in codes]
-            sums = [log_likelihood(c, shared.value) for c in codes]
-            sums = np.array(sums) + batch.column(3).to_numpy()
+            sums = log_likelihoods(codes, shared.value) + batch.column(3).to_numpy()
             arrays = [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(sums, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "doc_id", "n_tokens", "log_likelihood"])
 

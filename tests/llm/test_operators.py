@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import itertools
+import pickle
 import random
 import re
 import zlib
@@ -233,6 +234,84 @@ def test_training_predicts_every_token_once(rounds, masked):
         assert sorted(np.concatenate(places).tolist()) == list(range(len(codes) - 4))
 
 
+class Lookups(dict):
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+
+def test_a_word_is_looked_up_once_wherever_it_stands():
+    encoder = pseudo_likelihood.Encoder({"rain": 0, "fell": 1, ",": 2})
+    encoder.index = Lookups(encoder.index)
+    codes = encoder("Rain, rain fell, and fell " * 500)
+    assert codes[2:-2].tolist() == [0, 2, 0, 1, 2, pseudo_likelihood.bucket("and"), 1] * 500
+    assert encoder.index.asked <= 10
+
+
+ODD_SPACES = [
+    "", None, " \t\n ", "a_b__c _ é\u00a0ü z\x1c\x85q\x0b\x0cx\x1fy", "İstanbul ΣΑΣ ½² 中文字\u3000日本。", "x.\u2003 y,\u00a0 _\u00a0",
+    "rain, rain. (rain) rain-fall 3.50 it's", "".join(chr(c) for c in range(1, 0x3100)),
+]
+
+
+@pytest.mark.parametrize("together, kept", [(4_000_000, 500_000), (40, 5)])
+def test_pieces_give_the_tokens_of_whole_texts(monkeypatch, together, kept):
+    monkeypatch.setattr(pseudo_likelihood, "CHARACTERS", together)
+    monkeypatch.setattr(pseudo_likelihood, "PIECES", kept)
+    words, heads = {"rain": 0, ",": 1}, {"x": (200, -1.5), "é": (201, -2.0)}
+    encoder = pickle.loads(pickle.dumps(pseudo_likelihood.Encoder(words, heads)))
+    for texts in (ODD_SPACES, texts_of(5, 40, 30), ODD_SPACES[::-1]):
+        found = list(encoder.parts(texts))
+        assert len(found) == len(texts)
+        for text, (codes, known, rest) in zip(texts, found, strict=True):
+            tokens = pseudo_likelihood.TOKEN.findall((text or "").lower())
+            places = [words[w] if w in words else heads[w][0] if w in heads else pseudo_likelihood.bucket(w) for w in tokens]
+            assert codes.tolist() == [255, 255, *places, 255, 255]
+            assert known == pytest.approx(sum(heads[w][1] for w in tokens if w in heads))
+            assert rest == Counter(w for w in tokens if w not in words and w not in heads)
+
+
+def test_words_are_counted_over_whole_texts(spark):
+    texts = [*ODD_SPACES, *texts_of(6, 60, 30)]
+    expected = Counter(w for text in texts for w in pseudo_likelihood.TOKEN.findall((text or "").lower()))
+    rows = pseudo_likelihood.word_counts(doc_frame(spark, texts)).collect()
+    assert {r.word: r.n for r in rows} == expected and len(rows) == len(expected)
+    assert all(r.place == pseudo_likelihood.bucket(r.word) for r in rows)
+
+
+@pytest.mark.parametrize("together", [200_000, 7])
+def test_texts_scored_together_score_as_alone(monkeypatch, together):
+    network = pseudo_likelihood.fresh({"w1": 0, "w2": 1})
+    codes = [pseudo_likelihood.Encoder(network.words)(text) for text in ["", *texts_of(7, 30), None, "w1 " * 5_000]]
+    alone = [pseudo_likelihood.log_likelihood(c, network) for c in codes]
+    monkeypatch.setattr(pseudo_likelihood, "TOKENS", together)
+    assert pseudo_likelihood.log_likelihoods(codes, network) == pytest.approx(alone, rel=1e-6)
+    assert pseudo_likelihood.log_likelihoods([], network).tolist() == []
+
+
+@pytest.mark.parametrize("scale", [1, 40])
+def test_a_step_goes_down_the_slopes_of_the_mean_loss(scale):
+    rng = np.random.default_rng(3)
+    network = pseudo_likelihood.fresh({})
+    own = [network.tables.copy(), network.out * np.float32(scale), rng.normal(0, 0.1, 256).astype(np.float32)]
+    around, wanted = rng.integers(0, 256, (4, 300)).astype(np.uint8), rng.integers(0, 256, 300).astype(np.uint8)
+    tables, out, bias = (x.astype(float) for x in own)
+    inner = np.tanh(sum(tables[i][around[i]] for i in range(4)))
+    shares = np.exp(inner @ out + bias)
+    shares /= shares.sum(axis=1, keepdims=True)
+    shares[np.arange(300), wanted] -= 1
+    back = shares @ out.T * (1 - inner**2)
+    slopes = [np.zeros_like(tables), inner.T @ shares / 300, shares.sum(axis=0) / 300]
+    for i in range(4):
+        np.add.at(slopes[0][i], around[i], back / 300)
+    seen = tuple(np.full_like(x, 1e-4) for x in own)
+    pseudo_likelihood.step(tuple(own), seen, around, wanted)
+    for was, now, slope in zip((tables, out, bias), own, slopes, strict=True):
+        assert now == pytest.approx(was - 0.2 * slope / np.sqrt(1e-4 + slope**2), abs=2e-5)
+
+
 def test_odd_texts_are_scored(spark, odd_docs, no_docs):
     network = pseudo_likelihood.fit(odd_docs)
     rows = pseudo_likelihood.score(odd_docs, network).collect()
